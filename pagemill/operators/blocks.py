@@ -22,7 +22,9 @@ BLOCK_COLS = ["page_id", "pos", "block_id", "kind", "tag", "cls", "text", "em_te
               "html", "div_class", "img_src", "img_alt"]
 
 
-def _tok(cls: Column, token: str) -> Column:
+def _tok(cls: Column, token: str | None) -> Column:
+    if token is None:
+        return F.lit(True)
     return F.array_contains(F.split(F.coalesce(cls, F.lit("")), r"[ \t\n\r\f]+"), F.lit(token))
 
 
@@ -41,7 +43,7 @@ def body_roots(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
         F.min_by("tag", "node_id").alias("root_tag"))
 
 
-def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
+def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> DataFrame:
     """P12 + P14 probes + A7: one row per direct child of the first body root."""
     root_sel = Selector(spec.body_root.steps, anchor=len(spec.body_root.steps))
     st = chain_state(root_sel)
@@ -56,12 +58,12 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
                                           F.slice("chain", F.col("_bpos") + 2, F.size("chain")))
                          .otherwise(F.array().cast(nodes.schema["chain"].dataType)))
              .drop("_st"))
-    # one exchange for the body subtree; the group-by and the windows below reuse it
-    under = under.repartition("page_id")
+    # ``nodes`` should come from ``nodes_by_page``: the group-by and the
+    # windows below then reuse its page_id exchange instead of adding one.
     is_block = F.col("node_id") == F.col("block_id")
     below = ~is_block
     cls = F.col("attrs")["class"]
-    n_em = F.size(F.filter("_below", lambda e: e["tag"] == "em"))
+    n_em = F.size(F.filter("_below", lambda e: e["tag"] == em_tag))
     in_thumb = F.exists("_below", lambda e: (e["tag"] == spec.image_thumb[0].tag)
                         & _tok(e["cls"], spec.image_thumb[0].cls_tok)) if spec.image_thumb else F.lit(False)
     aggs = [
@@ -74,7 +76,7 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
         _ordered_concat(F.when(F.col("kind") == "text", F.col("text")), F.col("node_id")).alias("text"),
         _ordered_concat(F.when((F.col("kind") == "text") & (n_em > 0), F.repeat(F.col("text"), n_em)),
                         F.col("node_id")).alias("em_text"),
-        F.bool_or(below & (F.col("tag") == "em")).alias("has_em"),
+        F.bool_or(below & (F.col("tag") == em_tag)).alias("has_em"),
         F.bool_or(below & (F.col("tag") == "iframe")).alias("has_iframe"),
         F.bool_or((F.col("kind") == "rawtext") & F.exists("_below", lambda e: e["tag"] == "iframe")
                   & F.col("text").contains("youtube")).alias("iframe_youtube"),

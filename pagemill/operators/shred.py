@@ -257,3 +257,14 @@ def shred(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
     back by callers that need them.
     """
     return pages.select("page_id", "html").mapInArrow(_batches_to_nodes(tuple(scopes)), NODES_SCHEMA)
+
+
+def nodes_by_page(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
+    """P1 followed by one exchange on ``page_id``.
+
+    Every page-level consumer (field aggregates, body blocks, windows over
+    block positions) needs its rows clustered by page; with the exchange made
+    here once, Spark reuses it for all of them (ReusedExchange), so the Python
+    shredder runs once per page however many consumers there are.
+    """
+    return shred(pages, scopes).repartition("page_id")

@@ -18,7 +18,7 @@ from ..functions import text as X
 from ..operators.blocks import blocks_from_lines, blocks_from_nodes, body_roots
 from ..operators.detail import page_fields
 from ..operators.listing import entries as list_entries
-from ..operators.shred import HtmlScope, shred
+from ..operators.shred import HtmlScope, nodes_by_page
 from ..sources.tables import raw_pages, spread, table
 from . import sqlkit as Q
 
@@ -48,7 +48,7 @@ def oracle() -> dict[str, str]:
 
 def page_nodes(spark: SparkSession, sf_dir: str, scopes=(HtmlScope("article"),)) -> DataFrame:
     """P1 over the bundled pages; the article and its children keep their markup."""
-    return shred(spread(raw_pages(spark, sf_dir)), scopes)
+    return nodes_by_page(spread(raw_pages(spark, sf_dir)), scopes)
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,3 +195,535 @@ def f3_batch_id(spark, sf):
 SELECT event_id, strftime(ts, '%Y-%m-%d 00:00:00') AS day_start FROM events""")
 def f4_day_start(spark, sf):
     return events(spark, sf).select("event_id", D.day_start(F.col("ts")).alias("day_start"))
+
+
+# =============================================================================
+# Frames derived from ``events``: history / batch articles, list entries, media
+# =============================================================================
+
+from ..config import DedupConf, DivProbe, SiteSpec  # noqa: E402
+from ..functions import ids as I  # noqa: E402
+from ..functions import urls as U  # noqa: E402
+from ..operators import dedup as DD  # noqa: E402
+from ..operators import media as M  # noqa: E402
+from ..operators.blocks import assemble, classify_pass1, clean_blocks, signoff_trim  # noqa: E402
+from ..operators.detail import audio_type, lowest_rate_link  # noqa: E402
+from ..operators.listing import take_while  # noqa: E402
+from ..operators.select import desc, child, sel, select_text  # noqa: E402
+from ..operators.simhash import simhash  # noqa: E402
+from ..sinks import stores as S  # noqa: E402
+
+EV_DEDUP = DedupConf(title_days=20, url_days=15, title_spiders=("news_en",))
+SPLIT_TS = "2024-01-20 00:00:00"
+
+
+def ev_articles(spark, sf):
+    """Article-shaped rows from events (title and URL repeat on purpose)."""
+    e = events(spark, sf)
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", k.alias("k"),
+        F.when(F.col("user_id") % 3 == 0, "other").otherwise("news_en").alias("spider"),
+        F.concat(F.lit("t"), (k % 40).cast("string")).alias("title"),
+        F.concat(F.lit("https://e.example.org/u/"), (F.col("user_id") % 50).cast("string"), F.lit("/"),
+                 k.cast("string")).alias("source_addr"),
+        F.col("ts").cast("timestamp_ntz").alias("created_at"))
+
+
+EV_SQL = """ev AS (
+  SELECT event_id, ts, user_id, event_type, k,
+         CASE WHEN user_id % 3 = 0 THEN 'other' ELSE 'news_en' END AS spider,
+         't' || CAST(k % 40 AS VARCHAR) AS title,
+         'https://e.example.org/u/' || CAST(user_id % 50 AS VARCHAR) || '/' || CAST(k AS VARCHAR) AS source_addr,
+         ts AS created_at
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
+hist AS (SELECT * FROM ev WHERE ts < TIMESTAMP '2024-01-20 00:00:00'),
+batch AS (SELECT * FROM ev WHERE ts >= TIMESTAMP '2024-01-20 00:00:00')"""
+
+
+def ev_split(spark, sf):
+    a = ev_articles(spark, sf)
+    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    return a.where(F.col("ts") < split), a.where(F.col("ts") >= split)
+
+
+@query("s3_history_titles", sql=f"""
+WITH {EV_SQL}
+SELECT DISTINCT title FROM hist WHERE created_at >= DATE '2024-01-11' AND spider IN ('news_en')""")
+def s3_history_titles(spark, sf):
+    hist, _ = ev_split(spark, sf)
+    return DD.history_titles(hist, RUN_TS, EV_DEDUP)
+
+
+@query("s4_history_urls", sql=f"""
+WITH {EV_SQL}
+SELECT DISTINCT source_addr FROM hist WHERE created_at >= DATE '2024-01-16'""")
+def s4_history_urls(spark, sf):
+    hist, _ = ev_split(spark, sf)
+    return DD.history_urls(hist, RUN_TS, EV_DEDUP)
+
+
+@query("a4_distinct_sets", sql=f"""
+WITH {EV_SQL}
+SELECT (SELECT count(DISTINCT title) FROM hist WHERE created_at >= DATE '2024-01-11' AND spider IN ('news_en')) AS n_titles,
+       (SELECT count(DISTINCT source_addr) FROM hist WHERE created_at >= DATE '2024-01-16') AS n_urls""")
+def a4_distinct_sets(spark, sf):
+    hist, _ = ev_split(spark, sf)
+    t = DD.history_titles(hist, RUN_TS, EV_DEDUP).agg(F.count("*").alias("n_titles"))
+    u = DD.history_urls(hist, RUN_TS, EV_DEDUP).agg(F.count("*").alias("n_urls"))
+    return t.crossJoin(u)  # two one-row aggregates
+
+
+@query("j2_title_anti_join", sql=f"""
+WITH {EV_SQL}
+SELECT event_id FROM batch
+WHERE NOT (spider IN ('news_en') AND title IN (
+  SELECT title FROM hist WHERE created_at >= DATE '2024-01-11' AND spider IN ('news_en')))""")
+def j2_title_anti_join(spark, sf):
+    hist, batch = ev_split(spark, sf)
+    ht = DD.history_titles(hist, RUN_TS, EV_DEDUP)
+    listed = batch.where(F.col("spider").isin(*EV_DEDUP.title_spiders))
+    others = batch.where(~F.col("spider").isin(*EV_DEDUP.title_spiders))
+    return listed.join(ht, "title", "left_anti").select("event_id").unionByName(others.select("event_id"))
+
+
+@query("j3_url_anti_join", sql=f"""
+WITH {EV_SQL}
+SELECT event_id FROM batch
+WHERE source_addr NOT IN (SELECT source_addr FROM hist WHERE created_at >= DATE '2024-01-16')""")
+def j3_url_anti_join(spark, sf):
+    hist, batch = ev_split(spark, sf)
+    return batch.join(DD.history_urls(hist, RUN_TS, EV_DEDUP), "source_addr", "left_anti").select("event_id")
+
+
+_DEDUP_SQL = f"""
+WITH {EV_SQL},
+ht AS (SELECT DISTINCT title FROM hist WHERE created_at >= DATE '2024-01-11' AND spider IN ('news_en')),
+hu AS (SELECT DISTINCT source_addr FROM hist WHERE created_at >= DATE '2024-01-16'),
+r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY ts, event_id) AS rn FROM batch),
+d AS (SELECT event_id, spider, title, source_addr,
+        CASE WHEN spider IN ('news_en') AND (title IN (SELECT title FROM ht) OR rn > 1) THEN 'duplicate_title'
+             WHEN source_addr IN (SELECT source_addr FROM hu) THEN 'duplicate_url' END AS reason
+      FROM r)"""
+
+
+def ev_dedup(spark, sf):
+    hist, batch = ev_split(spark, sf)
+    return DD.dedup(batch, hist, RUN_TS, EV_DEDUP, arrival=F.struct("ts", "event_id"))
+
+
+@query("w6_first_title", sql=_DEDUP_SQL + "\nSELECT event_id, reason FROM d")
+def w6_first_title(spark, sf):
+    return ev_dedup(spark, sf).select("event_id", "reason")
+
+
+@query("u1_seen_titles", sql=f"""
+WITH {EV_SQL}
+SELECT title FROM hist WHERE created_at >= DATE '2024-01-11' AND spider IN ('news_en')
+UNION SELECT title FROM batch""")
+def u1_seen_titles(spark, sf):
+    hist, batch = ev_split(spark, sf)
+    return DD.seen_titles(hist, batch, RUN_TS, EV_DEDUP)
+
+
+@query("s11_audit", sql=_DEDUP_SQL + """,
+ent AS (SELECT event_id, source_addr,
+          CASE WHEN event_type = 'error' THEN 'entry_without_link' WHEN k > 90 THEN 'entry_ignored' END AS reason
+        FROM ev)
+SELECT CASE reason WHEN 'entry_without_link' THEN 'ERROR' WHEN 'entry_ignored' THEN 'INFO' ELSE 'DEBUG' END AS severity,
+       reason, CAST(event_id AS VARCHAR) AS key, source_addr AS url
+FROM (SELECT event_id, source_addr, reason FROM d UNION ALL SELECT event_id, source_addr, reason FROM ent)
+WHERE reason IS NOT NULL""")
+def s11_audit(spark, sf):
+    d = ev_dedup(spark, sf)
+    ent = ev_articles(spark, sf).withColumn(
+        "reason", F.when(F.col("event_type") == "error", "entry_without_link").when(F.col("k") > 90, "entry_ignored"))
+    rows = d.select("event_id", "source_addr", "reason").unionByName(ent.select("event_id", "source_addr", "reason"))
+    return S.audit_rows(rows, RUN_TS, "event_id", "source_addr").select("severity", "reason", "key", "url")
+
+
+@query("s12_severity_counts", sql=_DEDUP_SQL + """
+SELECT 'DEBUG' AS severity, count(*) AS n FROM d WHERE reason IS NOT NULL""")
+def s12_severity_counts(spark, sf):
+    d = ev_dedup(spark, sf)
+    a = S.audit_rows(d, RUN_TS, "event_id", "source_addr", demote_duplicates=True)
+    return a.groupBy("severity").agg(F.count("*").alias("n"))
+
+
+# -- list entries from events: C1-C5, W1, L2 ---------------------------------------
+
+EV_HOURS = {"src0": 0, "src1": 24 * 29}
+EV_DEFAULT_HOURS = 24 * 28
+
+
+def _hours_col(source):
+    out = F.lit(EV_DEFAULT_HOURS)
+    for s, h in EV_HOURS.items():
+        out = F.when(source == s, F.lit(h)).otherwise(out)
+    return out
+
+
+def _hours_sql(source):
+    cases = " ".join(f"WHEN '{s}' THEN {h}" for s, h in EV_HOURS.items())
+    return f"(CASE {source} {cases} ELSE {EV_DEFAULT_HOURS} END)"
+
+
+def ev_entries(spark, sf):
+    a = ev_articles(spark, sf)
+    newest = a.agg(F.max("event_id").alias("_max"))  # one-row frame: list pages run newest first
+    a = a.crossJoin(newest).withColumn("_rank", F.col("_max") - F.col("event_id"))
+    return a.select(
+        "event_id", F.concat(F.lit("src"), (F.col("user_id") % 5).cast("string")).alias("source"),
+        (F.col("_rank") / 20).cast("bigint").alias("page_counter"), (F.col("_rank") % 20).alias("pos"),
+        F.col("ts").alias("public_datetime"),
+        F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("/e/"), F.col("event_id").cast("string"))).alias("entry_uri"),
+        (F.col("k") > 90).alias("ignore"))
+
+
+EV_ENTRIES_SQL = f"""{EV_SQL},
+ent AS (SELECT event_id, 'src' || CAST(user_id % 5 AS VARCHAR) AS source,
+          ((SELECT max(event_id) FROM ev) - event_id) // 20 AS page_counter,
+          ((SELECT max(event_id) FROM ev) - event_id) % 20 AS pos, ts AS public_datetime,
+          CASE WHEN event_type = 'error' THEN NULL ELSE '/e/' || CAST(event_id AS VARCHAR) END AS entry_uri,
+          k > 90 AS ignore
+        FROM ev),
+ent2 AS (SELECT *, (entry_uri IS NULL OR ignore) AS skip,
+           TIMESTAMP '{RUN_TS}' - to_hours(CASE WHEN {_hours_sql('source')} = 0 THEN 1 ELSE {_hours_sql('source')} END) AS endtime
+         FROM ent)"""
+
+
+@query("c1_reject_no_link", sql=f"""
+WITH {EV_ENTRIES_SQL}
+SELECT source, count(*) FILTER (WHERE entry_uri IS NULL) AS n_rejected,
+       count(*) FILTER (WHERE entry_uri IS NOT NULL) AS n_passed FROM ent GROUP BY source""")
+def c1_reject_no_link(spark, sf):
+    e = ev_entries(spark, sf)
+    return e.groupBy("source").agg(F.count(F.when(F.col("entry_uri").isNull(), 1)).alias("n_rejected"),
+                                   F.count(F.when(F.col("entry_uri").isNotNull(), 1)).alias("n_passed"))
+
+
+@query("c2_skip_ignored", sql=f"""
+WITH {EV_ENTRIES_SQL}
+SELECT source, count(*) FILTER (WHERE entry_uri IS NOT NULL AND ignore) AS n_ignored FROM ent GROUP BY source""")
+def c2_skip_ignored(spark, sf):
+    e = ev_entries(spark, sf)
+    return e.groupBy("source").agg(F.count(F.when(F.col("entry_uri").isNotNull() & F.col("ignore"), 1)).alias("n_ignored"))
+
+
+@query("c3_end_time", sql=f"""
+WITH {EV_ENTRIES_SQL}
+SELECT DISTINCT source, strftime(endtime, '%Y-%m-%d %H:%M:%S') AS endtime FROM ent2""")
+def c3_end_time(spark, sf):
+    e = ev_entries(spark, sf).select("source").distinct()
+    return e.select("source", F.date_format(D.end_time(RUN_TS, _hours_col(F.col("source"))),
+                                            "yyyy-MM-dd HH:mm:ss").alias("endtime"))
+
+
+@query("c4_end_time_epoch", sql=f"""
+WITH {EV_ENTRIES_SQL}
+SELECT DISTINCT source, CAST(epoch(endtime) AS BIGINT) AS endtime_epoch FROM ent2""")
+def c4_end_time_epoch(spark, sf):
+    e = ev_entries(spark, sf).select("source").distinct()
+    return e.select("source", D.end_time_epoch(RUN_TS, _hours_col(F.col("source"))).alias("endtime_epoch"))
+
+
+@query("c5_lookback_predicate", sql=f"""
+WITH {EV_ENTRIES_SQL}
+SELECT event_id, public_datetime < endtime AS is_old FROM ent2 WHERE NOT skip""")
+def c5_lookback_predicate(spark, sf):
+    e = ev_entries(spark, sf)
+    skip = F.col("entry_uri").isNull() | F.col("ignore")
+    return e.where(~skip).select(
+        "event_id", (F.col("public_datetime") < D.end_time(RUN_TS, _hours_col(F.col("source")))).alias("is_old"))
+
+
+@query("w1_take_while", sql=f"""
+WITH {EV_ENTRIES_SQL},
+stops AS (SELECT source, min(page_counter * 1000 + pos) AS stop FROM ent2
+          WHERE NOT skip AND public_datetime < endtime GROUP BY source)
+SELECT e.event_id, e.source, e.page_counter, e.pos FROM ent2 e LEFT JOIN stops s USING (source)
+WHERE NOT e.skip AND e.page_counter <= 100 AND (s.stop IS NULL OR e.page_counter * 1000 + e.pos < s.stop)""")
+def w1_take_while(spark, sf):
+    e = ev_entries(spark, sf)
+    kept = take_while(e, _hours_col(F.col("source")), RUN_TS, max_page=100,
+                      skip=F.col("entry_uri").isNull() | F.col("ignore"))
+    return kept.select("event_id", "source", "page_counter", "pos")
+
+
+# -- audio links and media from events: C7, A1, A5, J4, A2, C12-C14, A6 -------------
+
+def ev_links(spark, sf):
+    a = ev_articles(spark, sf)
+    rate = (F.col("k") * 20).cast("string")
+    text = (F.when(F.col("event_type").isin("click", "view"), F.concat(rate, F.lit(" kbps")))
+            .when(F.col("event_type") == "purchase", F.concat(rate, F.lit(" KBPS")))
+            .when(F.col("event_type") == "signup", F.lit("MP3 file")).otherwise(F.lit("n/a")))
+    return a.select(F.col("user_id").alias("page_id"), F.col("event_id").alias("pos"), text.alias("text"),
+                    F.concat(F.lit("https://a.example.org/"), F.col("event_id").cast("string"), F.lit(".mp3")).alias("href"))
+
+
+@query("a1_lowest_bitrate", sql=f"""
+WITH {EV_SQL},
+l AS (SELECT user_id, event_id AS pos, 'https://a.example.org/' || CAST(event_id AS VARCHAR) || '.mp3' AS href,
+        CASE WHEN event_type IN ('click', 'view') THEN CAST(k * 20 AS VARCHAR) || ' kbps'
+             WHEN event_type = 'purchase' THEN CAST(k * 20 AS VARCHAR) || ' KBPS'
+             WHEN event_type = 'signup' THEN 'MP3 file' ELSE 'n/a' END AS text FROM ev),
+r AS (SELECT *, TRY_CAST(NULLIF(regexp_extract(text, '(?i)(\\d+) kbps', 1), '') AS INTEGER) AS rate FROM l)
+SELECT user_id AS page_id, arg_min(href, CAST(CASE WHEN rate < 1024 THEN rate ELSE 1024 END AS BIGINT) * 1000000000 + pos) AS audio_addr,
+       count(*) AS n_links
+FROM r GROUP BY user_id""")
+def a1_lowest_bitrate(spark, sf):
+    return lowest_rate_link(ev_links(spark, sf))
+
+
+@query("c7_audio_type", sql=f"""
+WITH {EV_SQL}
+SELECT event_id, CASE WHEN coalesce(CASE WHEN event_type IN ('view', 'click') THEN 'https://a.example.org/' || CAST(event_id AS VARCHAR) || '.mp3'
+                                          WHEN event_type = 'signup' THEN '' END, '') <> '' THEN 'w_audio' ELSE 'wo_audio' END AS type
+FROM ev""")
+def c7_audio_type(spark, sf):
+    a = ev_articles(spark, sf)
+    addr = (F.when(F.col("event_type").isin("view", "click"),
+                   F.concat(F.lit("https://a.example.org/"), F.col("event_id").cast("string"), F.lit(".mp3")))
+            .when(F.col("event_type") == "signup", F.lit("")))
+    return a.select("event_id", audio_type(addr).alias("type"))
+
+
+def ev_media(spark, sf):
+    """Articles (one per user) with images, thumb and audio; fetch results from purchases."""
+    a = ev_articles(spark, sf)
+    url = F.concat(F.lit("https://cdn.example.org/"), (F.col("event_id") % 700).cast("string"), F.lit(".jpg"))
+    imgs = a.where(F.col("event_type").isin("click", "view")).groupBy("user_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("event_id", url.alias("u")))),
+                    lambda x: F.struct(F.concat(F.lit("content_image_"), x["event_id"].cast("string")).alias("id"),
+                                       F.concat(F.lit("content_image_"), x["event_id"].cast("string"), F.lit(".jpg")).alias("url"),
+                                       x["u"].alias("ori_url"), F.lit("").alias("alt"))).alias("imgs"))
+    users = a.groupBy("user_id").agg(F.min("event_id").alias("first_event"))
+    arts = users.join(imgs, "user_id", "left").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("uuid"), "user_id", "imgs",
+        F.concat(F.lit("https://cdn.example.org/"), (F.col("first_event") % 700).cast("string"), F.lit(".jpg")).alias("thumb_pic"),
+        F.when(F.col("user_id") % 4 != 0, F.concat(F.lit("https://cdn.example.org/a/"), F.col("user_id").cast("string"), F.lit(".MP3"))).alias("audio_addr"))
+    results = a.where(F.col("event_type") == "purchase").select(
+        url.alias("url"), (F.col("k") % 10 != 0).alias("ok"), F.concat(F.lit("full/"), F.md5(url)).alias("path"))
+    return arts, results
+
+
+EV_MEDIA_SQL = f"""{EV_SQL},
+img AS (SELECT user_id, event_id, 'https://cdn.example.org/' || CAST(event_id % 700 AS VARCHAR) || '.jpg' AS url
+        FROM ev WHERE event_type IN ('click', 'view')),
+users AS (SELECT user_id, min(event_id) AS first_event FROM ev GROUP BY user_id),
+man_all AS (
+  SELECT 'u' || CAST(user_id AS VARCHAR) AS uuid, url, 'content_image' AS file_type,
+         'content_image_' || CAST(event_id AS VARCHAR) || '.jpg' AS local_name, 0 AS rank, event_id AS pos FROM img
+  UNION ALL
+  SELECT 'u' || CAST(user_id AS VARCHAR), 'https://cdn.example.org/' || CAST(first_event % 700 AS VARCHAR) || '.jpg',
+         'thumb_image', 'thumb_image.jpg', 1, 0 FROM users
+  UNION ALL
+  SELECT 'u' || CAST(user_id AS VARCHAR), 'https://cdn.example.org/a/' || CAST(user_id AS VARCHAR) || '.MP3',
+         'audio', 'audio.mp3', 2, 0 FROM users WHERE user_id % 4 <> 0),
+man AS (SELECT uuid, url, arg_max(file_type, rank * 1000000000 + pos) AS file_type,
+               arg_max(local_name, rank * 1000000000 + pos) AS local_name FROM man_all GROUP BY uuid, url),
+res AS (SELECT url, bool_or(ok) AS ok FROM (
+          SELECT 'https://cdn.example.org/' || CAST(event_id % 700 AS VARCHAR) || '.jpg' AS url, k % 10 <> 0 AS ok
+          FROM ev WHERE event_type = 'purchase') GROUP BY url),
+att AS (SELECT man.*, res.ok FROM man LEFT JOIN res USING (url)),
+per AS (SELECT uuid, bool_and(coalesce(ok, false)) AS media_ok, count(*) AS n_files FROM att GROUP BY uuid)"""
+
+
+@query("a5_manifest", sql=f"WITH {EV_MEDIA_SQL}\nSELECT uuid, url, file_type, local_name FROM man")
+def a5_manifest(spark, sf):
+    arts, _ = ev_media(spark, sf)
+    return M.manifest(arts)
+
+
+@query("j4_manifest_results", sql=f"WITH {EV_MEDIA_SQL}\nSELECT uuid, url, ok FROM att")
+def j4_manifest_results(spark, sf):
+    arts, results = ev_media(spark, sf)
+    return M.attach_results(M.manifest(arts), results).select("uuid", "url", "ok")
+
+
+@query("a2_media_ok", sql=f"WITH {EV_MEDIA_SQL}\nSELECT uuid, media_ok, n_files FROM per")
+def a2_media_ok(spark, sf):
+    arts, results = ev_media(spark, sf)
+    return M.media_ok(M.attach_results(M.manifest(arts), results))
+
+
+def ev_status(spark, sf):
+    arts, results = ev_media(spark, sf)
+    per = M.media_ok(M.attach_results(M.manifest(arts), results))
+    a = arts.withColumn("others", F.struct(F.array().cast("array<string>").alias("tags"),
+                                           F.lit(None).cast("string").alias("ref_uuid")))
+    return M.with_status(a, per, export_ok=(F.col("user_id") % 11 != 0))
+
+
+EV_STATUS_SQL = f"""{EV_MEDIA_SQL},
+st AS (SELECT 'u' || CAST(u.user_id AS VARCHAR) AS uuid, u.user_id,
+         CASE WHEN NOT coalesce(p.media_ok, true) THEN 'downloaded_error' WHEN u.user_id % 11 = 0 THEN 'packed_failed' ELSE 'done' END AS status,
+         CASE WHEN NOT coalesce(p.media_ok, true) THEN 'related files download error' WHEN u.user_id % 11 = 0 THEN 'pack error' ELSE 'ok' END AS status_msg
+       FROM users u LEFT JOIN per p ON p.uuid = 'u' || CAST(u.user_id AS VARCHAR))"""
+
+
+@query("c12_status", sql=f"WITH {EV_STATUS_SQL}\nSELECT uuid, status, status_msg FROM st")
+def c12_status(spark, sf):
+    return ev_status(spark, sf).select("uuid", "status", "status_msg")
+
+
+@query("c13_route", sql=f"""WITH {EV_STATUS_SQL}
+SELECT CASE WHEN status = 'done' THEN 'articles' ELSE 'failed_articles' END AS route, count(*) AS n FROM st GROUP BY 1""")
+def c13_route(spark, sf):
+    done, failed = M.route(ev_status(spark, sf))
+    return (done.agg(F.count("*").alias("n")).select(F.lit("articles").alias("route"), "n")
+            .unionByName(failed.agg(F.count("*").alias("n")).select(F.lit("failed_articles").alias("route"), "n"))
+            .where(F.col("n") > 0))
+
+
+@query("c14_ref_uuid", sql=f"WITH {EV_STATUS_SQL}\nSELECT uuid, uuid AS ref_uuid FROM st WHERE status <> 'done'")
+def c14_ref_uuid(spark, sf):
+    _, failed = M.route(ev_status(spark, sf))
+    return failed.select("uuid", F.col("others.ref_uuid").alias("ref_uuid"))
+
+
+@query("a6_run_report", sql=f"""
+WITH {EV_SQL}
+SELECT CAST(strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') AS BIGINT) AS batch_id, spider,
+       CASE event_type WHEN 'error' THEN 'downloaded_error' WHEN 'purchase' THEN 'done' ELSE 'packed_failed' END AS status,
+       count(*) AS n_items
+FROM ev GROUP BY 1, 2, 3""")
+def a6_run_report(spark, sf):
+    a = ev_articles(spark, sf).select(
+        D.batch_id(F.date_trunc("day", F.col("ts"))).alias("batch_id"), "spider",
+        F.when(F.col("event_type") == "error", "downloaded_error").when(F.col("event_type") == "purchase", "done")
+        .otherwise("packed_failed").alias("status"))
+    return M.run_report(a)
+
+
+@query("w7_running_counter", sql=f"""
+WITH {EV_SQL}
+SELECT event_id, spider, CAST(strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') AS BIGINT) AS batch_id,
+       row_number() OVER (PARTITION BY spider, date_trunc('day', ts) ORDER BY ts, event_id) AS n
+FROM ev""")
+def w7_running_counter(spark, sf):
+    from ..operators.windows import running_number
+    a = ev_articles(spark, sf).withColumn("batch_id", D.batch_id(F.date_trunc("day", F.col("ts"))))
+    a = a.withColumn("arrival", F.unix_micros(F.col("ts").cast("timestamp")))
+    return running_number(a, ["spider", "batch_id"], "arrival", ["ts", "event_id"], "n").select(
+        "event_id", "spider", "batch_id", "n")
+
+
+# -- F5-F7, F14, F16, C10 over events --------------------------------------------------
+
+@query("f5_record_id", sql=f"""
+SELECT page_id, {Q.uuid_from("'pages'", 'url')} AS uuid FROM pages""")
+def f5_record_id(spark, sf):
+    return raw_pages(spark, sf).select("page_id", I.uuid_from(F.lit("pages"), F.col("url")).alias("uuid"))
+
+
+@query("f6_data_uri", sql=f"""
+SELECT event_id, substr(strftime(ts, '%Y%m%d%H%M%S'), 1, 6) || '/' || {Q.uuid_from('event_id')} AS data_uri FROM events""")
+def f6_data_uri(spark, sf):
+    e = events(spark, sf)
+    return e.select("event_id", I.data_uri(D.batch_id(F.col("ts")), I.uuid_from(F.col("event_id"))).alias("data_uri"))
+
+
+@query("f7_picture_dir", sql="""
+SELECT event_id, 'imgs/' || strftime(ts, '%Y%m%d') || '/' || event_type || '/' || strftime(ts, '%H%M%S') AS pic_dir FROM events""")
+def f7_picture_dir(spark, sf):
+    e = events(spark, sf)
+    return e.select("event_id", I.picture_dir("imgs/", F.col("event_type"), F.col("ts")).alias("pic_dir"))
+
+
+@query("f16_regex_int", sql="""
+SELECT event_id, TRY_CAST(NULLIF(regexp_extract(props, '"k": (\\d+)', 1), '') AS INTEGER) AS k FROM events""")
+def f16_regex_int(spark, sf):
+    return events(spark, sf).select("event_id", X.regex_int(F.col("props"), r'"k": (\d+)').alias("k"))
+
+
+@query("c10_non_null_keys", sql=f"""
+WITH {EV_SQL}
+SELECT event_id, concat_ws(',', 'event_id',
+    CASE WHEN spider IS NOT NULL THEN 'spider' END,
+    CASE WHEN event_type <> 'error' THEN 'source_addr' END,
+    CASE WHEN k > 50 THEN 'category' END) AS keys
+FROM ev""")
+def c10_non_null_keys(spark, sf):
+    a = ev_articles(spark, sf).select(
+        "event_id", "spider", F.when(F.col("event_type") != "error", F.col("source_addr")).alias("source_addr"),
+        F.when(F.col("k") > 50, F.col("title")).alias("category"))
+    names = ["event_id", "spider", "source_addr", "category"]
+    present = F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in names])
+    return a.select("event_id", F.array_join(present, ",").alias("keys"))
+
+
+# =============================================================================
+# orders / customer: snapshot + changes
+# =============================================================================
+
+_ORD_SPLIT_OLD = "1996-01-01"
+_ORD_SPLIT_NEW = "1995-07-01"
+
+
+def _orders_old_new(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    d = F.col("o_orderdate").cast("timestamp_ntz")
+    old = o.where(d < F.lit(_ORD_SPLIT_OLD).cast("timestamp_ntz")).select(
+        F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("title"),
+        F.lit("new").alias("status"), F.lit("new").alias("status_msg"),
+        d.alias("created_at"), d.alias("updated_at"))
+    new = o.where(d >= F.lit(_ORD_SPLIT_NEW).cast("timestamp_ntz")).join(
+        c, o["o_custkey"] == c["c_custkey"]).select(
+        F.col("o_orderkey").alias("key"),
+        F.concat(F.col("o_orderpriority"), F.lit("/"), F.col("c_mktsegment")).alias("title"),
+        F.col("o_orderstatus").alias("ostatus"))
+    return old, new
+
+
+_ORD_SQL = f"""old AS (SELECT o_orderkey AS key, o_orderpriority AS title, 'new' AS status, 'new' AS status_msg,
+                CAST(o_orderdate AS TIMESTAMP) AS created_at, CAST(o_orderdate AS TIMESTAMP) AS updated_at
+              FROM orders WHERE o_orderdate < DATE '{_ORD_SPLIT_OLD}'),
+new AS (SELECT o_orderkey AS key, o_orderpriority || '/' || c_mktsegment AS title, o_orderstatus AS ostatus
+        FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= DATE '{_ORD_SPLIT_NEW}')"""
+
+
+@query("s6_articles_upsert", sql=f"""
+WITH {_ORD_SQL}
+SELECT coalesce(o.key, n.key) AS key,
+       CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title END AS title,
+       CASE WHEN o.key IS NOT NULL THEN o.status ELSE 'done' END AS status,
+       strftime(CASE WHEN o.key IS NOT NULL THEN o.created_at ELSE TIMESTAMP '{RUN_TS}' END, '%Y-%m-%d %H:%M:%S') AS created_at,
+       strftime(CASE WHEN n.key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE o.updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM old o FULL OUTER JOIN new n ON o.key = n.key""")
+def s6_articles_upsert(spark, sf):
+    old, new = _orders_old_new(spark, sf)
+    batch = new.select("key", "title", F.lit("done").alias("status"), F.lit("ok").alias("status_msg"))
+    snap = S.upsert(old, batch, "key", RUN_TS, order=F.col("key"))
+    return snap.select("key", "title", "status", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+                       F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+
+
+@query("s7_failed_upsert", sql=f"""
+WITH {_ORD_SQL},
+b AS (SELECT key, title, 'downloaded_error' AS status, 'first' AS status_msg, 0 AS seq FROM new
+      UNION ALL
+      SELECT key, title, CASE ostatus WHEN 'F' THEN 'packed_failed' WHEN 'O' THEN 'downloaded_error' ELSE 'new' END,
+             'second', 1 FROM new),
+bf AS (SELECT key, arg_min(title, seq) AS title, arg_max(status, seq) AS status, arg_max(status_msg, seq) AS status_msg
+       FROM b GROUP BY key)
+SELECT coalesce(o.key, n.key) AS key,
+       CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title END AS title,
+       CASE WHEN n.key IS NOT NULL THEN n.status ELSE o.status END AS status,
+       CASE WHEN n.key IS NOT NULL THEN n.status_msg ELSE o.status_msg END AS status_msg,
+       strftime(CASE WHEN n.key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE o.updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM old o FULL OUTER JOIN bf n ON o.key = n.key""")
+def s7_failed_upsert(spark, sf):
+    old, new = _orders_old_new(spark, sf)
+    first = new.select("key", "title", F.lit("downloaded_error").alias("status"), F.lit("first").alias("status_msg"),
+                       F.lit(0).alias("seq"))
+    second = new.select("key", "title", F.when(F.col("ostatus") == "F", "packed_failed")
+                        .when(F.col("ostatus") == "O", "downloaded_error").otherwise("new").alias("status"),
+                        F.lit("second").alias("status_msg"), F.lit(1).alias("seq"))
+    batch = first.unionByName(second)
+    snap = S.upsert(old, batch, "key", RUN_TS, order=F.col("seq"), update_cols=("status", "status_msg"))
+    return snap.select("key", "title", "status", "status_msg",
+                       F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
