@@ -25,19 +25,18 @@ def simhash(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     norm = df.select(key, F.regexp_replace(F.lower(F.col(text)), NON_WORD_RE, "").alias("c"))
     n = F.length("c")
     sh = norm.select(key, F.explode(F.sequence(F.lit(1), F.greatest(n - WIDTH + 1, F.lit(1)))).alias("i"), "c") \
-        .select(key, F.substring("c", F.col("i"), WIDTH).alias("f"))
+        .select(key, F.substr(F.col("c"), F.col("i"), F.lit(WIDTH)).alias("f"))
     feats = sh.groupBy(key, "f").agg(F.count("*").alias("w"))
     h = F.md5(F.col("f"))
-    feats = feats.select(key, "w", F.conv(F.substring(h, 17, 8), 16, 10).cast("bigint").alias("hi"),
-                         F.conv(F.substring(h, 25, 8), 16, 10).cast("bigint").alias("lo"))
+    feats = feats.select(key, "w", F.conv(F.substr(h, F.lit(17), F.lit(8)), 16, 10).cast("bigint").alias("hi"),
+                         F.conv(F.substr(h, F.lit(25), F.lit(8)), 16, 10).cast("bigint").alias("lo"))
     bits = feats.select(key, "w", "hi", "lo", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("b"))
-    word = F.when(F.col("b") < 32, F.col("lo")).otherwise(F.col("hi"))
-    set_ = F.shiftright(word, F.col("b") % 32).bitwiseAND(F.lit(1)) == 1
+    set_ = F.expr("shiftright(CASE WHEN b < 32 THEN lo ELSE hi END, b % 32) & 1 = 1")
     votes = bits.groupBy(key, "b").agg(F.sum(F.when(set_, F.col("w")).otherwise(-F.col("w"))).alias("v"))
     on = votes.where(F.col("v") > 0)
     fp = on.groupBy(key).agg(
-        F.sum(F.when(F.col("b") >= 32, F.shiftleft(F.lit(1).cast("bigint"), F.col("b") - 32)).otherwise(0)).alias("hi"),
-        F.sum(F.when(F.col("b") < 32, F.shiftleft(F.lit(1).cast("bigint"), F.col("b"))).otherwise(0)).alias("lo"))
+        F.expr("sum(CASE WHEN b >= 32 THEN shiftleft(CAST(1 AS BIGINT), b - 32) ELSE CAST(0 AS BIGINT) END)").alias("hi"),
+        F.expr("sum(CASE WHEN b < 32 THEN shiftleft(CAST(1 AS BIGINT), b) ELSE CAST(0 AS BIGINT) END)").alias("lo"))
     keys = df.select(key).distinct()
     out = keys.join(fp, key, "left").select(
         key, F.coalesce("hi", F.lit(0).cast("bigint")).alias("hi"), F.coalesce("lo", F.lit(0).cast("bigint")).alias("lo"))

@@ -727,3 +727,546 @@ def s7_failed_upsert(spark, sf):
     snap = S.upsert(old, batch, "key", RUN_TS, order=F.col("seq"), update_cols=("status", "status_msg"))
     return snap.select("key", "title", "status", "status_msg",
                        F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+
+
+# =============================================================================
+# Pages: S1, S2, P2, P6-P11, P13-P15, P19, A7, W3, J1, J7, L1-L3, C6, C8, C9, F8-F15
+# =============================================================================
+
+import dataclasses as _dc  # noqa: E402
+
+from ..operators.detail import page_fields as _page_fields  # noqa: E402
+from ..operators.listing import page_types, join_details  # noqa: E402
+from ..sources.tables import detail_pages, list_pages  # noqa: E402
+
+_HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
+_PAGE_COUNTER_SQL = "coalesce(TRY_CAST(NULLIF(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 0)"
+
+
+@query("s1_list_pages", sql=f"SELECT page_id, url, {_PAGE_COUNTER_SQL} AS page_counter FROM pages")
+def s1_list_pages(spark, sf):
+    return list_pages(raw_pages(spark, sf), DRIVER_PAGES).select("page_id", "url", "page_counter")
+
+
+@query("s2_detail_pages", sql="""
+SELECT page_id, url, html LIKE '%<article>%' AS has_body FROM pages""")
+def s2_detail_pages(spark, sf):
+    p = detail_pages(raw_pages(spark, sf))
+    roots = body_roots(page_nodes(spark, sf), DRIVER_PAGES).select("page_id", F.lit(True).alias("has_body"))
+    return p.join(roots, "page_id", "left").select("page_id", "url", F.coalesce("has_body", F.lit(False)).alias("has_body"))
+
+
+_TYPED = _dc.replace(DRIVER_PAGES, list_common_marker=sel(desc("article"), child("p"), child("b")))
+
+
+@query("p2_list_page_type", sql="""
+SELECT page_id, CASE WHEN html LIKE '%<p><b>%' THEN 'common' WHEN html LIKE '%<li>%' THEN 'async' ELSE 'error' END AS list_type
+FROM pages""")
+def p2_list_page_type(spark, sf):
+    return page_types(page_nodes(spark, sf), _TYPED)
+
+
+_CAT = _dc.replace(DRIVER_PAGES, category=sel(desc("nav"), desc("li"), child("a")), base_tags=("site",))
+_FIRST_LINK_SQL = Q.pstrip(Q.unescape("regexp_extract(html, '<li><a href=\"[^\"]*\">([^<]*)</a>', 1)"))
+
+
+@query("p8_category_tags", sql=f"""
+SELECT page_id, category, 'site' || CASE WHEN category <> '' THEN '|' || category ELSE '' END AS tags
+FROM (SELECT page_id, {_FIRST_LINK_SQL} AS category FROM pages)""")
+def p8_category_tags(spark, sf):
+    f = _page_fields(page_nodes(spark, sf), _CAT, RUN_TS)
+    return f.select("page_id", "category", F.array_join("tags", "|").alias("tags"))
+
+
+_PUB = _dc.replace(DRIVER_PAGES, pub_time=sel(desc("time")), cover_img=sel(desc("figure"), desc("img")))
+
+
+@query("p6_pub_time", sql=f"SELECT page_id, '{RUN_TS}' AS public_datetime_str, 'run_ts' AS pub_source FROM pages")
+def p6_pub_time(spark, sf):
+    f = _page_fields(page_nodes(spark, sf), _PUB, RUN_TS)
+    return f.select("page_id", "public_datetime_str", "pub_source")
+
+
+@query("p7_cover_image", sql="""
+SELECT page_id, '' AS content_pic, 'content_pic.' AS info_url, '' AS info_alt FROM pages""")
+def p7_cover_image(spark, sf):
+    f = _page_fields(page_nodes(spark, sf), _PUB, RUN_TS)
+    return f.select("page_id", "content_pic", F.col("content_pic_info.url").alias("info_url"),
+                    F.col("content_pic_info.alt").alias("info_alt"))
+
+
+@query("p10_body_root", sql="SELECT page_id, 'article' AS root_tag FROM pages WHERE html LIKE '%<article>%'")
+def p10_body_root(spark, sf):
+    return body_roots(page_nodes(spark, sf), DRIVER_PAGES).select("page_id", "root_tag")
+
+
+_SCOPED = _dc.replace(DRIVER_PAGES, header_scope=sel(desc("footer")))
+_UNSCOPED = _dc.replace(DRIVER_PAGES, header_scope=sel(desc("aside")))
+
+
+@query("p11_scope_guard", sql=f"""
+SELECT page_id, {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS title_scoped,
+       '' AS title_unscoped FROM pages""")
+def p11_scope_guard(spark, sf):
+    n = page_nodes(spark, sf)
+    a = _page_fields(n, _SCOPED, RUN_TS).select("page_id", F.col("title").alias("title_scoped"))
+    b = _page_fields(n, _UNSCOPED, RUN_TS).select("page_id", F.col("title").alias("title_unscoped"))
+    return a.join(b, "page_id")
+
+
+_BODY = _dc.replace(DRIVER_PAGES, body_root=sel(desc("body")))
+_BODY_CHILDREN_SQL = """bc AS (
+  SELECT page_id, unnest(t) AS tag0, unnest(range(1, len(t) + 1)) AS ord FROM (
+    SELECT page_id, regexp_extract_all(substr(html, strpos(html, '<body>')), '<(nav|div|article|footer)[ >]|<!--', 1) AS t
+    FROM pages))"""
+
+
+@query("p13_loose_text", sql="SELECT page_id, 0 AS n_loose FROM pages")
+def p13_loose_text(spark, sf):
+    c = clean_blocks(blocks_from_nodes(page_nodes(spark, sf), DRIVER_PAGES), DRIVER_PAGES)
+    return c.groupBy("page_id").agg(F.sum((F.col("action") == "loose_text").cast("int")).alias("n_loose"))
+
+
+@query("p14_div_class", sql=f"""
+WITH {_BODY_CHILDREN_SQL}
+SELECT page_id, ord, NULLIF(tag0, '') AS tag, CASE WHEN tag0 = 'div' THEN 'unknown' END AS div_class FROM bc""")
+def p14_div_class(spark, sf):
+    b = blocks_from_nodes(page_nodes(spark, sf, scopes=(HtmlScope("body"),)), _BODY)
+    w = Window.partitionBy("page_id").orderBy("pos")
+    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), "tag", "div_class")
+
+
+@query("p15_dispatch", sql=f"""
+WITH {_BODY_CHILDREN_SQL}
+SELECT page_id, ord, NULLIF(tag0, '') AS tag, CASE WHEN tag0 = 'div' THEN 'drop_div' ELSE 'keep' END AS action FROM bc""")
+def p15_dispatch(spark, sf):
+    b = classify_pass1(blocks_from_nodes(page_nodes(spark, sf, scopes=(HtmlScope("body"),)), _BODY), _BODY)
+    w = Window.partitionBy("page_id").orderBy("pos")
+    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), "tag", "action")
+
+
+@query("p19_image_rewrite", sql=f"""
+SELECT page_id, pos, 'content_image_' || CAST(pos AS VARCHAR) AS id,
+       'content_image_' || CAST(pos AS VARCHAR) || '.' || itype AS url,
+       printf('{I.IMAGE_TEMPLATE.replace("{p}", "pm").replace(chr(10), "' || chr(10) || '")}',
+              'content_image_div_' || CAST(pos AS VARCHAR), 'content_image_' || CAST(pos AS VARCHAR), '',
+              'content_image_' || CAST(pos AS VARCHAR) || '.' || itype, ori, '') AS html
+FROM (SELECT page_id, pos, ori, CASE WHEN lower(regexp_extract(ori, '([^./]*)$', 1)) IN ('png','jpg','jpeg','bmp','webp')
+                                     THEN lower(regexp_extract(ori, '([^./]*)$', 1)) ELSE 'unknown' END AS itype
+      FROM (SELECT page_id, unnest(h) AS ori, unnest(range(1, len(h) + 1)) AS pos
+            FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages)))""")
+def p19_image_rewrite(spark, sf):
+    e = list_entries(page_nodes(spark, sf), DRIVER_PAGES)
+    ori = X.pstrip(F.col("entry_uri"))
+    img_id = F.concat(F.lit("content_image_"), F.col("pos").cast("string"))
+    url = F.concat(img_id, F.lit("."), U.image_type(ori))
+    html = I.image_html(F.concat(F.lit("content_image_div_"), F.col("pos").cast("string")), img_id, url,
+                        F.lit(""), F.lit(""), ori)
+    return e.select("page_id", F.col("pos").cast("bigint").alias("pos"), img_id.alias("id"), url.alias("url"), html.alias("html"))
+
+
+@query("a7_em_text", sql=f"""
+WITH {Q.article_blocks_cte()}
+SELECT page_id, ord, seg LIKE '%<b>%' AS has_em,
+       CASE WHEN seg LIKE '%<b>%' THEN {Q.unescape(Q.strip_tags("regexp_extract(seg, '(?s)<b>(.*)$', 1)"))} ELSE '' END AS em_text
+FROM ablocks""")
+def a7_em_text(spark, sf):
+    b = blocks_from_nodes(page_nodes(spark, sf), DRIVER_PAGES, em_tag="b")
+    w = Window.partitionBy("page_id").orderBy("pos")
+    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), "has_em", "em_text")
+
+
+@query("w3_image_counter", sql=f"""
+WITH {Q.article_blocks_cte()}
+SELECT page_id, ord, CASE WHEN seg LIKE '%<b>%' THEN
+         count(*) FILTER (WHERE seg LIKE '%<b>%') OVER (PARTITION BY page_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       END AS img_no
+FROM ablocks""")
+def w3_image_counter(spark, sf):
+    b = blocks_from_nodes(page_nodes(spark, sf), DRIVER_PAGES, em_tag="b")
+    w = Window.partitionBy("page_id").orderBy("pos")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"),
+                    F.when(F.col("has_em"), F.sum(F.col("has_em").cast("int")).over(run)).cast("bigint").alias("img_no"))
+
+
+@query("l3_block_order", sql=f"""
+WITH {Q.article_blocks_cte()}
+SELECT page_id, string_agg(regexp_extract(seg, '^<([a-z0-9]+)', 1), ',' ORDER BY ord) AS tags FROM ablocks GROUP BY page_id""")
+def l3_block_order(spark, sf):
+    b = blocks_from_nodes(page_nodes(spark, sf), DRIVER_PAGES)
+    return b.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "tag"))),
+                                                             lambda x: x["tag"]), ",").alias("tags"))
+
+
+@query("l1_first_footer_text", sql=f"""
+SELECT page_id, coalesce({Q.unescape("regexp_extract(html, '<footer>([^<]*)', 1)")}, '') AS footer_text FROM pages""")
+def l1_first_footer_text(spark, sf):
+    from ..operators.select import first_value
+    n = page_nodes(spark, sf)
+    t = select_text(n, sel(desc("footer")))
+    f = first_value(t, ["page_id"], F.col("text"), "footer_text", default="")
+    return raw_pages(spark, sf).select("page_id").join(f, "page_id", "left").select(
+        "page_id", F.coalesce("footer_text", F.lit("")).alias("footer_text"))
+
+
+@query("j7_axes", sql="""
+SELECT page_id, len(regexp_extract_all(html, '<a ')) AS n_desc_a, len(regexp_extract_all(html, '<li>')) AS n_child_li FROM pages""")
+def j7_axes(spark, sf):
+    n = page_nodes(spark, sf)
+    from ..operators.listing import _elem
+    return n.groupBy("page_id").agg(
+        F.count(F.when(_elem(sel(desc("nav"), desc("a"))), 1)).alias("n_desc_a"),
+        F.count(F.when(_elem(sel(desc("ul"), child("li"))), 1)).alias("n_child_li"))
+
+
+@query("j1_entry_detail", sql=f"""
+SELECT page_id, page_id // 25 AS page_counter, page_id % 25 AS pos,
+       {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS title FROM pages""")
+def j1_entry_detail(spark, sf):
+    p = raw_pages(spark, sf)
+    ents = p.select((F.col("page_id") / 25).cast("bigint").alias("page_counter"),
+                    (F.col("page_id") % 25).alias("pos"), F.col("url").alias("entry_url"))
+    det = p.select("page_id", "url").join(_page_fields(page_nodes(spark, sf), DRIVER_PAGES, RUN_TS)
+                                          .select("page_id", "title"), "page_id")
+    return join_details(ents, det).select("page_id", "page_counter", "pos", "title")
+
+
+@query("l2_page_cap", sql=f"""
+SELECT page_id, {_HOST_SQL} AS source, {_PAGE_COUNTER_SQL} AS page_counter FROM pages
+WHERE {_PAGE_COUNTER_SQL} <= 100""")
+def l2_page_cap(spark, sf):
+    lp = list_pages(raw_pages(spark, sf), DRIVER_PAGES).withColumn("source", U.url_parts(F.col("url"))["netloc"])
+    sizes = list_entries(page_nodes(spark, sf), DRIVER_PAGES).groupBy("page_id").agg(F.count("*").alias("n_entries"))
+    ps = lp.join(sizes, "page_id", "left").withColumn("n_entries", F.coalesce("n_entries", F.lit(0)))
+    kept = take_while(ps.withColumn("pos", F.lit(0)).withColumn("public_datetime", F.lit(RUN_TS).cast("timestamp_ntz")),
+                      F.lit(24), RUN_TS, max_page=100,
+                      page_sizes=ps.select("source", "page_counter", "n_entries"))
+    return kept.select("page_id", "source", "page_counter")
+
+
+@query("c6_constants", sql=f"""
+SELECT page_id, {Q.uuid_from("'pages'", 'url')} AS uuid, 'pages' AS spider, 'new' AS status, 'new' AS status_msg,
+       CAST(20240131000000 AS BIGINT) AS batch_id, '202401/' || {Q.uuid_from("'pages'", 'url')} AS data_uri FROM pages""")
+def c6_constants(spark, sf):
+    p = raw_pages(spark, sf)
+    uid = I.uuid_from(F.lit("pages"), F.col("url"))
+    bid = D.batch_id(RUN_TS)
+    return p.select("page_id", uid.alias("uuid"), F.lit("pages").alias("spider"), F.lit("new").alias("status"),
+                    F.lit("new").alias("status_msg"), bid.alias("batch_id"), I.data_uri(bid, uid).alias("data_uri"))
+
+
+@query("c9_layout_routing", sql=f"""
+SELECT page_id, 'common' AS layout, {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS title FROM pages""")
+def c9_layout_routing(spark, sf):
+    layouts = {"common": DRIVER_PAGES}
+    n = page_nodes(spark, sf)
+    routed = raw_pages(spark, sf).select("page_id", F.lit("common").alias("layout"))  # X5 layout selector
+    parts = [routed.where(F.col("layout") == name).join(_page_fields(n, spec, RUN_TS).select("page_id", "title"), "page_id")
+             for name, spec in layouts.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("f8_content_id", sql=f"""
+SELECT page_id, '0_pages_' || md5({Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))}) AS content_id FROM pages""")
+def f8_content_id(spark, sf):
+    p = raw_pages(spark, sf).join(_page_fields(page_nodes(spark, sf), DRIVER_PAGES, RUN_TS).select("page_id", "title"), "page_id")
+    return p.select("page_id", I.content_id(F.lit("pages"), F.col("url"), F.col("title"), ("pages",), RUN_TS,
+                                            F.lit(0)).alias("content_id"))
+
+
+@query("f9_url_join", sql=f"""
+SELECT page_id, pos, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href AS entry_url
+FROM (SELECT page_id, url, unnest(h) AS href, unnest(range(1, len(h) + 1)) AS pos
+      FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages))""")
+def f9_url_join(spark, sf):
+    e = list_entries(page_nodes(spark, sf), DRIVER_PAGES).join(raw_pages(spark, sf).select("page_id", "url"), "page_id")
+    return e.select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                    U.url_join(F.col("url"), F.col("entry_uri")).alias("entry_url"))
+
+
+_PATH_SQL = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+
+
+@query("f10_file_type", sql=f"""
+SELECT page_id, ftype AS file_type, CASE WHEN lower(ftype) IN ('png','jpg','jpeg','bmp','webp') THEN lower(ftype) ELSE 'unknown' END AS image_type
+FROM (SELECT page_id, regexp_extract(regexp_extract({_PATH_SQL}, '([^/]*)$', 1), '([^.]*)$', 1) AS ftype FROM pages)""")
+def f10_file_type(spark, sf):
+    p = raw_pages(spark, sf)
+    return p.select("page_id", U.url_file_type(F.col("url")).alias("file_type"), U.image_type(F.col("url")).alias("image_type"))
+
+
+@query("f11_next_page", sql=f"""
+SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) || '?page=' || CAST({_PAGE_COUNTER_SQL} + 1 AS VARCHAR) ||
+       CASE WHEN regexp_extract(url, '#(.*)$', 1) <> '' THEN '#' || regexp_extract(url, '#(.*)$', 1) ELSE '' END AS next_url
+FROM pages""")
+def f11_next_page(spark, sf):
+    lp = list_pages(raw_pages(spark, sf), DRIVER_PAGES)
+    return lp.select("page_id", U.next_page_url(F.col("url"), F.col("page_counter") + 1, "page").alias("next_url"))
+
+
+@query("f15_basename_join", sql=f"""
+SELECT page_id, base, 'exports/' || CAST(page_id AS VARCHAR) || '/' || base AS local_path
+FROM (SELECT page_id, regexp_extract({_PATH_SQL}, '([^/]*)$', 1) AS base FROM pages)""")
+def f15_basename_join(spark, sf):
+    p = raw_pages(spark, sf)
+    base = U.url_basename(F.col("url"))
+    return p.select("page_id", base.alias("base"),
+                    U.path_join(F.lit("exports"), F.col("page_id").cast("string"), base).alias("local_path"))
+
+
+@query("f21_fetchable_urls", sql=f"""
+SELECT page_id, array_to_string(list_filter(list_transform(list_prepend(url, h), lambda x: {Q.pstrip('x')}),
+                                lambda x: starts_with(x, 'http') OR starts_with(x, 'ftp')), ' ') AS urls
+FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages)""")
+def f21_fetchable_urls(spark, sf):
+    e = list_entries(page_nodes(spark, sf), DRIVER_PAGES)
+    hrefs = e.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "entry_uri"))),
+                                                 lambda x: x["entry_uri"]).alias("h"))
+    p = raw_pages(spark, sf).join(hrefs, "page_id", "left")
+    arr = F.concat(F.array(F.col("url")), F.coalesce("h", F.array().cast("array<string>")))
+    return p.select("page_id", F.array_join(U.keep_fetchable(arr), " ").alias("urls"))
+
+
+@query("f22_numbered_paths", sql=f"""
+SELECT page_id, array_to_string(list_transform(h, lambda x, i: 'pics/' || CAST(page_id AS VARCHAR) || '_' || CAST(i - 1 AS VARCHAR) || '.jpg'), ' ') AS paths,
+       len(list_distinct(h)) AS n_distinct
+FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages)""")
+def f22_numbered_paths(spark, sf):
+    e = list_entries(page_nodes(spark, sf), DRIVER_PAGES)
+    h = e.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "entry_uri"))),
+                                             lambda x: x["entry_uri"]).alias("h"))
+    pid = F.col("page_id").cast("string")
+    return h.select("page_id", F.array_join(U.numbered_paths(F.lit("pics"), pid, F.col("h")), " ").alias("paths"),
+                    F.size(U.url_to_path_map(F.lit("pics"), pid, F.col("h"))).alias("n_distinct"))
+
+
+@query("f24_unify_br", sql=f"""
+SELECT page_id, regexp_replace(replace({Q.ARTICLE_INNER}, '<br>', '<br/><br />'), '(<br */>)+', '<br />', 'g') AS html FROM pages""")
+def f24_unify_br(spark, sf):
+    p = raw_pages(spark, sf)
+    inner = F.regexp_extract(F.col("html"), r"(?s)<article>(.*)</article>", 1)
+    return p.select("page_id", X.unify_br(F.replace(inner, F.lit("<br>"), F.lit("<br/><br />"))).alias("html"))
+
+
+# =============================================================================
+# Documents as blocks: P16-P18, P23, W2, W4, W5, A3, C8, F12, F17-F20, F23, A9
+# =============================================================================
+
+_LINES_SQL = """lines AS (
+  SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS pos, len(s) AS n_lines
+  FROM (SELECT doc_id, string_split(txt, chr(10)) AS s FROM docs))"""
+
+_RULER_DOCS_SQL = "docs AS (SELECT doc_id, text || chr(10) || repeat('_', 10 + CAST(doc_id % 3 AS INTEGER)) AS txt FROM documents)"
+
+
+@query("p16_rulers", sql=f"""
+WITH {_RULER_DOCS_SQL}, {_LINES_SQL}
+SELECT doc_id, count(*) FILTER (WHERE regexp_full_match({Q.pstrip('line')}, '_{{11,}}')) AS n_rulers FROM lines GROUP BY doc_id""")
+def p16_rulers(spark, sf):
+    d = docs(spark, sf).select("doc_id", F.concat(F.col("text"), F.lit("\n"),
+                                                  F.repeat(F.lit("_"), (F.col("doc_id") % 3 + 10).cast("int"))).alias("text"))
+    c = classify_pass1(blocks_from_lines(d), DRIVER_PAGES)
+    return c.groupBy(F.col("page_id").alias("doc_id")).agg(F.count(F.when(F.col("action") == "ruler", 1)).alias("n_rulers"))
+
+
+_LICENSE = "licensed under the apache license, version 2.0."
+_DOC_SPEC = _dc.replace(DRIVER_PAGES, footer_markers=(_LICENSE,))
+_PLAIN_DOCS_SQL = "docs AS (SELECT doc_id, text AS txt FROM documents)"
+_FOOTER_SQL = f"""mk AS (SELECT doc_id, min(pos) AS mpos FROM lines
+                WHERE lower({Q.pstrip('line')}) = '{_LICENSE}' GROUP BY doc_id)"""
+
+
+@query("p17_footer_split", sql=f"""
+WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}, {_FOOTER_SQL}
+SELECT l.doc_id, count(*) FILTER (WHERE mk.mpos IS NOT NULL AND l.pos >= mk.mpos) AS n_footer
+FROM lines l LEFT JOIN mk USING (doc_id) GROUP BY l.doc_id""")
+def p17_footer_split(spark, sf):
+    c = classify_pass1(blocks_from_lines(docs(spark, sf)), _DOC_SPEC)
+    return c.groupBy(F.col("page_id").alias("doc_id")).agg(F.count(F.when(F.col("action") == "footer", 1)).alias("n_footer"))
+
+
+@query("p23_footer_text", sql=f"""
+WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}, {_FOOTER_SQL}
+SELECT l.doc_id, coalesce({Q.clean_lines("string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE mk.mpos IS NOT NULL AND l.pos >= mk.mpos)")}, '') AS footer_text
+FROM lines l LEFT JOIN mk USING (doc_id) GROUP BY l.doc_id""")
+def p23_footer_text(spark, sf):
+    a = assemble(clean_blocks(blocks_from_lines(docs(spark, sf)), _DOC_SPEC))
+    return a.select(F.col("page_id").alias("doc_id"), "footer_text")
+
+
+_MIT = "released under the mit license."
+
+
+@query("w2_sticky_flag", sql=f"""
+WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL},
+f AS (SELECT doc_id, pos, max(CASE WHEN lower({Q.pstrip('line')}) = '{_MIT}' THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS flag FROM lines)
+SELECT doc_id, CAST(sum(flag) AS BIGINT) AS n_after_marker FROM f GROUP BY doc_id""")
+def w2_sticky_flag(spark, sf):
+    spec = _dc.replace(DRIVER_PAGES, footer_markers=(_MIT,))
+    c = classify_pass1(blocks_from_lines(docs(spark, sf)), spec)
+    return c.groupBy(F.col("page_id").alias("doc_id")).agg(F.sum(F.col("in_footer").cast("bigint")).alias("n_after_marker"))
+
+
+_SIGNOFF_DOCS_SQL = """docs AS (SELECT doc_id, text || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'I am reporting live.' ELSE 'I’m Jane Q Public Doe Junior.' END
+                   || chr(10) || '   ' || chr(10) || 'Closing words here.' AS txt FROM documents)"""
+
+
+def _signoff_docs(spark, sf):
+    d = docs(spark, sf)
+    line = F.when(F.col("doc_id") % 2 == 0, F.lit("I am reporting live.")).otherwise(F.lit("I’m Jane Q Public Doe Junior."))
+    return d.select("doc_id", F.concat(F.col("text"), F.lit("\n"), line, F.lit("\n   \nClosing words here.")).alias("text"))
+
+
+def _signoff_sql(prefixes, window=20) -> str:
+    low = f"lower({Q.pstrip('line')})"
+    starts = " OR ".join(f"starts_with({low}, '{p.replace(chr(39), chr(39) * 2)}')" for p in prefixes)
+    nw = f"len(list_filter(string_split_regex({low}, '{X.PY_WS}+'), lambda w: w <> ''))"
+    return f"""so AS (SELECT doc_id, max(pos) AS signoff FROM lines
+             WHERE pos > n_lines - {window} AND {nw} BETWEEN 2 AND 5 AND ({starts}) GROUP BY doc_id)"""
+
+
+@query("p18_trailing_credit", sql=f"""
+WITH {_SIGNOFF_DOCS_SQL}, {_LINES_SQL}, {_signoff_sql(DRIVER_PAGES.signoff_prefixes)},
+m AS (SELECT l.*, so.signoff, (so.signoff IS NOT NULL AND l.pos >= so.signoff AND {Q.pstrip('l.line')} = '') AS credit
+      FROM lines l LEFT JOIN so USING (doc_id))
+SELECT doc_id, any_value(signoff) AS signoff_pos, count(*) FILTER (WHERE credit) AS n_credit,
+       {Q.clean_lines("string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT credit)")} AS formatted_text
+FROM m GROUP BY doc_id""")
+def p18_trailing_credit(spark, sf):
+    c = clean_blocks(blocks_from_lines(_signoff_docs(spark, sf)), DRIVER_PAGES)
+    a = assemble(c)
+    s = c.groupBy("page_id").agg(F.max(F.when(F.col("action").isin("keep", "credit"), F.col("pos")).when(F.lit(False), 0)).alias("_x"),
+                                 F.count(F.when(F.col("action") == "credit", 1)).alias("n_credit"))
+    k = signoff_trim(c.where(F.col("action").isin("keep", "credit")), DRIVER_PAGES).groupBy("page_id").agg(
+        F.max("signoff").alias("signoff_pos"))
+    return a.join(s, "page_id").join(k, "page_id", "left").select(
+        F.col("page_id").alias("doc_id"), "signoff_pos", "n_credit", "formatted_text")
+
+
+_THE_SPEC = _dc.replace(DRIVER_PAGES, signoff_prefixes=("the",))
+
+
+@query("w5_last_match", sql=f"""
+WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}, {_signoff_sql(("the",))}
+SELECT d.doc_id, so.signoff AS signoff_pos FROM documents d LEFT JOIN so USING (doc_id)""")
+def w5_last_match(spark, sf):
+    b = blocks_from_lines(docs(spark, sf))
+    t = signoff_trim(b, _THE_SPEC)
+    return t.groupBy(F.col("page_id").alias("doc_id")).agg(F.max("signoff").alias("signoff_pos"))
+
+
+@query("w4_last_rows", sql=f"""
+WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}
+SELECT doc_id, count(*) FILTER (WHERE pos > n_lines - 20) AS n_last, min(pos) FILTER (WHERE pos > n_lines - 20) AS first_last_pos
+FROM lines GROUP BY doc_id""")
+def w4_last_rows(spark, sf):
+    b = blocks_from_lines(docs(spark, sf))
+    w = Window.partitionBy("page_id").orderBy(F.col("pos").desc())
+    r = b.withColumn("from_end", F.row_number().over(w)).where(F.col("from_end") <= 20)
+    return r.groupBy(F.col("page_id").alias("doc_id")).agg(F.count("*").alias("n_last"),
+                                                           F.min("pos").cast("bigint").alias("first_last_pos"))
+
+
+@query("a3_ordered_concat", sql=f"""
+WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}
+SELECT doc_id, coalesce(string_agg(line, ' | ' ORDER BY pos) FILTER (
+  WHERE len(list_filter(string_split_regex(line, '{X.PY_WS}+'), lambda w: w <> '')) > 3), '') AS long_lines
+FROM lines GROUP BY doc_id""")
+def a3_ordered_concat(spark, sf):
+    from ..operators.blocks import _ordered_concat
+    b = blocks_from_lines(docs(spark, sf))
+    return b.groupBy(F.col("page_id").alias("doc_id")).agg(
+        _ordered_concat(F.when(X.word_count(F.col("text")) > 3, F.col("text")), F.col("pos"), " | ").alias("long_lines"))
+
+
+@query("c8_quality_gate", sql=f"""
+SELECT d.doc_id FROM documents d LEFT JOIN labels l USING (doc_id)
+WHERE {Q.clean_lines('d.text')} <> '' AND coalesce(l.quality, 1) = 1""")
+def c8_quality_gate(spark, sf):
+    d = docs(spark, sf)
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    ok = X.clean_lines(F.col("text")) != ""
+    predicate = F.coalesce(F.col("quality"), F.lit(1)) == 1  # X4: quality hook (the reference's is always true)
+    return d.join(lab, "doc_id", "left").where(ok & predicate).select("doc_id")
+
+
+_FIRST_LINE = "string_split(text, chr(10))[1]"
+
+
+@query("f12_word_strip", sql=f"""
+SELECT doc_id, lower({Q.pstrip(_FIRST_LINE)}) AS low, starts_with(lower({Q.pstrip(_FIRST_LINE)}), 'the') AS starts_the,
+       array_to_string(list_transform(list_filter(string_split_regex(lower({_FIRST_LINE}), '{X.PY_WS}+'), lambda w: w <> ''),
+                                      lambda w: trim(w, '{X.PUNCTUATION.replace(chr(39), chr(39) * 2)}')), ' ') AS words
+FROM documents""")
+def f12_word_strip(spark, sf):
+    line = F.element_at(F.split(F.col("text"), "\n"), 1)
+    low = F.lower(X.pstrip(line))
+    return docs(spark, sf).select("doc_id", low.alias("low"), low.startswith("the").alias("starts_the"),
+                                  F.array_join(F.transform(X.pwords(F.lower(line)), X.strip_punct), " ").alias("words"))
+
+
+def _inject_spark(c):
+    return F.concat(F.lit("　  "), c, F.lit(" &nbsp;\tx&#x3000;\r\U0001F600 end​"))
+
+
+_INJECT_SQL = ("(chr(12288) || ' ' || chr(160) || {x} || chr(160) || '&nbsp;' || chr(9) || 'x&#x3000;' || chr(13) || "
+               "chr(128512) || ' end' || chr(8203))")
+
+
+@query("f17_clean_line", sql=f"""
+SELECT doc_id, regexp_replace({Q.pstrip(_INJECT_SQL.format(x=_FIRST_LINE))}, '{X.ILLEGAL_LINE_RE}', '', 'g') AS cleaned FROM documents""")
+def f17_clean_line(spark, sf):
+    line = F.element_at(F.split(F.col("text"), "\n"), 1)
+    return docs(spark, sf).select("doc_id", X.clean_illegal_line(_inject_spark(line)).alias("cleaned"))
+
+
+@query("f18_drop_emoji", sql=f"""
+SELECT doc_id, regexp_replace({Q.pstrip(_INJECT_SQL.format(x=_FIRST_LINE))}, '{X.NON_BMP_RE}', '', 'g') AS cleaned FROM documents""")
+def f18_drop_emoji(spark, sf):
+    line = F.element_at(F.split(F.col("text"), "\n"), 1)
+    return docs(spark, sf).select("doc_id", X.drop_non_bmp(_inject_spark(line)).alias("cleaned"))
+
+
+@query("f19_clean_line_list", sql=f"""
+SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x:
+   regexp_replace({Q.pstrip("regexp_replace(" + Q.pstrip(_INJECT_SQL.format(x='x')) + ", '" + X.ILLEGAL_LINE_RE + "', '', 'g')")}, '{X.NON_BMP_RE}', '', 'g')), chr(10)) AS cleaned
+FROM documents""")
+def f19_clean_line_list(spark, sf):
+    arr = F.transform(F.split(F.col("text"), "\n"), _inject_spark)
+    return docs(spark, sf).select("doc_id", F.array_join(X.clean_line_list(arr), "\n").alias("cleaned"))
+
+
+@query("f20_empty_strip", sql=f"""
+SELECT doc_id, regexp_replace({_INJECT_SQL.format(x=_FIRST_LINE)}, '^{X.EMPTY_STRIP_CLASS}+|{X.EMPTY_STRIP_CLASS}+$', '', 'g') AS stripped FROM documents""")
+def f20_empty_strip(spark, sf):
+    line = F.element_at(F.split(F.col("text"), "\n"), 1)
+    return docs(spark, sf).select("doc_id", X.empty_strip(_inject_spark(line)).alias("stripped"))
+
+
+@query("f23_full_to_half", sql=f"""
+SELECT doc_id, translate('ＡＢＣ１２３－ｘｙｚ ' || {_FIRST_LINE}, '{X.Q2B_FULL}', '{X.Q2B_HALF}') AS half FROM documents""")
+def f23_full_to_half(spark, sf):
+    line = F.element_at(F.split(F.col("text"), "\n"), 1)
+    return docs(spark, sf).select("doc_id", X.full_to_half(F.concat(F.lit("ＡＢＣ１２３－ｘｙｚ "), line)).alias("half"))
+
+
+@query("a9_simhash", sql="""
+WITH n AS (SELECT doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}_]+', '', 'g') AS c FROM documents),
+sh AS (SELECT doc_id, substr(c, i, 4) AS f FROM (SELECT doc_id, c, unnest(range(1, greatest(length(c) - 3, 1) + 1)) AS i FROM n)),
+fw AS (SELECT doc_id, f, count(*) AS w, CAST(('0x' || substr(md5(f), 17, 8)) AS BIGINT) AS hi,
+              CAST(('0x' || substr(md5(f), 25, 8)) AS BIGINT) AS lo FROM sh GROUP BY doc_id, f),
+bits AS (SELECT doc_id, b, sum(CASE WHEN ((CASE WHEN b < 32 THEN lo ELSE hi END) >> (b % 32)) & 1 = 1 THEN w ELSE -w END) AS v
+         FROM (SELECT *, unnest(range(0, 64)) AS b FROM fw) GROUP BY doc_id, b),
+fp AS (SELECT doc_id, CAST(sum(CASE WHEN b >= 32 AND v > 0 THEN CAST(1 AS BIGINT) << (b - 32) ELSE 0 END) AS BIGINT) AS hi,
+              CAST(sum(CASE WHEN b < 32 AND v > 0 THEN CAST(1 AS BIGINT) << b ELSE 0 END) AS BIGINT) AS lo FROM bits GROUP BY doc_id)
+SELECT d.doc_id, CAST(CASE WHEN coalesce(hi, 0) >= 2147483648 THEN CAST(coalesce(hi, 0) AS HUGEINT) * 4294967296 + coalesce(lo, 0) - CAST(18446744073709551616 AS HUGEINT)
+            ELSE CAST(coalesce(hi, 0) AS HUGEINT) * 4294967296 + coalesce(lo, 0) END AS VARCHAR) AS simhash,
+       coalesce(hi, 0) AS hi, coalesce(lo, 0) AS lo
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN fp USING (doc_id)""")
+def a9_simhash(spark, sf):
+    return simhash(docs(spark, sf))
