@@ -1270,3 +1270,67 @@ SELECT d.doc_id, CAST(CASE WHEN coalesce(hi, 0) >= 2147483648 THEN CAST(coalesce
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN fp USING (doc_id)""")
 def a9_simhash(spark, sf):
     return simhash(docs(spark, sf))
+
+
+# =============================================================================
+# Incremental mode: T1-T3 (Structured Streaming + foreachBatch)
+# =============================================================================
+
+import uuid as _uuid  # noqa: E402
+
+from ..streaming import incremental as INC  # noqa: E402
+
+
+def _run_dir(spark, name):
+    return INC.scratch_dir(spark, f"{name}-{_uuid.uuid4().hex[:12]}")
+
+
+@query("t1_stream_lookback", sql=f"""
+SELECT event_id FROM events WHERE ts >= TIMESTAMP '{RUN_TS}' - INTERVAL 240 HOUR""")
+def t1_stream_lookback(spark, sf):
+    schema = events(spark, sf).schema
+    s = INC.stream_table(spark, sf, schema, glob="events.parquet")
+    kept = INC.lookback_filter(s.select("event_id", "ts"), "ts", RUN_TS, F.lit(240))
+    out = _run_dir(spark, "t1")
+
+    def write(batch, epoch):
+        batch.select("event_id").write.mode("overwrite").parquet(f"{out}/data/epoch={epoch}")
+    INC.run_available(kept, write, f"{out}/ckpt")
+    return spark.read.parquet(f"{out}/data").select("event_id")
+
+
+@query("t2_stream_dedup", sql=_DEDUP_SQL + "\nSELECT event_id FROM d WHERE reason IS NULL")
+def t2_stream_dedup(spark, sf):
+    hist, _ = ev_split(spark, sf)
+    schema = events(spark, sf).schema
+    s = INC.stream_table(spark, sf, schema, glob="events.parquet")
+    k = F.get_json_object("props", "$.k").cast("int")
+    batch = s.select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id",
+        F.when(F.col("user_id") % 3 == 0, "other").otherwise("news_en").alias("spider"),
+        F.concat(F.lit("t"), (k % 40).cast("string")).alias("title"),
+        F.concat(F.lit("https://e.example.org/u/"), (F.col("user_id") % 50).cast("string"), F.lit("/"),
+                 k.cast("string")).alias("source_addr"),
+        F.col("ts").cast("timestamp_ntz").alias("created_at")).where(
+        F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    out = _run_dir(spark, "t2")
+    handler = INC.dedup_handler(f"{out}/history", f"{out}/accepted", RUN_TS, EV_DEDUP,
+                                lambda: F.struct("ts", "event_id"), seed_history=hist)
+    INC.run_available(batch, handler, f"{out}/ckpt")
+    return spark.read.parquet(f"{out}/accepted").select("event_id")
+
+
+@query("t3_stream_upsert")
+def t3_stream_upsert(spark, sf):
+    old, _ = _orders_old_new(spark, sf)
+    schema = table(spark, sf, "orders").schema
+    s = INC.stream_table(spark, sf, schema, glob="orders.parquet")
+    batch = s.where(F.col("o_orderdate").cast("timestamp_ntz") >= F.lit(_ORD_SPLIT_NEW).cast("timestamp_ntz")).select(
+        F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("title"),
+        F.lit("done").alias("status"), F.lit("ok").alias("status_msg"))
+    out = _run_dir(spark, "t3")
+    handler = INC.upsert_handler(f"{out}/snap", "key", RUN_TS, lambda: F.col("key"), old)
+    INC.run_available(batch, handler, f"{out}/ckpt")
+    snap = spark.read.parquet(f"{out}/snap")
+    last = snap.agg(F.max("epoch").alias("epoch"))
+    return snap.join(last, "epoch").select("key", "title", "status")
