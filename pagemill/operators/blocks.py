@@ -173,38 +173,39 @@ def classify_pass1(blocks: DataFrame, spec: SiteSpec, markers=None) -> DataFrame
     return b.drop("_marker", "_ruler")
 
 
-def signoff_trim(kept: DataFrame, spec: SiteSpec) -> DataFrame:
-    """Trailing credit trim over the kept blocks.
-
-    Within the last ``signoff_window`` blocks, the sign-off is the last ``p``
-    with 2-5 words whose text starts with a sign-off prefix.  From it on,
-    blocks whose text is blank or equals their ``em`` text are dropped.
+def signoff_trim(blocks: DataFrame, spec: SiteSpec, eligible: Column | None = None) -> DataFrame:
+    """Trailing credit trim over the ``eligible`` blocks.
+
+    Within the last ``signoff_window`` eligible blocks, the sign-off is the
+    last ``p`` with 2-5 words whose text starts with a sign-off prefix.  From
+    it on, eligible blocks whose text is blank or equals their ``em`` text
+    are credits.  Conditional windows over one page partitioning: no filter
+    and re-union, so the frame is computed once.
     """
     lo, hi = spec.signoff_words
-    w_desc = Window.partitionBy("page_id").orderBy(F.col("pos").desc())
+    ok = F.lit(True) if eligible is None else eligible
+    w_desc = (Window.partitionBy("page_id").orderBy(F.col("pos").desc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_page = Window.partitionBy("page_id")
     low = F.lower(pstrip(F.col("text")))
     n_words = F.size(F.transform(pwords(low), lambda x: F.btrim(x, F.lit(PUNCTUATION))))
     match = ((F.col("tag") == "p") & (F.col("kind") == "element") & (n_words >= lo) & (n_words <= hi)
              & starts_with_any(low, spec.signoff_prefixes))
-    k = kept.withColumn("from_end", F.row_number().over(w_desc))
-    k = k.withColumn("signoff", F.max(F.when((F.col("from_end") <= spec.signoff_window) & match,
+    k = blocks.withColumn("_ok", ok)
+    k = k.withColumn("from_end", F.when(F.col("_ok"), F.sum(F.col("_ok").cast("int")).over(w_desc)))
+    k = k.withColumn("signoff", F.max(F.when(F.col("_ok") & (F.col("from_end") <= spec.signoff_window) & match,
                                              F.col("pos"))).over(w_page))
     stripped = pstrip(F.col("text"))
-    credit = (F.col("pos") >= F.col("signoff")) & (
+    credit = F.col("_ok") & (F.col("pos") >= F.col("signoff")) & (
         (stripped == "") | (F.col("has_em") & (stripped == pstrip(F.col("em_text")))))
-    return k.withColumn("credit", F.coalesce(credit, F.lit(False)))
+    return k.withColumn("credit", F.coalesce(credit, F.lit(False))).drop("_ok")
 
 
 def clean_blocks(blocks: DataFrame, spec: SiteSpec, markers=None) -> DataFrame:
     """Pass 1 then pass 2; every block keeps a final ``action``."""
     p1 = classify_pass1(blocks, spec, markers)
-    kept = p1.where(F.col("action") == "keep")
-    rest = p1.where(F.col("action") != "keep")
-    p2 = signoff_trim(kept, spec)
-    p2 = p2.withColumn("action", F.when(F.col("credit"), F.lit("credit")).otherwise(F.col("action")))
-    cols = p1.columns
-    return p2.select(*cols).unionByName(rest.select(*cols))
+    p2 = signoff_trim(p1, spec, eligible=F.col("action") == "keep")
+    return p2.withColumn("action", F.when(F.col("credit"), F.lit("credit")).otherwise(F.col("action")))
 
 
 def assemble(cleaned: DataFrame, sep: str = "\n") -> DataFrame:
@@ -225,6 +226,8 @@ def assemble(cleaned: DataFrame, sep: str = "\n") -> DataFrame:
                     lambda x: x["h"]).alias("footer_blocks"),
         clean_lines(_ordered_concat(F.when(foot, F.col("text")), F.col("pos"), sep)).alias("footer_text"),
         F.sum(F.when(F.col("action") == "loose_text", 1).otherwise(0)).cast("int").alias("n_loose"),
+        F.max("signoff").alias("signoff_pos"),
+        F.count(F.when(F.col("action") == "credit", 1)).alias("n_credit"),
     ).withColumn("footer", F.concat(F.lit("["), F.array_join("footer_blocks", ", "), F.lit("]")))
 
 

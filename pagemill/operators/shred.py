@@ -260,11 +260,20 @@ def shred(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
 
 
 def nodes_by_page(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
-    """P1 followed by one exchange on ``page_id``.
-
-    Every page-level consumer (field aggregates, body blocks, windows over
-    block positions) needs its rows clustered by page; with the exchange made
-    here once, Spark reuses it for all of them (ReusedExchange), so the Python
-    shredder runs once per page however many consumers there are.
+    """P1, written once as a parquet table under the shared checkpoint folder.
+
+    Several consumers (field aggregates, entries, body blocks) read the node
+    table.  Left lazy, each would re-run the Python shredder, because the
+    optimizer pushes each consumer's own filter and projection below any
+    shared exchange.  Written once, the shredder runs once per page, the
+    lineage is cut (a lost executor re-reads the table instead of re-parsing
+    HTML), and every consumer's ``kind``/``tag`` filters and column pruning
+    reach the parquet scan.
     """
-    return shred(pages, scopes).repartition("page_id")
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    spark = pages.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/nodes-{uuid.uuid4().hex[:16]}"
+    shred(pages, scopes).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -20,8 +20,12 @@ WIDTH = 4
 NON_WORD_RE = r"[^\p{L}\p{N}_]+"
 
 
-def simhash(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, simhash string (signed 64-bit decimal, Q13), hi, lo)."""
+def simhash_relational(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, simhash string (signed 64-bit decimal, Q13), hi, lo) as joins and group-bys.
+
+    Exact but row-heavy (64 rows per distinct shingle); ``simhash`` is the
+    default.
+    """
     norm = df.select(key, F.regexp_replace(F.lower(F.col(text)), NON_WORD_RE, "").alias("c"))
     n = F.length("c")
     sh = norm.select(key, F.explode(F.sequence(F.lit(1), F.greatest(n - WIDTH + 1, F.lit(1)))).alias("i"), "c") \
@@ -42,3 +46,51 @@ def simhash(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         key, F.coalesce("hi", F.lit(0).cast("bigint")).alias("hi"), F.coalesce("lo", F.lit(0).cast("bigint")).alias("lo"))
     signed = F.shiftleft(F.col("hi"), 32).bitwiseOR(F.col("lo"))
     return out.select(key, signed.cast("string").alias("simhash"), "hi", "lo")
+
+
+def _simhash_batch(texts):
+    import hashlib
+    import re
+    from collections import Counter
+
+    import numpy as np
+    import pandas as pd
+
+    nonword = re.compile(r"[^\w]+")
+    his, los = [], []
+    bitpos = np.arange(32, dtype=np.uint64)
+    for t in texts:
+        c = nonword.sub("", (t or "").lower())
+        feats = Counter(c[i:i + WIDTH] for i in range(max(len(c) - WIDTH + 1, 1)))
+        if not feats:
+            his.append(0)
+            los.append(0)
+            continue
+        w = np.fromiter(feats.values(), dtype=np.int64, count=len(feats))
+        lo64 = np.fromiter((int.from_bytes(hashlib.md5(f.encode("utf-8")).digest()[8:], "big")
+                            for f in feats), dtype=np.uint64, count=len(feats))
+        bits = ((lo64[:, None] >> np.arange(64, dtype=np.uint64)[None, :]) & np.uint64(1)).astype(np.int64)
+        votes = (w[:, None] * (2 * bits - 1)).sum(axis=0)
+        on = (votes > 0).astype(np.uint64)
+        los.append(int((on[:32] << bitpos).sum()))
+        his.append(int((on[32:] << bitpos).sum()))
+    return pd.DataFrame({"hi": pd.Series(his, dtype="int64"), "lo": pd.Series(los, dtype="int64")})
+
+
+def simhash(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, simhash, hi, lo): same values as ``simhash_relational``.
+
+    A text is one row, so its fingerprint is a per-row computation: an
+    Arrow-batched pandas UDF with numpy bit votes, no shuffle at all.
+    Python's ``\\w`` (Unicode letters, digits, underscore) is the word class.
+    """
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("hi long, lo long")
+    def fp(texts):
+        return _simhash_batch(texts)
+
+    out = df.select(key, fp(F.col(text)).alias("_fp"))
+    signed = F.shiftleft(F.col("_fp.hi"), 32).bitwiseOR(F.col("_fp.lo"))
+    return out.select(key, signed.cast("string").alias("simhash"), F.col("_fp.hi").alias("hi"),
+                      F.col("_fp.lo").alias("lo"))

@@ -52,7 +52,7 @@ def page_nodes(spark: SparkSession, sf_dir: str, scopes=(HtmlScope("article"),))
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1138,14 +1138,8 @@ SELECT doc_id, any_value(signoff) AS signoff_pos, count(*) FILTER (WHERE credit)
        {Q.clean_lines("string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT credit)")} AS formatted_text
 FROM m GROUP BY doc_id""")
 def p18_trailing_credit(spark, sf):
-    c = clean_blocks(blocks_from_lines(_signoff_docs(spark, sf)), DRIVER_PAGES)
-    a = assemble(c)
-    s = c.groupBy("page_id").agg(F.max(F.when(F.col("action").isin("keep", "credit"), F.col("pos")).when(F.lit(False), 0)).alias("_x"),
-                                 F.count(F.when(F.col("action") == "credit", 1)).alias("n_credit"))
-    k = signoff_trim(c.where(F.col("action").isin("keep", "credit")), DRIVER_PAGES).groupBy("page_id").agg(
-        F.max("signoff").alias("signoff_pos"))
-    return a.join(s, "page_id").join(k, "page_id", "left").select(
-        F.col("page_id").alias("doc_id"), "signoff_pos", "n_credit", "formatted_text")
+    a = assemble(clean_blocks(blocks_from_lines(_signoff_docs(spark, sf)), DRIVER_PAGES))
+    return a.select(F.col("page_id").alias("doc_id"), "signoff_pos", "n_credit", "formatted_text")
 
 
 _THE_SPEC = _dc.replace(DRIVER_PAGES, signoff_prefixes=("the",))

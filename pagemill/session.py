@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     # pages are large rows: keep Arrow batches small for the shredder
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # cleaning steps are CPU-bound per row (regexes over text): let AQE keep
+    # small shuffles spread over the cores instead of coalescing them into one
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.ui.enabled": "false",
 }
 
