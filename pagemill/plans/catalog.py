@@ -1328,3 +1328,77 @@ def t3_stream_upsert(spark, sf):
     snap = spark.read.parquet(f"{out}/snap")
     last = snap.agg(F.max("epoch").alias("epoch"))
     return snap.join(last, "epoch").select("key", "title", "status")
+
+
+# =============================================================================
+# P21, J5, J6 (pages); S8 + S10 export/publish and S5 media store (rows only)
+# =============================================================================
+
+@query("p21_clean_html", sql="""
+SELECT page_id, regexp_extract(html, '(?s)<article>.*</article>', 0) AS formatted_content FROM pages""")
+def p21_clean_html(spark, sf):
+    from ..operators.blocks import wrap_root
+    n = page_nodes(spark, sf)
+    roots = body_roots(n, DRIVER_PAGES)
+    body = assemble(clean_blocks(blocks_from_nodes(n, DRIVER_PAGES), DRIVER_PAGES))
+    j = roots.join(body, "page_id", "left")
+    root_open = F.regexp_extract(F.col("ori_content"), r"^<[^>]*>", 0)
+    return j.select("page_id", wrap_root(F.col("body_html"), root_open, F.col("root_tag")).alias("formatted_content"))
+
+
+# Fixed test blocklist (a config table: its size is bounded by configuration).
+_BLOCKLIST = ("/the", "/de", "spam")
+
+
+@query("j6_blocklist_anti_join", sql=f"""
+SELECT page_id, pos, href FROM (
+  SELECT page_id, unnest(h) AS href, unnest(range(1, len(h) + 1)) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages))
+WHERE NOT ({' OR '.join(f"contains(href, '{p}')" for p in _BLOCKLIST)})""")
+def j6_blocklist_anti_join(spark, sf):
+    e = list_entries(page_nodes(spark, sf), DRIVER_PAGES).select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                                                                F.col("entry_uri").alias("href"))
+    bl = spark.createDataFrame([(p,) for p in _BLOCKLIST], "pattern string")
+    # theta join on a configuration table: broadcast is bounded by the config size
+    return e.join(F.broadcast(bl), F.col("href").contains(F.col("pattern")), "left_anti")
+
+
+@query("j5_image_path_lookup", sql="""
+WITH l AS (SELECT page_id, unnest(h) AS href, unnest(t) AS txt, unnest(range(1, len(h) + 1)) AS pos
+           FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h,
+                        regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages)),
+paths AS (SELECT DISTINCT href, 'pics/' || md5(href) || '.jpg' AS path FROM l WHERE regexp_matches(txt, '^[A-Z]'))
+SELECT l.page_id, l.pos, l.href, paths.path FROM l LEFT JOIN paths ON trim(l.href) = paths.href""")
+def j5_image_path_lookup(spark, sf):
+    n = page_nodes(spark, sf)
+    e = list_entries(n, DRIVER_PAGES)
+    txt = select_text(n, sel(desc("nav"), desc("li"), child("a"))).select("page_id", F.col("chain")[F.size("chain") - 2]["nid"].alias("anchor_id"), "text")
+    e = e.join(txt, ["page_id", "anchor_id"], "left")
+    paths = e.where(F.col("text").rlike("^[A-Z]")).select(F.col("entry_uri").alias("key")).distinct() \
+        .select("key", F.concat(F.lit("pics/"), F.md5("key"), F.lit(".jpg")).alias("path"))
+    j = e.join(paths, F.trim(e["entry_uri"]) == paths["key"], "left")
+    return j.select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("entry_uri").alias("href"), "path")
+
+
+@query("s10_publish_export")
+def s10_publish_export(spark, sf):
+    """S8 + S9 + S10: export rows written as one new snapshot and read back."""
+    arts, _ = ev_media(spark, sf)
+    st = ev_status(spark, sf).select("uuid", "status", "status_msg")
+    a = arts.join(st, "uuid").select(
+        "uuid", F.lit(20240131000000).cast("bigint").alias("batch_id"), F.lit("news_en").alias("spider"),
+        F.concat(F.lit("202401/"), F.col("uuid")).alias("data_uri"), "status", "status_msg", "imgs", "thumb_pic",
+        "audio_addr", F.lit("").alias("formatted_content"), F.lit("").alias("ori_content"),
+        F.lit("").alias("formatted_text"))
+    path = S.publish(S.export_frame(a), _run_dir(spark, "s10"), 20240131000000)
+    return spark.read.parquet(path)
+
+
+@query("s5_media_store")
+def s5_media_store(spark, sf):
+    """Fetched files listed from the media store (path, length)."""
+    _, results = ev_media(spark, sf)
+    store = _run_dir(spark, "s5")
+    results.where("ok").select(F.concat_ws(" ", "path", "url").alias("value")).write.mode("overwrite").text(store)
+    from ..sources.tables import media_files
+    return media_files(spark, store)
