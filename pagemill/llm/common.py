@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.session import ensure_checkpoint_dir
@@ -97,6 +99,35 @@ def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordB
         [pa.array(c, type=schema.field(i).type) for i, c in enumerate(cols)], names=names)
 
 
+def groups(it, chars: int = 4 << 20):
+    """Rows in groups of about ``chars`` characters of text (the last column)."""
+    some, size = [], 0
+    for row in it:
+        some.append(row)
+        size += len(row[-1] or "") + 64
+        if size >= chars:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def word_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words between ASCII white space: (word number of each place, where each text ends, distinct words).
+
+    The empty word may be among them (at the ends of a text).
+    """
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+    coded = lists.flatten().dictionary_encode()
+    ends = lists.offsets.to_numpy()[1:].astype(np.int64)
+    return coded.indices.to_numpy(), ends - lists.offsets[0].as_py(), coded.dictionary.to_pylist()
+
+
+def crc_part(doc_id: Column, parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % parts
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(u, v)``: one row (node, root) per node.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.session import ensure_checkpoint_dir
 
-from .common import read, scan
+from .common import crc_part, read, scan
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -25,6 +25,16 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from .toxicity import fit, score
+    docs = read(spark, sf, "documents")
+    part = crc_part(F.col("doc_id"), 5)
+    model = fit(docs.where(part != 0), read(spark, sf, "labels").where(part != 0))
+    return score(docs, model).select(
+        "doc_id", F.coalesce(part == 0, F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     from .mixing import mix
     return mix(read(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -56,12 +66,29 @@ def _tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return scan(read_documents(spark, out), "doc_id long, start long, n_tokens long, ids_crc32 long", rows)
 
 
+def op8_long_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    from .suffix import report
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return report(read(spark, sf, "documents"), 200).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from .langid import fit, predict
+    docs = read(spark, sf, "documents")
+    part = crc_part(F.col("doc_id"), 4)
+    model = fit(docs.where(part != 2).select("doc_id", "text", "lang"))
+    return predict(docs, model).select(
+        "doc_id", F.coalesce(part == 2, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return _tokens(spark, read(spark, sf, "documents"))
 
 
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
-    op2_decontamination, op4_mixing, op5_simhash, op7_url_filter, op10_tokens]
+    op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op7_url_filter, op8_long_repeats, op9_language_id,
+    op10_tokens]
 
 SQL: dict[str, str] = {}
 
