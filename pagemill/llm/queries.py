@@ -17,6 +17,11 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op1_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    from .ann import nearest
+    return nearest(read(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     from .decontam import report
     r = report(read(spark, sf, "documents"), read(spark, sf, "benchmark"), n=10)
@@ -87,7 +92,7 @@ def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
-    op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op7_url_filter, op8_long_repeats, op9_language_id,
+    op1_nearest, op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op7_url_filter, op8_long_repeats, op9_language_id,
     op10_tokens]
 
 SQL: dict[str, str] = {}
