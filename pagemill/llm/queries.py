@@ -51,6 +51,21 @@ def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    from .pii import KINDS, detect
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    r = detect(read(spark, sf, "documents"))
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return r.select("doc_id", *map(count, KINDS), F.sha2(listed(F.filter("spans", lambda s: s["plain"])), 256).alias("base_sha256"),
+                    listed(F.col("spans")).alias("spans"))
+
+
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     from .urlfilter import filter_pages, rules_frame
     return filter_pages(read(spark, sf, "pages"), rules_frame(spark, URL_RULES))
@@ -92,7 +107,7 @@ def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_nearest, op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op7_url_filter, op8_long_repeats, op9_language_id,
+    op1_nearest, op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op6_pii, op7_url_filter, op8_long_repeats, op9_language_id,
     op10_tokens]
 
 SQL: dict[str, str] = {}
