@@ -63,7 +63,7 @@ def sainte_lague(votes: list[float], seats: int, limits: list[int]) -> list[int]
     lim = np.where(v > 0, lim, 0)
 
     def at(divisor):   # no more seats than highest quotients above 1 / divisor would give
-        return np.minimum(np.maximum(np.ceil(v / divisor / 2 - 0.5), 0).astype(np.int64), lim)
+        return np.clip(np.ceil(v / divisor / 2 - 0.5), 0, lim).astype(np.int64)
 
     low, high = 0.0, 2.0 * float(v.max(initial=0)) + 1
     for _ in range(200):
@@ -206,7 +206,11 @@ def mixed(docs: DataFrame, conf: MixConf = MixConf()) -> DataFrame:
     on = (rows["k_id"].eqNullSafe(plan["k_id"]) & (rows["k_h"] == plan["k_h"])
           & rows["k_source"].eqNullSafe(plan["k_source"]) & (rows["k_n"] == plan["k_n"]))
     spans = next(f"spans{i}" for i in range(len(docs.columns) + 1) if f"spans{i}" not in docs.columns)
-    passes = [F.filter(plan["spans"], lambda s, r=r: s["times"] >= r) for r in range(1, int(conf.most) + 1)]
+
+    def taken_again(times):
+        return F.filter(plan["spans"], lambda s: s["times"] >= times)
+
+    passes = [taken_again(r) for r in range(1, int(conf.most) + 1)]
     joined = (rows.join(plan, on).select("row", F.explode(F.array(*passes)).alias(spans))
               .where(F.size(spans) > 0).select("row.*", spans))
     at = joined.columns.index("text")
