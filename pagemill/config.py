@@ -8,7 +8,7 @@ site the reference crawls) and ``DRIVER_PAGES`` (the markup of the bundled
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from .operators.select import Selector, Step, child, desc, sel
 
@@ -26,7 +26,6 @@ class SiteSpec:
     name: str
     seed_url: str
     page_param: str = "p"
-    max_page: int = 100
     # list pages
     list_common_marker: Selector | None = None
     entry_common: Selector | None = None
@@ -53,7 +52,7 @@ class SiteSpec:
     footer_markers: tuple[str, ...] = ()
     footer_tags: tuple[str, ...] = ("p", "h2")
     signoff_prefixes: tuple[str, ...] = ()
-    signoff_window: int = 20
+    signoff_window: int | None = None       # W4: blocks from the end; a spec with prefixes must state it
     signoff_words: tuple[int, int] = (2, 5)
     ruler_min_len: int = 11
     base_tags: tuple[str, ...] = ()
@@ -65,7 +64,6 @@ NEWS_SITE = SiteSpec(
     name="news_en",
     seed_url="https://news.example.org/z/1?p=0",
     page_param="p",
-    max_page=100,
     list_common_marker=sel(desc("ul", eid="articleItems")),
     entry_common=sel(desc("ul", eid="articleItems"), child("li"), child("div", cls_sub="media-block")),
     entry_any=sel(desc("li"), child("div", cls_sub="media-block")),
@@ -91,6 +89,7 @@ NEWS_SITE = SiteSpec(
     image_thumb=(desc("div", cls_tok="thumb"), desc("img")),
     footer_markers=("words in this story",),
     signoff_prefixes=("i'm", "i am", "i’m"),
+    signoff_window=20,
     base_tags=("voa", "voa learning english"),
 )
 
@@ -99,7 +98,6 @@ DRIVER_PAGES = SiteSpec(
     name="pages",
     seed_url="",
     page_param="page",
-    max_page=100,
     entry_any=sel(desc("nav"), desc("li")),
     entry_link=(child("a"),),
     title=sel(desc("h1")),
@@ -109,6 +107,7 @@ DRIVER_PAGES = SiteSpec(
     image_thumb=NEWS_SITE.image_thumb,
     footer_markers=NEWS_SITE.footer_markers,
     signoff_prefixes=NEWS_SITE.signoff_prefixes,
+    signoff_window=NEWS_SITE.signoff_window,
 )
 
 
@@ -120,9 +119,3 @@ class DedupConf:
     title_spiders: tuple[str, ...] = ("news_en",)
     url_first: bool = False      # Q5 option: URL test before the title test
     strict_url: bool = False     # Q5 option: URLs seen earlier in the run also drop
-
-
-@dataclass(frozen=True)
-class RunConf:
-    run_ts: str = "2024-01-31 00:00:00"
-    back_hours: dict = field(default_factory=lambda: {"default": 24})

@@ -12,6 +12,8 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # The nine input shapes of the date normalizer, tried in order
 # (anchored at both ends).
 RE_YMD_HMS = r"^\d\d\d\d-\d+-\d+ \d+:\d+:\d+$"
@@ -83,11 +85,13 @@ def news_date(s: Column, run_ts) -> Column:
     which ``parse_loose`` turns into NULL.
     """
     now = as_ts(run_ts)
-    fmt = normalize_date(s, run_ts)
-    ts = parse_loose(fmt)
-    back = F.concat(F.lpad((F.year(ts) - 1).cast("string"), 4, "0"),
-                    F.date_format(ts, "-MM-dd HH:mm:ss"))
-    return F.when(ts > now, back).otherwise(fmt)
+
+    def year_back(fmt: Column) -> Column:
+        ts = parse_loose(fmt)
+        back = F.concat(F.lpad((F.year(ts) - 1).cast("string"), 4, "0"), F.date_format(ts, "-MM-dd HH:mm:ss"))
+        return F.when(ts > now, back).otherwise(fmt)
+
+    return let(normalize_date(s, run_ts), year_back)
 
 
 def batch_id(run_ts) -> Column:

@@ -32,6 +32,11 @@ EMPTY_STRIP_CLASS = PY_WS[:-1] + r"\x{200B}]"
 NON_BMP_RE = r"[\x{10000}-\x{10FFFF}]"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def pstrip(c: Column) -> Column:
     """Python ``str.strip()``."""
     return F.regexp_replace(c, rf"^{PY_WS}+|{PY_WS}+$", "")
@@ -64,9 +69,9 @@ def clean_lines(c: Column, sep: str = "\n") -> Column:
 
 
 def regex_int(c: Column, pattern: str = r"(?i)(\d+) kbps") -> Column:
-    """F16: first capture group of ``pattern`` as an int, NULL when absent."""
-    v = F.regexp_extract(c, pattern, 1)
-    return F.when(v != "", v.cast("int"))
+    """F16: first capture group of ``pattern`` as a whole number of up to 38
+    digits, NULL when absent or longer (one bad value never fails the job)."""
+    return F.regexp_extract(c, pattern, 1).try_cast("decimal(38,0)")
 
 
 def clean_illegal_line(c: Column) -> Column:

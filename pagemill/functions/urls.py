@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import pstrip
+from .text import let, pstrip
 
 # RFC 3986 appendix B: scheme, authority, path, query, fragment.
 URL_RE = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
@@ -64,34 +64,41 @@ def _resolve(base_path: Column, ref_path: Column) -> Column:
     rel = F.when(n <= 2, joined).otherwise(
         F.concat(F.array(F.element_at(joined, 1)), middle, F.array(F.element_at(joined, -1))))
     segs = F.when(ref_path.startswith("/"), rparts).otherwise(rel)
-    stack = F.aggregate(
-        segs, F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc)
-        .otherwise(F.concat(acc, F.array(s))))
-    stack = F.when(F.element_at(segs, -1).isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
-    out = F.array_join(stack, "/")
-    return F.when(out == "", F.lit("/")).otherwise(out)
+
+    def walk(segs: Column) -> Column:
+        stack = F.aggregate(
+            segs, F.array().cast("array<string>"),
+            lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+            .when(s == ".", acc)
+            .otherwise(F.concat(acc, F.array(s))))
+        return F.array_join(F.concat(stack, F.when(F.element_at(segs, -1).isin(".", ".."), F.array(F.lit("")))
+                                     .otherwise(F.array().cast("array<string>"))), "/")
+
+    return let(let(segs, walk), lambda out: F.when(out == "", F.lit("/")).otherwise(out))
 
 
 def url_join(base: Column, ref: Column) -> Column:
-    """``urllib.parse.urljoin(base, ref)``."""
-    b, r = url_parts(base), url_parts(ref)
-    scheme = F.when(r["scheme"] != "", r["scheme"]).otherwise(b["scheme"])
-    abs_ref = _unparse(scheme, r["has_auth"], r["netloc"], r["path"], r["query"], r["frag"])
-    keep_path = _unparse(scheme, b["has_auth"], b["netloc"], b["path"],
-                         F.when(r["query"] != "", r["query"]).otherwise(b["query"]), r["frag"])
-    merged = _unparse(scheme, b["has_auth"], b["netloc"], _resolve(b["path"], r["path"]),
-                      r["query"], r["frag"])
-    return (
-        F.when(base.isNull() | ref.isNull(), F.lit(None).cast("string"))
-        .when(base == "", ref)
-        .when(ref == "", base)
-        .when((scheme != b["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES), ref)
-        .when(r["has_auth"], abs_ref)
-        .when(r["path"] == "", keep_path)
-        .otherwise(merged)
-    )
+    """``urllib.parse.urljoin(base, ref)``; both are split once."""
+    def parts(url: Column) -> Column:
+        return F.struct(*[v.alias(k) for k, v in url_parts(url).items()])
+
+    def join(u: Column) -> Column:
+        base, ref, b, r = u["base"], u["ref"], u["b"], u["r"]
+        scheme = F.when(r["scheme"] != "", r["scheme"]).otherwise(b["scheme"])
+        abs_ref = _unparse(scheme, r["has_auth"], r["netloc"], r["path"], r["query"], r["frag"])
+        keep_path = _unparse(scheme, b["has_auth"], b["netloc"], b["path"],
+                             F.when(r["query"] != "", r["query"]).otherwise(b["query"]), r["frag"])
+        merged = let(_resolve(b["path"], r["path"]), lambda path: _unparse(
+            scheme, b["has_auth"], b["netloc"], path, r["query"], r["frag"]))
+        return (F.when(base == "", ref)
+                .when(ref == "", base)
+                .when((scheme != b["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES), ref)
+                .when(r["has_auth"], abs_ref)
+                .when(r["path"] == "", keep_path)
+                .otherwise(merged))
+
+    both = F.struct(base.alias("base"), ref.alias("ref"), parts(base).alias("b"), parts(ref).alias("r"))
+    return F.when(base.isNotNull() & ref.isNotNull(), let(both, join))
 
 
 def url_path(url: Column) -> Column:
@@ -148,4 +155,8 @@ def numbered_paths(local_base: Column, item_id: Column, urls: Column) -> Column:
 
 def url_to_path_map(local_base: Column, item_id: Column, urls: Column) -> Column:
     """URL -> numbered path map (a repeated URL keeps its last path)."""
-    return F.map_from_arrays(urls, numbered_paths(local_base, item_id, urls))
+    paths = numbered_paths(local_base, item_id, urls)
+    distinct = F.array_distinct(urls)
+    last = F.transform(distinct, lambda u: F.element_at(
+        paths, (F.size(urls) - F.array_position(F.reverse(urls), u) + 1).cast("int")))
+    return F.map_from_arrays(distinct, last)

@@ -1,10 +1,10 @@
 """Body cleaning: blocks.
 
 A *block* is a direct child of a page's body root (or one line of a
-document).  Blocks are built from the node table with one exchange on
-``page_id``; every later step (windows over ``pos``, per-page concatenation)
-reuses that partitioning, so the whole body pipeline shuffles node rows once.
-A page is parsed in one task anyway, so per-page grouping adds no new skew.
+document).  Blocks are grouped from the node table by (page, root, block), which combines
+map-side; the windows over ``pos`` and the per-page concatenation then share
+one exchange of the (far fewer) blocks by ``page_id``.  A page is parsed in
+one task anyway, so per-page grouping adds no new skew.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import SiteSpec
 from ..functions.ids import image_html
-from ..functions.text import PUNCTUATION, clean_lines, pstrip, pwords, starts_with_any
+from ..functions.text import PUNCTUATION, clean_lines, let, pstrip, pwords, starts_with_any
 from ..functions.urls import image_type
 from .select import Selector, chain_state, element_match
 
@@ -45,10 +45,10 @@ def body_roots(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
 
 def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> DataFrame:
     """P12 + P14 probes + A7: one row per direct child of the first body root."""
-    root_sel = Selector(spec.body_root.steps, anchor=len(spec.body_root.steps))
+    # a root inside another belongs to the outer one's content
+    root_sel = Selector(spec.body_root.steps, anchor=len(spec.body_root.steps), outermost=True)
     st = chain_state(root_sel)
-    under = (nodes.withColumn("_st", st)
-             .where(F.col("_st.anchor").isNotNull())
+    under = (nodes.select("*", F.explode(F.filter(F.array(st), lambda s: s["anchor"].isNotNull())).alias("_st"))
              .withColumn("root_id", F.col("_st.anchor"))
              .withColumn("_bpos", F.col("_st.anchor_pos") + 1)  # 0-based chain index of the block
              .withColumn("block_id", F.when(F.col("_bpos") < F.size("chain"),
@@ -58,14 +58,13 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> D
                                           F.slice("chain", F.col("_bpos") + 2, F.size("chain")))
                          .otherwise(F.array().cast(nodes.schema["chain"].dataType)))
              .drop("_st"))
-    # ``nodes`` should come from ``nodes_by_page``: the group-by and the
-    # windows below then reuse its page_id exchange instead of adding one.
     is_block = F.col("node_id") == F.col("block_id")
     below = ~is_block
     cls = F.col("attrs")["class"]
     n_em = F.size(F.filter("_below", lambda e: e["tag"] == em_tag))
     in_thumb = F.exists("_below", lambda e: (e["tag"] == spec.image_thumb[0].tag)
                         & _tok(e["cls"], spec.image_thumb[0].cls_tok)) if spec.image_thumb else F.lit(False)
+    script = (F.col("tag") == "script") & F.exists("_below", lambda e: e["tag"] == "iframe")
     aggs = [
         F.first(F.when(is_block, F.col("sib")), ignorenulls=True).alias("pos"),
         F.first(F.when(is_block, F.col("kind")), ignorenulls=True).alias("kind"),
@@ -78,8 +77,11 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> D
                         F.col("node_id")).alias("em_text"),
         F.bool_or(below & (F.col("tag") == em_tag)).alias("has_em"),
         F.bool_or(below & (F.col("tag") == "iframe")).alias("has_iframe"),
-        F.bool_or((F.col("kind") == "rawtext") & F.exists("_below", lambda e: e["tag"] == "iframe")
-                  & F.col("text").contains("youtube")).alias("iframe_youtube"),
+        # the first script of the first iframe, its attributes included
+        F.min_by(F.col("node_id"), F.when(script, F.col("node_id"))).alias("_script"),
+        F.collect_set(F.when(script & F.exists(F.map_values("attrs"), lambda v: v.contains("youtube")), F.col("node_id"))
+                      .when((F.col("kind") == "rawtext") & F.col("text").contains("youtube"),
+                            F.element_at("chain", -1)["nid"])).alias("_youtube"),
         F.min_by(F.struct(F.col("attrs")["src"].alias("src"), F.col("attrs")["alt"].alias("alt")),
                  F.when(below & (F.col("tag") == "img") & in_thumb, F.col("node_id"))).alias("_img"),
     ]
@@ -95,7 +97,7 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> D
     for p in spec.div_probes:
         cond = F.col(f"_p_{p.name}")
         chain_expr = F.when(cond, F.lit(p.name)) if chain_expr is None else chain_expr.when(cond, F.lit(p.name))
-    iframe_class = F.when(F.col("iframe_youtube"), F.lit("content_video")).otherwise(F.lit(None).cast("string"))
+    iframe_class = F.when(F.array_contains("_youtube", F.col("_script")), F.lit("content_video")).otherwise(F.lit(None).cast("string"))
     chain_expr = (chain_expr.when(F.col("has_iframe"), iframe_class) if chain_expr is not None
                   else F.when(F.col("has_iframe"), iframe_class))
     if spec.image_probe:
@@ -234,3 +236,51 @@ def assemble(cleaned: DataFrame, sep: str = "\n") -> DataFrame:
 def wrap_root(body_html: Column, root_open: Column, root_tag: Column) -> Column:
     """The kept blocks inside the root's own start and end tag."""
     return F.concat(root_open, F.coalesce(body_html, F.lit("")), F.lit("</"), root_tag, F.lit(">"))
+
+
+def clean_text(docs: DataFrame, spec: SiteSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """P16-P18, P22, P23, W2, W4, W5 for plain texts whose lines are ``p`` blocks.
+
+    (id, formatted_text, footer_text, signoff_pos, n_rulers, n_footer,
+    n_credit).  A text is one row, so this is array work on the row: each line
+    is stripped once, nothing is exploded, shuffled or sorted.  The same
+    answers as `clean_blocks` over `blocks_from_lines`.
+    """
+    lo, hi = spec.signoff_words
+    markers = [m.lower() for m in spec.footer_markers]
+
+    def kept_of(s: Column) -> Column:
+        """(pos, line) of the lines before the footer marker that are no rulers."""
+        return F.filter(s["lines"], lambda x: ~x["ruler"] & ((s["mark"] == 0) | (x["pos"] < s["mark"])))
+
+    def mark(lines: Column) -> Column:
+        hit = F.filter(lines, lambda x: ~x["ruler"] & F.lower(x["line"]).isin(*markers)) if markers else F.slice(lines, 1, 0)
+        return F.struct(lines.alias("lines"), F.coalesce(F.array_min(F.transform(hit, lambda x: x["pos"])), F.lit(0)).alias("mark"))
+
+    def is_signoff(line: Column) -> Column:
+        return let(F.lower(line), lambda low: starts_with_any(low, spec.signoff_prefixes)
+                   & F.size(pwords(low)).between(lo, hi))
+
+    def signoff(s: Column) -> Column:
+        return let(kept_of(s), lambda kept: F.struct(
+            s["lines"].alias("lines"), s["mark"].alias("mark"), kept.alias("kept"),
+            F.array_max(F.transform(F.filter(
+                F.slice(kept, F.greatest(F.size(kept) - spec.signoff_window + 1, F.lit(1)), F.lit(spec.signoff_window)),
+                lambda x: is_signoff(x["line"])), lambda x: x["pos"])).alias("signoff")))
+
+    def outcome(s: Column) -> Column:
+        foot = F.filter(s["lines"], lambda x: ~x["ruler"] & (s["mark"] > 0) & (x["pos"] >= s["mark"]))
+        blank_after = F.filter(s["kept"], lambda x: (x["line"] == "") & F.coalesce(x["pos"] >= s["signoff"], F.lit(False)))
+
+        def joined(items: Column) -> Column:
+            return F.array_join(F.filter(F.transform(items, lambda x: x["line"]), lambda x: x != ""), "\n")
+
+        return F.struct(
+            joined(s["kept"]).alias("formatted_text"), joined(foot).alias("footer_text"), s["signoff"].alias("signoff_pos"),
+            F.size(F.filter(s["lines"], lambda x: x["ruler"])).cast("bigint").alias("n_rulers"),
+            F.size(foot).cast("bigint").alias("n_footer"), F.size(blank_after).cast("bigint").alias("n_credit"))
+
+    stripped = F.transform(F.split(F.col(text_col), "\n"), lambda x, i: let(pstrip(x), lambda t: F.struct(
+        (i + 1).alias("pos"), t.alias("line"), t.rlike(f"^_{{{spec.ruler_min_len},}}$").alias("ruler"))))
+    out = let(let(let(stripped, mark), signoff), outcome)
+    return docs.select(F.col(id_col), F.explode(F.array(out)).alias("o")).select(id_col, "o.*")

@@ -39,14 +39,20 @@ def history_urls(history: DataFrame, run_ts, conf: DedupConf) -> DataFrame:
 
 
 def dedup(batch: DataFrame, history: DataFrame, run_ts, conf: DedupConf,
-          arrival: Column) -> DataFrame:
+          arrival: Column, claimed: DataFrame | None = None) -> DataFrame:
     """J2 + J3 + W6: adds ``reason`` (NULL, ``duplicate_title``, ``duplicate_url``).
 
     ``arrival`` must give a total order of the batch rows (unique tie-break).
+    ``claimed``: titles taken by earlier micro-batches of the same run.  Give
+    it slim rows (keys only) and join the survivors back: the frame is read
+    twice, for the claims and for the test.
     """
     b = batch.withColumn("_arr", arrival)
     listed = F.col("spider").isin(*conf.title_spiders)
-    hist_t = history_titles(history, run_ts, conf).withColumn("_t_hist", F.lit(True))
+    hist_t = history_titles(history, run_ts, conf)
+    if claimed is not None:
+        hist_t = hist_t.union(claimed.select("title")).distinct()
+    hist_t = hist_t.withColumn("_t_hist", F.lit(True))
     hist_u = history_urls(history, run_ts, conf).withColumn("_u_hist", F.lit(True))
     b = b.join(hist_u, "source_addr", "left")
     url_dup = F.coalesce(F.col("_u_hist"), F.lit(False))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import SiteSpec
 from ..functions.dates import news_date, parse_loose
 from ..functions.text import pstrip, regex_int
-from .select import Selector, element_match, parent_match
+from .select import Selector, element_match, matching, parent_match
 
 AUDIO_RATE_RE = r"(?i)(\d+) kbps"
 AUDIO_RATE_CAP = 1024
@@ -42,20 +42,26 @@ def _text_of(selector: Selector | None) -> Column:
 def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
     """One row per page with header fields and layout flags."""
     attrs = F.col("attrs")
-    cover = _elem(spec.cover_img)
-    pub = _elem(spec.pub_time)
-    aggs = [
-        F.bool_or(_elem(spec.content_scope)).alias("has_content"),
-        F.bool_or(_elem(spec.header_scope)).alias("has_header"),
-        F.bool_or(_elem(spec.body_scope)).alias("has_body"),
-        _first(F.col("text"), _text_of(spec.title)).alias("_title"),
-        _first(attrs["datetime"], pub).alias("_pub_attr"),
-        _first(F.col("text"), _text_of(spec.pub_time)).alias("_pub_text"),
-        _first(attrs["src"], cover).alias("_cover_src"),
-        _first(attrs["alt"], cover).alias("_cover_alt"),
-        _first(F.col("text"), _text_of(spec.category)).alias("_category"),
-    ]
-    g = nodes.groupBy("page_id").agg(*aggs)
+    elements = {n: x for n, x in (("content", spec.content_scope), ("header", spec.header_scope),
+                                  ("body", spec.body_scope), ("pub", spec.pub_time), ("cover", spec.cover_img))
+                if x is not None}
+    texts = {n: x for n, x in (("title_text", spec.title), ("pub_text", spec.pub_time), ("category_text", spec.category))
+             if x is not None}
+    rows = matching(nodes, elements, texts, "page_id", "node_id", "attrs", "text", root=True)
+
+    def flag(name: str) -> Column:
+        return F.col(f"m.{name}") if name in elements or name in texts else F.lit(False)
+
+    g = rows.groupBy("page_id").agg(
+        F.bool_or(flag("content")).alias("has_content"),
+        F.bool_or(flag("header")).alias("has_header"),
+        F.bool_or(flag("body")).alias("has_body"),
+        _first(F.col("text"), flag("title_text")).alias("_title"),
+        _first(attrs["datetime"], flag("pub")).alias("_pub_attr"),
+        _first(F.col("text"), flag("pub_text")).alias("_pub_text"),
+        _first(attrs["src"], flag("cover")).alias("_cover_src"),
+        _first(attrs["alt"], flag("cover")).alias("_cover_alt"),
+        _first(F.col("text"), flag("category_text")).alias("_category"))
     # Header searches are document-wide but run only when the scope exists
     scoped = F.col("has_header") if spec.header_scope is not None else F.lit(True)
 
@@ -89,6 +95,15 @@ def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
     )
 
 
+def route_layouts(routed: DataFrame, nodes: DataFrame, layouts: dict[str, SiteSpec], run_ts) -> DataFrame:
+    """``routed(page_id, layout)`` pages through their layout's extractor; other layouts give no row."""
+    out = None
+    for name, spec in layouts.items():
+        part = routed.where(F.col("layout") == name).join(page_fields(nodes, spec, run_ts), "page_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def audio_links(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
     """Audio links (page_id, pos, href, text), text taken per anchor (Q9)."""
     if spec.audio_links is None:

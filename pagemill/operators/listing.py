@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import SiteSpec
 from ..functions.dates import end_time, news_date, parse_loose
 from ..functions.urls import url_join
-from .select import element_match, parent_match
+from .select import Selector, element_match, matching
 
 
 def _elem(selector) -> Column:
@@ -41,58 +41,43 @@ def entries(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
     """P3 + P4: one row per selected entry with its raw fields.
 
     Columns: page_id, anchor_id, pos (1-based, document order), entry_uri,
-    thumb_pic_url, public_date_raw, ignore, list_type.
+    thumb_pic_url, public_date_raw, ignore, list_type.  One scan: the page type
+    (P2) comes from the same rows, as a window over the page's entries.
     """
     ent = spec.entry_any
-    is_entry = _elem(ent)
-    in_common = _elem(spec.entry_common) if spec.entry_common is not None else F.lit(False)
-    fields = {}
-    if spec.entry_link:
-        fields["link"] = ent.then(*spec.entry_link)
-    if spec.entry_thumb:
-        fields["thumb"] = ent.then(*spec.entry_thumb)
-    if spec.entry_ignore:
-        fields["ignore"] = ent.then(*spec.entry_ignore)
-    date_sel = ent.then(*spec.entry_date) if spec.entry_date else None
-    flags = {k: _elem(s) for k, s in fields.items()}
-    if date_sel is not None:
-        flags["date"] = (F.col("kind") == "text") & parent_match(date_sel)
-    from .select import chain_state, _transition  # local: anchor of a matching node
-    anchors = []
-    for k, s in fields.items():
-        st = _transition(s, chain_state(s), F.col("tag"), F.col("attrs")["id"], F.col("attrs")["class"],
-                         F.col("node_id"), F.size("chain"))
-        anchors.append(F.when(flags[k], st["anchor"]))
-    if date_sel is not None:
-        anchors.append(F.when(flags["date"], chain_state(date_sel)["anchor"]))
-    any_flag = is_entry
-    for f in flags.values():
-        any_flag = any_flag | f
-    rows = nodes.where(any_flag).withColumn(
-        "anchor_id", F.coalesce(F.when(is_entry, F.col("node_id")), *anchors))
-    attrs = F.col("attrs")
-
-    def first(value, cond):
+    elements = {"entry": Selector(ent.steps, anchor=len(ent.steps))}
+    for name, steps in (("link", spec.entry_link), ("thumb", spec.entry_thumb), ("ignore", spec.entry_ignore)):
+        if steps:
+            elements[name] = ent.then(*steps)
+    if spec.entry_common is not None:
+        elements["in_common"] = spec.entry_common
+    if spec.list_common_marker is not None:
+        elements["marker"] = spec.list_common_marker
+    texts = {"date": ent.then(*spec.entry_date)} if spec.entry_date else {}
+    rows = matching(nodes, elements, texts, "page_id", "node_id", "attrs", "text")
+
+    def flag(name: str) -> Column:
+        return F.col(f"m.{name}") if name in elements or name in texts else F.lit(False)
+
+    def first(value: Column, cond: Column) -> Column:
         return F.min_by(value, F.when(cond & value.isNotNull(), F.col("node_id")))
 
-    aggs = [F.bool_or(is_entry).alias("_is_entry"), F.bool_or(is_entry & in_common).alias("in_common")]
-    aggs.append(first(attrs[spec.entry_link_attr], flags["link"]).alias("entry_uri") if "link" in flags
-                else F.lit(None).cast("string").alias("entry_uri"))
-    if "thumb" in flags:
-        aggs.append(first(attrs["data-src"], flags["thumb"]).alias("_thumb_ds"))
-        aggs.append(first(attrs["src"], flags["thumb"]).alias("_thumb_src"))
-    aggs.append(first(F.col("text"), flags["date"]).alias("public_date_raw") if "date" in flags
-                else F.lit(None).cast("string").alias("public_date_raw"))
-    aggs.append(F.bool_or(flags["ignore"]).alias("ignore") if "ignore" in flags else F.lit(False).alias("ignore"))
-    g = rows.groupBy("page_id", "anchor_id").agg(*aggs).where("_is_entry")
-    thumb = F.coalesce("_thumb_ds", "_thumb_src") if "thumb" in flags else F.lit(None).cast("string")
-    g = g.withColumn("thumb_pic_url", thumb)
-    types = page_types(nodes, spec)
-    g = g.join(types, "page_id").where((F.col("list_type") != "common") | F.col("in_common"))
-    w = Window.partitionBy("page_id").orderBy("anchor_id")
-    return g.select("page_id", "anchor_id", F.row_number().over(w).alias("pos"), "entry_uri",
-                    "thumb_pic_url", "public_date_raw", F.coalesce("ignore", F.lit(False)).alias("ignore"),
-                    "list_type")
+    own = F.coalesce(*[F.when(flag(n), F.col(f"m.{n}_anchor")) for n in ("entry", "link", "thumb", "ignore", "date")
+                       if n in elements or n in texts])
+    attrs = F.col("attrs")
+    g = rows.withColumn("anchor_id", own).groupBy("page_id", "anchor_id").agg(
+        F.bool_or(flag("entry")).alias("_is_entry"),
+        F.bool_or(flag("entry") & flag("in_common")).alias("in_common"),
+        F.bool_or(flag("marker")).alias("_marker"),
+        first(attrs[spec.entry_link_attr], flag("link")).alias("entry_uri"),
+        F.coalesce(first(attrs["data-src"], flag("thumb")), first(attrs["src"], flag("thumb"))).alias("thumb_pic_url"),
+        first(F.col("text"), flag("date")).alias("public_date_raw"),
+        F.bool_or(flag("ignore")).alias("ignore"))
+    page = Window.partitionBy("page_id")
+    g = g.withColumn("list_type", F.when(F.bool_or("_marker").over(page), "common").otherwise("async"))
+    g = g.where(F.col("_is_entry") & ((F.col("list_type") != "common") | F.col("in_common")))
+    return g.select("page_id", "anchor_id", F.row_number().over(page.orderBy("anchor_id")).alias("pos"), "entry_uri",
+                    "thumb_pic_url", "public_date_raw", F.coalesce("ignore", F.lit(False)).alias("ignore"), "list_type")
 
 
 def resolve_entries(ents: DataFrame, list_meta: DataFrame, run_ts) -> DataFrame:
@@ -113,7 +98,7 @@ def resolve_entries(ents: DataFrame, list_meta: DataFrame, run_ts) -> DataFrame:
     )
 
 
-def take_while(entries_df: DataFrame, hours: Column, run_ts, max_page: int = 100,
+def take_while(entries_df: DataFrame, hours: Column, run_ts, max_page: int | None = None,
                source: str = "source", page: str = "page_counter", pos: str = "pos",
                ts: str = "public_datetime", skip: Column | None = None,
                page_sizes: DataFrame | None = None) -> DataFrame:
@@ -121,8 +106,8 @@ def take_while(entries_df: DataFrame, hours: Column, run_ts, max_page: int = 100
 
     The first non-skipped entry older than ``run_ts - hours`` stops its page
     and every later page of the source; skipped rows (rejected / ignored) are
-    never tested.  Pages after ``max_page`` and after the first page with no
-    entries (``page_sizes``: source, page, n_entries) are not crawled.
+    never tested.  With ``max_page`` (L2) later pages are not crawled; nor are
+    those after the first page with no (``page_sizes``: source, page, n_entries).
     Returns the kept, non-skipped rows; the stop is a per-source aggregate.
     """
     skip = F.lit(False) if skip is None else skip
@@ -132,7 +117,9 @@ def take_while(entries_df: DataFrame, hours: Column, run_ts, max_page: int = 100
     key = F.struct(F.col(page).alias("pg"), F.col(pos).alias("ps"))
     stops = e.where(old).groupBy(source).agg(F.min(key).alias("_stop"))
     kept = e.join(stops, source, "left").where(
-        (F.col(page) <= max_page) & (F.col("_stop").isNull() | (key < F.col("_stop"))) & ~F.col("_skip"))
+        (F.col("_stop").isNull() | (key < F.col("_stop"))) & ~F.col("_skip"))
+    if max_page is not None:
+        kept = kept.where(F.col(page) <= max_page)
     if page_sizes is not None:
         empty = page_sizes.where(F.col("n_entries") == 0).groupBy(source).agg(F.min(page).alias("_empty"))
         kept = kept.join(empty, source, "left").where(F.col("_empty").isNull() | (F.col(page) < F.col("_empty")))

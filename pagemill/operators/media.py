@@ -48,20 +48,38 @@ def media_ok(attached: DataFrame) -> DataFrame:
                                         F.count("*").alias("n_files"))
 
 
-def with_status(articles: DataFrame, per_uuid: DataFrame, export_ok: Column | None = None) -> DataFrame:
-    """New -> downloaded / downloaded_error -> packed / packed_failed -> done.
+def download_status(articles: DataFrame, per_uuid: DataFrame) -> DataFrame:
+    """C12, first step: ``downloaded`` or ``downloaded_error``.  Zero files count as fetched (Q8)."""
+    a = articles.join(per_uuid.select("uuid", "media_ok"), "uuid", "left").withColumn(
+        "media_ok", F.coalesce("media_ok", F.lit(True)))
+    return a.withColumns({
+        "status": F.when(F.col("media_ok"), "downloaded").otherwise("downloaded_error"),
+        "status_msg": F.when(F.col("media_ok"), "related files downloaded")
+                       .otherwise("related files download error")})
 
-    Zero files count as fetched (Q8).  ``export_ok`` is the pack step's result.
+
+def pack_status(articles: DataFrame, pack_error: Column | None = None) -> DataFrame:
+    """C12, second step: ``packed``, or ``packed_failed`` with the error (NULL: none), whatever came before.
+
+    An article that was not downloaded and packs without error keeps its status.
     """
-    export_ok = F.lit(True) if export_ok is None else export_ok
-    a = articles.join(per_uuid, "uuid", "left").withColumn("media_ok", F.coalesce("media_ok", F.lit(True)))
-    status = (F.when(~F.col("media_ok"), "downloaded_error")
-              .when(~export_ok, "packed_failed")
-              .otherwise("done"))
-    msg = (F.when(~F.col("media_ok"), "related files download error")
-           .when(~export_ok, "pack error")
-           .otherwise("ok"))
-    return a.withColumn("status", status).withColumn("status_msg", msg)
+    error = F.lit(None).cast("string") if pack_error is None else pack_error
+    return articles.withColumns({
+        "status": F.when(error.isNotNull(), "packed_failed")
+                   .when(F.col("status") == "downloaded", "packed").otherwise(F.col("status")),
+        "status_msg": F.coalesce(error, F.col("status_msg"))})
+
+
+def store_status(articles: DataFrame) -> DataFrame:
+    """C12, last step: ``packed`` becomes ``done`` / ``ok`` as it is stored."""
+    packed = F.col("status") == "packed"
+    return articles.withColumns({"status": F.when(packed, "done").otherwise(F.col("status")),
+                                 "status_msg": F.when(packed, "ok").otherwise(F.col("status_msg"))})
+
+
+def with_status(articles: DataFrame, per_uuid: DataFrame, pack_error: Column | None = None) -> DataFrame:
+    """All steps."""
+    return store_status(pack_status(download_status(articles, per_uuid), pack_error))
 
 
 def route(articles: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ before it, a ``desc`` step the ``ever`` bit.  So every axis test is evaluated
 on the row itself: no self-join on ``page_id`` and no per-page shuffle.
 
 An ``anchor`` step index captures the node id (and chain position) of the
-innermost ancestor that completed the selector up to that step; relative
+innermost (or outermost) ancestor that completed the selector up to that step; relative
 fields ("``.//img`` under this entry") group by it.
 
 Two class tests exist and are kept apart: ``cls_sub`` is XPath's
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 
 @dataclass(frozen=True)
 class Step:
@@ -46,6 +48,7 @@ def desc(tag="*", **kw) -> Step:
 class Selector:
     steps: tuple[Step, ...]
     anchor: int | None = None     # 1-based step index whose match is captured
+    outermost: bool = False       # capture the outermost such ancestor, not the innermost
 
     def then(self, *more: Step) -> "Selector":
         """Relative selector: these steps below the current one, anchored here."""
@@ -80,6 +83,8 @@ def _transition(selector: Selector, state: Column, tag, eid, cls, nid, pos) -> C
     fields = [new_exact.alias("exact"), ever.bitwiseOR(new_exact).alias("ever")]
     if selector.anchor is not None:
         hit = new_exact.bitwiseAND(F.lit(1 << selector.anchor)) != 0
+        if selector.outermost:
+            hit = hit & state["anchor"].isNull()
         fields.append(F.when(hit, nid).otherwise(state["anchor"]).alias("anchor"))
         fields.append(F.when(hit, pos).otherwise(state["anchor_pos"]).alias("anchor_pos"))
     fields.append((state["n"] + 1).alias("n"))
@@ -127,6 +132,58 @@ def parent_anchor(selector: Selector) -> Column:
     return chain_state(selector)["anchor"]
 
 
+def match_all(elements: dict[str, Selector], texts: dict[str, Selector]) -> Column:
+    """All selectors in one fold over the ancestor chain.
+
+    A struct with a boolean for each name (``elements``: the node is an element
+    that the selector matches; ``texts``: the node is a text whose parent it
+    matches) and ``<name>_anchor`` where the selector has an anchor.
+    """
+    both = elements | texts
+    folded = F.aggregate(
+        F.col("chain"), F.struct(*[_init(s).alias(n) for n, s in both.items()]),
+        lambda st, e: F.struct(*[_transition(s, st[n], e["tag"], e["eid"], e["cls"], e["nid"], st[n]["n"]).alias(n)
+                                 for n, s in both.items()]))
+
+    def last_step(st: Column) -> Column:
+        return F.struct(*[_transition(s, st[n], F.col("tag"), F.col("attrs")["id"], F.col("attrs")["class"],
+                                      F.col("node_id"), F.size("chain")).alias(n) for n, s in elements.items()],
+                        *[st[n].alias(n) for n in texts])
+
+    def result(st: Column) -> Column:
+        fields = []
+        for n, s in both.items():
+            fields.append(((F.col("kind") == ("element" if n in elements else "text")) & _final_bit(s, st[n])).alias(n))
+            if s.anchor is not None:
+                fields.append(st[n]["anchor"].alias(f"{n}_anchor"))
+        return F.struct(*fields)
+
+    return let(let(folded, last_step), result)
+
+
+def matching(nodes: DataFrame, elements: dict[str, Selector], texts: dict[str, Selector], *cols: str,
+             root: bool = False) -> DataFrame:
+    """``cols`` and ``m`` (see `match_all`) of the nodes that any selector matches; ``root``: and of each page's first.
+
+    The tag test runs first; the fold is evaluated once per node (a generator
+    is no place that the optimizer copies an expression through).
+    """
+    tags = {s.steps[-1].tag for s in elements.values()}
+    first = F.col("node_id") == 0 if root else F.lit(False)
+    near = F.col("kind") == "element" if "*" in tags else (F.col("kind") == "element") & F.col("tag").isin(*tags)
+    if texts:
+        near = near | (F.col("kind") == "text")
+
+    def any_match(m: Column) -> Column:
+        out = first
+        for n in elements | texts:
+            out = out | m[n]
+        return out
+
+    return nodes.where(near | first).select(
+        *cols, F.explode(F.filter(F.array(match_all(elements, texts)), any_match)).alias("m"))
+
+
 def select_elements(nodes: DataFrame, selector: Selector, prefilter_tag: bool = True) -> DataFrame:
     """Element nodes matching ``selector``; the cheap tag test runs first."""
     last = selector.steps[-1]

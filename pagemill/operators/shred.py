@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -103,9 +104,10 @@ class _TreeBuilder(HTMLParser):
         self.src = html
         self.scopes = scopes
         self.line_starts = [0]
-        for i, ch in enumerate(html):
-            if ch == "\n":
-                self.line_starts.append(i + 1)
+        at = html.find("\n")
+        while at >= 0:
+            self.line_starts.append(at + 1)
+            at = html.find("\n", at + 1)
         self.rows: list[list] = []  # node_id -> row
         self.stack: list[list] = []  # [node_id, tag, eid, cls, n_children, keep_children]
         self.chain: list[dict] = []
@@ -224,29 +226,22 @@ def shred_html(html: str, scopes: tuple[HtmlScope, ...] = ()) -> list[list]:
     return tb.finish()
 
 
+BATCH_NODES = 20_000     # node rows of an output batch; a page is never split over more batches than it needs
+
+
 def _batches_to_nodes(scopes):
-    def fn(batches):
+    def rows(batches):
         for batch in batches:
-            cols = {n: [] for n in _ARROW_SCHEMA.names}
-            pids = batch.column("page_id").to_pylist()
-            htmls = batch.column("html").to_pylist()
-            for pid, html in zip(pids, htmls):
-                for r in shred_html(html, scopes):
-                    cols["page_id"].append(pid)
-                    cols["node_id"].append(r[0])
-                    cols["end_id"].append(r[1])
-                    cols["parent_id"].append(r[2])
-                    cols["depth"].append(r[3])
-                    cols["sib"].append(r[4])
-                    cols["kind"].append(r[5])
-                    cols["tag"].append(r[6])
-                    cols["attrs"].append(None if r[7] is None else list(r[7].items()))
-                    cols["text"].append(r[8])
-                    cols["start_off"].append(r[9])
-                    cols["end_off"].append(r[10])
-                    cols["html"].append(r[11])
-                    cols["chain"].append(r[12])
-            yield pa.RecordBatch.from_pydict(cols, schema=_ARROW_SCHEMA)
+            for i in range(batch.num_rows):      # one page's HTML in Python at a time
+                pid = batch.column(0)[i].as_py()
+                for r in shred_html(batch.column(1)[i].as_py(), scopes):
+                    yield (pid, *r[:7], None if r[7] is None else list(r[7].items()), *r[8:])
+
+    def fn(batches):
+        it = rows(batches)
+        while some := list(islice(it, BATCH_NODES)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=f.type) for c, f in zip(zip(*some), _ARROW_SCHEMA)], schema=_ARROW_SCHEMA)
     return fn
 
 
@@ -259,21 +254,24 @@ def shred(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
     return pages.select("page_id", "html").mapInArrow(_batches_to_nodes(tuple(scopes)), NODES_SCHEMA)
 
 
-def nodes_by_page(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
-    """P1, written once as a parquet table under the shared checkpoint folder.
+def write_nodes(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> str:
+    """P1, written once as a parquet table under the shared checkpoint folder; its path.
 
     Several consumers (field aggregates, entries, body blocks) read the node
     table.  Left lazy, each would re-run the Python shredder, because the
     optimizer pushes each consumer's own filter and projection below any
-    shared exchange.  Written once, the shredder runs once per page, the
-    lineage is cut (a lost executor re-reads the table instead of re-parsing
-    HTML), and every consumer's ``kind``/``tag`` filters and column pruning
-    reach the parquet scan.
+    shared exchange.  Written once, the shredder runs once per page, a lost
+    executor re-reads the table instead of re-parsing HTML, and every
+    consumer's ``kind``/``tag`` filters and column pruning reach the scan.
     """
     import uuid
 
     from ..session import ensure_checkpoint_dir
-    spark = pages.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/nodes-{uuid.uuid4().hex[:16]}"
+    path = f"{ensure_checkpoint_dir(pages.sparkSession).rstrip('/')}/nodes-{uuid.uuid4().hex[:16]}"
     shred(pages, scopes).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def nodes_by_page(pages: DataFrame, scopes: tuple[HtmlScope, ...] = ()) -> DataFrame:
+    """The node table of ``pages``, written by `write_nodes`."""
+    return pages.sparkSession.read.parquet(write_nodes(pages, scopes))

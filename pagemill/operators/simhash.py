@@ -48,33 +48,35 @@ def simhash_relational(df: DataFrame, key: str = "doc_id", text: str = "text") -
     return out.select(key, signed.cast("string").alias("simhash"), "hi", "lo")
 
 
-def _simhash_batch(texts):
+CHUNK = 8192         # distinct shingles whose bits are unpacked at a time
+
+
+def fingerprint(text: str | None) -> int:
+    """Unsigned 64-bit SimHash of one text; beside its distinct shingles, memory is bounded by ``CHUNK``."""
     import hashlib
     import re
     from collections import Counter
+    from itertools import islice
 
     import numpy as np
+
+    c = re.sub(r"[^\w]+", "", (text or "").lower())
+    feats = iter(Counter(c[i:i + WIDTH] for i in range(max(len(c) - WIDTH + 1, 1))).items())
+    votes = np.zeros(64, np.int64)
+    while some := list(islice(feats, CHUNK)):
+        raw = b"".join(hashlib.md5(f.encode("utf-8")).digest()[8:] for f, _ in some)
+        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1)      # high bit first
+        w = np.array([n for _, n in some], np.int64)
+        votes += 2 * (w @ bits) - w.sum()
+    return int.from_bytes(np.packbits(votes > 0).tobytes(), "big")
+
+
+def _simhash_batch(texts):
     import pandas as pd
 
-    nonword = re.compile(r"[^\w]+")
-    his, los = [], []
-    bitpos = np.arange(32, dtype=np.uint64)
-    for t in texts:
-        c = nonword.sub("", (t or "").lower())
-        feats = Counter(c[i:i + WIDTH] for i in range(max(len(c) - WIDTH + 1, 1)))
-        if not feats:
-            his.append(0)
-            los.append(0)
-            continue
-        w = np.fromiter(feats.values(), dtype=np.int64, count=len(feats))
-        lo64 = np.fromiter((int.from_bytes(hashlib.md5(f.encode("utf-8")).digest()[8:], "big")
-                            for f in feats), dtype=np.uint64, count=len(feats))
-        bits = ((lo64[:, None] >> np.arange(64, dtype=np.uint64)[None, :]) & np.uint64(1)).astype(np.int64)
-        votes = (w[:, None] * (2 * bits - 1)).sum(axis=0)
-        on = (votes > 0).astype(np.uint64)
-        los.append(int((on[:32] << bitpos).sum()))
-        his.append(int((on[32:] << bitpos).sum()))
-    return pd.DataFrame({"hi": pd.Series(his, dtype="int64"), "lo": pd.Series(los, dtype="int64")})
+    fps = [fingerprint(t) for t in texts]
+    return pd.DataFrame({"hi": pd.Series([f >> 32 for f in fps], dtype="int64"),
+                         "lo": pd.Series([f & 0xFFFFFFFF for f in fps], dtype="int64")})
 
 
 def simhash(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

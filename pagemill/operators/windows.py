@@ -3,9 +3,10 @@
 ``row_number() OVER (PARTITION BY g ORDER BY t)`` sorts a whole group in one
 task; when one group holds a large share of the rows (one source, one batch)
 that task is the job.  ``running_number`` gives the same numbers in three
-distributed steps: cut the order key into ranges (buckets), count rows per
-(group, bucket), turn the small count table into offsets with a prefix sum,
-and number rows inside each (group, bucket) plus the offset.
+distributed steps: range-partition the rows by (group, order) - Spark samples
+the keys, so a group of any size or time span falls into ranges of like
+*count* - then count rows per (group, range), turn the small count table into
+offsets with a prefix sum, and number rows inside each range plus the offset.
 """
 
 from __future__ import annotations
@@ -13,23 +14,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 
-def running_number(df: DataFrame, group_cols: list[str], order_col: str, order_cols: list[str],
-                   out: str = "n", n_buckets: int = 64) -> DataFrame:
-    """Exact ``row_number`` per group in ``order_cols`` order.
 
-    ``order_col`` is numeric and non-decreasing along ``order_cols`` (it only
-    cuts the ranges; ties inside a range are ordered by ``order_cols``).
+def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str], ranges: int | None = None) -> DataFrame:
+    """``df`` with ``_range``: the number of its range in (group, order), about equal in rows.
+
+    Cut with a reliable checkpoint: the sampled range bounds must be the same
+    for every reader.
     """
-    stats = df.agg(F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
-    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    b = df.crossJoin(stats).withColumn(  # one-row stats frame
-        "_bucket", F.floor((F.col(order_col) - F.col("_lo")).cast("double") * n_buckets / span).cast("int"))
-    b = b.drop("_lo", "_hi")
-    counts = b.groupBy(*group_cols, "_bucket").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ensure_checkpoint_dir(df.sparkSession)
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(n, *group_cols, *order_cols)
+            .withColumn("_range", F.spark_partition_id()).checkpoint())
+
+
+def running_number(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "n",
+                   ranges: int | None = None) -> DataFrame:
+    """Exact ``row_number`` per group in ``order_cols`` order (a total order)."""
+    b = ranged(df, group_cols, order_cols, ranges)
+    counts = b.groupBy(*group_cols, "_range").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
-    inner = Window.partitionBy(*group_cols, "_bucket").orderBy(*order_cols)
-    return (b.join(offsets, [*group_cols, "_bucket"])
-            .withColumn(out, F.row_number().over(inner) + F.col("_off"))
-            .drop("_bucket", "_off"))
+    inner = Window.partitionBy(*group_cols, "_range").orderBy(*order_cols)
+    numbered = b.withColumn("_n", F.row_number().over(inner))
+    same = [numbered[c].eqNullSafe(offsets[c]) for c in group_cols] + [numbered["_range"] == offsets["_range"]]
+    return numbered.join(offsets, same).select(
+        *[numbered[c] for c in df.columns], (F.col("_n") + F.col("_off")).alias(out))

@@ -18,11 +18,19 @@ from ..functions import text as X
 from ..operators.blocks import blocks_from_lines, blocks_from_nodes, body_roots
 from ..operators.detail import page_fields
 from ..operators.listing import entries as list_entries
-from ..operators.shred import HtmlScope, nodes_by_page
-from ..sources.tables import raw_pages, spread, table
+from ..operators.shred import HtmlScope, nodes_by_page, write_nodes
+from ..sources.tables import raw_pages, table
 from . import sqlkit as Q
 
 RUN_TS = Q.RUN_TS
+# The twins' own constants, written out again so that a wrong one in the operators shows.
+_WS = Q.PY_WS
+_NON_BMP = r"[\x{10000}-\x{10FFFF}]"
+_ILLEGAL = r"\t|\n|\x{3000}|&nbsp;|\x{A0}|&#x3000;|\r"
+_ENDS = _WS[:-1] + r"\x{200B}]"
+_PUNCT = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
+_FULL = "０１２３４５６７８９ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ－"
+_HALF = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-"
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
 
@@ -46,13 +54,22 @@ def oracle() -> dict[str, str]:
 
 # -- shared inputs -------------------------------------------------------------
 
+_NODE_TABLES: dict[tuple, str] = {}     # of this application: one node table for each input and scope
+
+
 def page_nodes(spark: SparkSession, sf_dir: str, scopes=(HtmlScope("article"),)) -> DataFrame:
-    """P1 over the bundled pages; the article and its children keep their markup."""
-    return nodes_by_page(spread(raw_pages(spark, sf_dir)), scopes)
+    """P1 over the bundled pages, written once and reused by every page query of the application.
+
+    The article and its children keep their markup.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(scopes))
+    if key not in _NODE_TABLES:
+        _NODE_TABLES[key] = write_nodes(raw_pages(spark, sf_dir), scopes)
+    return spark.read.parquet(_NODE_TABLES[key])
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +137,7 @@ def p22_plain_text(spark, sf):
 # -- A8 word / character counts ------------------------------------------------------
 
 @query("a8_word_stats", sql=f"""
-SELECT doc_id, len(list_filter(string_split_regex(text, '{X.PY_WS}+'), lambda w: w <> '')) AS n_words,
+SELECT doc_id, len(list_filter(string_split_regex(text, '{_WS}+'), lambda w: w <> '')) AS n_words,
        len(list_distinct(string_split(text, ''))) AS n_distinct_chars
 FROM documents""")
 def a8_word_stats(spark, sf):
@@ -206,9 +223,9 @@ from ..functions import ids as I  # noqa: E402
 from ..functions import urls as U  # noqa: E402
 from ..operators import dedup as DD  # noqa: E402
 from ..operators import media as M  # noqa: E402
-from ..operators.blocks import assemble, classify_pass1, clean_blocks, signoff_trim  # noqa: E402
+from ..operators.blocks import assemble, classify_pass1, clean_blocks, clean_text, signoff_trim  # noqa: E402
 from ..operators.detail import audio_type, lowest_rate_link  # noqa: E402
-from ..operators.listing import take_while  # noqa: E402
+from ..operators.listing import resolve_entries, take_while  # noqa: E402
 from ..operators.select import desc, child, sel, select_text  # noqa: E402
 from ..operators.simhash import simhash  # noqa: E402
 from ..sinks import stores as S  # noqa: E402
@@ -381,6 +398,15 @@ def ev_entries(spark, sf):
         (F.col("k") > 90).alias("ignore"))
 
 
+def ev_resolved(spark, sf):
+    """The entries through C1, C2, F9 and F2; each event is a list page of its own."""
+    e = ev_entries(spark, sf).withColumn("page_id", F.col("event_id"))
+    meta = e.select("page_id", F.lit("https://e.example.org/z?p=0").alias("url"), "source", "page_counter")
+    ents = e.select("page_id", "event_id", "pos", "entry_uri", "ignore",
+                    F.date_format("public_datetime", "yyyy-MM-dd HH:mm:ss").alias("public_date_raw"))
+    return resolve_entries(ents, meta, RUN_TS)
+
+
 EV_ENTRIES_SQL = f"""{EV_SQL},
 ent AS (SELECT event_id, 'src' || CAST(user_id % 5 AS VARCHAR) AS source,
           ((SELECT max(event_id) FROM ev) - event_id) // 20 AS page_counter,
@@ -398,17 +424,17 @@ WITH {EV_ENTRIES_SQL}
 SELECT source, count(*) FILTER (WHERE entry_uri IS NULL) AS n_rejected,
        count(*) FILTER (WHERE entry_uri IS NOT NULL) AS n_passed FROM ent GROUP BY source""")
 def c1_reject_no_link(spark, sf):
-    e = ev_entries(spark, sf)
-    return e.groupBy("source").agg(F.count(F.when(F.col("entry_uri").isNull(), 1)).alias("n_rejected"),
-                                   F.count(F.when(F.col("entry_uri").isNotNull(), 1)).alias("n_passed"))
+    return ev_resolved(spark, sf).groupBy("source").agg(
+        F.count(F.when(F.col("reason") == "entry_without_link", 1)).alias("n_rejected"),
+        F.count(F.when(F.coalesce(F.col("reason") != "entry_without_link", F.lit(True)), 1)).alias("n_passed"))
 
 
 @query("c2_skip_ignored", sql=f"""
 WITH {EV_ENTRIES_SQL}
 SELECT source, count(*) FILTER (WHERE entry_uri IS NOT NULL AND ignore) AS n_ignored FROM ent GROUP BY source""")
 def c2_skip_ignored(spark, sf):
-    e = ev_entries(spark, sf)
-    return e.groupBy("source").agg(F.count(F.when(F.col("entry_uri").isNotNull() & F.col("ignore"), 1)).alias("n_ignored"))
+    return ev_resolved(spark, sf).groupBy("source").agg(
+        F.count(F.when(F.col("reason") == "entry_ignored", 1)).alias("n_ignored"))
 
 
 @query("c3_end_time", sql=f"""
@@ -443,10 +469,10 @@ WITH {EV_ENTRIES_SQL},
 stops AS (SELECT source, min(page_counter * 1000 + pos) AS stop FROM ent2
           WHERE NOT skip AND public_datetime < endtime GROUP BY source)
 SELECT e.event_id, e.source, e.page_counter, e.pos FROM ent2 e LEFT JOIN stops s USING (source)
-WHERE NOT e.skip AND e.page_counter <= 100 AND (s.stop IS NULL OR e.page_counter * 1000 + e.pos < s.stop)""")
+WHERE NOT e.skip AND (s.stop IS NULL OR e.page_counter * 1000 + e.pos < s.stop)""")
 def w1_take_while(spark, sf):
     e = ev_entries(spark, sf)
-    kept = take_while(e, _hours_col(F.col("source")), RUN_TS, max_page=100,
+    kept = take_while(e, _hours_col(F.col("source")), RUN_TS,
                       skip=F.col("entry_uri").isNull() | F.col("ignore"))
     return kept.select("event_id", "source", "page_counter", "pos")
 
@@ -554,13 +580,14 @@ def ev_status(spark, sf):
     per = M.media_ok(M.attach_results(M.manifest(arts), results))
     a = arts.withColumn("others", F.struct(F.array().cast("array<string>").alias("tags"),
                                            F.lit(None).cast("string").alias("ref_uuid")))
-    return M.with_status(a, per, export_ok=(F.col("user_id") % 11 != 0))
+    return M.with_status(a, per, pack_error=F.when(F.col("user_id") % 11 == 0, "disk full"))
 
 
 EV_STATUS_SQL = f"""{EV_MEDIA_SQL},
 st AS (SELECT 'u' || CAST(u.user_id AS VARCHAR) AS uuid, u.user_id,
-         CASE WHEN NOT coalesce(p.media_ok, true) THEN 'downloaded_error' WHEN u.user_id % 11 = 0 THEN 'packed_failed' ELSE 'done' END AS status,
-         CASE WHEN NOT coalesce(p.media_ok, true) THEN 'related files download error' WHEN u.user_id % 11 = 0 THEN 'pack error' ELSE 'ok' END AS status_msg
+         CASE WHEN u.user_id % 11 = 0 THEN 'packed_failed' WHEN NOT coalesce(p.media_ok, true) THEN 'downloaded_error' ELSE 'done' END AS status,
+         CASE WHEN u.user_id % 11 = 0 THEN 'disk full' WHEN NOT coalesce(p.media_ok, true) THEN 'related files download error' ELSE 'ok' END AS status_msg,
+         CASE WHEN NOT coalesce(p.media_ok, true) THEN 'downloaded_error' ELSE 'downloaded' END AS fetched
        FROM users u LEFT JOIN per p ON p.uuid = 'u' || CAST(u.user_id AS VARCHAR))"""
 
 
@@ -606,8 +633,7 @@ FROM ev""")
 def w7_running_counter(spark, sf):
     from ..operators.windows import running_number
     a = ev_articles(spark, sf).withColumn("batch_id", D.batch_id(F.date_trunc("day", F.col("ts"))))
-    a = a.withColumn("arrival", F.unix_micros(F.col("ts").cast("timestamp")))
-    return running_number(a, ["spider", "batch_id"], "arrival", ["ts", "event_id"], "n").select(
+    return running_number(a, ["spider", "batch_id"], ["ts", "event_id"], "n").select(
         "event_id", "spider", "batch_id", "n")
 
 
@@ -634,7 +660,7 @@ def f7_picture_dir(spark, sf):
 
 
 @query("f16_regex_int", sql="""
-SELECT event_id, TRY_CAST(NULLIF(regexp_extract(props, '"k": (\\d+)', 1), '') AS INTEGER) AS k FROM events""")
+SELECT event_id, TRY_CAST(NULLIF(regexp_extract(props, '"k": (\\d+)', 1), '') AS DECIMAL(38, 0)) AS k FROM events""")
 def f16_regex_int(spark, sf):
     return events(spark, sf).select("event_id", X.regex_int(F.col("props"), r'"k": (\d+)').alias("k"))
 
@@ -650,9 +676,8 @@ def c10_non_null_keys(spark, sf):
     a = ev_articles(spark, sf).select(
         "event_id", "spider", F.when(F.col("event_type") != "error", F.col("source_addr")).alias("source_addr"),
         F.when(F.col("k") > 50, F.col("title")).alias("category"))
-    names = ["event_id", "spider", "source_addr", "category"]
-    present = F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in names])
-    return a.select("event_id", F.array_join(present, ",").alias("keys"))
+    record = S.non_null_json(a, ("event_id", "spider", "source_addr", "category"))
+    return a.select("event_id", F.array_join(F.json_object_keys(record), ",").alias("keys"))
 
 
 # =============================================================================
@@ -735,12 +760,12 @@ def s7_failed_upsert(spark, sf):
 
 import dataclasses as _dc  # noqa: E402
 
-from ..operators.detail import page_fields as _page_fields  # noqa: E402
+from ..operators.detail import page_fields as _page_fields, route_layouts  # noqa: E402
 from ..operators.listing import page_types, join_details  # noqa: E402
 from ..sources.tables import detail_pages, list_pages  # noqa: E402
 
 _HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
-_PAGE_COUNTER_SQL = "coalesce(TRY_CAST(NULLIF(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 0)"
+_PAGE_COUNTER_SQL = "coalesce(TRY_CAST(NULLIF(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS BIGINT), 0)"
 
 
 @query("s1_list_pages", sql=f"SELECT page_id, url, {_PAGE_COUNTER_SQL} AS page_counter FROM pages")
@@ -781,16 +806,39 @@ def p8_category_tags(spark, sf):
 _PUB = _dc.replace(DRIVER_PAGES, pub_time=sel(desc("time")), cover_img=sel(desc("figure"), desc("img")))
 
 
-@query("p6_pub_time", sql=f"SELECT page_id, '{RUN_TS}' AS public_datetime_str, 'run_ts' AS pub_source FROM pages")
+_TIMED_SQL = """(CASE page_id % 4 WHEN 0 THEN '2024-01-0' || CAST(page_id % 9 + 1 AS VARCHAR) || ' 10:00'
+    WHEN 1 THEN '2024-02-0' || CAST(page_id % 9 + 1 AS VARCHAR) || ' 08:30:00' WHEN 2 THEN 'Jan ' || CAST(page_id % 28 + 1 AS VARCHAR) || ', 2024' END)"""
+
+
+def _timed_pages(spark, sf):
+    """Pages with a ``<time>``: by attribute, by attribute in the future, by text only, without; half with a cover."""
+    d = (F.col("page_id") % 9 + 1).cast("string")
+    time = (F.when(F.col("page_id") % 4 == 0, F.concat(F.lit('<time datetime=" 2024-01-0'), d, F.lit(' 10:00 ">then</time>')))
+            .when(F.col("page_id") % 4 == 1, F.concat(F.lit('<time datetime="2024-02-0'), d, F.lit(' 08:30:00">then</time>')))
+            .when(F.col("page_id") % 4 == 2, F.concat(F.lit("<time> Jan "), (F.col("page_id") % 28 + 1).cast("string"),
+                                                      F.lit(", 2024 </time>"))).otherwise(F.lit("")))
+    cover = F.when(F.col("page_id") % 2 == 0, F.concat(
+        F.lit('<figure><div><img src=" /c'), F.col("page_id").cast("string"), F.lit('.jpg " alt=" Cover '),
+        F.col("page_id").cast("string"), F.lit('"></div><img src="/second.jpg"></figure>'))).otherwise(F.lit("<figure></figure>"))
+    html = F.replace(F.col("html"), F.lit("</h1>"), F.concat(F.lit("</h1>"), time, cover))
+    return raw_pages(spark, sf).select("page_id", "url", html.alias("html"))
+
+
+@query("p6_pub_time", sql=f"""
+SELECT page_id, {Q.news_date('raw')} AS public_datetime_str,
+       CASE WHEN page_id % 4 < 2 THEN 'attr' WHEN page_id % 4 = 2 THEN 'text' ELSE 'run_ts' END AS pub_source
+FROM (SELECT page_id, {_TIMED_SQL} AS raw FROM pages)""")
 def p6_pub_time(spark, sf):
-    f = _page_fields(page_nodes(spark, sf), _PUB, RUN_TS)
+    f = _page_fields(nodes_by_page(_timed_pages(spark, sf)), _PUB, RUN_TS)
     return f.select("page_id", "public_datetime_str", "pub_source")
 
 
 @query("p7_cover_image", sql="""
-SELECT page_id, '' AS content_pic, 'content_pic.' AS info_url, '' AS info_alt FROM pages""")
+SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/c' || CAST(page_id AS VARCHAR) || '.jpg' ELSE '' END AS content_pic,
+       'content_pic.' AS info_url, CASE WHEN page_id % 2 = 0 THEN 'Cover ' || CAST(page_id AS VARCHAR) ELSE '' END AS info_alt
+FROM pages""")
 def p7_cover_image(spark, sf):
-    f = _page_fields(page_nodes(spark, sf), _PUB, RUN_TS)
+    f = _page_fields(nodes_by_page(_timed_pages(spark, sf)), _PUB, RUN_TS)
     return f.select("page_id", "content_pic", F.col("content_pic_info.url").alias("info_url"),
                     F.col("content_pic_info.alt").alias("info_alt"))
 
@@ -814,35 +862,56 @@ def p11_scope_guard(spark, sf):
     return a.join(b, "page_id")
 
 
-_BODY = _dc.replace(DRIVER_PAGES, body_root=sel(desc("body")))
-_BODY_CHILDREN_SQL = """bc AS (
-  SELECT page_id, unnest(t) AS tag0, unnest(range(1, len(t) + 1)) AS ord FROM (
-    SELECT page_id, regexp_extract_all(substr(html, strpos(html, '<body>')), '<(nav|div|article|footer)[ >]|<!--', 1) AS t
-    FROM pages))"""
+# One div of each kind, and loose text, put at the start of the article by page id.
+_DIVS = (
+    '<div><div class="x media-pholder">p</div></div>', '<div><div class="quiz">q</div><figure class="media-image"></figure></div>',
+    '<div><div class="external-content-placeholder"></div></div>',
+    '<div><iframe src="v"><script src="https://youtube.example/x"></script></iframe></div>',
+    '<div><iframe src="v"><script>var a = 1;</script><script>youtube</script></iframe></div>',
+    '<div><figure class="media-image"><div class="thumb"><img src="/p.png" alt="a"></div></figure></div>',
+    '<div class="clear">nothing known</div>')
+_DIV_CLASSES = ("main_audio", "quiz", "content_video", "content_video", None, "content_image", "unknown")
+
+
+def _block_pages(spark, sf):
+    div = F.element_at(F.array(*map(F.lit, _DIVS)), (F.col("page_id") % len(_DIVS) + 1).cast("int"))
+    loose = F.when(F.col("page_id") % 3 == 0, " loose text ").when(F.col("page_id") % 3 == 1, " \n ").otherwise("")
+    html = F.replace(F.col("html"), F.lit("<article>"), F.concat(F.lit("<article>"), loose, div, F.lit("<!-- c -->")))
+    return raw_pages(spark, sf).select("page_id", "url", html.alias("html"))
 
 
-@query("p13_loose_text", sql="SELECT page_id, 0 AS n_loose FROM pages")
+@query("p13_loose_text", sql="""
+SELECT page_id, CAST(page_id % 3 < 2 AS INTEGER) AS n_loose, CAST(page_id % 3 = 0 AS INTEGER) AS n_loose_not_blank,
+       1 AS n_comments FROM pages""")
 def p13_loose_text(spark, sf):
-    c = clean_blocks(blocks_from_nodes(page_nodes(spark, sf), DRIVER_PAGES), DRIVER_PAGES)
-    return c.groupBy("page_id").agg(F.sum((F.col("action") == "loose_text").cast("int")).alias("n_loose"))
+    c = classify_pass1(blocks_from_nodes(nodes_by_page(_block_pages(spark, sf), (HtmlScope("article"),)), DRIVER_PAGES), DRIVER_PAGES)
+    loose = F.col("action") == "loose_text"
+    return c.groupBy("page_id").agg(
+        F.sum(loose.cast("int")).cast("int").alias("n_loose"),
+        F.sum((loose & (X.pstrip(F.col("text")) != "")).cast("int")).cast("int").alias("n_loose_not_blank"),
+        F.sum(((F.col("kind") == "comment") & (F.col("action") == "keep")).cast("int")).cast("int").alias("n_comments"))
+
+
+_DIV_CLASS_SQL = "(CASE page_id % 7 " + " ".join(
+    f"WHEN {i} THEN " + (f"'{c}'" if c else "NULL") for i, c in enumerate(_DIV_CLASSES)) + " END)"
 
 
-@query("p14_div_class", sql=f"""
-WITH {_BODY_CHILDREN_SQL}
-SELECT page_id, ord, NULLIF(tag0, '') AS tag, CASE WHEN tag0 = 'div' THEN 'unknown' END AS div_class FROM bc""")
+@query("p14_div_class", sql=f"SELECT page_id, {_DIV_CLASS_SQL} AS div_class FROM pages")
 def p14_div_class(spark, sf):
-    b = blocks_from_nodes(page_nodes(spark, sf, scopes=(HtmlScope("body"),)), _BODY)
-    w = Window.partitionBy("page_id").orderBy("pos")
-    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), "tag", "div_class")
+    b = blocks_from_nodes(nodes_by_page(_block_pages(spark, sf), (HtmlScope("article"),)), DRIVER_PAGES)
+    return b.where(F.col("tag") == "div").select("page_id", "div_class")
 
 
 @query("p15_dispatch", sql=f"""
-WITH {_BODY_CHILDREN_SQL}
-SELECT page_id, ord, NULLIF(tag0, '') AS tag, CASE WHEN tag0 = 'div' THEN 'drop_div' ELSE 'keep' END AS action FROM bc""")
+SELECT page_id, CASE WHEN {_DIV_CLASS_SQL} = 'content_image' THEN 'keep' ELSE 'drop_div' END AS div_action,
+       n_other, n_other AS n_kept
+FROM (SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>|<h1>')) AS n_other FROM pages)""")
 def p15_dispatch(spark, sf):
-    b = classify_pass1(blocks_from_nodes(page_nodes(spark, sf, scopes=(HtmlScope("body"),)), _BODY), _BODY)
-    w = Window.partitionBy("page_id").orderBy("pos")
-    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), "tag", "action")
+    c = classify_pass1(blocks_from_nodes(nodes_by_page(_block_pages(spark, sf), (HtmlScope("article"),)), DRIVER_PAGES), DRIVER_PAGES)
+    other = (F.col("kind") == "element") & (F.col("tag") != "div")
+    return c.groupBy("page_id").agg(F.max(F.when(F.col("tag") == "div", F.col("action"))).alias("div_action"),
+                                    F.count(F.when(other, 1)).alias("n_other"),
+                                    F.count(F.when(other & (F.col("action") == "keep"), 1)).alias("n_kept"))
 
 
 @query("p19_image_rewrite", sql=f"""
@@ -857,12 +926,13 @@ FROM (SELECT page_id, pos, ori, CASE WHEN lower(regexp_extract(ori, '([^./]*)$',
             FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages)))""")
 def p19_image_rewrite(spark, sf):
     e = list_entries(page_nodes(spark, sf), DRIVER_PAGES)
-    ori = X.pstrip(F.col("entry_uri"))
-    img_id = F.concat(F.lit("content_image_"), F.col("pos").cast("string"))
-    url = F.concat(img_id, F.lit("."), U.image_type(ori))
-    html = I.image_html(F.concat(F.lit("content_image_div_"), F.col("pos").cast("string")), img_id, url,
-                        F.lit(""), F.lit(""), ori)
-    return e.select("page_id", F.col("pos").cast("bigint").alias("pos"), img_id.alias("id"), url.alias("url"), html.alias("html"))
+    none = F.lit(None).cast("string")
+    blocks = e.select("page_id", "pos", F.col("pos").alias("block_id"), F.lit("element").alias("kind"),
+                      F.lit("div").alias("tag"), none.alias("cls"), F.lit("").alias("text"), F.lit("").alias("em_text"),
+                      F.lit(False).alias("has_em"), none.alias("html"), F.lit("content_image").alias("div_class"),
+                      F.concat(F.lit(" "), F.col("entry_uri")).alias("img_src"), none.alias("img_alt"))
+    return classify_pass1(blocks, DRIVER_PAGES).select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), "img.id", "img.url", "html")
 
 
 @query("a7_em_text", sql=f"""
@@ -884,10 +954,11 @@ SELECT page_id, ord, CASE WHEN seg LIKE '%<b>%' THEN
 FROM ablocks""")
 def w3_image_counter(spark, sf):
     b = blocks_from_nodes(page_nodes(spark, sf), DRIVER_PAGES, em_tag="b")
+    b = b.withColumn("tag", F.when(F.col("has_em"), "div").otherwise(F.col("tag"))) \
+        .withColumn("div_class", F.when(F.col("has_em"), "content_image"))
+    c = classify_pass1(b, DRIVER_PAGES)
     w = Window.partitionBy("page_id").orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return b.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"),
-                    F.when(F.col("has_em"), F.sum(F.col("has_em").cast("int")).over(run)).cast("bigint").alias("img_no"))
+    return c.select("page_id", F.row_number().over(w).cast("bigint").alias("ord"), F.col("img_no").cast("bigint").alias("img_no"))
 
 
 @query("l3_block_order", sql=f"""
@@ -920,24 +991,49 @@ def j7_axes(spark, sf):
         F.count(F.when(_elem(sel(desc("ul"), child("li"))), 1)).alias("n_child_li"))
 
 
+_ENTRY_URLS_SQL = """ent AS (
+  SELECT page_id, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href AS entry_url, pos
+  FROM (SELECT page_id, url, unnest(h) AS href, unnest(range(1, len(h) + 1)) AS pos
+        FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages)))"""
+
+
 @query("j1_entry_detail", sql=f"""
-SELECT page_id, page_id // 25 AS page_counter, page_id % 25 AS pos,
-       {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS title FROM pages""")
+WITH {_ENTRY_URLS_SQL},
+det AS (SELECT e.page_id AS detail_id, e.entry_url AS url,
+               {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS title
+        FROM ent e JOIN pages p USING (page_id) WHERE e.pos = 2)
+SELECT ent.page_id, ent.pos, det.detail_id, det.title FROM ent JOIN det ON ent.entry_url = det.url""")
 def j1_entry_detail(spark, sf):
-    p = raw_pages(spark, sf)
-    ents = p.select((F.col("page_id") / 25).cast("bigint").alias("page_counter"),
-                    (F.col("page_id") % 25).alias("pos"), F.col("url").alias("entry_url"))
-    det = p.select("page_id", "url").join(_page_fields(page_nodes(spark, sf), DRIVER_PAGES, RUN_TS)
-                                          .select("page_id", "title"), "page_id")
-    return join_details(ents, det).select("page_id", "page_counter", "pos", "title")
+    """Entries of every list page; a page's own fields stand for the detail page behind its second entry."""
+    n = page_nodes(spark, sf)
+    meta = list_pages(raw_pages(spark, sf), DRIVER_PAGES).select("page_id", "url", "page_counter", F.lit("pages").alias("source"))
+    ents = resolve_entries(list_entries(n, DRIVER_PAGES), meta, RUN_TS).where(F.col("reason").isNull()).drop("url")
+    ents = ents.checkpoint()      # read twice below
+    titles = _page_fields(n, DRIVER_PAGES, RUN_TS).select("page_id", "title")
+    det = ents.where(F.col("pos") == 2).select("page_id", F.col("entry_url").alias("url")).join(titles, "page_id").select(
+        F.col("page_id").alias("detail_id"), "url", "title")
+    return join_details(ents, det).select("page_id", F.col("pos").cast("bigint").alias("pos"), "detail_id", "title")
+
+
+_MANY_SQL = "page_id % 150"
 
 
 @query("l2_page_cap", sql=f"""
-SELECT page_id, {_HOST_SQL} AS source, {_PAGE_COUNTER_SQL} AS page_counter FROM pages
-WHERE {_PAGE_COUNTER_SQL} <= 100""")
+WITH p AS (SELECT page_id, 'src' || CAST(page_id // 150 % 4 AS VARCHAR) AS source, {_MANY_SQL} AS page_counter,
+                  page_id % 150 = 137 OR page_id // 150 = 1 AND page_id % 150 = 40 AS bare FROM pages),
+stop AS (SELECT source, min(page_counter) AS empty FROM p WHERE bare GROUP BY source)
+SELECT page_id, source, page_counter FROM p LEFT JOIN stop USING (source)
+WHERE page_counter <= 100 AND (empty IS NULL OR page_counter < empty)""")
 def l2_page_cap(spark, sf):
-    lp = list_pages(raw_pages(spark, sf), DRIVER_PAGES).withColumn("source", U.url_parts(F.col("url"))["netloc"])
-    sizes = list_entries(page_nodes(spark, sf), DRIVER_PAGES).groupBy("page_id").agg(F.count("*").alias("n_entries"))
+    """L2's own limit of 100 list pages; page 137 of every source, and page 40 of one, have no entries."""
+    i, block = F.col("page_id"), F.floor(F.col("page_id") / 150)
+    bare = (i % 150 == 137) | ((block == 1) & (i % 150 == 40))
+    p = raw_pages(spark, sf).select(
+        "page_id", F.concat(F.lit("https://src"), (block % 4).cast("string"), F.lit(".example.org/z?page="),
+                            (i % 150).cast("string")).alias("url"),
+        F.when(bare, F.lit("<html><body></body></html>")).otherwise(F.col("html")).alias("html"))
+    lp = list_pages(p, DRIVER_PAGES).withColumn("source", F.regexp_extract(U.url_parts(F.col("url"))["netloc"], "^src[0-9]", 0))
+    sizes = list_entries(nodes_by_page(p), DRIVER_PAGES).groupBy("page_id").agg(F.count("*").alias("n_entries"))
     ps = lp.join(sizes, "page_id", "left").withColumn("n_entries", F.coalesce("n_entries", F.lit(0)))
     kept = take_while(ps.withColumn("pos", F.lit(0)).withColumn("public_datetime", F.lit(RUN_TS).cast("timestamp_ntz")),
                       F.lit(24), RUN_TS, max_page=100,
@@ -956,18 +1052,19 @@ def c6_constants(spark, sf):
                     F.lit("new").alias("status_msg"), bid.alias("batch_id"), I.data_uri(bid, uid).alias("data_uri"))
 
 
+_LAYOUTS = {"common": DRIVER_PAGES, "footed": _dc.replace(DRIVER_PAGES, title=sel(desc("title")), layout="footed")}
+
+
 @query("c9_layout_routing", sql=f"""
-SELECT page_id, 'common' AS layout, {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS title FROM pages""")
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'footed' ELSE 'common' END AS layout,
+       CASE WHEN page_id % 3 = 0 THEN {Q.pstrip(Q.unescape("regexp_extract(html, '<title>([^<]*)</title>', 1)"))}
+            ELSE {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} END AS title
+FROM pages WHERE page_id % 7 <> 0""")
 def c9_layout_routing(spark, sf):
-    layouts = {"common": DRIVER_PAGES}
-    n = page_nodes(spark, sf)
-    routed = raw_pages(spark, sf).select("page_id", F.lit("common").alias("layout"))  # X5 layout selector
-    parts = [routed.where(F.col("layout") == name).join(_page_fields(n, spec, RUN_TS).select("page_id", "title"), "page_id")
-             for name, spec in layouts.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A layout of each page, an extractor for each layout; pages of an unknown layout give nothing."""
+    layout = (F.when(F.col("page_id") % 7 == 0, "unknown").when(F.col("page_id") % 3 == 0, "footed").otherwise("common"))
+    routed = raw_pages(spark, sf).select("page_id", layout.alias("layout"))
+    return route_layouts(routed, page_nodes(spark, sf), _LAYOUTS, RUN_TS).select("page_id", "layout", "title")
 
 
 @query("f8_content_id", sql=f"""
@@ -1094,8 +1191,7 @@ WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}, {_FOOTER_SQL}
 SELECT l.doc_id, coalesce({Q.clean_lines("string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE mk.mpos IS NOT NULL AND l.pos >= mk.mpos)")}, '') AS footer_text
 FROM lines l LEFT JOIN mk USING (doc_id) GROUP BY l.doc_id""")
 def p23_footer_text(spark, sf):
-    a = assemble(clean_blocks(blocks_from_lines(docs(spark, sf)), _DOC_SPEC))
-    return a.select(F.col("page_id").alias("doc_id"), "footer_text")
+    return clean_text(docs(spark, sf), _DOC_SPEC).select("doc_id", "footer_text")
 
 
 _MIT = "released under the mit license."
@@ -1125,7 +1221,7 @@ def _signoff_docs(spark, sf):
 def _signoff_sql(prefixes, window=20) -> str:
     low = f"lower({Q.pstrip('line')})"
     starts = " OR ".join(f"starts_with({low}, '{p.replace(chr(39), chr(39) * 2)}')" for p in prefixes)
-    nw = f"len(list_filter(string_split_regex({low}, '{X.PY_WS}+'), lambda w: w <> ''))"
+    nw = f"len(list_filter(string_split_regex({low}, '{_WS}+'), lambda w: w <> ''))"
     return f"""so AS (SELECT doc_id, max(pos) AS signoff FROM lines
              WHERE pos > n_lines - {window} AND {nw} BETWEEN 2 AND 5 AND ({starts}) GROUP BY doc_id)"""
 
@@ -1138,8 +1234,7 @@ SELECT doc_id, any_value(signoff) AS signoff_pos, count(*) FILTER (WHERE credit)
        {Q.clean_lines("string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT credit)")} AS formatted_text
 FROM m GROUP BY doc_id""")
 def p18_trailing_credit(spark, sf):
-    a = assemble(clean_blocks(blocks_from_lines(_signoff_docs(spark, sf)), DRIVER_PAGES))
-    return a.select(F.col("page_id").alias("doc_id"), "signoff_pos", "n_credit", "formatted_text")
+    return clean_text(_signoff_docs(spark, sf), DRIVER_PAGES).select("doc_id", "signoff_pos", "n_credit", "formatted_text")
 
 
 _THE_SPEC = _dc.replace(DRIVER_PAGES, signoff_prefixes=("the",))
@@ -1159,9 +1254,7 @@ WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}
 SELECT doc_id, count(*) FILTER (WHERE pos > n_lines - 20) AS n_last, min(pos) FILTER (WHERE pos > n_lines - 20) AS first_last_pos
 FROM lines GROUP BY doc_id""")
 def w4_last_rows(spark, sf):
-    b = blocks_from_lines(docs(spark, sf))
-    w = Window.partitionBy("page_id").orderBy(F.col("pos").desc())
-    r = b.withColumn("from_end", F.row_number().over(w)).where(F.col("from_end") <= 20)
+    r = signoff_trim(blocks_from_lines(docs(spark, sf)), _THE_SPEC).where(F.col("from_end") <= _THE_SPEC.signoff_window)
     return r.groupBy(F.col("page_id").alias("doc_id")).agg(F.count("*").alias("n_last"),
                                                            F.min("pos").cast("bigint").alias("first_last_pos"))
 
@@ -1169,7 +1262,7 @@ def w4_last_rows(spark, sf):
 @query("a3_ordered_concat", sql=f"""
 WITH {_PLAIN_DOCS_SQL}, {_LINES_SQL}
 SELECT doc_id, coalesce(string_agg(line, ' | ' ORDER BY pos) FILTER (
-  WHERE len(list_filter(string_split_regex(line, '{X.PY_WS}+'), lambda w: w <> '')) > 3), '') AS long_lines
+  WHERE len(list_filter(string_split_regex(line, '{_WS}+'), lambda w: w <> '')) > 3), '') AS long_lines
 FROM lines GROUP BY doc_id""")
 def a3_ordered_concat(spark, sf):
     from ..operators.blocks import _ordered_concat
@@ -1189,19 +1282,15 @@ def c8_quality_gate(spark, sf):
     return d.join(lab, "doc_id", "left").where(ok & predicate).select("doc_id")
 
 
-_FIRST_LINE = "string_split(text, chr(10))[1]"
-
-
 @query("f12_word_strip", sql=f"""
-SELECT doc_id, lower({Q.pstrip(_FIRST_LINE)}) AS low, starts_with(lower({Q.pstrip(_FIRST_LINE)}), 'the') AS starts_the,
-       array_to_string(list_transform(list_filter(string_split_regex(lower({_FIRST_LINE}), '{X.PY_WS}+'), lambda w: w <> ''),
-                                      lambda w: trim(w, '{X.PUNCTUATION.replace(chr(39), chr(39) * 2)}')), ' ') AS words
+SELECT doc_id, lower({Q.pstrip('text')}) AS low, starts_with(lower({Q.pstrip('text')}), 'the') AS starts_the,
+       array_to_string(list_transform(list_filter(string_split_regex(lower(text), '{_WS}+'), lambda w: w <> ''),
+                                      lambda w: trim(w, '{_PUNCT}')), ' ') AS words
 FROM documents""")
 def f12_word_strip(spark, sf):
-    line = F.element_at(F.split(F.col("text"), "\n"), 1)
-    low = F.lower(X.pstrip(line))
+    low = F.lower(X.pstrip(F.col("text")))
     return docs(spark, sf).select("doc_id", low.alias("low"), low.startswith("the").alias("starts_the"),
-                                  F.array_join(F.transform(X.pwords(F.lower(line)), X.strip_punct), " ").alias("words"))
+                                  F.array_join(F.transform(X.pwords(F.lower(F.col("text"))), X.strip_punct), " ").alias("words"))
 
 
 def _inject_spark(c):
@@ -1213,22 +1302,20 @@ _INJECT_SQL = ("(chr(12288) || ' ' || chr(160) || {x} || chr(160) || '&nbsp;' ||
 
 
 @query("f17_clean_line", sql=f"""
-SELECT doc_id, regexp_replace({Q.pstrip(_INJECT_SQL.format(x=_FIRST_LINE))}, '{X.ILLEGAL_LINE_RE}', '', 'g') AS cleaned FROM documents""")
+SELECT doc_id, regexp_replace({Q.pstrip(_INJECT_SQL.format(x='text'))}, '{_ILLEGAL}', '', 'g') AS cleaned FROM documents""")
 def f17_clean_line(spark, sf):
-    line = F.element_at(F.split(F.col("text"), "\n"), 1)
-    return docs(spark, sf).select("doc_id", X.clean_illegal_line(_inject_spark(line)).alias("cleaned"))
+    return docs(spark, sf).select("doc_id", X.clean_illegal_line(_inject_spark(F.col("text"))).alias("cleaned"))
 
 
 @query("f18_drop_emoji", sql=f"""
-SELECT doc_id, regexp_replace({Q.pstrip(_INJECT_SQL.format(x=_FIRST_LINE))}, '{X.NON_BMP_RE}', '', 'g') AS cleaned FROM documents""")
+SELECT doc_id, regexp_replace({Q.pstrip(_INJECT_SQL.format(x='text'))}, '{_NON_BMP}', '', 'g') AS cleaned FROM documents""")
 def f18_drop_emoji(spark, sf):
-    line = F.element_at(F.split(F.col("text"), "\n"), 1)
-    return docs(spark, sf).select("doc_id", X.drop_non_bmp(_inject_spark(line)).alias("cleaned"))
+    return docs(spark, sf).select("doc_id", X.drop_non_bmp(_inject_spark(F.col("text"))).alias("cleaned"))
 
 
 @query("f19_clean_line_list", sql=f"""
 SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x:
-   regexp_replace({Q.pstrip("regexp_replace(" + Q.pstrip(_INJECT_SQL.format(x='x')) + ", '" + X.ILLEGAL_LINE_RE + "', '', 'g')")}, '{X.NON_BMP_RE}', '', 'g')), chr(10)) AS cleaned
+   regexp_replace({Q.pstrip("regexp_replace(" + Q.pstrip(_INJECT_SQL.format(x='x')) + ", '" + _ILLEGAL + "', '', 'g')")}, '{_NON_BMP}', '', 'g')), chr(10)) AS cleaned
 FROM documents""")
 def f19_clean_line_list(spark, sf):
     arr = F.transform(F.split(F.col("text"), "\n"), _inject_spark)
@@ -1236,17 +1323,15 @@ def f19_clean_line_list(spark, sf):
 
 
 @query("f20_empty_strip", sql=f"""
-SELECT doc_id, regexp_replace({_INJECT_SQL.format(x=_FIRST_LINE)}, '^{X.EMPTY_STRIP_CLASS}+|{X.EMPTY_STRIP_CLASS}+$', '', 'g') AS stripped FROM documents""")
+SELECT doc_id, regexp_replace({_INJECT_SQL.format(x='text')}, '^{_ENDS}+|{_ENDS}+$', '', 'g') AS stripped FROM documents""")
 def f20_empty_strip(spark, sf):
-    line = F.element_at(F.split(F.col("text"), "\n"), 1)
-    return docs(spark, sf).select("doc_id", X.empty_strip(_inject_spark(line)).alias("stripped"))
+    return docs(spark, sf).select("doc_id", X.empty_strip(_inject_spark(F.col("text"))).alias("stripped"))
 
 
 @query("f23_full_to_half", sql=f"""
-SELECT doc_id, translate('ＡＢＣ１２３－ｘｙｚ ' || {_FIRST_LINE}, '{X.Q2B_FULL}', '{X.Q2B_HALF}') AS half FROM documents""")
+SELECT doc_id, translate('ＡＢＣ１２３－ｘｙｚ ' || text, '{_FULL}', '{_HALF}') AS half FROM documents""")
 def f23_full_to_half(spark, sf):
-    line = F.element_at(F.split(F.col("text"), "\n"), 1)
-    return docs(spark, sf).select("doc_id", X.full_to_half(F.concat(F.lit("ＡＢＣ１２３－ｘｙｚ "), line)).alias("half"))
+    return docs(spark, sf).select("doc_id", X.full_to_half(F.concat(F.lit("ＡＢＣ１２３－ｘｙｚ "), F.col("text"))).alias("half"))
 
 
 @query("a9_simhash", sql="""
@@ -1293,11 +1378,18 @@ def t1_stream_lookback(spark, sf):
     return spark.read.parquet(f"{out}/data").select("event_id")
 
 
+def _event_files(spark, sf, out, n=4):
+    """The events as ``n`` files in arrival order, so that a stream takes them in as many micro-batches."""
+    files = events(spark, sf).repartitionByRange(n, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+    files.write.parquet(f"{out}/events")
+    return f"{out}/events"
+
+
 @query("t2_stream_dedup", sql=_DEDUP_SQL + "\nSELECT event_id FROM d WHERE reason IS NULL")
 def t2_stream_dedup(spark, sf):
     hist, _ = ev_split(spark, sf)
-    schema = events(spark, sf).schema
-    s = INC.stream_table(spark, sf, schema, glob="events.parquet")
+    out = _run_dir(spark, "t2")
+    s = INC.stream_table(spark, _event_files(spark, sf, out), events(spark, sf).schema)
     k = F.get_json_object("props", "$.k").cast("int")
     batch = s.select(
         "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id",
@@ -1307,27 +1399,32 @@ def t2_stream_dedup(spark, sf):
                  k.cast("string")).alias("source_addr"),
         F.col("ts").cast("timestamp_ntz").alias("created_at")).where(
         F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
-    out = _run_dir(spark, "t2")
     handler = INC.dedup_handler(f"{out}/history", f"{out}/accepted", RUN_TS, EV_DEDUP,
                                 lambda: F.struct("ts", "event_id"), seed_history=hist)
     INC.run_available(batch, handler, f"{out}/ckpt")
     return spark.read.parquet(f"{out}/accepted").select("event_id")
 
 
-@query("t3_stream_upsert")
+@query("t3_stream_upsert", sql=f"""
+WITH {_ORD_SQL}
+SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title END AS title,
+       CASE WHEN o.key IS NOT NULL THEN o.status ELSE 'done' END AS status,
+       strftime(CASE WHEN n.key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE o.updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM old o FULL OUTER JOIN (SELECT o_orderkey AS key, o_orderpriority AS title FROM orders
+                            WHERE o_orderdate >= DATE '{_ORD_SPLIT_NEW}') n ON o.key = n.key""")
 def t3_stream_upsert(spark, sf):
     old, _ = _orders_old_new(spark, sf)
-    schema = table(spark, sf, "orders").schema
-    s = INC.stream_table(spark, sf, schema, glob="orders.parquet")
+    out = _run_dir(spark, "t3")
+    orders = table(spark, sf, "orders")
+    orders.repartition(3, "o_orderkey").write.parquet(f"{out}/orders")       # three micro-batches
+    s = INC.stream_table(spark, f"{out}/orders", orders.schema)
     batch = s.where(F.col("o_orderdate").cast("timestamp_ntz") >= F.lit(_ORD_SPLIT_NEW).cast("timestamp_ntz")).select(
         F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("title"),
         F.lit("done").alias("status"), F.lit("ok").alias("status_msg"))
-    out = _run_dir(spark, "t3")
     handler = INC.upsert_handler(f"{out}/snap", "key", RUN_TS, lambda: F.col("key"), old)
     INC.run_available(batch, handler, f"{out}/ckpt")
-    snap = spark.read.parquet(f"{out}/snap")
-    last = snap.agg(F.max("epoch").alias("epoch"))
-    return snap.join(last, "epoch").select("key", "title", "status")
+    return INC.snapshot(spark, f"{out}/snap", old, "key").select(
+        "key", "title", "status", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
 
 
 # =============================================================================

@@ -17,14 +17,14 @@ from ..operators.blocks import assemble, blocks_from_nodes, body_roots, clean_bl
 from ..operators.dedup import dedup
 from ..operators.detail import page_fields
 from ..operators.shred import HtmlScope, nodes_by_page
-from ..sources.tables import raw_pages, spread
+from ..sources.tables import raw_pages
 
 RUN_TS = "2024-01-31 00:00:00"
 
 
 def detail_articles(pages: DataFrame, spec: SiteSpec, run_ts, scopes) -> DataFrame:
     """One article row per detail page that has a body root (P10)."""
-    nodes = nodes_by_page(spread(pages), scopes)
+    nodes = nodes_by_page(pages, scopes)
     fields = page_fields(nodes, spec, run_ts)
     roots = body_roots(nodes, spec)
     cleaned = clean_blocks(blocks_from_nodes(nodes, spec), spec)

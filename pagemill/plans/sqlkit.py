@@ -3,8 +3,12 @@ operators in plain SQL over the bundled tables)."""
 
 from __future__ import annotations
 
-from ..functions.dates import MONTHS_ABBR, MONTHS_FULL
-from ..functions.text import PY_WS
+# The twins' own constants: Python's white space, month names.
+PY_WS = (r"[\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+MONTHS_FULL = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+               "November", "December")
+MONTHS_ABBR = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 RUN_TS = "2024-01-31 00:00:00"
 RUN_DATE = "2024-01-31"

@@ -2,45 +2,40 @@
 
 Cluster jobs get their session from the launcher; ``get_spark`` only fills in
 settings that are unset, so a cluster's own values (shuffle partitions,
-checkpoint dir, ...) always win.
+checkpoint dir, memory, ...) always win.  No operator depends on these.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.  AQE re-plans joins at runtime (broadcast
-# when a side turns out small, split skewed partitions); timestamps are
-# naive wall-clock values, so the session zone is pinned to UTC.
+# AQE re-plans joins at runtime (broadcast when a side turns out small, split
+# skewed partitions); all of this is on in a default session as well.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # pages are large rows: keep Arrow batches small for the shredder
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # cleaning steps are CPU-bound per row (regexes over text): let AQE keep
-    # small shuffles spread over the cores instead of coalescing them into one
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.ui.enabled": "false",
 }
 
 
-def get_spark(master: str | None = None, app: str = "pagemill",
-              shuffle_partitions: int | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+def get_spark(master: str | None = None, app: str = "pagemill", shuffle_partitions: int | None = None,
+              driver_memory: str = "16g") -> SparkSession:
+    """A session; arguments and defaults apply only to what the launcher left unset."""
+    given = SparkConf()
+    want = DEFAULT_CONF | {"spark.app.name": app, "spark.driver.memory": driver_memory}
     if master:
-        builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
-        builder = builder.config(k, v)
+        want["spark.master"] = master
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("PAGEMILL_DRIVER_MEM", "16g"))
+        want["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    builder = SparkSession.builder
+    for k, v in want.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -48,20 +43,19 @@ def get_spark(master: str | None = None, app: str = "pagemill",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for tables between jobs: ``spark.checkpoint.dir``, or the one set on the context.
 
-    On a cluster the launcher sets it to shared storage and we only read it.
-    Only when it is unset (local tests) do we make a private scratch folder.
+    Where neither is set, a session in one local process gets a scratch folder
+    of its own; on a cluster that is an error, since executors would each
+    write to their own disk.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="pagemill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="pagemill-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)

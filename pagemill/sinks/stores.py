@@ -82,8 +82,8 @@ def non_null_json(df: DataFrame, keys=ARTICLE_KEYS) -> Column:
 
 
 def export_frame(articles: DataFrame) -> DataFrame:
-    """S8 + S9: one export row per article; full files only when downloaded."""
-    full = F.col("status").isin("downloaded", "done", "packed")
+    """S8 + S9: one export row per article, by its status *before* packing; full files only when downloaded."""
+    full = F.col("status") == "downloaded"
     return articles.select(
         F.substring(F.col("batch_id").cast("string"), 1, 6).alias("yyyymm"),
         "uuid", "data_uri", meta_json(articles).alias("meta_json"),
@@ -141,6 +141,16 @@ def audit_rows(df: DataFrame, run_ts, key: str, url: str, detail: Column | None
         "reason", F.col(key).cast("string").alias("key"), F.col(url).alias("url"), detail.alias("detail"))
 
 
-def write_audit(audit: DataFrame, out_dir: str) -> None:
-    """Audit table split by severity (WARNING+ is one partition filter away)."""
-    audit.write.mode("append").partitionBy("severity").parquet(out_dir)
+def write_audit(audit: DataFrame, out_dir: str, batch_id: int) -> str:
+    """A batch's audit, split by severity (WARNING+ is one partition filter away).
+
+    A retried batch replaces its own rows.
+    """
+    path = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
+    audit.write.mode("overwrite").partitionBy("severity").parquet(path)
+    return path
+
+
+def layout_reason(layout_ok: Column, root_id: Column) -> Column:
+    """C9/P10 gates of a detail page: why it gives no article (NULL: it does)."""
+    return F.when(~layout_ok, "layout_missing").when(root_id.isNull(), "body_missing")

@@ -20,20 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give the Python shredder enough tasks.
-
-    A big table already arrives in many scan splits and is left alone; a table
-    stored in a handful of files (tests, small sources) is spread round-robin
-    so all cores take part.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_pages`` view of the bundled ``pages`` table (no fetch time/kind in it)."""
     return table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -50,7 +36,7 @@ def list_pages(pages: DataFrame, spec: SiteSpec) -> DataFrame:
         host = url_parts(F.lit(spec.seed_url))["netloc"]
         df = df.where(url_parts(F.col("url"))["netloc"] == host)
     counter = F.regexp_extract(F.col("url"), rf"[?&]{spec.page_param}=([0-9]+)", 1)
-    return df.withColumn("page_counter", F.when(counter != "", counter.cast("int")).otherwise(F.lit(0)))
+    return df.withColumn("page_counter", F.coalesce(counter.try_cast("bigint"), F.lit(0)))
 
 
 def detail_pages(pages: DataFrame) -> DataFrame:

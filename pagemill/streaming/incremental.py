@@ -4,8 +4,9 @@ The reference is an incremental crawl, not an event-time stream: it has no
 watermarks or windows.  What carries over is (T1) a lookback cut-off per run,
 (T2) cross-run "seen" state for de-duplication and (T3) an upsert per
 micro-batch.  Each micro-batch runs the same batch operators; state lives in
-tables under the shared checkpoint folder, written per epoch so a replayed
-epoch (after a failure) overwrites its own output instead of duplicating it.
+tables under the shared checkpoint folder, written per epoch: a replayed epoch
+(after a failure) reads what earlier epochs wrote, never its own output, and
+overwrites that.
 """
 
 from __future__ import annotations
@@ -47,39 +48,87 @@ def lookback_filter(stream: DataFrame, ts: str, run_ts, hours: Column) -> DataFr
     return stream.where(F.col(ts) >= end_time(run_ts, hours))
 
 
+SEEN = "title string, source_addr string, spider string, created_at timestamp_ntz"
+
+
+def earlier_epochs(spark: SparkSession, folder: str, epoch: int, schema: str) -> DataFrame:
+    """Rows (with their ``epoch``) that epochs *before* ``epoch`` wrote under ``folder``; a replay
+    never sees its own output.
+
+    The epochs come from the folder's own listing through Spark's file system,
+    so a missing folder is empty and any other error is raised.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = []
+    if fs.exists(path):
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith("epoch=") and int(name[6:]) < epoch and fs.exists(
+                    jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                done.append(f"{folder}/{name}")
+    schema += ", epoch bigint"
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", folder).parquet(*done)
+
+
 def dedup_handler(history_dir: str, out_dir: str, run_ts, conf: DedupConf,
                   arrival: Callable[[], Column], seed_history: DataFrame | None = None):
     """De-duplicate each micro-batch against history + all earlier epochs.
 
-    Accepted rows are appended to the history table under ``epoch=<id>`` with
-    overwrite, so a replayed epoch replaces its own rows.
+    ``history_dir`` keeps every row's claim: an accepted row claims title and
+    URL; a rejected one that reached the title test claims its title, as in
+    one batch.  Each epoch writes ``epoch=<id>`` with overwrite and reads only
+    earlier ones, so a replayed epoch gives the same rows.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        hist = seed_history
-        try:
-            seen = spark.read.parquet(history_dir).select("title", "source_addr", "spider", "created_at")
-            hist = seen if hist is None else hist.select("title", "source_addr", "spider", "created_at").unionByName(seen)
-        except Exception:  # noqa: BLE001 - no epoch written yet
-            pass
-        if hist is None:
-            hist = spark.createDataFrame([], "title string, source_addr string, spider string, created_at timestamp_ntz")
-        d = dedup(batch, hist, run_ts, conf, arrival())
-        ok = d.where(F.col("reason").isNull()).drop("reason")
-        ok.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
-        ok.select("title", "source_addr", "spider", "created_at").write.mode("overwrite") \
-            .parquet(f"{history_dir}/epoch={epoch}")
+        seen = earlier_epochs(spark, history_dir, epoch, SEEN + ", accepted boolean")
+        claims = earlier_titles(seen, run_ts, conf)
+        hist = spark.createDataFrame([], SEEN) if seed_history is None else seed_history.select(
+            "title", "source_addr", "spider", "created_at")
+        d = dedup(batch, hist, run_ts, conf, arrival(), claimed=claims)
+        d.where(F.col("reason").isNull()).drop("reason").write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+        d.select("title", "source_addr", "spider", "created_at", F.col("reason").isNull().alias("accepted")) \
+            .write.mode("overwrite").parquet(f"{history_dir}/epoch={epoch}")
     return handle
 
 
+def earlier_titles(seen: DataFrame, run_ts, conf: DedupConf) -> DataFrame:
+    """Titles that rows of earlier epochs claimed, by the same rule as within a batch."""
+    rows = seen.where("accepted") if conf.url_first else seen
+    return rows.select("title").distinct()
+
+
 def upsert_handler(snapshot_dir: str, key: str, run_ts, order: Callable[[], Column],
-                   seed: DataFrame, update_cols=()):
-    """Per micro-batch MERGE into a new snapshot (``epoch=<id>``)."""
+                   seed: DataFrame, update_cols=(), buckets: int = 64):
+    """Per micro-batch MERGE, rewriting only the key-hash partitions that the batch touches.
+
+    Each epoch writes its touched partitions (``epoch=<id>/bucket=<b>``) with
+    overwrite; a bucket's current rows are those of its last epoch, or the
+    seed's.  A replayed epoch reads earlier epochs only.
+    """
     from ..sinks.stores import upsert
 
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        prev = seed if epoch == 0 else spark.read.parquet(f"{snapshot_dir}/epoch={epoch - 1}")
-        snap = upsert(prev, batch, key, run_ts, order(), update_cols)
-        snap.write.mode("overwrite").parquet(f"{snapshot_dir}/epoch={epoch}")
+        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+        touched = [r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()]   # at most ``buckets``
+        prev = snapshot(spark, snapshot_dir, seed, key, buckets, epoch).where(F.col("bucket").isin(touched))
+        snap = upsert(prev.drop("bucket"), batch, key, run_ts, order(), update_cols)
+        snap.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{snapshot_dir}/epoch={epoch}")
     return handle
+
+
+def snapshot(spark: SparkSession, snapshot_dir: str, seed: DataFrame, key: str, buckets: int = 64,
+             before: int = 1 << 62) -> DataFrame:
+    """The current rows (with their ``bucket``) after the epochs before ``before``."""
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in seed.schema) + ", bucket int"
+    rows = earlier_epochs(spark, snapshot_dir, before, schema).unionByName(
+        seed.withColumn("bucket", bucket).withColumn("epoch", F.lit(-1).cast("bigint")))
+    last = rows.groupBy("bucket").agg(F.max("epoch").alias("epoch"))     # one row for each bucket
+    return rows.join(F.broadcast(last), ["bucket", "epoch"], "left_semi").drop("epoch")
