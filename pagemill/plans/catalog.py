@@ -1477,25 +1477,24 @@ def j5_image_path_lookup(spark, sf):
     return j.select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("entry_uri").alias("href"), "path")
 
 
-@query("s10_publish_export")
+@query("s10_publish_export", sql=f"""WITH {EV_STATUS_SQL}
+SELECT uuid, '202401' AS yyyymm, '202401/' || uuid AS data_uri, 'status.' || fetched AS status_file,
+       CASE fetched WHEN 'downloaded' THEN 'related files downloaded' ELSE 'related files download error' END || chr(10) AS status_body,
+       fetched = 'downloaded' AS is_full
+FROM st""")
 def s10_publish_export(spark, sf):
     """S8 + S9 + S10: export rows written as one new snapshot and read back."""
-    arts, _ = ev_media(spark, sf)
-    st = ev_status(spark, sf).select("uuid", "status", "status_msg")
-    a = arts.join(st, "uuid").select(
-        "uuid", F.lit(20240131000000).cast("bigint").alias("batch_id"), F.lit("news_en").alias("spider"),
-        F.concat(F.lit("202401/"), F.col("uuid")).alias("data_uri"), "status", "status_msg", "imgs", "thumb_pic",
-        "audio_addr", F.lit("").alias("formatted_content"), F.lit("").alias("ori_content"),
-        F.lit("").alias("formatted_text"))
+    arts, results = ev_media(spark, sf)
+    a = M.download_status(arts, M.media_ok(M.attach_results(M.manifest(arts), results)))
+    empty = {c: F.lit("") for c in ("formatted_content", "ori_content", "formatted_text")}
+    a = a.withColumns({"batch_id": F.lit(20240131000000).cast("bigint"), "spider": F.lit("news_en"),
+                       "data_uri": F.concat(F.lit("202401/"), "uuid")} | empty)
     path = S.publish(S.export_frame(a), _run_dir(spark, "s10"), 20240131000000)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("uuid", F.col("yyyymm").cast("string").alias("yyyymm"), "data_uri", "status_file",
+                                           "status_body", F.col("formatted_text_txt").isNotNull().alias("is_full"))
+
 
+from . import chain as _chain  # noqa: E402  (uses page_nodes above)
 
-@query("s5_media_store")
-def s5_media_store(spark, sf):
-    """Fetched files listed from the media store (path, length)."""
-    _, results = ev_media(spark, sf)
-    store = _run_dir(spark, "s5")
-    results.where("ok").select(F.concat_ws(" ", "path", "url").alias("value")).write.mode("overwrite").text(store)
-    from ..sources.tables import media_files
-    return media_files(spark, store)
+_QUERIES.update(_chain.QUERIES)
+_ORACLE.update(_chain.ORACLE)
