@@ -223,6 +223,7 @@ from ..functions import ids as I  # noqa: E402
 from ..functions import urls as U  # noqa: E402
 from ..operators import dedup as DD  # noqa: E402
 from ..operators import media as M  # noqa: E402
+from ..operators.gates import image_paths, not_blocked, quality_gate  # noqa: E402
 from ..operators.blocks import assemble, classify_pass1, clean_blocks, clean_text, signoff_trim  # noqa: E402
 from ..operators.detail import audio_type, lowest_rate_link  # noqa: E402
 from ..operators.listing import resolve_entries, take_while  # noqa: E402
@@ -1275,11 +1276,9 @@ def a3_ordered_concat(spark, sf):
 SELECT d.doc_id FROM documents d LEFT JOIN labels l USING (doc_id)
 WHERE {Q.clean_lines('d.text')} <> '' AND coalesce(l.quality, 1) = 1""")
 def c8_quality_gate(spark, sf):
-    d = docs(spark, sf)
     lab = table(spark, sf, "labels").select("doc_id", "quality")
-    ok = X.clean_lines(F.col("text")) != ""
-    predicate = F.coalesce(F.col("quality"), F.lit(1)) == 1  # X4: quality hook (the reference's is always true)
-    return d.join(lab, "doc_id", "left").where(ok & predicate).select("doc_id")
+    d = docs(spark, sf).join(lab, "doc_id", "left").withColumn("ok", X.clean_lines(F.col("text")) != "")
+    return quality_gate(d, F.col("ok"), F.coalesce(F.col("quality"), F.lit(1)) == 1).select("doc_id")
 
 
 @query("f12_word_strip", sql=f"""
@@ -1455,26 +1454,29 @@ WHERE NOT ({' OR '.join(f"contains(href, '{p}')" for p in _BLOCKLIST)})""")
 def j6_blocklist_anti_join(spark, sf):
     e = list_entries(page_nodes(spark, sf), DRIVER_PAGES).select("page_id", F.col("pos").cast("bigint").alias("pos"),
                                                                 F.col("entry_uri").alias("href"))
-    bl = spark.createDataFrame([(p,) for p in _BLOCKLIST], "pattern string")
-    # theta join on a configuration table: broadcast is bounded by the config size
-    return e.join(F.broadcast(bl), F.col("href").contains(F.col("pattern")), "left_anti")
+    return not_blocked(e, "href", spark.createDataFrame([(p,) for p in _BLOCKLIST], "pattern string"))
 
 
 @query("j5_image_path_lookup", sql="""
 WITH l AS (SELECT page_id, unnest(h) AS href, unnest(t) AS txt, unnest(range(1, len(h) + 1)) AS pos
            FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h,
                         regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages)),
-paths AS (SELECT DISTINCT href, 'pics/' || md5(href) || '.jpg' AS path FROM l WHERE regexp_matches(txt, '^[A-Z]'))
-SELECT l.page_id, l.pos, l.href, paths.path FROM l LEFT JOIN paths ON trim(l.href) = paths.href""")
+u AS (SELECT *, CASE pos % 3 WHEN 0 THEN 'ftp://i.example.org' WHEN 1 THEN 'http://i.example.org' ELSE '' END || href AS url FROM l),
+paths AS (SELECT DISTINCT url, 'pics/' || md5(url) || '.jpg' AS path FROM u WHERE regexp_matches(txt, '^[A-Z]'))
+SELECT u.page_id, u.pos, u.href, CASE WHEN pos % 3 < 2 THEN paths.path END AS path FROM u LEFT JOIN paths USING (url)""")
 def j5_image_path_lookup(spark, sf):
     n = page_nodes(spark, sf)
     e = list_entries(n, DRIVER_PAGES)
     txt = select_text(n, sel(desc("nav"), desc("li"), child("a"))).select("page_id", F.col("chain")[F.size("chain") - 2]["nid"].alias("anchor_id"), "text")
     e = e.join(txt, ["page_id", "anchor_id"], "left")
-    paths = e.where(F.col("text").rlike("^[A-Z]")).select(F.col("entry_uri").alias("key")).distinct() \
-        .select("key", F.concat(F.lit("pics/"), F.md5("key"), F.lit(".jpg")).alias("path"))
-    j = e.join(paths, F.trim(e["entry_uri"]) == paths["key"], "left")
-    return j.select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("entry_uri").alias("href"), "path")
+    # by row: in src, in data-src only, or no http/ftp address; only those with a capital have a stored path
+    url = F.concat(F.when(F.col("pos") % 3 == 0, "ftp://i.example.org").when(F.col("pos") % 3 == 1, "http://i.example.org").otherwise(""),
+                   F.col("entry_uri"))
+    imgs = e.select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("entry_uri").alias("href"), "text",
+                    F.when(F.col("pos") % 2 == 0, F.concat(F.lit(" "), url)).alias("src"), url.alias("data_src"))
+    paths = imgs.where(F.col("text").rlike("^[A-Z]")).select(F.col("data_src").alias("url")).distinct() \
+        .select("url", F.concat(F.lit("pics/"), F.md5("url"), F.lit(".jpg")).alias("path"))
+    return image_paths(imgs, paths).select("page_id", "pos", "href", "path")
 
 
 @query("s10_publish_export", sql=f"""WITH {EV_STATUS_SQL}
