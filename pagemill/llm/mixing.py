@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_WORDS = 256
+BLOCK_WORDS = 128
 SHARD_WORDS = 1 << 20
 SHARD_DOCS = 1 << 16
 MAX_SHARDS = 4096        # of one source; beyond, its shards grow
@@ -55,8 +55,8 @@ def targets(sizes: list[int], weights: list[float], share: float = 1.5, most: fl
 def sainte_lague(votes: list[float], seats: int, limits: list[int]) -> list[int]:
     """Seats by highest quotient votes / (2 seats + 1); ties to the earlier party; none beyond its limit.
 
-    A common divisor gives all but the last few seats at once; those go one by
-    one from a heap of quotients.
+    A common divisor gives all but the last seats at once; those go one by one
+    from a heap of quotients, about one for each party.
     """
     seats = min(seats, sum(lim for v, lim in zip(votes, limits) if v > 0))
     v, lim = np.asarray(votes, float), np.asarray(limits, np.int64)
@@ -74,7 +74,7 @@ def sainte_lague(votes: list[float], seats: int, limits: list[int]) -> list[int]
             high = mid
         else:
             low = mid
-    got = at(high)
+    got = np.maximum(at(high) - 1, 0)     # the last seat of each by quotients themselves: ties are exact there
     heap = [(-v[i] / (2 * got[i] + 1), i) for i in range(len(v)) if got[i] < lim[i]]
     heapq.heapify(heap)
     for _ in range(int(seats - got.sum())):
@@ -100,9 +100,8 @@ def mix(docs: DataFrame, conf: MixConf = MixConf()) -> DataFrame:
     ``taken``: words the mix takes, repeats counted; ``spans``: runs of words
     (``start``, ``stop``, ``times``) that it takes.  No block, so no document,
     is taken more than ``most`` (a whole number) times.  Null and empty texts
-    have size 0 and nothing taken.  A source's last block in a shard may be
-    shorter, so a source's words differ from its target by less than a block
-    for each of its shards.  ``h`` is a hash of the text; rows that repeat doc_id, source and text
+    have size 0 and nothing taken.  A shard's last block may be shorter; a
+    source's words come within about a block of its target.  ``h`` is a hash of the text; rows that repeat doc_id, source and text
     follow each other in the order and each get a row.  Other columns are not
     read; an empty table gives no rows.
     """
@@ -134,12 +133,12 @@ def mix(docs: DataFrame, conf: MixConf = MixConf()) -> DataFrame:
     most = int(conf.most)
     order = sorted(by_source)
     blocks = [sum(b for *_, b in by_source[s]) for s in order]
-    seats = round(sum(goals[s] for s in order) / conf.block)
-    quotas = sainte_lague([goals[s] for s in order], seats, [most * b for b in blocks])
+    # votes: the target in mean blocks of the source, so that short last blocks do not lower its words
+    votes = [goals[s] * b / found[s]["size"] if found[s]["size"] else 0.0 for s, b in zip(order, blocks)]
+    quotas = sainte_lague(votes, round(sum(votes)), [most * b for b in blocks])
     rows = []
     for s, quota in zip(order, quotas):
         of = by_source[s]
-        # a seat is worth the mean block of the source, so that short last blocks do not lower its words
         got = sainte_lague([n for _, n, _ in of], quota, [most * b for *_, b in of])
         rows += [(s, shard, int(q)) for (shard, *_), q in zip(of, got)]
     quota = spark.createDataFrame(rows, "s long, shard long, quota long")
