@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.session import ensure_checkpoint_dir
 
-from .common import crc_part, read, scan
+from .common import crc_part, read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -71,7 +70,7 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return filter_pages(read(spark, sf, "pages"), rules_frame(spark, URL_RULES))
 
 
-def _tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
     import uuid
 
     import public_tokenizers
@@ -79,11 +78,7 @@ def _tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
     from .tokens import read_documents, write_tokens
     out = f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, public_tokenizers.path(WORD_TOKENIZER), out, by_words=True)
-
-    def rows(it):
-        for doc_id, start, ids in it:
-            yield doc_id, start, len(ids) // 4, zlib.crc32(ids)
-    return scan(read_documents(spark, out), "doc_id long, start long, n_tokens long, ids_crc32 long", rows)
+    return read_documents(spark, out, digest=True)
 
 
 def op8_long_repeats(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +98,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return _tokens(spark, read(spark, sf, "documents"))
+    return token_digests(spark, read(spark, sf, "documents"))
 
 
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [

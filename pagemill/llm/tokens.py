@@ -6,7 +6,7 @@ so on.  A rank directory (set bits before every 512) finds an id's place in
 the next level, so any one id is read without decoding a block.
 
 A *segment* is one such sequence with the offsets of its documents.  Segments
-of about ``SEGMENT_TOKENS`` ids are the binary payloads of a Parquet table in
+of about ``SEGMENT_CHARS`` characters of text are the binary payloads of a Parquet table in
 ascending doc_id order, written and committed by Spark.
 """
 
@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scan
+from .common import groups, scan, word_codes
 
 MAGIC = b"PMDAC1\0\0"
-SEGMENT_TOKENS = 1 << 18
+SEGMENT_CHARS = 4 << 20
 RANK_BITS = 512
 END_ID = 2
-MEMO_WORDS = 900_000     # words whose ids a worker remembers
+MEMO_WORDS = 400_000     # words whose ids a worker remembers
 MEMO_CHARS = 40
 
 
@@ -122,11 +122,12 @@ class Encoder:
     """Ids of whole texts, the same as ``tokenizer.encode`` of each.
 
     ``by_words`` is for tokenizers that drop white space and split letter runs
-    from punctuation before merging: texts are cut at white space, a word of
-    Latin letters also from its closing punctuation, and the ids of pieces met
-    before are remembered (``MEMO_WORDS`` of up to ``MEMO_CHARS`` characters,
-    so memory is bounded).  Texts that hold the start of a special token's
-    string go to the tokenizer whole.
+    from punctuation before merging: texts are cut at ASCII white space, each
+    distinct word of a group is looked up once, a word of Latin letters apart
+    from its closing punctuation, and the ids of words met before are
+    remembered (``MEMO_WORDS`` of up to ``MEMO_CHARS`` characters, so memory is
+    bounded).  Texts that hold the start of a special token's string go to the
+    tokenizer whole.
     """
 
     LATIN = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([.,;:!?|*&#%]+)")
@@ -139,50 +140,61 @@ class Encoder:
         self.by_words = by_words
         self.memo: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text (null: none), without special tokens."""
-        memo, fresh = self.memo, {}
-        split = [self._words(t or "") for t in texts]
-        new = {w for words in split if words for w in words if w not in memo}
-        if new:
-            whole, parted = [], {}
-            for w in new:
-                m = self.LATIN.fullmatch(w)
-                if m:
-                    parted[w] = m.groups()
-                else:
-                    whole.append(w)
-            parts = {p for pair in parted.values() for p in pair if p not in memo}
-            self._learn([*whole, *parts.difference(whole)], fresh)
-            for w, (stem, tail) in parted.items():
-                self._keep(w, (memo.get(stem) or fresh[stem]) + (memo.get(tail) or fresh[tail]), fresh)
-        out = []
-        for text, words in zip(texts, split):
-            if words is None:
-                out.append(_u32(self.tokenizer.encode(text, add_special_tokens=False).ids))
-            elif fresh:
-                out.append(b"".join([memo[w] if w in memo else fresh[w] for w in words]))
-            else:
-                out.append(b"".join([memo[w] for w in words]))
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's end (null: no ids), without special tokens."""
+        texts = [t or "" for t in texts]
+        whole = [not self.by_words or any(s in t for s in self.special) for t in texts]
+        index, ends, words = word_codes(["" if w else _lower_latin(t) for t, w in zip(texts, whole)])
+        ids = self._ids(words)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        table, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        n = size[index]
+        stop = np.cumsum(n)
+        flat = table[np.repeat(first[index] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
+        text_stop = np.concatenate(([0], stop))[ends]
+        for k in np.flatnonzero(whole).tolist():       # from the tokenizer itself, put in place
+            own = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
+            flat = np.insert(flat, text_stop[k], own) if own else flat
+            text_stop[k:] += len(own)
+        return flat, text_stop
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        memo = self.memo
+        out = [memo.get(w) for w in words]
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        if missing:
+            parted = {k: m.groups() for k in missing if (m := self.LATIN.fullmatch(words[k]))}
+            new = {p for pair in parted.values() for p in pair}
+            new.update(words[k] for k in missing if k not in parted)
+            found = self._learn([w for w in new if w not in memo])
+            for k in missing:
+                pair = parted.get(k, (words[k],))
+                out[k] = b"".join([memo.get(p) or found.get(p, b"") for p in pair])
+                if len(pair) > 1:
+                    self._keep(words[k], out[k])
         return out
 
-    def _words(self, text: str) -> list[str] | None:
-        if not self.by_words or any(s in text for s in self.special):
-            return None
-        # lower case first where it is the same character by character
-        return (text if "\u0130" in text or "\u03a3" in text else text.lower()).split()
-
-    def _learn(self, words: list[str], fresh: dict[str, bytes]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        found = {}
         for i in range(0, len(words), 4096):
             some = words[i:i + 4096]
             for word, enc in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self._keep(word, _u32(enc.ids), fresh)
+                found[word] = _u32(enc.ids)
+                self._keep(word, found[word])
+        return found
 
-    def _keep(self, word: str, ids: bytes, fresh: dict[str, bytes]) -> None:
+    def _keep(self, word: str, ids: bytes) -> None:
         if len(self.memo) < MEMO_WORDS and len(word) <= MEMO_CHARS:
             self.memo[word] = ids
-        else:
-            fresh[word] = ids
+
+
+def _lower_latin(text: str) -> str:
+    """Lower case where that is sure to be what the tokenizer does itself, character by character."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 def _u32(ids: list[int]) -> bytes:
@@ -208,34 +220,28 @@ SEGMENTS = "part int, seg int, start_in_part long, n_tokens long, doc_ids array<
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, by_words: bool = False,
-                 end_id: int = END_ID, segment_tokens: int = SEGMENT_TOKENS) -> None:
+                 end_id: int = END_ID, segment_chars: int = SEGMENT_CHARS) -> None:
     """Encode every row of ``docs(doc_id, text)`` into DAC segments under ``out`` (Parquet, payload column).
 
     Rows go in ascending doc_id order (null first; rows of one id by text
     hash, then text).  Each document is its ids and ``end_id``; null and empty
-    texts are ``end_id`` alone.  A segment is closed after ``segment_tokens``
-    ids, always at the end of a document.  An empty table writes no segments.
+    texts are ``end_id`` alone.  A segment is closed after ``segment_chars``
+    characters of text, at the end of a document.  An empty table writes no
+    segments; other columns are not read.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         held = spark.sparkContext.broadcast(f.read())       # one vocabulary file, a few MB
-    end = struct.pack("<I", end_id)
 
     def rows(it):
         part = TaskContext.get().partitionId()
-        enc = _encoder(held.value, by_words)
-        ids, docs_in, starts, at, seg, before = [], [], [], 0, 0, 0
-        for some in _groups(it):
-            for (doc_id, *_), data in zip(some, enc.encode([t for *_, t in some])):
-                ids += (data, end)
-                docs_in.append(doc_id)
-                starts.append(at)
-                at += len(data) // 4 + 1
-                if at >= segment_tokens:
-                    yield part, seg, before, at, docs_in, dac_encode(np.frombuffer(b"".join(ids), "<u4"), starts)
-                    ids, docs_in, starts, before, at, seg = [], [], [], before + at, 0, seg + 1
-        if docs_in:
-            yield part, seg, before, at, docs_in, dac_encode(np.frombuffer(b"".join(ids), "<u4"), starts)
+        enc, before = _encoder(held.value, by_words), 0
+        for seg, some in enumerate(groups(it, segment_chars)):
+            ids, ends = enc.encode([t for *_, t in some])
+            ids = np.insert(ids, ends, end_id)
+            starts = np.concatenate(([0], ends[:-1])) + np.arange(len(ends))
+            yield part, seg, before, len(ids), [r[0] for r in some], dac_encode(ids, starts)
+            before += len(ids)
 
     sorted_docs = (docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("h"),
                                F.col("text").cast("string"))
@@ -243,19 +249,6 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, by_words: bool
     scan(sorted_docs, SEGMENTS, rows).write.mode("overwrite").parquet(out)
 
 
-def _groups(it, chars: int = 4 << 20):
-    """Rows in groups of about ``chars`` characters of text."""
-    some, size = [], 0
-    for row in it:
-        some.append(row)
-        size += len(row[-1] or "") + 64
-        if size >= chars:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 def read_segments(spark, path: str) -> DataFrame:
     """Segments with ``start``, the position of their first id in the whole order."""
     segments = spark.read.schema(SEGMENTS).parquet(path)
@@ -270,12 +263,17 @@ def read_segments(spark, path: str) -> DataFrame:
             .select((F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "doc_ids", "payload"))
 
 
-def read_documents(spark, path: str) -> DataFrame:
-    """(doc_id, start, ids) of every document in the segments under ``path``; ids little-endian unsigned 32-bit."""
+def read_documents(spark, path: str, digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document in the segments under ``path``.
+
+    ``ids`` are little-endian unsigned 32-bit; with ``digest`` their unsigned
+    crc32 takes their place (``ids_crc32``), made where they are read.
+    """
     def rows(it):
         for start, doc_ids, payload in it:
             dac = Dac(payload)
             for k, doc_id in enumerate(doc_ids):
-                yield doc_id, start + int(dac.starts[k]), dac.document(k).astype("<u4").tobytes()
+                ids = dac.document(k).astype("<u4").tobytes()
+                yield doc_id, start + int(dac.starts[k]), len(ids) // 4, zlib.crc32(ids) if digest else ids
     return scan(read_segments(spark, path).select("start", "doc_ids", "payload"),
-                "doc_id long, start long, ids binary", rows)
+                "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary"), rows)
