@@ -103,33 +103,36 @@ def fit_sample(sample: list[tuple[str, int, float]], conf: ToxicConf = ToxicConf
     return ToxicModel({known[i]: float(theta[i]) for i in keep}, float(bias), conf.stems)
 
 
-def training_sample(labelled: DataFrame, conf: ToxicConf = ToxicConf()) -> list[tuple[str, int, float]]:
-    """At most ``max_docs`` rows of each label of ``labelled(doc_id, text, label)``, by hash of the id.
+def training_sample(docs: DataFrame, labels: DataFrame, conf: ToxicConf = ToxicConf()) -> list[tuple[str, int, float]]:
+    """At most ``max_docs`` rows of each label of ``docs(doc_id, text)`` with ``labels(doc_id, label)``, by hash of the id.
 
-    A row weighs as many labelled rows as it stands for.
+    A row weighs as many labelled rows as it stands for.  Ids are chosen
+    without their texts; the texts of the chosen ids (a bounded list) are then
+    picked up in one scan.
     """
-    known = labelled.where("label in (0, 1)")
     order = F.pmod(F.xxhash64("doc_id", F.lit(conf.seed)), F.lit(1 << 30))
+    known = docs.select("doc_id").join(labels.where("label in (0, 1)").distinct(), "doc_id")
     out = []
     for label, n in sorted(known.groupBy(F.col("label").cast("int")).count().collect()):
         near = known.where((F.col("label") == label)
                            & (order < int(min(1.0, 1.2 * conf.max_docs / n + 0.001) * (1 << 30))))
-        rows = (near.select(F.coalesce("text", F.lit("")).alias("text"), order.alias("o"), "doc_id")
+        chosen = near.select("doc_id").distinct().orderBy(order, "doc_id").limit(conf.max_docs)
+        rows = (docs.join(F.broadcast(chosen), "doc_id")
+                .select(F.coalesce("text", F.lit("")).alias("text"), order.alias("o"), "doc_id")
                 .orderBy("o", "doc_id", "text").limit(conf.max_docs).collect())
         out += [(r["text"], label, n / len(rows)) for r in rows]
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", conf: ToxicConf = ToxicConf()) -> ToxicModel:
-    """Fit ``docs(doc_id, text)`` joined with ``labels(doc_id, label)``.
+    """Fit ``docs(doc_id, text)`` with ``labels(doc_id, label)``.
 
     Null and empty texts count as documents without sentences; labels other
     than 0 and 1 and unlabelled documents are not used.  Without any labelled
     row the model has no features, and the bias it starts with.
     """
-    joined = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        labels.select("doc_id", F.col(label).alias("label")).distinct(), "doc_id")
-    return fit_sample(training_sample(joined, conf), conf)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return fit_sample(training_sample(docs, labels.select("doc_id", F.col(label).alias("label")), conf), conf)
 
 
 def _known(word: str, model: ToxicModel) -> list[str]:
