@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from .common import groups, scan, word_codes
 
 MAGIC = b"PMDAC1\0\0"
-SEGMENT_CHARS = 4 << 20
+SEGMENT_CHARS = 8 << 20
 RANK_BITS = 512
 END_ID = 2
-MEMO_WORDS = 400_000     # words whose ids a worker remembers
+MEMO_WORDS = 500_000     # words whose ids a worker remembers
 MEMO_CHARS = 40
 
 
@@ -272,8 +272,9 @@ def read_documents(spark, path: str, digest: bool = False) -> DataFrame:
     def rows(it):
         for start, doc_ids, payload in it:
             dac = Dac(payload)
-            for k, doc_id in enumerate(doc_ids):
-                ids = dac.document(k).astype("<u4").tobytes()
-                yield doc_id, start + int(dac.starts[k]), len(ids) // 4, zlib.crc32(ids) if digest else ids
+            flat = dac.slice(0, len(dac)).astype("<u4")
+            for doc_id, k, stop in zip(doc_ids, dac.starts.tolist(), [*dac.starts[1:].tolist(), len(dac)]):
+                ids = flat[k:stop].tobytes()
+                yield doc_id, start + k, len(ids) // 4, zlib.crc32(ids) if digest else ids
     return scan(read_segments(spark, path).select("start", "doc_ids", "payload"),
                 "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary"), rows)
