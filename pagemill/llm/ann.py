@@ -197,15 +197,15 @@ def nearest(vectors: DataFrame, is_query, conf: AnnConf = AnnConf()) -> DataFram
 
     # leaves into blocks: at most one row for each leaf comes to the driver
     sizes = dict(placed.groupBy("leaf").count().collect())
-    asks = dict(routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect())
-    layout, block, room, load = [], -1, 0, 0
+    parts = max(1, -(-routed.count() // conf.part_queries))
+    layout, block, room = [], -1, 0
     for leaf in sorted(sizes):
-        n, q = sizes[leaf], asks.get(leaf, 0)
-        if n > room or load + q > conf.part_queries:
-            block, room, load = block + 1, conf.block_rows, 0
-        blocks, parts = -(-n // conf.block_rows), max(1, -(-q // conf.part_queries))
+        n = sizes[leaf]
+        if n > room:
+            block, room = block + 1, conf.block_rows
+        blocks = -(-n // conf.block_rows)
         layout.append((leaf, block, blocks, parts))
-        room, load = room - n, load + q
+        room -= n
         block += blocks - 1
     table = F.broadcast(spark.createDataFrame(layout, "leaf long, block long, blocks long, parts long"))
     stored = (placed.join(table, "leaf")
