@@ -119,24 +119,30 @@ _AT = r"(?:at|ät|arroba|arobase|klammeraffe)"
 _DOT = r"(?:dot|punkt|punto|point)"
 
 _WORD = "(?:" + "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True)) + ")"
-_SPELLED = re.compile(rf"(?<![^\W_])(?:{_PLUS}[ ,-]+)?{_WORD}(?:[ ,-]+{_WORD})+(?![^\W_])", re.I)
+_SPELLED = re.compile(rf"(?<![^\W_])(?:{_PLUS}[ ,-]{{1,3}})?{_WORD}(?:[ ,-]{{1,3}}{_WORD})+(?![^\W_])", re.I)
 _SPELLED_PART = re.compile(rf"{_PLUS}|{_WORD}", re.I)
-_BRACKET_AT = re.compile(rf" *(?:\[ *(?:{_AT}|@) *\]|\( *(?:{_AT}|@) *\)|\{{ *(?:{_AT}|@) *\}}|< *(?:{_AT}|@) *>) *", re.I)
-_BRACKET_DOT = re.compile(rf" *(?:\[ *(?:{_DOT}|\.) *\]|\( *(?:{_DOT}|\.) *\)|\{{ *(?:{_DOT}|\.) *\}}|< *(?:{_DOT}|\.) *>) *", re.I)
-_NAME = r"[A-Za-z0-9_%+-]+"
+_BRACKET_AT = re.compile(rf" {{0,3}}(?:\[ {{0,3}}(?:{_AT}|@) {{0,3}}\]|\( {{0,3}}(?:{_AT}|@) {{0,3}}\)|\{{ {{0,3}}(?:{_AT}|@) {{0,3}}\}}|< {{0,3}}(?:{_AT}|@) {{0,3}}>) {{0,3}}", re.I)
+_BRACKET_DOT = re.compile(rf" {{0,3}}(?:\[ {{0,3}}(?:{_DOT}|\.) {{0,3}}\]|\( {{0,3}}(?:{_DOT}|\.) {{0,3}}\)|\{{ {{0,3}}(?:{_DOT}|\.) {{0,3}}\}}|< {{0,3}}(?:{_DOT}|\.) {{0,3}}>) {{0,3}}", re.I)
+_NAME = r"[A-Za-z0-9_%+-]{1,64}"
 # The last labels after which bare words are taken for an address.
 _TOP = "(?:com|net|org|edu|gov|info|io|co|de|fr|es|eu|uk|us|biz|dev|test|example)"
+# a sign in words between blanks, underscores or hyphens
+_SEP_AT, _SEP_DOT = (rf"(?: {{1,3}}{w} {{1,3}}|_{w}_|-{w}-)" for w in (_AT, _DOT))
 _BARE_EMAIL = re.compile(
-    rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?: +{_DOT} +|\.){_NAME})*(?P<at> +{_AT} +|@)"
-    rf"[A-Za-z0-9-]+(?:(?: +{_DOT} +|\.)[A-Za-z0-9-]+)*?(?: +{_DOT} +|\.){_TOP}(?![A-Za-z0-9-])", re.I)
-_BARE_DOT = re.compile(rf" +{_DOT} +", re.I)
-_BARE_AT = re.compile(rf" +{_AT} +", re.I)
-_BARE_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?: *{_DOT} *| *\. *)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
-_LOOSE_DOT = re.compile(rf" *(?:{_DOT}|\.) *", re.I)
-_O_DIGITS = re.compile(r"(?<![^\W_])(?=[OoIl|]*[0-9])[0-9OoIl|]{2,}(?![^\W_])")
+    rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:{_SEP_DOT}|\.){_NAME}){{0,4}}?(?:{_SEP_AT}|@)"
+    rf"[A-Za-z0-9-]{{1,63}}?(?:(?:{_SEP_DOT}|\.)[A-Za-z0-9-]{{1,63}}?){{0,6}}?(?:{_SEP_DOT}|\.){_TOP}"
+    rf"(?![A-Za-z0-9-]|{_SEP_DOT}[A-Za-z0-9])", re.I)
+_BARE_AT, _BARE_DOT = re.compile(_SEP_AT, re.I), re.compile(_SEP_DOT, re.I)
+_PART_IP = rf"(?:[0-9]{{1,3}}|{_WORD}(?:[ ,-]{{1,3}}{_WORD}){{0,2}})"
+_WORDY_IP = re.compile(rf"(?<![\w.]){_PART_IP}(?:(?: {{0,3}}{_DOT} {{0,3}}| {{0,3}}\. {{0,3}}){_PART_IP}){{3}}(?!\w)", re.I)
+_LOOSE_DOT = re.compile(rf" {{0,3}}(?:{_DOT}|\.) {{0,3}}", re.I)
+_DOUBLE = re.compile(rf"(?<![^\W_])(double|triple) {{1,3}}({_WORD})(?![^\W_])", re.I)
+_ENTITY = re.compile("&(?:#64|commat|#x40);|&(?:#46|period|#x2e);", re.I)
+_O_DIGITS = re.compile(r"(?<![^\W_])(?=[OoIl|]{0,30}[0-9])[0-9OoIl|]{2,40}(?![^\W_])")
 _O = {"O": "0", "o": "0", "I": "1", "l": "1", "|": "1"}
 
-_TRIGGERS = re.compile(rf"[\[({{<] *(?:{_AT}|{_DOT}|[@.]) *[\])}}>]| {_DOT} |[0-9][OoIl|]|[OoIl|][0-9]", re.I)
+_TRIGGERS = re.compile(
+    rf"[\[({{<] *(?:{_AT}|{_DOT}|[@.]) *[\])}}>]|[ _-]{_DOT}[ _-]|[ _-]{_AT}[ _-]|[0-9][OoIl|]|[OoIl|][0-9]|&#|&commat|&period", re.I)
 
 
 class Traced:
@@ -170,25 +176,36 @@ class Traced:
     def sub(self, pattern: re.Pattern, new: Callable[[re.Match], str]) -> None:
         self.put([(*m.span(), new(m)) for m in pattern.finditer(self.text)])
 
-    def inside(self, outer: re.Pattern, *inner: tuple[re.Pattern, str]) -> None:
-        """Within each match of ``outer`` replace the matches of the ``inner`` patterns."""
-        edits = []
-        for m in outer.finditer(self.text):
-            edits += [(*x.span(), new) for p, new in inner for x in p.finditer(self.text, *m.span())]
-        self.put(sorted(edits))
+
+def _address(m: re.Match) -> str:
+    """An address in words, its signs put in.  A bare "at" alone is no disguise of a plain word: left as it is."""
+    text = m.group()
+    local = _BARE_AT.split(text, maxsplit=1)[0] if "@" not in text else ""
+    if local.isalpha() and not _BARE_DOT.search(text):
+        return text
+    return _BARE_DOT.sub(".", _BARE_AT.sub("@", text))
+
+
+def _digits(text: str) -> str:
+    return "".join(_DIGIT_WORDS.get(w.lower(), "+") for w in _SPELLED_PART.findall(text))
+
+
+def _dotted(m: re.Match) -> str:
+    return ".".join(p if p.isdigit() else _digits(p) for p in _LOOSE_DOT.split(m.group()))
 
 
 def normalise(text: str) -> Traced:
-    """The transducers in order: homoglyphs, look-alike digits, spelled digits, bracketed signs, bare words."""
+    """The transducers in order: homoglyphs, look-alike digits, entities, spelled digits, bracketed signs, bare words."""
     t = Traced(text)
     t.sub(_GLYPH, lambda m: _LOOKS[m.group()])
     t.sub(_O_DIGITS, lambda m: "".join(_O.get(c, c) for c in m.group()))
-    t.sub(_SPELLED, lambda m: "".join(
-        _DIGIT_WORDS.get(w.lower(), "+") for w in _SPELLED_PART.findall(m.group())))
+    t.sub(_ENTITY, lambda m: "@" if m.group().lower() in ("&#64;", "&commat;", "&#x40;") else ".")
+    t.sub(_DOUBLE, lambda m: " ".join([m[2]] * (2 if m[1].lower() == "double" else 3)))
+    t.sub(_WORDY_IP, _dotted)
+    t.sub(_SPELLED, lambda m: _digits(m.group()))
     t.sub(_BRACKET_AT, lambda m: "@")
     t.sub(_BRACKET_DOT, lambda m: ".")
-    t.inside(_BARE_EMAIL, (_BARE_AT, "@"), (_BARE_DOT, "."))
-    t.inside(_BARE_IP, (_LOOSE_DOT, "."))
+    t.sub(_BARE_EMAIL, _address)
     return t
 
 

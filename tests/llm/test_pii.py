@@ -43,6 +43,13 @@ def test_plain_spans_on_random_strings():
     ("host 192 dot 168 dot 0 dot 17 down", "ip", "192 dot 168 dot 0 dot 17"),
     ("host 192[.]168[.]0[.]17 down", "ip", "192[.]168[.]0[.]17"),
     ("4539 1488 O343 6467", "card", "4539 1488 O343 6467"),
+    ("to und.34 at mail7.example.com geh", "email", "und.34 at mail7.example.com"),
+    ("to und.34_at_mail7_dot_example_dot_com geh", "email", "und.34_at_mail7_dot_example_dot_com"),
+    ("a jane&#64;example&#46;com b", "email", "jane&#64;example&#46;com"),
+    ("JANE AT EXAMPLE DOT ORG.", "email", "JANE AT EXAMPLE DOT ORG"),
+    ("ip one nine two dot one six eight dot zero dot seven ok", "ip", "one nine two dot one six eight dot zero dot seven"),
+    ("+1 double five five 555 zero one two three x", "phone", "+1 double five five 555 zero one two three"),
+    ("4539 one four eight eight 0343 6467", "card", "4539 one four eight eight 0343 6467"),
     ("x\n+49 (171)​ 555-0000-1", "phone", "+49 (171)​ 555-0000-1"),
 ])
 def test_disguises_map_back(text, kind, found):
@@ -51,12 +58,14 @@ def test_disguises_map_back(text, kind, found):
 
 def test_clean_text_has_no_spans():
     for text in ("He looked at the dot on the wall at noon.", "un deux trois quatre cinq six",
-                 "one two three four", "see a (at) b", "Punkt. Uhr (at) 5", "", None, "a.b.c [dot] d", "·" * 50):
+                 "one two three four", "see a (at) b", "Punkt. Uhr (at) 5", "", None, "a.b.c [dot] d", "·" * 50,
+                 "meet us at example.com", "x at y", "null Punkt null Punkt"):
         assert find(text) == []
 
 
 def test_long_texts_are_linear():
-    for text in ("1" * 200_000, "a" * 200_000 + "@", "+1 " * 60_000, "1." * 100_000, "a@" * 100_000):
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "+1 " * 60_000, "1." * 100_000, "a@" * 100_000,
+                 "a at " * 40_000, "a dot " * 40_000, "a_" * 100_000, "one " * 50_000, "a." * 100_000 + " at "):
         find(text)
 
 
