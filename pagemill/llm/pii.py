@@ -142,7 +142,7 @@ _O_DIGITS = re.compile(r"(?<![^\W_])(?=[OoIl|]{0,30}[0-9])[0-9OoIl|]{2,40}(?![^\
 _O = {"O": "0", "o": "0", "I": "1", "l": "1", "|": "1"}
 
 _TRIGGERS = re.compile(
-    rf"[\[({{<] *(?:{_AT}|{_DOT}|[@.]) *[\])}}>]|[ _-]{_DOT}[ _-]|[ _-]{_AT}[ _-]|[0-9][OoIl|]|[OoIl|][0-9]|&#|&commat|&period", re.I)
+    rf"[\[({{<] *(?:{_AT}|{_DOT}|[@.]) *[\])}}>]|[ _-]{_DOT}[ _-]|[ _-]{_AT}[ _-]{{1,3}}[A-Za-z0-9-]{{1,63}}\.[A-Za-z0-9]|[0-9][OoIl|]|[OoIl|][0-9]|&#|&commat|&period", re.I)
 
 
 class Traced:
