@@ -19,7 +19,7 @@ from ..operators.blocks import blocks_from_lines, blocks_from_nodes, body_roots
 from ..operators.detail import page_fields
 from ..operators.listing import entries as list_entries
 from ..operators.shred import HtmlScope, nodes_by_page, write_nodes
-from ..sources.tables import raw_pages, table
+from ..sources.tables import documents, raw_pages, table
 from . import sqlkit as Q
 
 RUN_TS = Q.RUN_TS
@@ -69,7 +69,7 @@ def page_nodes(spark: SparkSession, sf_dir: str, scopes=(HtmlScope("article"),))
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return documents(spark, sf_dir)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

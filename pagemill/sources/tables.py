@@ -20,9 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Session setting: partitions for texts and pages whose files a scan cannot split (few files, one row
+#: group each).  Unset, the scan's own splits stand and nothing is shuffled.
+INPUT_PARTITIONS = "pagemill.input.partitions"
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as the session asks for, if it does."""
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "documents"))
+
+
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_pages`` view of the bundled ``pages`` table (no fetch time/kind in it)."""
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return dealt(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def list_pages(pages: DataFrame, spec: SiteSpec) -> DataFrame:
