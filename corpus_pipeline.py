@@ -7,6 +7,7 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,28 +22,46 @@ from pagemill.llm.simhash import survivors
 from pagemill.session import ensure_checkpoint_dir
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(stage):
+    """Documents are long rows: Arrow batches of 1,000, unless the session has a size of its own."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(_BATCH) == "10000":        # Spark's default
+            spark.conf.set(_BATCH, "1000")
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+@small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop rows whose language cannot be told: null texts and texts without a letter (`und`)."""
     model = langid.fit(docs.select("doc_id", "text", "lang"))
     return langid.keep_known(docs, model)
 
 
+@small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each SimHash component: 3-word shingles, at most 2 differing bits."""
     return survivors(docs, shingle=3, max_bits=2)
 
 
+@small_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop rows that hold a window of 10 consecutive words of a benchmark item."""
     return decontaminate(docs, read(spark, sf_dir, "benchmark"), n=10, remove="documents")
 
 
+@small_batches
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes: cut texts, a second row for words taken twice, ``n_chars`` anew."""
     out = mixed(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
+@small_batches
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode, write and read back: (doc_id, start, n_tokens, ids_crc32) of every row."""
     return token_digests(spark, docs)

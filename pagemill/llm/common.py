@@ -23,7 +23,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[tuple]]) -> DataFrame:
+def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
+         cache: str | None = None) -> DataFrame:
     """Run ``rows`` over each partition: tuples of ``df``'s columns in, tuples of ``schema`` out.
 
     Rows go out in Arrow batches of at most 2,000 rows or about 16 MB of text
@@ -33,6 +34,8 @@ def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[
     arrow = _arrow_schema(schema)
 
     def run(batches):
+        worker_cache(cache)
+
         def rows_in():
             for batch in batches:
                 yield from zip(*(_values(batch.column(i)) for i in range(batch.num_columns)))
@@ -50,24 +53,46 @@ def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[
     return df.mapInArrow(run, schema)
 
 
-def rewrite(df: DataFrame, column: str, fn: Callable[[str | None], tuple | None]) -> DataFrame:
-    """``df`` with ``column`` rewritten row by row: ``fn`` gives (new value,), or None to drop the row.
+def rewrite(df: DataFrame, column: str, fn: Callable[[list], list], cache: str | None = None) -> DataFrame:
+    """``df`` with ``column`` rewritten: ``fn`` takes some values and gives (new value,) for each, or None to drop the row.
 
-    All columns pass through as Arrow data, whatever their names and types.
+    Rows go through in slices of about 4 MB of text, so neither the texts of a
+    whole Arrow batch nor its copy are held.  All columns pass through as Arrow
+    data, whatever their names and types.
     """
     at = df.columns.index(column)
 
     def run(batches):
+        worker_cache(cache)
         for batch in batches:
-            new = [fn(v) for v in _values(batch.column(at))]
-            keep = [v is not None for v in new]
-            cols = [c.filter(pa.array(keep, pa.bool_())) if not all(keep) else c for c in batch.columns]
-            cols[at] = pa.array([v[0] for v in new if v is not None], type=batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+            first = 0
+            for some in groups((v,) for v in _values(batch.column(at))):
+                part = batch.slice(first, len(some))
+                first += len(some)
+                new = fn([x for x, in some])
+                keep = pa.array([v is not None for v in new], pa.bool_())
+                cols = [c.filter(keep) for c in part.columns]
+                cols[at] = pa.array([v[0] for v in new if v is not None], type=batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
     return df.mapInArrow(run, df.schema)
 
 
+_CACHES: dict[str, dict] = {}       # this worker process's
+
+
+def worker_cache(name: str | None) -> dict:
+    """What tasks of operator ``name`` remember in this process; what others remembered is let go.
+
+    A Python worker runs tasks of one operator after another; without this it
+    would hold all their memories.
+    """
+    for other in [k for k in _CACHES if k != name]:
+        del _CACHES[other]
+        pa.default_memory_pool().release_unused()
+    return _CACHES.setdefault(name, {}) if name else {}
+
+
 def _split(schema: str) -> list[str]:
     """Top-level fields of a DDL string (commas inside <> do not count)."""
     out, depth, word = [], 0, ""
@@ -88,9 +113,9 @@ def _arrow_schema(schema: str) -> pa.Schema:
 
 
 def _values(col: pa.Array) -> Iterator:
-    """Python values of a column, made a thousand at a time."""
-    for i in range(0, len(col), 1000):
-        yield from col.slice(i, 1000).to_pylist()
+    """Python values of a column, one at a time: very long texts are not held together."""
+    for v in col:
+        yield v.as_py()
 
 
 def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordBatch:

@@ -157,7 +157,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: st
 
 
 def _dropper(held):
-    return lambda text: None if next(held.value.hits(words(text)), None) else (text,)
+    return lambda texts: [None if next(held.value.hits(words(t)), None) else (t,) for t in texts]
 
 
 def _cutter(held):
@@ -179,4 +179,4 @@ def _cutter(held):
             keep.append(raw[here:at[a][0]])
             here = at[b - 1][1]
         return (b"".join([*keep, raw[here:]]).decode("utf-8", "surrogatepass"),)
-    return cut_spans
+    return lambda texts: list(map(cut_spans, texts))

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import groups, rewrite, scan, word_codes
+from .common import groups, rewrite, scan, word_codes, worker_cache
 
 LETTERS = re.compile(r"[^\W\d_]+")
 PIECE = 32               # bytes; longer runs are labelled in pieces
@@ -179,15 +179,12 @@ class Labeller:
         return out
 
 
-_LABELLERS: dict[str, Labeller] = {}     # this worker process's
-
-
 def _labeller(held, memo: int) -> Labeller:
-    key, model = held.value
-    if key not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[key] = Labeller(model, memo)
-    return _LABELLERS[key]
+    cache, (key, model) = worker_cache("langid"), held.value
+    if key not in cache:
+        cache.clear()
+        cache[key] = Labeller(model, memo)
+    return cache[key]
 
 
 def training_sample(docs: DataFrame, lang: str, conf: LangConf) -> list[tuple[str, str]]:
@@ -241,17 +238,16 @@ def predict(docs: DataFrame, model: Gru | None, conf: LangConf = LangConf()) ->
             for (doc_id, _), (lang, score) in zip(some, label([t for _, t in some])):
                 yield doc_id, lang, score
     return scan(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-                "doc_id long, lang_pred string, score double", rows)
+                "doc_id long, lang_pred string, score double", rows, cache="langid")
 
 
 def keep_known(docs: DataFrame, model: Gru | None, conf: LangConf = LangConf(), least: float = 0.0) -> DataFrame:
     """Rows of ``docs``, all columns, whose language is known and scores at least ``least``."""
     label = _label_rows(docs.sparkSession, model, conf)
 
-    def keep(text):
-        lang, score = label([text])[0]
-        return (text,) if lang != UNKNOWN and score >= least else None
-    return rewrite(docs, "text", keep)
+    def keep(texts):
+        return [(t,) if lang != UNKNOWN and score >= least else None for t, (lang, score) in zip(texts, label(texts))]
+    return rewrite(docs, "text", keep, cache="langid")
 
 
 def _label_rows(spark, model: Gru | None, conf: LangConf):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, worker_cache
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 128
@@ -215,12 +215,14 @@ def mixed(docs: DataFrame, conf: MixConf = MixConf()) -> DataFrame:
     at = joined.columns.index("text")
 
     def run(batches):
+        worker_cache(None)
         for batch in batches:
-            text = pa.array([_cut(t, s) for t, s in zip(batch.column(at).to_pylist(), batch.column(len(
-                batch.columns) - 1).to_pylist())], type=batch.schema.field(at).type)
-            cols = batch.columns[:-1]
-            cols[at] = text
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                cols = part.columns[:-1]
+                cols[at] = pa.array([_cut(t.as_py(), s.as_py()) for t, s in zip(part.column(at), part.columns[-1])],
+                                    type=batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
     return joined.mapInArrow(run, docs.schema)
 
