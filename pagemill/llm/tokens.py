@@ -24,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, scan, word_codes
+from .common import groups, scan, word_codes, worker_cache
 
 MAGIC = b"PMDAC1\0\0"
-SEGMENT_CHARS = 8 << 20
+SEGMENT_CHARS = 3 << 20
 RANK_BITS = 512
 END_ID = 2
 MEMO_WORDS = 500_000     # words whose ids a worker remembers
@@ -204,14 +204,12 @@ def _u32(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
-_ENCODERS: dict[tuple, Encoder] = {}     # this worker process's, with what it remembers
-
-
 def _encoder(tokenizer_json: str, by_words: bool) -> Encoder:
+    cache = worker_cache("tokens")
     key = (zlib.crc32(tokenizer_json.encode()), len(tokenizer_json), by_words)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(tokenizer_json, by_words)
-    return _ENCODERS[key]
+    if key not in cache:
+        cache[key] = Encoder(tokenizer_json, by_words)
+    return cache[key]
 
 
 # -- Spark ------------------------------------------------------------------
@@ -246,7 +244,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, by_words: bool
     sorted_docs = (docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("h"),
                                F.col("text").cast("string"))
                    .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text"))
-    scan(sorted_docs, SEGMENTS, rows).write.mode("overwrite").parquet(out)
+    scan(sorted_docs, SEGMENTS, rows, cache="tokens").write.mode("overwrite").parquet(out)
 
 
 def read_segments(spark, path: str) -> DataFrame:
