@@ -5,13 +5,15 @@ on a normalised text: transducers map homoglyphs to ASCII, runs of spelled
 digits to digits and at/dot disguises to their signs, and carry for every
 normalised character the source characters it stands for.  A match there is
 mapped back and added where it rests on at least one changed character and
-meets no plain span of its kind.
+lies within no plain span of its kind; a plain span that it covers stays too.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from sys import maxsize
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -101,6 +103,7 @@ _LOOKS |= {chr(c + 0xFEE0): chr(c) for c in range(0x21, 0x7F)}
 # decimal digits of other scripts, ten in a row from each zero
 _LOOKS |= {chr(z + d): str(d) for z in (0x660, 0x6F0, 0x966, 0x9E6, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6)
            for d in range(10)}
+_LONG_DASH = "–—"       # in prose also between words
 _GLYPH = re.compile("[" + "".join(map(re.escape, _LOOKS)) + "]")
 
 # Digits, plus, at and dot in words of English, German, French and Spanish.
@@ -219,6 +222,21 @@ def disguised(text: str) -> bool:
     return bool((not text.isascii() and _GLYPH.search(text)) or _TRIGGERS.search(text) or _spelled(text))
 
 
+def within(spans: list[tuple[int, int]], start: int, stop: int) -> bool:
+    """Whether one of the spans (ascending, disjoint) holds the range whole."""
+    i = bisect_right(spans, (start, maxsize)) - 1
+    return i >= 0 and stop <= spans[i][1]
+
+
+def dashed(text: str, spans: list[tuple[int, int]], start: int, stop: int) -> bool:
+    """Whether the range is one plain span and words that a long dash sets off from it: no part of an address."""
+    i = bisect_left(spans, (start, start))
+    if i == len(spans) or spans[i][1] > stop:
+        return False
+    a, b = spans[i]
+    return (a == start or text[a - 1] in _LONG_DASH) and (b == stop or text[b] in _LONG_DASH)
+
+
 def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     """(kind, start, stop, plain) by start, then kind as listed, then stop; offsets in code points."""
     text = text or ""
@@ -233,7 +251,7 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
                     for a, b in FINDERS[k](t.text):
                         if t.changed[a:b].any():
                             s, e = int(t.start[a]) + first, int(t.stop[b - 1]) + first
-                            if all(e <= x or y <= s for x, y in plain[k]):
+                            if not within(plain[k], s, e) and not (k == "email" and dashed(text, plain[k], s, e)):
                                 out.append((k, s, e, False))
             first += len(line) + 1
     return sorted(out, key=lambda r: (r[1], KINDS.index(r[0]), r[2]))

@@ -56,6 +56,25 @@ def test_disguises_map_back(text, kind, found):
     assert (kind, text.index(found), text.index(found) + len(found), False) in find(text)
 
 
+@pytest.mark.parametrize("text,kind,found,plain", [
+    ("to mаria@example.com ok", "email", "mаria@example.com", "ria@example.com"),
+    ("to john dot doe@example.com ok", "email", "john dot doe@example.com", "doe@example.com"),
+    ("to jane@mail.example[.]com ok", "email", "jane@mail.example[.]com", "jane@mail.example"),
+    ("to jane@mail7.exаmple.com ok", "email", "jane@mail7.exаmple.com", "jane@mail7.ex"),
+    ("host 97.51.17.1l3 ok", "ip", "97.51.17.1l3", "97.51.17.1"),
+    ("call +1 (017) 555-771l ok", "phone", "+1 (017) 555-771l", "+1 (017) 555-771"),
+])
+def test_disguises_around_a_plain_piece(text, kind, found, plain):
+    a, x = text.index(found), text.index(plain)
+    assert find(text) == sorted([(kind, a, a + len(found), False), (kind, x, x + len(plain), True)],
+                                key=lambda r: (r[1], r[2]))
+
+
+def test_no_disguise_added_within_a_plain_span():
+    for text in ("a jane@example.com\u200b b", "to jane@example.com—she reads it", "mail—jane@example.com—now"):
+        assert [s[3] for s in find(text)] == [True], text
+
+
 def test_clean_text_has_no_spans():
     for text in ("He looked at the dot on the wall at noon.", "un deux trois quatre cinq six",
                  "one two three four", "see a (at) b", "Punkt. Uhr (at) 5", "", None, "a.b.c [dot] d", "·" * 50,
