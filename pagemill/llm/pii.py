@@ -127,7 +127,7 @@ _SPELLED_PART = re.compile(rf"{_PLUS}|{_WORD}", re.I)
 _BRACKET_AT = re.compile(rf" {{0,3}}(?:\[ {{0,3}}(?:{_AT}|@) {{0,3}}\]|\( {{0,3}}(?:{_AT}|@) {{0,3}}\)|\{{ {{0,3}}(?:{_AT}|@) {{0,3}}\}}|< {{0,3}}(?:{_AT}|@) {{0,3}}>) {{0,3}}", re.I)
 _BRACKET_DOT = re.compile(rf" {{0,3}}(?:\[ {{0,3}}(?:{_DOT}|\.) {{0,3}}\]|\( {{0,3}}(?:{_DOT}|\.) {{0,3}}\)|\{{ {{0,3}}(?:{_DOT}|\.) {{0,3}}\}}|< {{0,3}}(?:{_DOT}|\.) {{0,3}}>) {{0,3}}", re.I)
 _NAME = r"[A-Za-z0-9_%+-]{1,64}"
-# The last labels after which bare words are taken for an address.
+# The last labels after which one bare "at" is taken for an address.
 _TOP = "(?:com|net|org|edu|gov|info|io|co|de|fr|es|eu|uk|us|biz|dev|test|example)"
 # a sign in words between blanks, underscores or hyphens
 _SEP_AT, _SEP_DOT = (rf"(?: {{1,3}}{w} {{1,3}}|_{w}_|-{w}-)" for w in (_AT, _DOT))
@@ -135,6 +135,18 @@ _BARE_EMAIL = re.compile(
     rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:{_SEP_DOT}|\.){_NAME}){{0,4}}?(?:{_SEP_AT}|@)"
     rf"[A-Za-z0-9-]{{1,63}}?(?:(?:{_SEP_DOT}|\.)[A-Za-z0-9-]{{1,63}}?){{0,6}}?(?:{_SEP_DOT}|\.){_TOP}"
     rf"(?![A-Za-z0-9-]|{_SEP_DOT}[A-Za-z0-9])", re.I)
+# Two signs in words, or @ itself before a dot in words: any last label of letters.
+_LABEL, _ANY = r"[A-Za-z0-9-]{1,63}?", r"[A-Za-z]{2,63}"
+_LOCAL_WORDS = rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:{_SEP_DOT}|\.){_NAME}){{0,4}}?"
+_LOCAL_DOTS = rf"(?<![A-Za-z0-9._%+-])(?:{_NAME}\.){{0,3}}?{_NAME}{_SEP_DOT}{_NAME}(?:(?:{_SEP_DOT}|\.){_NAME}){{0,3}}?"
+_HOST_DOTS = rf"{_LABEL}(?:\.{_LABEL}){{0,6}}?{_SEP_DOT}(?:{_LABEL}(?:{_SEP_DOT}|\.)){{0,6}}?{_ANY}"
+_WORD_END = rf"(?![A-Za-z0-9-]|{_SEP_DOT}[A-Za-z0-9])"
+_WORD_EMAIL = re.compile(rf"{_LOCAL_WORDS}(?:{_SEP_AT}|@){_HOST_DOTS}{_WORD_END}", re.I)
+_DOTTED_EMAIL = re.compile(rf"{_LOCAL_DOTS}{_SEP_AT}{_LABEL}(?:\.{_LABEL}){{0,6}}?\.{_ANY}{_WORD_END}", re.I)
+# What stands between "at" and "dot" in prose ("at the dot on", "at polka dot", "at match point and").
+_PROSE = re.compile(
+    r" {1,3}at {1,3}(?:(?:the|an?|this|that|each|every|any|some|no|one|which|my|your|his|her|its|our|their|polka)"
+    r" {1,3}dot|[a-z]+ {1,3}point) ", re.I)
 _BARE_AT, _BARE_DOT = re.compile(_SEP_AT, re.I), re.compile(_SEP_DOT, re.I)
 _PART_IP = rf"(?:[0-9]{{1,3}}|{_WORD}(?:[ ,-]{{1,3}}{_WORD}){{0,2}})"
 _WORDY_IP = re.compile(rf"(?<![\w.]){_PART_IP}(?:(?: {{0,3}}{_DOT} {{0,3}}| {{0,3}}\. {{0,3}}){_PART_IP}){{3}}(?!\w)", re.I)
@@ -189,6 +201,14 @@ def _address(m: re.Match) -> str:
     return _BARE_DOT.sub(".", _BARE_AT.sub("@", text))
 
 
+def _words(m: re.Match) -> str:
+    """An address with two signs in words, or one beside @, its signs put in; prose is left as it is."""
+    text = m.group()
+    if "@" in text:
+        return _BARE_DOT.sub(".", text)
+    return text if _PROSE.search(text) else _BARE_DOT.sub(".", _BARE_AT.sub("@", text))
+
+
 def _digits(text: str) -> str:
     return "".join(_DIGIT_WORDS.get(w.lower(), "+") for w in _SPELLED_PART.findall(text))
 
@@ -209,6 +229,8 @@ def normalise(text: str) -> Traced:
     t.sub(_BRACKET_AT, lambda m: "@")
     t.sub(_BRACKET_DOT, lambda m: ".")
     t.sub(_BARE_EMAIL, _address)
+    t.sub(_WORD_EMAIL, _words)
+    t.sub(_DOTTED_EMAIL, _words)
     return t
 
 

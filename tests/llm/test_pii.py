@@ -70,6 +70,26 @@ def test_disguises_around_a_plain_piece(text, kind, found, plain):
                                 key=lambda r: (r[1], r[2]))
 
 
+@pytest.mark.parametrize("found", [
+    "ana.b at mail dot it", "x9 at firma dot nl", "kai.7@host dot ch", "jane at startup dot berlin",
+    "jane_at_mail_dot_firma_dot_pl", "john dot doe at firma.nl", "ana.b at mail dot co dot jp", "x9 at mail.firma dot se",
+])
+def test_words_before_any_last_label(found):
+    text = f"to {found}, geh"
+    assert ("email", 3, 3 + len(found), False) in find(text)
+
+
+def test_prose_around_dots_is_no_address():
+    for text in ("She looked at the dot in it.", "he stared at polka dot dresses", "in 2019 at match point and then",
+                 "we met at noon dot", "x9 at firma.nl"):
+        assert find(text) == [], text
+
+
+def test_signs_in_words_are_linear():
+    for text in ("a dot a at a dot " * 15_000, "a@a dot " * 20_000, "a-dot-" * 30_000 + "at-" * 1000, "a at a dot a." * 15_000):
+        find(text)
+
+
 def test_no_disguise_added_within_a_plain_span():
     for text in ("a jane@example.com\u200b b", "to jane@example.com—she reads it", "mail—jane@example.com—now"):
         assert [s[3] for s in find(text)] == [True], text
