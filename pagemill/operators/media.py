@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 from ..functions.urls import url_file_type
 
 
-def manifest(articles: DataFrame) -> DataFrame:
-    """A5: content images, then thumb, then audio; a later source wins a URL."""
-    imgs = articles.select("uuid", F.posexplode(F.coalesce("imgs", F.array().cast(
-        articles.schema["imgs"].dataType))).alias("pos", "img")).select(
-        "uuid", F.col("img.ori_url").alias("url"), F.lit("content_image").alias("file_type"),
-        F.col("img.url").alias("local_name"), F.lit(0).alias("rank"), "pos")
+def manifest(articles: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """A5: content images, then thumb, then audio; a later source wins a URL.
+
+    Content images are the articles' ``imgs``, or rows of
+    ``images(uuid, url, local_name, pos)`` where an article may have any number.
+    """
+    if images is None:
+        images = articles.select("uuid", F.posexplode(F.coalesce("imgs", F.array().cast(
+            articles.schema["imgs"].dataType))).alias("pos", "img")).select(
+            "uuid", F.col("img.ori_url").alias("url"), F.col("img.url").alias("local_name"), "pos")
+    imgs = images.select("uuid", "url", F.lit("content_image").alias("file_type"), "local_name",
+                         F.lit(0).alias("rank"), F.col("pos").cast("long").alias("pos"))
     thumb = articles.where(F.coalesce(F.col("thumb_pic"), F.lit("")) != "").select(
         "uuid", F.col("thumb_pic").alias("url"), F.lit("thumb_image").alias("file_type"),
         F.concat(F.lit("thumb_image."), F.lower(url_file_type(F.col("thumb_pic")))).alias("local_name"),

@@ -518,22 +518,21 @@ def c7_audio_type(spark, sf):
 
 
 def ev_media(spark, sf):
-    """Articles (one per user) with images, thumb and audio; fetch results from purchases."""
+    """Articles (one per user) with thumb and audio; fetch results from purchases; images, one row each."""
     a = ev_articles(spark, sf)
     url = F.concat(F.lit("https://cdn.example.org/"), (F.col("event_id") % 700).cast("string"), F.lit(".jpg"))
-    imgs = a.where(F.col("event_type").isin("click", "view")).groupBy("user_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("event_id", url.alias("u")))),
-                    lambda x: F.struct(F.concat(F.lit("content_image_"), x["event_id"].cast("string")).alias("id"),
-                                       F.concat(F.lit("content_image_"), x["event_id"].cast("string"), F.lit(".jpg")).alias("url"),
-                                       x["u"].alias("ori_url"), F.lit("").alias("alt"))).alias("imgs"))
-    users = a.groupBy("user_id").agg(F.min("event_id").alias("first_event"))
-    arts = users.join(imgs, "user_id", "left").select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("uuid"), "user_id", "imgs",
+    uuid = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    imgs = a.where(F.col("event_type").isin("click", "view")).select(
+        uuid.alias("uuid"), url.alias("url"),
+        F.concat(F.lit("content_image_"), F.col("event_id").cast("string"), F.lit(".jpg")).alias("local_name"),
+        F.col("event_id").alias("pos"))
+    arts = a.groupBy("user_id").agg(F.min("event_id").alias("first_event")).select(
+        uuid.alias("uuid"), "user_id",
         F.concat(F.lit("https://cdn.example.org/"), (F.col("first_event") % 700).cast("string"), F.lit(".jpg")).alias("thumb_pic"),
         F.when(F.col("user_id") % 4 != 0, F.concat(F.lit("https://cdn.example.org/a/"), F.col("user_id").cast("string"), F.lit(".MP3"))).alias("audio_addr"))
     results = a.where(F.col("event_type") == "purchase").select(
         url.alias("url"), (F.col("k") % 10 != 0).alias("ok"), F.concat(F.lit("full/"), F.md5(url)).alias("path"))
-    return arts, results
+    return arts, results, imgs
 
 
 EV_MEDIA_SQL = f"""{EV_SQL},
@@ -560,25 +559,25 @@ per AS (SELECT uuid, bool_and(coalesce(ok, false)) AS media_ok, count(*) AS n_fi
 
 @query("a5_manifest", sql=f"WITH {EV_MEDIA_SQL}\nSELECT uuid, url, file_type, local_name FROM man")
 def a5_manifest(spark, sf):
-    arts, _ = ev_media(spark, sf)
-    return M.manifest(arts)
+    arts, _, imgs = ev_media(spark, sf)
+    return M.manifest(arts, imgs)
 
 
 @query("j4_manifest_results", sql=f"WITH {EV_MEDIA_SQL}\nSELECT uuid, url, ok FROM att")
 def j4_manifest_results(spark, sf):
-    arts, results = ev_media(spark, sf)
-    return M.attach_results(M.manifest(arts), results).select("uuid", "url", "ok")
+    arts, results, imgs = ev_media(spark, sf)
+    return M.attach_results(M.manifest(arts, imgs), results).select("uuid", "url", "ok")
 
 
 @query("a2_media_ok", sql=f"WITH {EV_MEDIA_SQL}\nSELECT uuid, media_ok, n_files FROM per")
 def a2_media_ok(spark, sf):
-    arts, results = ev_media(spark, sf)
-    return M.media_ok(M.attach_results(M.manifest(arts), results))
+    arts, results, imgs = ev_media(spark, sf)
+    return M.media_ok(M.attach_results(M.manifest(arts, imgs), results))
 
 
 def ev_status(spark, sf):
-    arts, results = ev_media(spark, sf)
-    per = M.media_ok(M.attach_results(M.manifest(arts), results))
+    arts, results, imgs = ev_media(spark, sf)
+    per = M.media_ok(M.attach_results(M.manifest(arts, imgs), results))
     a = arts.withColumn("others", F.struct(F.array().cast("array<string>").alias("tags"),
                                            F.lit(None).cast("string").alias("ref_uuid")))
     return M.with_status(a, per, pack_error=F.when(F.col("user_id") % 11 == 0, "disk full"))
@@ -1486,8 +1485,8 @@ SELECT uuid, '202401' AS yyyymm, '202401/' || uuid AS data_uri, 'status.' || fet
 FROM st""")
 def s10_publish_export(spark, sf):
     """S8 + S9 + S10: export rows written as one new snapshot and read back."""
-    arts, results = ev_media(spark, sf)
-    a = M.download_status(arts, M.media_ok(M.attach_results(M.manifest(arts), results)))
+    arts, results, imgs = ev_media(spark, sf)
+    a = M.download_status(arts, M.media_ok(M.attach_results(M.manifest(arts, imgs), results)))
     empty = {c: F.lit("") for c in ("formatted_content", "ori_content", "formatted_text")}
     a = a.withColumns({"batch_id": F.lit(20240131000000).cast("bigint"), "spider": F.lit("news_en"),
                        "data_uri": F.concat(F.lit("202401/"), "uuid")} | empty)

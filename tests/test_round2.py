@@ -41,6 +41,21 @@ def test_long_digits_do_not_fail(spark):
     assert sorted((r["page_id"], r["audio_addr"]) for r in lowest_rate_link(links).collect()) == [(1, "b"), (2, "c")]
 
 
+def test_manifest_takes_images_as_rows(spark, capsys):
+    from pagemill.plans import catalog as C
+    arts = spark.sql("""SELECT 'a' AS uuid, 't.jpg' AS thumb_pic, CAST(NULL AS STRING) AS audio_addr,
+                        array(named_struct('ori_url', 'x', 'url', '1.jpg'), named_struct('ori_url', 't.jpg', 'url', '2.jpg'),
+                              named_struct('ori_url', 'x', 'url', '3.jpg')) AS imgs""")
+    rows = spark.createDataFrame([("a", "x", "3.jpg", 30), ("a", "x", "1.jpg", 10), ("a", "t.jpg", "2.jpg", 20)],
+                                 "uuid string, url string, local_name string, pos long")
+    want = [("a", "t.jpg", "thumb_image", "thumb_image.jpg"), ("a", "x", "content_image", "3.jpg")]
+    assert sorted(map(tuple, M.manifest(arts).collect())) == want
+    assert sorted(map(tuple, M.manifest(arts.drop("imgs"), rows).collect())) == want
+    for q in (C.a5_manifest, C.j4_manifest_results, C.a2_media_ok, C.c12_status, C.c14_ref_uuid):   # no history in one array
+        q(spark, "/root/testdata/sf0.001").explain("extended")
+        assert "collect_list" not in capsys.readouterr().out
+
+
 def test_status_steps_and_export(spark):
     a = spark.createDataFrame([("a",), ("b",), ("c",)], "uuid string")
     per = spark.createDataFrame([("a", True), ("b", False)], "uuid string, media_ok boolean")
