@@ -27,8 +27,8 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class LangConf:
     docs_per_lang: int = 200      # bound of the training sample
-    chars_per_doc: int = 20_000   # of its texts; texts to be labelled are always whole
-    max_langs: int = 300
+    runs_per_doc: int = 3_000     # drawn by hash from its whole texts; texts to be labelled are always whole
+    runs: int = 6_000_000         # of all languages: beyond ten, each text gives fewer (16 at least)
     hidden: int = 16
     steps: int = 700
     batch: int = 256
@@ -187,39 +187,56 @@ def _labeller(held, memo: int) -> Labeller:
     return cache[key]
 
 
-def training_sample(docs: DataFrame, lang: str, conf: LangConf) -> list[tuple[str, str]]:
-    """At most ``docs_per_lang`` (text, lang) of each language, by hash order."""
-    known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(conf.max_langs).collect()
-    if not counts:
+def draw(text: str, n: int, seed: tuple[int, ...]) -> list[bytes]:
+    """The pieces of a text's letter runs, or ``n`` of them, drawn from the whole text, in its order."""
+    text = text.lower()
+    total = sum(len(pieces(m.group())) for m in LETTERS.finditer(text))
+    found = (p for m in LETTERS.finditer(text) for p in pieces(m.group()))
+    if total <= n:
+        return list(found)
+    taken = set(np.random.default_rng(seed).choice(total, n, replace=False).tolist())
+    return [p for i, p in enumerate(found) if i in taken]
+
+
+def training_sample(docs: DataFrame, lang: str, conf: LangConf) -> list[tuple[list[bytes], str]]:
+    """(pieces, lang) of at most ``docs_per_lang`` rows of every language, by hash order."""
+    known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select(
+        F.col(lang).cast("string").alias("l"), F.col("text").cast("string").alias("text"),
+        F.pmod(F.xxhash64("doc_id", F.lit(conf.seed)), F.lit(1 << 30)).alias("o"), F.col("doc_id").cast("long").alias("doc_id"))
+    counts = known.groupBy("l").agg(F.count("*").alias("n")).select(
+        "l", F.least(F.lit(1.0), 2 * conf.docs_per_lang / F.col("n") + 0.001).alias("part"))
+    n_langs = counts.count()
+    if not n_langs:
         return []
-    order = F.pmod(F.xxhash64("doc_id", F.lit(conf.seed)), F.lit(1 << 30))
-    bound = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (
-        r["l"], int(min(1.0, 2 * conf.docs_per_lang / r["count"] + 0.001) * (1 << 30)))]), F.col(lang))
-    near = known.where(order < bound).select(
-        F.substring("text", 1, conf.chars_per_doc).alias("text"), F.col(lang).alias("l"), order.alias("o"), "doc_id")
-    w = Window.partitionBy("l").orderBy("o", "doc_id", "text")
-    rows = near.withColumn("n", F.row_number().over(w)).where(F.col("n") <= conf.docs_per_lang).collect()
-    return sorted((r["text"], r["l"]) for r in rows)
+    n = min(conf.runs_per_doc, max(16, conf.runs // (conf.docs_per_lang * n_langs)))
+    near = known.join(F.broadcast(counts), "l").where(F.col("o") < (F.col("part") * (1 << 30)).cast("long")).select("l", "o", "doc_id", "text")
+
+    def drawn(it):
+        for l, o, doc_id, text in it:
+            yield l, o, doc_id, b" ".join(draw(text, n, (conf.seed, o)))
+    w = Window.partitionBy("l").orderBy("o", "doc_id", "runs")
+    rows = scan(near, "l string, o long, doc_id long, runs binary", drawn).withColumn("n", F.row_number().over(w)).where(
+        F.col("n") <= conf.docs_per_lang).select("l", "runs").collect()
+    return [(runs.split(), l) for runs, l in sorted((bytes(r["runs"]), r["l"]) for r in rows)]
 
 
 def fit(docs: DataFrame, lang: str = "lang", conf: LangConf = LangConf()) -> Gru | None:
     """Train on ``docs(doc_id, text, lang)``; None where no row has a language and a letter."""
-    sample = [(LETTERS.findall(t.lower()), l) for t, l in training_sample(docs, lang, conf)]
+    sample = training_sample(docs, lang, conf)
     langs = sorted({l for runs, l in sample if runs})
     if not langs:
         return None
+    at = {l: k for k, l in enumerate(langs)}
     runs, labels = [], []
     for words, l in sample:
-        for w in words:
-            for p in pieces(w):
-                runs.append(p)
-                labels.append(langs.index(l))
+        runs += words
+        if words:
+            labels += [at[l]] * len(words)
     model = Gru(langs, conf.hidden, conf.seed)
     y = np.array(labels)
     # each language has the same weight, however much of it the sample holds
     rng = np.random.default_rng(conf.seed)
-    per = min(60_000, max(np.bincount(y)))
+    per = min(60_000, max(np.bincount(y)), max(100, conf.runs // len(langs)))
     even = np.concatenate([rng.choice(np.flatnonzero(y == k), per) for k in range(len(langs)) if (y == k).any()])
     model.train([runs[i] for i in even], y[even], conf)
     return model

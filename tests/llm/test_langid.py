@@ -49,6 +49,16 @@ def test_held_out_accuracy(spark):
     assert r[0] > 0.98 and 0 <= r[1] and r[2] <= 1 and r[3] > 2000
 
 
+def test_every_language_and_whole_texts_teach(spark):
+    rows = [(i, f"word{chr(97 + i % 26)} text", f"l{i:03d}") for i in range(320)]
+    rows.append((400, "alpha " * 4000 + "omega " * 4000, "long"))       # 48,000 characters
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    conf = LangConf(steps=2)
+    assert len(fit(df, conf=conf).langs) == 321
+    sample = dict((l, runs) for runs, l in langid.training_sample(df.where("lang = 'long'"), "lang", conf))["long"]
+    assert len(sample) == conf.runs_per_doc and 0.4 < sample.count(b"omega") / len(sample) < 0.6
+
+
 def test_edge_cases(spark):
     rows = [(i, "the and " * 9 if i % 2 else "und der " * 9, "en" if i % 2 else "de", [i]) for i in range(60)]
     rows += [(70, None, "en", []), (71, "", "en", []), (72, "12 !?", "de", []), (73, "the", None, []), (1, "the and", "en", [])]
