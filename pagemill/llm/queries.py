@@ -12,6 +12,7 @@ from pagemill.session import ensure_checkpoint_dir
 from .common import crc_part, read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+ALIGNED_TOKENIZERS = "byte_bpe_50k.json", "piece_bpe_32k.model"
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -101,9 +102,21 @@ def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(spark, read(spark, sf, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import uuid
+
+    import public_tokenizers
+
+    from .align import align_documents, documents, pair_counts
+    out = f"{ensure_checkpoint_dir(spark)}/aligned-{uuid.uuid4().hex}"
+    align_documents(read(spark, sf, "documents"), *map(public_tokenizers.path, ALIGNED_TOKENIZERS), out, digest=True)
+    slices = spark.read.parquet(out)
+    return documents(slices, pair_counts(slices)).withColumnRenamed("said", "groups_sha256")
+
+
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_nearest, op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op6_pii, op7_url_filter, op8_long_repeats, op9_language_id,
-    op10_tokens]
+    op10_tokens, op11_alignment]
 
 SQL: dict[str, str] = {}
 
