@@ -314,7 +314,8 @@ ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 def documents(slices: DataFrame, counts: DataFrame) -> DataFrame:
     """One row per document of ``align_documents``: sizes, links whose pair is its A id's best, sum of the links' counts, groups."""
-    values = _own_pairs(slices).join(counts.select("pair", "n_docs", "best"), "pair").select("slice", "at", "n_docs", "best")
+    values = _own_pairs(slices).join(counts.select("pair", "n_docs", "best"), "pair").select(
+        F.col("slice").alias("of_slice"), "at", "n_docs", "best")
     payload = slices.drop("pairs", "pair_docs")
     schema = _schema(ALIGNED)
 
@@ -332,7 +333,7 @@ def documents(slices: DataFrame, counts: DataFrame) -> DataFrame:
                                  *(_sums(v[codes], ends) for v in of_chunk), r["said"]], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
 
-    return payload.groupBy("slice").cogroup(values.groupBy("slice")).applyInArrow(look_up, ALIGNED)
+    return payload.groupBy("slice").cogroup(values.groupBy("of_slice")).applyInArrow(look_up, ALIGNED)
 
 
 def _sums(values: np.ndarray, stops: np.ndarray) -> np.ndarray:
