@@ -114,9 +114,14 @@ def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return documents(slices, pair_counts(slices)).withColumnRenamed("said", "groups_sha256")
 
 
+def op12_quality(spark: SparkSession, sf: str) -> DataFrame:
+    from .compression import scores
+    return scores(read(spark, sf, "documents"))
+
+
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_nearest, op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op6_pii, op7_url_filter, op8_long_repeats, op9_language_id,
-    op10_tokens, op11_alignment]
+    op10_tokens, op11_alignment, op12_quality]
 
 SQL: dict[str, str] = {}
 
