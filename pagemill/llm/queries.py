@@ -119,9 +119,15 @@ def op12_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scores(read(spark, sf, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    from .trie import prefix_trie, share_starts, turns
+    return prefix_trie(share_starts(turns(read(spark, sf, "conversations")))).drop("node").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_nearest, op2_decontamination, op3_toxicity, op4_mixing, op5_simhash, op6_pii, op7_url_filter, op8_long_repeats, op9_language_id,
-    op10_tokens, op11_alignment, op12_quality]
+    op10_tokens, op11_alignment, op12_quality, op13_prefix_trie]
 
 SQL: dict[str, str] = {}
 
@@ -159,6 +165,30 @@ m AS (SELECT r, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
       FROM u JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (r)"""
 
+# crc32 bit by bit: the register, then every byte followed by seven zeros
+SQL["op13_prefix_trie"] = r"""
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+             sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+             coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, list(struct_pack(role := role, text := text) ORDER BY pos) AS own,
+        xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+          lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+          lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) % 9 AS h
+      FROM o GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(list_slice(b.own, 1, c.h), []), list_slice(c.own, c.h + 1, len(c.own))) AS t
+      FROM c LEFT JOIN c AS b ON b.conv_id = c.base),
+p AS (SELECT conv_id, t, d, list_slice(t, 1, d) AS pre FROM r, unnest(range(0, len(t) + 1)) AS x(d)),
+n AS (SELECT pre, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(t) = d), '') AS ends,
+        CASE WHEN any_value(d) = 0 THEN 0 ELSE any_value(strlen(t[d].text)) END AS last_bytes FROM p GROUP BY pre),
+kids AS (SELECT list_slice(pre, 1, depth - 1) AS pre, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+up AS (SELECT list_slice(n.pre, 1, a) AS pre, sum(CAST(kids.n IS NULL AS BIGINT)) AS n_leaves, sum((n_convs - 1) * last_bytes) AS saved
+       FROM n LEFT JOIN kids USING (pre), unnest(range(0, depth + 1)) AS x(a) GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+       CAST(up.n_leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN up USING (pre) LEFT JOIN kids USING (pre)
+  LEFT JOIN n AS m ON n.depth > 0 AND m.depth = n.depth - 1 AND m.pre = list_slice(n.pre, 1, n.depth - 1)"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in OPERATORS}
