@@ -16,6 +16,7 @@ from ..config import SiteSpec
 from ..functions.ids import image_html
 from ..functions.text import PUNCTUATION, clean_lines, let, pstrip, pwords, starts_with_any
 from ..functions.urls import image_type
+from .markup import events, folded, start_tag
 from .select import Selector, chain_state, element_match
 
 BLOCK_COLS = ["page_id", "pos", "block_id", "kind", "tag", "cls", "text", "em_text", "has_em",
@@ -40,7 +41,8 @@ def body_roots(nodes: DataFrame, spec: SiteSpec) -> DataFrame:
     return roots.groupBy("page_id").agg(
         F.min("node_id").alias("root_id"),
         F.min_by("html", "node_id").alias("ori_content"),
-        F.min_by("tag", "node_id").alias("root_tag"))
+        F.min_by("tag", "node_id").alias("root_tag"),
+        F.min_by(start_tag(), "node_id").alias("root_open"))
 
 
 def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> DataFrame:
@@ -70,8 +72,7 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> D
         F.first(F.when(is_block, F.col("kind")), ignorenulls=True).alias("kind"),
         F.first(F.when(is_block, F.col("tag")), ignorenulls=True).alias("tag"),
         F.first(F.when(is_block, cls), ignorenulls=True).alias("cls"),
-        F.first(F.when(is_block, F.col("html")), ignorenulls=True).alias("html"),
-        F.first(F.when(is_block & (F.col("kind") == "comment"), F.col("text")), ignorenulls=True).alias("comment"),
+        folded(events()).alias("html"),
         _ordered_concat(F.when(F.col("kind") == "text", F.col("text")), F.col("node_id")).alias("text"),
         _ordered_concat(F.when((F.col("kind") == "text") & (n_em > 0), F.repeat(F.col("text"), n_em)),
                         F.col("node_id")).alias("em_text"),
@@ -107,8 +108,7 @@ def blocks_from_nodes(nodes: DataFrame, spec: SiteSpec, em_tag: str = "em") -> D
         "page_id", "pos", "block_id", "kind", "tag", "cls",
         F.when(F.col("kind") == "comment", F.lit("")).otherwise(F.col("text")).alias("text"),
         "em_text", F.coalesce("has_em", F.lit(False)).alias("has_em"),
-        F.when(F.col("kind") == "comment", F.concat(F.lit("<!--"), F.col("comment"), F.lit("-->")))
-        .otherwise(F.col("html")).alias("html"),
+        "html",
         F.when(F.col("tag") == "div", div_class).alias("div_class"),
         F.col("_img.src").alias("img_src"), F.col("_img.alt").alias("img_alt"))
 

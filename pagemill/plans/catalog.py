@@ -1429,16 +1429,87 @@ def t3_stream_upsert(spark, sf):
 # P21, J5, J6 (pages); S8 + S10 export/publish and S5 media store (rows only)
 # =============================================================================
 
-@query("p21_clean_html", sql="""
-SELECT page_id, regexp_extract(html, '(?s)<article>.*</article>', 0) AS formatted_content FROM pages""")
+# What the cleaner drops or rewrites, put into each article: a div of each kind and loose text at its start (as for
+# P13-P15), a ruler, a sign-off, a credit and an empty paragraph at its end.
+_TAIL = "<p>____________</p><p>I&apos;m Ann Lee.</p><p><em>Ann Lee wrote this.</em></p><p> </p><p class='x \"y\"'>Kept &lt;last&gt;.</p>"
+_TAIL_CLEAN = "<p>I''m Ann Lee.</p><p class=''x \"y\"''>Kept &lt;last&gt;.</p>"
+_IMAGE_CLEAN = I.IMAGE_TEMPLATE.replace("{p}", "pm").replace(chr(10), "' || chr(10) || '") % (
+    "content_image_div_1", "content_image_1", "a", "content_image_1.png", "/p.png", "a")
+
+
+def _tailed_pages(spark, sf):
+    return _block_pages(spark, sf).withColumn("html", F.replace(F.col("html"), F.lit("</article>"), F.lit(_TAIL + "</article>")))
+
+
+@query("p21_clean_html", sql=f"""
+SELECT page_id, '<article>' || CASE WHEN page_id % 7 = 5 THEN '{_IMAGE_CLEAN}' ELSE '' END || '<!-- c -->'
+         || {Q.canonical("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")}
+         || '{_TAIL_CLEAN}</article>' AS formatted_content
+FROM pages""")
 def p21_clean_html(spark, sf):
     from ..operators.blocks import wrap_root
-    n = page_nodes(spark, sf)
-    roots = body_roots(n, DRIVER_PAGES)
+    n = nodes_by_page(_tailed_pages(spark, sf), (HtmlScope("article"),))
     body = assemble(clean_blocks(blocks_from_nodes(n, DRIVER_PAGES), DRIVER_PAGES))
-    j = roots.join(body, "page_id", "left")
-    root_open = F.regexp_extract(F.col("ori_content"), r"^<[^>]*>", 0)
-    return j.select("page_id", wrap_root(F.col("body_html"), root_open, F.col("root_tag")).alias("formatted_content"))
+    return body_roots(n, DRIVER_PAGES).join(body, "page_id", "left").select(
+        "page_id", wrap_root(F.col("body_html"), F.col("root_open"), F.col("root_tag")).alias("formatted_content"))
+
+
+# Markup for the reformatters, put at the start of each article; pages of even id have stored paths for some images.
+_STYLED = ("<p>see <a href='/x'><b>this</b> link</a> now</p><iframe src='v'><p>in</p></iframe><blockquote><p>q</p></blockquote>"
+           "<p> &nbsp; </p><p>&amp;nbsp;</p><div id='js_sponsor_ad_area'>ad</div><span class='x db'>s</span><script>var a='</p>';</script>"
+           "<p><img src=' http://i.example.org/1.png ' alt='x' style='height: 20px'></p><p><img data-src='ftp://i.example.org/2.png'></p>"
+           "<p><img src='http://i.example.org/spam.png' alt='y'></p><div><img src='/r.png' alt='z'></div><p><strong>bold</strong></p>")
+
+
+def _styled_pages(spark, sf):
+    table_ = F.when(F.col("page_id") % 5 == 0, "<table><tr><td>1</td></tr></table>").otherwise("")
+    html = F.replace(F.col("html"), F.lit("<article>"), F.concat(F.lit("<article>" + _STYLED), table_))
+    return raw_pages(spark, sf).select("page_id", "url", html.alias("html"))
+
+
+def _stored_paths(pages):
+    urls = F.array(*map(F.lit, ("http://i.example.org/1.png", "ftp://i.example.org/2.png", "http://i.example.org/spam.png")))
+    return pages.where(F.col("page_id") % 2 == 0).select("page_id", F.posexplode(urls).alias("k", "url")).select(
+        "page_id", "url", F.concat(F.lit("pics/"), F.col("page_id").cast("string"), F.lit("_"), (F.col("k") + 1).cast("string")).alias("path"))
+
+
+_SQUEEZE = f"regexp_replace(regexp_replace(regexp_replace(m, '{_WS}+<', '<', 'g'), '>{_WS}+', '>', 'g'), '{_ILLEGAL}', '', 'g')"
+
+
+@query("f25_reformat_styles", sql=f"""
+WITH a AS (SELECT page_id, CAST(page_id AS VARCHAR) AS i, {Q.canonical("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} AS body FROM pages),
+m AS (SELECT page_id, '<article><p>see this link now</p>'
+        || CASE WHEN page_id % 2 = 0
+           THEN '<p><img src="pics/' || i || '_1" style="height:auto"/></p><p><img data-src="ftp://i.example.org/2.png" src="pics/' || i
+                || '_2"/></p><div><img src="/r.png"/></div>'
+           ELSE '<p><img src=" http://i.example.org/1.png " alt="x" style="height: 20px"/></p><p><img data-src="ftp://i.example.org/2.png"/></p>'
+                || '<p><img src="http://i.example.org/spam.png" alt="y"/></p><div><img src="/r.png" alt="z"/></div>' END
+        || '<p><strong>bold</strong></p>' || CASE WHEN page_id % 5 = 0 THEN '<table><tr><td>1</td></tr></table>' ELSE '' END
+        || body || '</article>' AS m FROM a)
+SELECT page_id, {_SQUEEZE} AS formatted_content FROM m""")
+def f25_reformat_styles(spark, sf):
+    from ..operators.markup import reformat_keeping_styles
+    pages = _styled_pages(spark, sf)
+    return reformat_keeping_styles(nodes_by_page(pages), DRIVER_PAGES.body_root, _stored_paths(pages),
+                                   spark.createDataFrame([("/spam.",)], "pattern string"))
+
+
+@query("f26_reformat_paragraphs", sql=f"""
+WITH a AS (SELECT page_id, CAST(page_id AS VARCHAR) AS i, {Q.canonical("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} AS body FROM pages),
+ps AS (SELECT page_id, list_transform(regexp_extract_all(body, '(?s)<p>.*?</p>'), lambda p: regexp_replace(regexp_replace(regexp_replace(
+         replace(replace(p, ' <', '<'), '> ', '>'), '<p[^\n]*?>', '', 'g'), '</p>', '<br/>', 'g'), '{_ILLEGAL}', '', 'g')) AS ps FROM a)
+SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '' ELSE 'see<b>this</b>link now<br/>in<br/>q<br/>' || '&amp;nbsp;<br/>'
+         || CASE WHEN page_id % 2 = 0
+            THEN '<img src="pics/' || i || '_1" style="height: 20px"/><br/><img data-src="ftp://i.example.org/2.png" src="pics/' || i
+                 || '_2"/><br/><img src="pics/' || i || '_3"/><br/><img src="/r.png"/><br/>'
+            ELSE '<img src=" http://i.example.org/1.png " alt="x" style="height: 20px"/><br/><img data-src="ftp://i.example.org/2.png"/><br/>'
+                 || '<img src="http://i.example.org/spam.png" alt="y"/><br/><img src="/r.png" alt="z"/><br/>' END
+         || '<b>bold</b><br/>' || array_to_string(list_transform(ps, lambda p: CASE WHEN regexp_replace(p, '(<br */>)+', '', 'g') = '' THEN '' ELSE p END), '')
+       END AS formatted_content FROM ps JOIN a USING (page_id)""")
+def f26_reformat_paragraphs(spark, sf):
+    from ..operators.markup import reformat_by_paragraphs
+    pages = _styled_pages(spark, sf)
+    return reformat_by_paragraphs(nodes_by_page(pages), DRIVER_PAGES.body_root, _stored_paths(pages))
 
 
 # Fixed test blocklist (a config table: its size is bounded by configuration).

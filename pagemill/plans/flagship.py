@@ -78,7 +78,6 @@ def article_rows(heads: DataFrame, body: DataFrame, spec: SiteSpec, run_ts, hook
     a = heads.drop("root_id").join(body, "page_id")
     bid = batch_id_of(run_ts)
     uid = uuid_from(F.lit(spec.name), F.col("url"))
-    root_open = F.regexp_extract(F.col("ori_content"), r"^<[^>]*>", 0)
     none = F.lit(None).cast("string")
     thumb = F.col("thumb_pic_url") if "thumb_pic_url" in heads.columns else none
     audio = F.col("audio_addr")
@@ -86,7 +85,7 @@ def article_rows(heads: DataFrame, body: DataFrame, spec: SiteSpec, run_ts, hook
         "page_id", uid.alias("uuid"), bid.alias("batch_id"), "spider", F.lit(spec.name).alias("source_tag"), "source_addr",
         audio_type(audio).alias("type"), F.lit("new").alias("status"), F.lit("new").alias("status_msg"),
         data_uri(bid, uid).alias("data_uri"), "title", "category", "public_datetime", "pub_source", "ori_content",
-        wrap_root(F.col("body_html"), root_open, F.col("root_tag")).alias("formatted_content"),
+        wrap_root(F.col("body_html"), F.col("root_open"), F.col("root_tag")).alias("formatted_content"),
         hooks.after_format(F.coalesce("formatted_text", F.lit(""))).alias("formatted_text"),
         "imgs", "content_pic", thumb.alias("thumb_pic"), audio.alias("audio_addr"),
         F.when(audio.isNotNull(), F.array(F.struct(F.lit("main").alias("type"), audio.alias("addr")))).alias("audios"),
@@ -104,7 +103,7 @@ def detail_articles(pages: DataFrame, spec: SiteSpec, run_ts, scopes, history: D
     """(article rows, all header rows with ``reason``) of detail pages.
 
     The gate and the de-duplication (J2, J3, W6) decide on slim header rows;
-    only the survivors meet their bodies.
+    only the survivors' nodes go on to the block work.
     """
     spark = pages.sparkSession
     nodes = nodes_by_page(pages, scopes)
@@ -113,8 +112,10 @@ def detail_articles(pages: DataFrame, spec: SiteSpec, run_ts, scopes, history: D
     conf = conf or DedupConf(title_spiders=(spec.name,))
     slim = heads.where(F.col("reason").isNull()).select("page_id", "title", "source_addr", "spider")
     dup = dedup(slim, history, run_ts, conf, arrival=F.col("page_id")).select("page_id", F.col("reason").alias("dup"))
-    heads = heads.join(dup, "page_id", "left").withColumn("reason", F.coalesce("reason", "dup")).drop("dup")
-    return article_rows(heads.where(F.col("reason").isNull()), bodies(nodes, spec, hooks), spec, run_ts, hooks), heads
+    heads = _cut(heads.join(dup, "page_id", "left").withColumn("reason", F.coalesce("reason", "dup")).drop("dup"))
+    accepted = heads.where(F.col("reason").isNull())
+    wanted = nodes.join(accepted.select("page_id"), "page_id", "left_semi")
+    return article_rows(accepted, bodies(wanted, spec, hooks), spec, run_ts, hooks), heads
 
 
 def ingest(lists: DataFrame, details: DataFrame, spec: SiteSpec, run_ts, hours: Column, results: DataFrame,

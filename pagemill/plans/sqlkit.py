@@ -81,3 +81,8 @@ def article_blocks_cte(name: str = "ablocks") -> str:
     SELECT page_id, unnest(s) AS seg, unnest(range(0, len(s))) AS i FROM (
       SELECT page_id, string_split(replace(replace({ARTICLE_INNER}, '<p>', chr(1) || '<p>'), '<h1>', chr(1) || '<h1>'), chr(1)) AS s
       FROM pages)) WHERE seg <> '')"""
+
+
+def canonical(x: str) -> str:
+    """The bundled articles' markup as the serializer writes it: their only unclosed elements are ``<p><b>...<br>``."""
+    return (f"replace(regexp_replace(replace({x}, '&quot;', '\"'), '&(amp;?)?', '&amp;', 'g'), '<br>', '<br/></b></p>')")
