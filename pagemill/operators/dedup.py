@@ -20,30 +20,31 @@ from ..config import DedupConf
 from ..functions.dates import as_ts
 
 
-def _horizon(run_ts, days: int) -> Column:
+def horizon(run_ts, days: int) -> Column:
     """``curdate() - INTERVAL n DAY`` (midnight of the run day, n days back)."""
     return F.date_sub(F.to_date(as_ts(run_ts)), days).cast("timestamp_ntz")
 
 
 def history_titles(history: DataFrame, run_ts, conf: DedupConf) -> DataFrame:
     """S3 + A4: distinct titles of the listed spiders inside the title horizon."""
-    h = history.where((F.col("created_at").cast("timestamp_ntz") >= _horizon(run_ts, conf.title_days))
+    h = history.where((F.col("created_at").cast("timestamp_ntz") >= horizon(run_ts, conf.title_days))
                       & F.col("spider").isin(*conf.title_spiders))
     return h.select("title").distinct()
 
 
 def history_urls(history: DataFrame, run_ts, conf: DedupConf) -> DataFrame:
     """S4 + A4: distinct URLs (all spiders) inside the URL horizon."""
-    h = history.where(F.col("created_at").cast("timestamp_ntz") >= _horizon(run_ts, conf.url_days))
+    h = history.where(F.col("created_at").cast("timestamp_ntz") >= horizon(run_ts, conf.url_days))
     return h.select("source_addr").distinct()
 
 
 def dedup(batch: DataFrame, history: DataFrame, run_ts, conf: DedupConf,
-          arrival: Column, claimed: DataFrame | None = None) -> DataFrame:
+          arrival: Column, claimed: DataFrame | None = None, claimed_urls: DataFrame | None = None) -> DataFrame:
     """J2 + J3 + W6: adds ``reason`` (NULL, ``duplicate_title``, ``duplicate_url``).
 
     ``arrival`` must give a total order of the batch rows (unique tie-break).
-    ``claimed``: titles taken by earlier micro-batches of the same run.  Give
+    ``claimed`` and, for ``strict_url``, ``claimed_urls``: titles and URLs
+    taken by earlier micro-batches of the same run.  Give
     it slim rows (keys only) and join the survivors back: the frame is read
     twice, for the claims and for the test.
     """
@@ -53,7 +54,10 @@ def dedup(batch: DataFrame, history: DataFrame, run_ts, conf: DedupConf,
     if claimed is not None:
         hist_t = hist_t.union(claimed.select("title")).distinct()
     hist_t = hist_t.withColumn("_t_hist", F.lit(True))
-    hist_u = history_urls(history, run_ts, conf).withColumn("_u_hist", F.lit(True))
+    hist_u = history_urls(history, run_ts, conf)
+    if claimed_urls is not None and conf.strict_url:
+        hist_u = hist_u.union(claimed_urls.select("source_addr")).distinct()
+    hist_u = hist_u.withColumn("_u_hist", F.lit(True))
     b = b.join(hist_u, "source_addr", "left")
     url_dup = F.coalesce(F.col("_u_hist"), F.lit(False))
     if conf.strict_url:

@@ -714,15 +714,18 @@ new AS (SELECT o_orderkey AS key, o_orderpriority || '/' || c_mktsegment AS titl
 @query("s6_articles_upsert", sql=f"""
 WITH {_ORD_SQL}
 SELECT coalesce(o.key, n.key) AS key,
-       CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title END AS title,
+       CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title || CASE n.key % 3 WHEN 0 THEN '/c' WHEN 1 THEN '/b' ELSE '/a' END END AS title,
        CASE WHEN o.key IS NOT NULL THEN o.status ELSE 'done' END AS status,
        strftime(CASE WHEN o.key IS NOT NULL THEN o.created_at ELSE TIMESTAMP '{RUN_TS}' END, '%Y-%m-%d %H:%M:%S') AS created_at,
        strftime(CASE WHEN n.key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE o.updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at
 FROM old o FULL OUTER JOIN new n ON o.key = n.key""")
 def s6_articles_upsert(spark, sf):
     old, new = _orders_old_new(spark, sf)
-    batch = new.select("key", "title", F.lit("done").alias("status"), F.lit("ok").alias("status_msg"))
-    snap = S.upsert(old, batch, "key", RUN_TS, order=F.col("key"))
+    # one to three rows for a key, the one to keep last in the table
+    copies = F.filter(F.array(*map(F.lit, "abc")), lambda x, i: i <= F.col("key") % 3 * -1 + 2)
+    batch = new.select("key", "title", F.explode(copies).alias("copy")).select(
+        "key", F.concat("title", F.lit("/"), "copy").alias("title"), F.lit("done").alias("status"), F.lit("ok").alias("status_msg"), "copy")
+    snap = S.upsert(old, batch, "key", RUN_TS, order=-F.ascii("copy"))
     return snap.select("key", "title", "status", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
                        F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
 
@@ -1356,6 +1359,7 @@ def a9_simhash(spark, sf):
 import uuid as _uuid  # noqa: E402
 
 from ..streaming import incremental as INC  # noqa: E402
+from ..streaming.seen import dedup_stream  # noqa: E402
 
 
 def _run_dir(spark, name):
@@ -1385,41 +1389,47 @@ def _event_files(spark, sf, out, n=4):
 
 @query("t2_stream_dedup", sql=_DEDUP_SQL + "\nSELECT event_id FROM d WHERE reason IS NULL")
 def t2_stream_dedup(spark, sf):
+    """T2 with the state store: the new events in four micro-batches against history and what earlier ones claimed."""
     hist, _ = ev_split(spark, sf)
     out = _run_dir(spark, "t2")
     s = INC.stream_table(spark, _event_files(spark, sf, out), events(spark, sf).schema)
     k = F.get_json_object("props", "$.k").cast("int")
     batch = s.select(
-        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id",
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.when(F.col("user_id") % 3 == 0, "other").otherwise("news_en").alias("spider"),
         F.concat(F.lit("t"), (k % 40).cast("string")).alias("title"),
         F.concat(F.lit("https://e.example.org/u/"), (F.col("user_id") % 50).cast("string"), F.lit("/"),
                  k.cast("string")).alias("source_addr"),
         F.col("ts").cast("timestamp_ntz").alias("created_at")).where(
         F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
-    handler = INC.dedup_handler(f"{out}/history", f"{out}/accepted", RUN_TS, EV_DEDUP,
-                                lambda: F.struct("ts", "event_id"), seed_history=hist)
-    INC.run_available(batch, handler, f"{out}/ckpt")
-    return spark.read.parquet(f"{out}/accepted").select("event_id")
+    path = dedup_stream(batch, out, RUN_TS, EV_DEDUP, ["ts", "event_id"], hist)
+    return spark.read.parquet(path).where("reason IS NULL").select("event_id")
 
 
 @query("t3_stream_upsert", sql=f"""
-WITH {_ORD_SQL}
-SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title END AS title,
-       CASE WHEN o.key IS NOT NULL THEN o.status ELSE 'done' END AS status,
+WITH {_ORD_SQL},
+n AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 3 END AS first_epoch,
+        CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE o_orderkey % 3 END AS last_epoch, o_orderpriority AS title
+      FROM orders WHERE o_orderdate >= DATE '{_ORD_SPLIT_NEW}')
+SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NOT NULL THEN o.title ELSE n.title || '/' || CAST(first_epoch AS VARCHAR) || '/a' END AS title,
+       CASE WHEN n.key IS NOT NULL THEN 'done/' || CAST(last_epoch AS VARCHAR) || '/b' ELSE o.status END AS status,
        strftime(CASE WHEN n.key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE o.updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at
-FROM old o FULL OUTER JOIN (SELECT o_orderkey AS key, o_orderpriority AS title FROM orders
-                            WHERE o_orderdate >= DATE '{_ORD_SPLIT_NEW}') n ON o.key = n.key""")
+FROM old o FULL OUTER JOIN n ON o.key = n.key""")
 def t3_stream_upsert(spark, sf):
+    """T3 in three epochs: each key twice in an epoch, and every fifth key in all of them."""
     old, _ = _orders_old_new(spark, sf)
     out = _run_dir(spark, "t3")
-    orders = table(spark, sf, "orders")
-    orders.repartition(3, "o_orderkey").write.parquet(f"{out}/orders")       # three micro-batches
-    s = INC.stream_table(spark, f"{out}/orders", orders.schema)
+    orders = table(spark, sf, "orders").withColumn("copy", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    for k in range(3):                               # three parts of the input, one after another
+        part = orders.where((F.col("o_orderkey") % 3 == k) | (F.col("o_orderkey") % 5 == 0)).withColumn("phase", F.lit(k))
+        part.write.mode("append").parquet(f"{out}/orders")
+    files = spark.read.parquet(f"{out}/orders")
+    s = INC.stream_table(spark, f"{out}/orders", files.schema, files_per_trigger=max(1, len(files.inputFiles()) // 3))
+    tag = F.concat(F.lit("/"), F.col("phase").cast("string"), F.lit("/"), F.col("copy"))
     batch = s.where(F.col("o_orderdate").cast("timestamp_ntz") >= F.lit(_ORD_SPLIT_NEW).cast("timestamp_ntz")).select(
-        F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("title"),
-        F.lit("done").alias("status"), F.lit("ok").alias("status_msg"))
-    handler = INC.upsert_handler(f"{out}/snap", "key", RUN_TS, lambda: F.col("key"), old)
+        F.col("o_orderkey").alias("key"), F.concat("o_orderpriority", tag).alias("title"),
+        F.concat(F.lit("done"), tag).alias("status"), F.lit("ok").alias("status_msg"), "phase", "copy")
+    handler = INC.upsert_handler(f"{out}/snap", "key", RUN_TS, lambda: F.struct("phase", "copy"), old, ("status", "status_msg"))
     INC.run_available(batch, handler, f"{out}/ckpt")
     return INC.snapshot(spark, f"{out}/snap", old, "key").select(
         "key", "title", "status", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
@@ -1555,14 +1565,16 @@ SELECT uuid, '202401' AS yyyymm, '202401/' || uuid AS data_uri, 'status.' || fet
        fetched = 'downloaded' AS is_full
 FROM st""")
 def s10_publish_export(spark, sf):
-    """S8 + S9 + S10: export rows written as one new snapshot and read back."""
+    """S8 + S9 + S10: export rows published twice under one batch id and read back: the last run shows."""
     arts, results, imgs = ev_media(spark, sf)
     a = M.download_status(arts, M.media_ok(M.attach_results(M.manifest(arts, imgs), results)))
     empty = {c: F.lit("") for c in ("formatted_content", "ori_content", "formatted_text")}
     a = a.withColumns({"batch_id": F.lit(20240131000000).cast("bigint"), "spider": F.lit("news_en"),
                        "data_uri": F.concat(F.lit("202401/"), "uuid")} | empty)
-    path = S.publish(S.export_frame(a), _run_dir(spark, "s10"), 20240131000000)
-    return spark.read.parquet(path).select("uuid", F.col("yyyymm").cast("string").alias("yyyymm"), "data_uri", "status_file",
+    out = _run_dir(spark, "s10")
+    S.publish(S.export_frame(a).withColumn("status_body", F.lit("an earlier run")), out, 20240131000000)
+    S.publish(S.export_frame(a), out, 20240131000000)
+    return S.published(spark, out, 20240131000000).select("uuid", F.col("yyyymm").cast("string").alias("yyyymm"), "data_uri", "status_file",
                                            "status_body", F.col("formatted_text_txt").isNotNull().alias("is_full"))
 
 

@@ -1,13 +1,14 @@
 """Sinks: upserts (S6, S7), packed export (S8, S9, S10), audit.
 
-MERGE on plain parquet: a snapshot is never overwritten while read; each
-batch writes a new snapshot directory and the commit protocol publishes it
-(``_SUCCESS``), which is also the publish-by-rename of S10.
+MERGE on plain parquet: nothing is overwritten while it is read.  A batch is
+written under a new name and becomes visible by one pointer (S10).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_ts
@@ -69,6 +70,18 @@ def upsert(old: DataFrame, batch: DataFrame, key: str, run_ts, order: Column,
     return j.select(*out)
 
 
+def batch_rows(batch: DataFrame, columns, key: str, run_ts, order: Column, update_cols=()) -> DataFrame:
+    """What a batch says of each key, to be merged later: the first row's columns, the last row's ``update_cols``."""
+    b = batch.withColumn("_ord", order)
+    last = F.max_by(F.struct(*update_cols), "_ord") if update_cols else F.lit(None)
+    own = [c for c in columns if c not in (key, "created_at", "updated_at")]
+    r = b.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) if c in batch.columns else F.lit(None).alias(c) for c in own]), "_ord").alias("_first"),
+                           last.alias("_last"))
+    now = as_ts(run_ts)
+    return r.select(*[F.col(c) if c == key else now.alias(c) if c in ("created_at", "updated_at")
+                      else F.col(f"_last.{c}" if c in update_cols else f"_first.{c}").alias(c) for c in columns])
+
+
 def meta_json(df: DataFrame, keys=META_KEYS) -> Column:
     """Metadata record as JSON, missing keys as null."""
     fields = [(F.col(k) if k in df.columns else F.lit(None).cast("string")).alias(k) for k in keys]
@@ -94,17 +107,43 @@ def export_frame(articles: DataFrame) -> DataFrame:
         F.concat(F.col("status_msg"), F.lit("\n")).alias("status_body"))
 
 
-def publish(df: DataFrame, out_dir: str, batch_id: int, fmt: str = "parquet") -> str:
-    """Write one new snapshot directory per batch, partitioned by month.
+def publish(df: DataFrame, out_dir: str, batch_id: int, fmt: str = "parquet", by: str = "yyyymm") -> str:
+    """A batch under a new name, partitioned by ``by``, then one pointer to it; the path of the data.
 
-    The output committer moves task files into place only when the job
-    commits, so readers never see a half-written batch.
+    Readers (`published`) go by the last pointer, so they see the batch as it
+    was or as it is, whole; a writer that dies leaves no pointer.  Data is
+    never overwritten: who began to read the old one can finish.  Two writers
+    of one batch at a time: the second to point fails and changes nothing.
     """
-    path = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
-    df.write.mode("overwrite").partitionBy("yyyymm").format(fmt).save(path)
+    spark, root = df.sparkSession, out_dir.rstrip("/")
+    path = f"{root}/data/batch_id={batch_id}/{uuid.uuid4().hex}"
+    df.write.partitionBy(by).format(fmt).save(path)
+    last = _pointers(spark, root, batch_id).agg(F.max("version")).first()[0]
+    version = 0 if last is None else last + 1
+    spark.createDataFrame([(path, fmt)], "path string, format string").coalesce(1).write.mode("errorifexists").parquet(
+        f"{root}/pointers/batch_id={batch_id}/version={version}")
     return path
 
 
+def _pointers(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    from pyspark.errors import AnalysisException
+    schema = "path string, format string, version bigint"
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/pointers/batch_id={batch_id}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def published(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame:
+    """The batch that was published last under ``batch_id``; an error if none was."""
+    at = _pointers(spark, out_dir.rstrip("/"), batch_id).orderBy(F.desc("version")).first()
+    if at is None:
+        raise LookupError(f"batch {batch_id} is not published under {out_dir}")
+    return spark.read.format(at["format"]).load(at["path"])
+
+
 # Severity of each audit reason (WARNING and up also go to the
 # warnings split).  Duplicates are demoted to DEBUG.
 SEVERITY = {
@@ -142,13 +181,11 @@ def audit_rows(df: DataFrame, run_ts, key: str, url: str, detail: Column | None
 
 
 def write_audit(audit: DataFrame, out_dir: str, batch_id: int) -> str:
-    """A batch's audit, split by severity (WARNING+ is one partition filter away).
+    """A batch's audit, split by severity (WARNING+ is one partition filter away), published like an export.
 
-    A retried batch replaces its own rows.
+    A retried batch replaces its own rows for readers (`published`).
     """
-    path = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
-    audit.write.mode("overwrite").partitionBy("severity").parquet(path)
-    return path
+    return publish(audit, out_dir, batch_id, by="severity")
 
 
 def layout_reason(layout_ok: Column, root_id: Column) -> Column:
