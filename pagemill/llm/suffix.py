@@ -1,30 +1,33 @@
-"""Exact removal of long repeats with a logarithmic family of suffix arrays.
-
-Two suffixes share a ``min_len``-byte string exactly when their first
-``min_len`` bytes agree, so a suffix array for this length may order suffixes
-by a 64-bit hash of those bytes instead of the bytes themselves: equal ones
-are still neighbours.  Texts are dealt into groups (the batches).  Two rounds:
-
-1. *Sampled suffixes.*  Each window of ``min_len`` bytes is represented by the
-   smallest hash among its ``SEED``-byte substrings; equal windows have equal
-   representatives, and there are about ``2 / (min_len - SEED)`` per byte.
-2. *Full suffixes*, only for windows whose representative occurs elsewhere.
-
-In each round a batch's sorted hashes are cut into hash ranges.  A range takes
-the batches one by one: each is merge-scanned against the levels present, then
-becomes a level, and levels of like size merge (`Levels`), so a batch is
-rewritten a logarithmic number of times.  What goes back to a batch is one bit
-for each of its hashes.  A string that a third of all documents share occurs
-once per batch in a range, never once per document.
-
-A false match needs two different strings with one 64-bit hash.
+"""Exact removal of long repeats with a logarithmic family of sparse suffix arrays.
+
+Texts are dealt into groups (the batches).  A window is ``min_len`` bytes; its
+*seed* is the ``SEED``-byte substring of it with the least hash, the leftmost
+of equals, so equal windows have equal seeds at equal places.  Consecutive
+windows with one seed make a run: the bytes they cover, and in them the place
+of the seed.  There are about ``2 / (min_len - SEED)`` runs per byte.
+
+1. *Filter.*  The hashes of all seeds, cut into hash ranges.  A range takes the
+   batches one by one: each is merge-scanned against the levels present, then
+   becomes a level, and levels of like size merge (`Levels`).  What goes back to
+   a batch is one bit for each of its seeds: does it occur elsewhere.
+2. *Suffix arrays*, of the suffixes that begin at such seeds.  A batch's are
+   sorted by their bytes, dealt into the seeds' ranges, merge-scanned against
+   the family of levels there, and levels of like size merge (`Suffixes`).
+   Neighbours that begin with one seed are then compared byte by byte, to both
+   sides of the seed, and a bit for every window goes back: is it elsewhere.
+
+Hashes choose what is compared and decide nothing: bytes are removed only
+where the bytes of two windows are the same.  A string that a third of all
+documents share occurs once per batch in a range, never once per document.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -94,21 +97,31 @@ class Hasher:
         np.cumsum(_BYTE[data] * self.up[:len(data)], out=out[1:])
         return out
 
-    def window(self, prefix: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return _mix((prefix[at + self.min_len] - prefix[at]) * self.down[at])
-
-    def least(self, prefix: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The smallest seed hash of each window starting at ``at``, and all seed hashes."""
+    def seeds(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the seed of each window starting at ``at``, and the hashes of all substrings of a seed's length."""
+        prefix = self.prefix(data)
         n = len(prefix) - 1 - SEED + 1
         h = _mix((prefix[SEED:] - prefix[:n]) * self.down[:n])
+        # least hash first, then leftmost place: both in one number
+        low, size = (h & ~_PLACE) | np.arange(n, dtype=np.uint64), 1
         wide = self.min_len - SEED + 1
-        low, size = h, 1
         while size * 2 <= wide:
             low = np.minimum(low[:-size], low[size:])
             size *= 2
         if size < wide:
             low = np.minimum(low[:len(low) - (wide - size)], low[wide - size:])
-        return low[at], h
+        return (low[at] & _PLACE).astype(np.int64), h
+
+    def runs(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(text number, first window, windows, place of the seed in the text, hash of the seed) of the runs of a buffer."""
+        for text, start, (data, at) in self.pieces(texts):
+            seed, h = self.seeds(data, at)
+            new = np.flatnonzero(np.concatenate(([True], (seed[1:] != seed[:-1]) | (at[1:] != at[:-1] + 1))))
+            n = np.diff(np.concatenate((new, [len(at)])))
+            yield text[new], start[new], n, start[new] + seed[new] - at[new], h[seed[new]]
+
+
+_PLACE = np.uint64(PIECE - 1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -147,6 +160,74 @@ class Levels:
             self.levels.append((keys[order], entries[order]))
 
 
+class Suffixes:
+    """A family of sorted suffix lists: (bytes from the seed on, bytes before it), each kept once with a number.
+
+    A batch is merge-scanned against every level; what is new becomes a level,
+    and levels of like size merge, so an entry is moved a logarithmic number
+    of times.
+    """
+
+    def __init__(self, min_len: int) -> None:
+        self.min_len = min_len
+        self.levels: list[list[tuple[bytes, bytes, int]]] = []
+        self.often: list[bool] = []                                # by number: more than one place
+
+    def add(self, batch: list[tuple[bytes, bytes, bool]]) -> list[int]:
+        """Numbers of a batch's entries (suffix, left, several places in the batch), which differ from one another."""
+        numbers = [-1] * len(batch)
+        order = sorted(range(len(batch)), key=lambda k: batch[k][:2])
+        for level in self.levels:
+            at = 0
+            for k in order:
+                if numbers[k] < 0:
+                    key = batch[k][:2]
+                    at = bisect_left(level, key, at)
+                    if at < len(level) and level[at][:2] == key:
+                        numbers[k] = level[at][2]
+                        self.often[numbers[k]] = True
+        fresh = []
+        for k in order:
+            if numbers[k] < 0:
+                numbers[k] = len(self.often)
+                self.often.append(batch[k][2])
+                fresh.append((*batch[k][:2], numbers[k]))
+        if fresh:
+            self.levels.append(fresh)
+        while len(self.levels) > 1 and len(self.levels[-2]) <= 2 * len(self.levels[-1]):
+            a, b = self.levels.pop(), self.levels.pop()
+            self.levels.append(sorted(b + a))                       # two sorted runs: a merge
+        return numbers
+
+    def matches(self) -> list[np.ndarray]:
+        """By number: for every window of the entry, whether its bytes are at another place too."""
+        out: list[np.ndarray] = [np.zeros(0, bool)] * len(self.often)
+        len_left = [0] * len(self.often)
+        whole = sorted(chain.from_iterable(self.levels))
+        for _, some in groupby(whole, key=lambda e: e[0][:SEED]):   # neighbours that begin with one seed
+            some = list(some)
+            n = [len(suffix) + len(left) - self.min_len + 1 for suffix, left, _ in some]
+            if len(some) == 1:
+                out[some[0][2]] = np.full(n[0], self.often[some[0][2]])
+                continue
+            for (*_, k), m in zip(some, n):
+                out[k] = np.full(m, self.often[k])
+            for _, left, k in some:
+                len_left[k] = len(left)
+            # windows by the place of the seed in them: equal windows have it at one place
+            for j in range(max(len(left) for _, left, _ in some) + 1):
+                found: dict[bytes, int] = {}
+                for (suffix, left, k), m in zip(some, n):
+                    i = len(left) - j
+                    if 0 <= i < m:
+                        window = left[i:] + suffix[:self.min_len - j]
+                        other = found.setdefault(window, k)
+                        if other != k:
+                            out[k][i] = True
+                            out[other][len_left[other] - j] = True
+        return out
+
+
 # -- tasks ------------------------------------------------------------------
 
 def _pack(texts: list[tuple[bytes, int, bytes]]) -> bytes:
@@ -198,89 +279,116 @@ def _dealer(groups: int, min_len: int):
     return rows
 
 
-HASHES = "range int, grp int, round int, hashes binary, own binary"
+HASHES = "range int, grp int, hashes binary, own binary"
+ENTRIES = "range int, grp int, n int, sizes binary, bytes binary"
+REPEATS = "sha256 string, spans array<struct<start:long,stop:long>>, kept binary"
 MATCHES = "grp int, range int, round int, n int, bits binary"
 
 
-def _ranges(g: int, round_: int, hashes: np.ndarray, twice: np.ndarray, ranges: int) -> pa.RecordBatch:
-    """A batch's sorted hashes in ranges; ``twice``: those that the batch has more than once."""
-    edge = np.searchsorted(hashes, np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64))
-    edge = [0, *edge.tolist(), len(hashes)]
-    rows = [(k, hashes[a:b].tobytes(), np.packbits(twice[a:b]).tobytes())
-            for k, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([g] * len(rows), pa.int32()),
-         pa.array([round_] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
-         pa.array([r[2] for r in rows], pa.binary())], names=["range", "grp", "round", "hashes", "own"])
+_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
+_ARROW = {HASHES: pa.schema([("range", pa.int32()), ("grp", pa.int32()), ("hashes", pa.binary()), ("own", pa.binary())]),
+          ENTRIES: pa.schema([("range", pa.int32()), ("grp", pa.int32()), ("n", pa.int32()), ("sizes", pa.binary()), ("bytes", pa.binary())]),
+          MATCHES: pa.schema([("grp", pa.int32()), ("range", pa.int32()), ("round", pa.int32()), ("n", pa.int32()), ("bits", pa.binary())]),
+          REPEATS: pa.schema([("sha256", pa.string()), ("spans", pa.list_(_SPAN)), ("kept", pa.binary())])}
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    fields = _ARROW[schema]
+    cols = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, fields)], schema=fields)
+
+
+def _range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The hash range of each hash; ranges rise with the hashes."""
+    return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def _stretches(of: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, first, stop) of the runs of a sorted array: no more than it has entries."""
+    edge = [*np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))).tolist(), len(of)] if len(of) else []
+    for a, b in zip(edge, edge[1:]):
+        yield int(of[a]), a, b
 
 
 def _sample(texts: list[bytes], hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
-    """Round 1 of a batch: sorted distinct representatives, and which of them occur twice in it."""
-    found, twice = [], []
-    for _, _, (data, at) in hasher.pieces(texts):
-        low, h = hasher.least(hasher.prefix(data), at)
-        # a run of one representative in consecutive windows is one place, unless its hash ties within them
-        new = np.concatenate(([True], (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)))
-        a, b = at[new], at[np.concatenate((new[1:], [True]))]
-        wide = hasher.min_len - SEED + 1
-        view = np.lib.stride_tricks.sliding_window_view(h, wide)
-        left = np.concatenate([a[i:i + 4096] + view[a[i:i + 4096]].argmin(1) for i in range(0, len(a), 4096)])
-        right = np.concatenate([b[i:i + 4096] + wide - 1 - view[b[i:i + 4096], ::-1].argmin(1)
-                                for i in range(0, len(b), 4096)])
-        found.append(low[new])
-        twice.append(left != right)
+    """Step 1 of a batch: sorted distinct hashes of its seeds, and which of them it has more than once."""
+    found = [h for *_, h in hasher.runs(texts)]
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    found, twice = np.concatenate(found), np.concatenate(twice)
-    keys, inverse, counts = np.unique(found, return_inverse=True, return_counts=True)
-    more = counts > 1
-    more[inverse[twice]] = True
-    return keys, more
-
+    keys, counts = np.unique(np.concatenate(found), return_counts=True)
+    return keys, counts > 1
+
+
+def _bits(replies: pa.Table, round_: int) -> dict[int, np.ndarray]:
+    return {k: np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+            for k, r, n, bits in zip(*(replies.column(c).to_pylist() for c in ("range", "round", "n", "bits"))) if r == round_}
+
+
+class _Batch:
+    """Step 2 of a batch: the runs whose seed occurs elsewhere, and their distinct entries, dealt into ranges."""
+
+    def __init__(self, texts: list[bytes], hasher: Hasher, replies: pa.Table, ranges: int) -> None:
+        runs = [np.concatenate(x) for x in zip(*hasher.runs(texts))]
+        self.runs: list[tuple[int, int, int]] = []              # text, first window, entry
+        self.entries: list[list] = []                           # suffix, left, several places
+        self.by_range: dict[int, list[int]] = {}
+        if not runs:
+            return
+        text, first, n, seed, h = runs
+        keys, bits, of = np.unique(h), _bits(replies, 1), {}
+        hit = np.zeros(len(keys), bool)
+        for k, a, b in _stretches(_range_of(keys, ranges)):
+            if k in bits:
+                hit[a:b] = bits[k]
+        on = hit[np.searchsorted(keys, h)]
+        length = hasher.min_len - 1
+        for k, a, m, p, r in zip(*(x.tolist() for x in (text[on], first[on], n[on], seed[on], _range_of(h[on], ranges)))):
+            t = texts[k]
+            key = t[p:a + m + length], t[a:p]
+            e = of.get(key)
+            if e is None:
+                e = of[key] = len(self.entries)
+                self.entries.append([*key, False])
+                self.by_range.setdefault(r, []).append(e)
+            else:
+                self.entries[e][2] = True
+            self.runs.append((k, a, e))
 
-def _matched(table: pa.Table, round_: int, hashes: np.ndarray, ranges: int) -> np.ndarray:
-    """The bits that came back for a batch's sorted hashes of a round."""
-    out = np.zeros(len(hashes), bool)
-    if not len(hashes):
-        return out
-    edge = np.searchsorted(hashes, np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64))
-    edge = [0, *edge.tolist(), len(hashes)]
-    for k, r, n, bits in zip(*(table.column(c).to_pylist() for c in ("range", "round", "n", "bits"))):
-        if r == round_:
-            out[edge[k]:edge[k + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+    def rows(self, g: int) -> pa.RecordBatch:
+        out = []
+        for r, numbers in self.by_range.items():
+            some = [self.entries[e] for e in numbers]
+            sizes = np.array([(len(suffix), len(left), several) for suffix, left, several in some], "<i4")
+            out.append((r, g, len(some), sizes.tobytes(), b"".join(left + suffix for suffix, left, _ in some)))
+        return _batch(ENTRIES, out)
+
+    def matched(self, replies: pa.Table, min_len: int) -> tuple[np.ndarray, np.ndarray]:
+        """(text, start) of every window whose bytes are elsewhere too."""
+        masks: list[np.ndarray | None] = [None] * len(self.entries)
+        for r, bits in _bits(replies, 2).items():
+            at = 0
+            for e in self.by_range[r]:
+                n = len(self.entries[e][0]) + len(self.entries[e][1]) - min_len + 1
+                masks[e] = bits[at:at + n]
+                at += n
+        texts, starts = [], []
+        for k, a, e in self.runs:
+            if masks[e] is not None:
+                found = a + np.flatnonzero(masks[e])
+                starts.append(found)
+                texts.append(np.full(len(found), k))
+        none = np.zeros(0, np.int64)
+        return (np.concatenate(texts), np.concatenate(starts)) if starts else (none, none)
+
+
+def _unpack_entries(n: int, sizes: bytes, data: bytes) -> list[tuple[bytes, bytes, bool]]:
+    out, at = [], 0
+    for suffix, left, several in np.frombuffer(sizes, "<i4").reshape(n, 3).tolist():
+        out.append((data[at + left:at + left + suffix], data[at:at + left], bool(several)))
+        at += left + suffix
     return out
 
 
-def _candidates(texts: list[bytes], hasher: Hasher, replies: pa.Table, ranges: int):
-    """Round 2: (text, start, hash) of every window whose representative occurs elsewhere."""
-    keys = _sample_keys(texts, hasher)
-    keys = keys[_matched(replies, 1, keys, ranges)]
-    out = []
-    if len(keys):
-        for text, start, (data, at) in hasher.pieces(texts):
-            prefix = hasher.prefix(data)
-            low, _ = hasher.least(prefix, at)
-            new = np.concatenate(([True], low[1:] != low[:-1]))
-            runs = low[new]
-            k = np.searchsorted(keys, runs)
-            k[k == len(keys)] = 0
-            hit = (keys[k] == runs)[np.cumsum(new) - 1]
-            if hit.any():
-                out.append((text[hit], start[hit], hasher.window(prefix, at[hit])))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _sample_keys(texts: list[bytes], hasher: Hasher) -> np.ndarray:
-    """The representatives of round 1 again, without telling which occur twice."""
-    found = []
-    for _, _, (data, at) in hasher.pieces(texts):
-        low, _ = hasher.least(hasher.prefix(data), at)
-        found.append(low[np.concatenate(([True], low[1:] != low[:-1]))])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-
-
 def repeats(docs: DataFrame, min_len: int = 200) -> DataFrame:
     """(sha256, spans, kept) of the distinct texts of ``docs(text)`` that hold a repeat.
 
@@ -302,37 +410,41 @@ def repeats(docs: DataFrame, min_len: int = 200) -> DataFrame:
             blobs += b.column("texts").to_pylist()
             g = b.column("grp")[0].as_py()
         keys, twice = _sample([t for *_, t in _unpack(blobs)], Hasher(min_len))
-        yield _ranges(g, 1, keys, twice, ranges)
+        yield _batch(HASHES, [(k, g, keys[a:b].tobytes(), np.packbits(twice[a:b]).tobytes())
+                              for k, a, b in _stretches(_range_of(keys, ranges))])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, order = Levels(), []
         for b in batches:
-            for k, g, r, hashes, own in zip(*(b.column(c).to_pylist() for c in (
-                    "range", "grp", "round", "hashes", "own"))):
+            for k, g, hashes, own in zip(*(b.column(c).to_pylist() for c in ("range", "grp", "hashes", "own"))):
                 h = np.frombuffer(hashes, "<u8")
                 first = len(levels.matched)
                 levels.add(h)
-                order.append((g, k, r, first, len(h), np.unpackbits(np.frombuffer(own, np.uint8), count=len(h)).astype(bool)))
-        rows = [(g, k, r, n, levels.matched[a:a + n] | own) for g, k, r, a, n, own in order]
-        rows = [(*r[:4], np.packbits(r[4]).tobytes()) for r in rows if r[4].any()]
-        cols = list(zip(*rows)) or [()] * 5
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.int32()) for c in cols[:4]), pa.array(cols[4], pa.binary())],
-            names=["grp", "range", "round", "n", "bits"])
-
-    def full(left: pa.Table, right: pa.Table) -> pa.Table:
+                order.append((g, k, first, len(h), np.unpackbits(np.frombuffer(own, np.uint8), count=len(h)).astype(bool)))
+        rows = [(g, k, 1, n, levels.matched[a:a + n] | own) for g, k, a, n, own in order]
+        yield _batch(MATCHES, [(*r[:4], np.packbits(r[4]).tobytes()) for r in rows if r[4].any()])
+
+    def merge_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        suffixes, order = Suffixes(min_len), []
+        for b in batches:
+            for k, g, n, sizes, data in zip(*(b.column(c).to_pylist() for c in ("range", "grp", "n", "sizes", "bytes"))):
+                order.append((g, k, suffixes.add(_unpack_entries(n, sizes, data))))
+        masks = suffixes.matches()
+        rows = [(g, k, 2, np.concatenate([masks[e] for e in numbers])) for g, k, numbers in order]
+        yield _batch(MATCHES, [(*r[:3], len(r[3]), np.packbits(r[3]).tobytes()) for r in rows if r[3].any()])
+
+    def held(left: pa.Table, right: pa.Table):
         texts = _unpack(left.column("texts").to_pylist())
-        *_, h = _candidates([t for *_, t in texts], Hasher(min_len), right, ranges)
-        keys, counts = np.unique(h, return_counts=True)
+        return texts, _Batch([t for *_, t in texts], Hasher(min_len), right, ranges)
+
+    def suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, batch = held(left, right)
         g = left.column("grp")[0].as_py() if left.num_rows else 0
-        return pa.Table.from_batches([_ranges(g, 2, keys, counts > 1, ranges)])
+        return pa.Table.from_batches([batch.rows(g)])
 
     def mark(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = _unpack(left.column("texts").to_pylist())
-        text, start, h = _candidates([t for *_, t in texts], Hasher(min_len), right, ranges)
-        keys, inverse = np.unique(h, return_inverse=True)
-        hit = _matched(right, 2, keys, ranges)[inverse] if len(keys) else np.zeros(0, bool)
-        text, start = text[hit], start[hit]
+        texts, batch = held(left, right)
+        text, start = batch.matched(right, min_len)
         order = np.argsort(text, kind="stable")
         text, start = text[order], start[order]
         edge = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -344,16 +456,12 @@ def repeats(docs: DataFrame, min_len: int = 200) -> DataFrame:
                 starts = [*(a for a, _ in spans), len(t)]
                 out.append((sha.hex(), [{"start": a, "stop": b} for a, b in spans],
                             b"".join(t[a:b] for a, b in zip(stops, starts))))
-        cols = list(zip(*out)) or [()] * 3
-        return pa.table({"sha256": pa.array(cols[0], pa.string()),
-                         "spans": pa.array(cols[1], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                         "kept": pa.array(cols[2], pa.binary())})
+        return pa.Table.from_batches([_batch(REPEATS, out)])
 
     by_group = dealt.groupBy("grp")
     first = by_group.applyInArrow(sample, HASHES).groupBy("range").applyInArrow(merge, MATCHES)
-    second = by_group.cogroup(first.groupBy("grp")).applyInArrow(full, HASHES).groupBy("range").applyInArrow(merge, MATCHES)
-    return by_group.cogroup(first.unionByName(second).groupBy("grp")).applyInArrow(
-        mark, "sha256 string, spans array<struct<start:long,stop:long>>, kept binary")
+    second = by_group.cogroup(first.groupBy("grp")).applyInArrow(suffixes, ENTRIES).groupBy("range").applyInArrow(merge_suffixes, MATCHES)
+    return by_group.cogroup(first.unionByName(second).groupBy("grp")).applyInArrow(mark, REPEATS)
 
 
 def _runs(starts: np.ndarray, min_len: int) -> list[tuple[int, int]]:

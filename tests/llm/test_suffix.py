@@ -55,21 +55,57 @@ def test_against_brute_force(spark, monkeypatch, seed, group):
 
 
 @pytest.mark.parametrize("piece", [1 << 18, 1 << 11, 401])
-def test_pieces_cover_every_window_once_and_hash_by_content(monkeypatch, piece):
+def test_runs_cover_every_window_once_with_seeds_by_content(monkeypatch, piece):
     monkeypatch.setattr(suffix, "PIECE", piece)
     raw = [(t or "").encode() for t in texts(5)]
-    hasher, full, least, n = suffix.Hasher(200), {}, {}, 0
-    for text, start, (data, at) in hasher.pieces(raw):
-        prefix = hasher.prefix(data)
-        low, _ = hasher.least(prefix, at)
-        for k, i, h, m in zip(text.tolist(), start.tolist(), hasher.window(prefix, at).tolist(), low.tolist()):
-            window = raw[k][i:i + 200]
-            assert full.setdefault(window, h) == h and least.setdefault(window, m) == m
-            n += 1
+    hasher, seeds, n = suffix.Hasher(200), {}, 0
+    for run in hasher.runs(raw):
+        for k, first, windows, seed, h in zip(*(x.tolist() for x in run)):
+            for i in range(first, first + windows):
+                window = raw[k][i:i + 200]
+                assert seeds.setdefault(window, (seed - i, h)) == (seed - i, h) and 0 <= seed - i <= 200 - suffix.SEED
+                n += 1
     assert n == sum(max(0, len(t) - 199) for t in raw)
-    assert len(set(full.values())) == len(full)
     sampled = suffix._sample(raw, suffix.Hasher(200))[0]
-    assert set(least.values()) == set(sampled.tolist())
+    assert {h for _, h in seeds.values()} == set(sampled.tolist())
+
+
+@pytest.mark.parametrize("keep", [0, 7, 0xFFFFFF << 40])
+def test_hash_clashes_remove_nothing(spark, monkeypatch, keep):
+    """With few hashes, or one, what is removed is the same: bytes decide."""
+    import numpy as np
+    mix = suffix._mix
+    monkeypatch.setattr(suffix, "_mix", lambda x: mix(x) & np.uint64(keep))
+    ts = texts(6)[:30]
+    batch_of = [(t or "").encode() for t in ts]
+    family, hasher, numbers = suffix.Suffixes(200), suffix.Hasher(200), []
+    entries = {}
+    for k, (text, first, n, seed, _) in enumerate(hasher.runs(batch_of)):
+        for t, a, m, p in zip(text.tolist(), first.tolist(), n.tolist(), seed.tolist()):
+            key = batch_of[t][p:a + m + 199], batch_of[t][a:p]
+            entries.setdefault(key, []).append((t, a))
+    for key, places in entries.items():              # every entry a batch of its own
+        numbers.append((family.add([(*key, len(places) > 1)])[0], places))
+    masks, hit = family.matches(), [bytearray(len(t)) for t in batch_of]
+    for number, places in numbers:
+        for t, a in places:
+            for i in np.flatnonzero(masks[number]).tolist():
+                hit[t][a + i:a + i + 200] = b"\1" * 200
+    for t, h, want in zip(batch_of, hit, brute(ts, 200)):
+        assert sum(h) == want[1] and hashlib.sha256(bytes(b for b, x in zip(t, h) if not x)).hexdigest() == want[3]
+
+
+CLASH = (
+    "fahqlsigrvgmmqqkrtxxqarcdphzmuabeiqvyjyiixnjbqyhjwmznsykfkhhtmlvnqbqsweouecsmfbbbsvqrtqfowikrdyqvsnshouatwyheiiamc"
+    " iaccpcyxlfmygqzi rhwubmpfceiufph vbcppemlyvuiroevdfrutfzaib yposfxroxem  pvapgnoptyss",
+    "fahqlsigrvgmmqqkrtxxqarcdphzmuabeiqvyjyiixnjbqyhjwmznsykfkhhtmlvnqbqsweouecsmfbbbsvqrtqfowikrdyqvsnshouapystslwaee"
+    "qlhvyqhvhflwxtrpqsxtrfkfklhvgfbkxunuav oizkaparfkdjvjweornlbj kfqyjbvnhzrrqhlcukwahaij")
+
+
+def test_a_known_clash_of_the_window_hash_keeps_all_bytes(spark):
+    df = spark.createDataFrame([(1, CLASH[0]), (2, CLASH[1]), (3, CLASH[0][:100])], "doc_id long, text string")
+    assert all(len(t) == 200 for t in CLASH)
+    assert [list(r["spans"]) for r in report(df).collect()] == [[], [], []]
 
 
 def test_spans_and_kept_bytes(spark):
