@@ -6,6 +6,12 @@ digits to digits and at/dot disguises to their signs, and carry for every
 normalised character the source characters it stands for.  A match there is
 mapped back and added where it rests on at least one changed character and
 lies within no plain span of its kind; a plain span that it covers stays too.
+
+Lines in which no transducer has anything to change are passed over
+(`disguised`); that changes no result.  Bounds of a disguised address: a
+local name of five parts, parts of 64 characters (as mail allows), a host of
+eight labels, labels of 63 characters (as names allow); of a disguised IP: a
+part in at most three words.  Plain identifiers have no such bounds.
 """
 
 from __future__ import annotations
@@ -156,8 +162,37 @@ _ENTITY = re.compile("&(?:#64|commat|#x40);|&(?:#46|period|#x2e);", re.I)
 _O_DIGITS = re.compile(r"(?<![^\W_])(?=[OoIl|]{0,30}[0-9])[0-9OoIl|]{2,40}(?![^\W_])")
 _O = {"O": "0", "o": "0", "I": "1", "l": "1", "|": "1"}
 
-_TRIGGERS = re.compile(
-    rf"[\[({{<] *(?:{_AT}|{_DOT}|[@.]) *[\])}}>]|[ _-]{_DOT}[ _-]|[ _-]{_AT}[ _-]{{1,3}}[A-Za-z0-9-]{{1,63}}\.[A-Za-z0-9]|[0-9][OoIl|]|[OoIl|][0-9]|&#|&commat|&period", re.I)
+# one look-alike letter as a whole part of an address in digits
+_LONE_LOOK = re.compile(r"(?<=[0-9]\.)[OoIl|](?!\w)|(?<![\w.])[OoIl|](?=\.[0-9])")
+# one digit word between digits
+_LONE_WORD = re.compile(rf"(?<=[0-9][ -]){_WORD}(?=[ -][0-9])", re.I)
+# blanks around @ or dots, before the last labels above
+_SPACED_DOT = r"(?: {1,3}\. {1,3}|\.)"
+_SPACED_EMAIL = re.compile(
+    rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:\.{_NAME}){{0,4}}?(?: {{1,3}}@ {{0,3}}|@ {{0,3}})"
+    rf"{_LABEL}(?:{_SPACED_DOT}{_LABEL}){{0,6}}?{_SPACED_DOT}{_TOP}(?![A-Za-z0-9-])", re.I)
+
+# What the transducers look for, for lines to be passed over quickly (`disguised`): brackets around a sign, "at" before a
+# dotted name, look-alikes beside a digit or in a part of an address, loose dots between digits.
+_BRACKETED = re.compile(rf"[\[({{<] *(?:{_AT}|{_DOT}|[@.]) *[\])}}>]", re.I).search
+_AT_NAME = re.compile(rf"[ _-]{_AT}[ _-]{{1,3}}[A-Za-z0-9-]{{1,63}}\.[A-Za-z0-9]", re.I).search
+_DIGIT = re.compile("[0-9]").search
+_BESIDE_DIGIT = re.compile(r"[0-9](?:[OoIl|]|(?<=[OoIl|].))|\.[OoIl|](?!\w)|(?<=[OoIl|])\.[0-9]|[0-9] {1,3}\.|[0-9]\. ").search
+_LOOSE_AT = re.compile(r" @|@ |@[A-Za-z0-9.-]* {1,3}\. ").search
+_DOT_WORDS = ("dot", "punkt", "punto", "point")
+_LOW = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 else 32 for c in range(256))
+
+
+def _cased(word: str) -> set[bytes]:
+    """The word as case-free patterns match it, ASCII letters in lower case."""
+    out = [""]
+    for c in word:
+        other = {c, c.upper()} if not c.isascii() else {c, "\u017f"} if c == "s" else {c}
+        out = [x + y for x in out for y in other]
+    return {x.encode() for x in out}
+
+
+_DIGIT_BYTES = frozenset().union(*map(_cased, _DIGIT_WORDS))
 
 
 class Traced:
@@ -223,25 +258,38 @@ def normalise(text: str) -> Traced:
     t.sub(_GLYPH, lambda m: _LOOKS[m.group()])
     t.sub(_O_DIGITS, lambda m: "".join(_O.get(c, c) for c in m.group()))
     t.sub(_ENTITY, lambda m: "@" if m.group().lower() in ("&#64;", "&commat;", "&#x40;") else ".")
+    t.sub(_LONE_LOOK, lambda m: _O[m.group()])
     t.sub(_DOUBLE, lambda m: " ".join([m[2]] * (2 if m[1].lower() == "double" else 3)))
     t.sub(_WORDY_IP, _dotted)
     t.sub(_SPELLED, lambda m: _digits(m.group()))
+    t.sub(_LONE_WORD, lambda m: _digits(m.group()))
     t.sub(_BRACKET_AT, lambda m: "@")
     t.sub(_BRACKET_DOT, lambda m: ".")
+    t.sub(_SPACED_EMAIL, lambda m: m.group().replace(" ", ""))
     t.sub(_BARE_EMAIL, _address)
     t.sub(_WORD_EMAIL, _words)
     t.sub(_DOTTED_EMAIL, _words)
     return t
 
 
-def _spelled(text: str) -> bool:
-    """At least four digit words."""
-    words = text.lower().replace("-", " ").replace(",", " ").split()
-    return sum(map(_DIGIT_WORDS.__contains__, words)) >= 4
-
-
 def disguised(text: str) -> bool:
-    return bool((not text.isascii() and _GLYPH.search(text)) or _TRIGGERS.search(text) or _spelled(text))
+    """False only where no identifier can come of what the transducers change.
+
+    Digit words alone must be four at least (an IP has four parts), one does
+    beside a digit; any dot in words does.
+    """
+    if not text.isascii() and not _LOOKS.keys().isdisjoint(set(text)):
+        return True
+    if _BRACKETED(text) or _AT_NAME(text) or "&#" in text or "@" in text and _LOOSE_AT(text):
+        return True
+    low = text.casefold()
+    if any(w in low for w in _DOT_WORDS) or "&commat" in low or "&period" in low:
+        return True
+    digit = _DIGIT(text)
+    if digit and _BESIDE_DIGIT(text):
+        return True
+    words = sum(map(_DIGIT_BYTES.__contains__, text.encode("utf-8", "surrogatepass").translate(_LOW).split()))
+    return words >= 4 or words >= 1 and digit is not None
 
 
 def within(spans: list[tuple[int, int]], start: int, stop: int) -> bool:

@@ -85,6 +85,33 @@ def test_prose_around_dots_is_no_address():
         assert find(text) == [], text
 
 
+@pytest.mark.parametrize("kind,found", [
+    ("ip", "192 . 168 . 0 . 1"), ("ip", "192.168.0.one"), ("ip", "192.168.zero.one"), ("ip", "10.0.0.l"), ("ip", "10.0.O.1"),
+    ("ip", "192dot168dot0dot1"), ("phone", "+49 176 five five five 12345"), ("card", "4539 1488 0343 646 seven".replace(" seven", "7")),
+    ("email", "jane@firma . com"), ("email", "jane @ firma.com"), ("email", "jane.d@mail . firma . de"), ("card", "453 nine 1488 0343 6467"),
+])
+def test_disguises_whatever_else_the_line_holds(kind, found):
+    for line in (found, f"at {found}, then", f"at {found}, and [at] noon &#46;", f"x {found} x"):
+        a = line.index(found)
+        spans = [s[:3] for s in find(line)]
+        assert (kind, a, a + len(found)) in spans, (line, spans)
+
+
+def test_passing_over_lines_changes_nothing(monkeypatch):
+    rng = random.Random(8)
+    bits = ["one", "Five", "un", "dos", "zero", "ſix", "plus", "double", "triple", "dot", "DOT", "punkt", "point", "at", "arroba", "@", ".", " . ",
+            " ", "  ", "-", ",", "+", "1", "25", "4539", "l", "O", "I", "|", "[at]", "(dot)", "{.}", "&#64;", "&period;", "jane", "x9", "firma",
+            "com", "example.com", "de", "_", "\u0430", "\uff0e", "é", "\n"]
+    lines = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(1, 14))) for _ in range(30000)]
+    quick = [find(x) for x in lines]
+    from pagemill.llm import pii
+    skipped = sum(not pii.disguised(x) for x in lines)
+    monkeypatch.setattr(pii, "disguised", lambda text: True)
+    for line, spans in zip(lines, quick):
+        assert find(line) == spans, line
+    assert skipped > 100
+
+
 def test_signs_in_words_are_linear():
     for text in ("a dot a at a dot " * 15_000, "a@a dot " * 20_000, "a-dot-" * 30_000 + "at-" * 1000, "a at a dot a." * 15_000):
         find(text)
