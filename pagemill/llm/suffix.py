@@ -41,6 +41,7 @@ SEED = 64                  # bytes of the sampled substrings
 GROUP_BYTES = 4 << 20      # text of a group, on average; a longer document makes a longer group
 RANGE_BYTES = 8 << 20      # text for each hash range
 PIECE = 1 << 18            # bytes hashed at a time
+FEW = 12                   # neighbours compared in pairs; more are met by their windows
 
 _BASE = 0x9E3779B97F4A7C15
 _rng = np.random.default_rng(20240229)
@@ -118,10 +119,12 @@ class Hasher:
             seed, h = self.seeds(data, at)
             new = np.flatnonzero(np.concatenate(([True], (seed[1:] != seed[:-1]) | (at[1:] != at[:-1] + 1))))
             n = np.diff(np.concatenate((new, [len(at)])))
-            yield text[new], start[new], n, start[new] + seed[new] - at[new], h[seed[new]]
+            # seeds have small hashes: times an odd number, they spread over the ranges and stay distinct
+            yield text[new], start[new], n, start[new] + seed[new] - at[new], h[seed[new]] * _SPREAD
 
 
 _PLACE = np.uint64(PIECE - 1)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -214,6 +217,9 @@ class Suffixes:
                 out[k] = np.full(m, self.often[k])
             for _, left, k in some:
                 len_left[k] = len(left)
+            if len(some) <= FEW:
+                self._pairs(some, n, out)
+                continue
             # windows by the place of the seed in them: equal windows have it at one place
             for j in range(max(len(left) for _, left, _ in some) + 1):
                 found: dict[bytes, int] = {}
@@ -227,6 +233,33 @@ class Suffixes:
                             out[other][len_left[other] - j] = True
         return out
 
+    def _pairs(self, some: list[tuple[bytes, bytes, int]], n: list[int], out: list[np.ndarray]) -> None:
+        """Two entries share the windows that lie within what they share before and from the seed on."""
+        for x, (suffix, left, k) in enumerate(some):
+            for y in range(x + 1, len(some)):
+                suffix2, left2, k2 = some[y]
+                right = _common(suffix, suffix2)
+                before = _common(left[::-1], left2[::-1])
+                first = max(0, self.min_len - right)                # the seed's places in shared windows: first..before
+                for e, size, m in ((k, len(left), n[x]), (k2, len(left2), n[y])):
+                    a, b = max(0, size - before), min(m, size - first + 1)
+                    if a < b:
+                        out[e][a:b] = True
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common start."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        mid = (low + high) >> 1
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
 
 # -- tasks ------------------------------------------------------------------
 
@@ -459,8 +492,10 @@ def repeats(docs: DataFrame, min_len: int = 200) -> DataFrame:
         return pa.Table.from_batches([_batch(REPEATS, out)])
 
     by_group = dealt.groupBy("grp")
-    first = by_group.applyInArrow(sample, HASHES).groupBy("range").applyInArrow(merge, MATCHES)
-    second = by_group.cogroup(first.groupBy("grp")).applyInArrow(suffixes, ENTRIES).groupBy("range").applyInArrow(merge_suffixes, MATCHES)
+    # a range is much work for its bytes: tasks by the number of ranges, not by size
+    first = by_group.applyInArrow(sample, HASHES).repartition(ranges, "range").groupBy("range").applyInArrow(merge, MATCHES)
+    second = by_group.cogroup(first.groupBy("grp")).applyInArrow(suffixes, ENTRIES).repartition(ranges, "range").groupBy(
+        "range").applyInArrow(merge_suffixes, MATCHES)
     return by_group.cogroup(first.unionByName(second).groupBy("grp")).applyInArrow(mark, REPEATS)
 
 

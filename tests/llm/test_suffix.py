@@ -70,11 +70,13 @@ def test_runs_cover_every_window_once_with_seeds_by_content(monkeypatch, piece):
     assert {h for _, h in seeds.values()} == set(sampled.tolist())
 
 
+@pytest.mark.parametrize("few", [0, 12, 10 ** 6])
 @pytest.mark.parametrize("keep", [0, 7, 0xFFFFFF << 40])
-def test_hash_clashes_remove_nothing(spark, monkeypatch, keep):
+def test_hash_clashes_remove_nothing(spark, monkeypatch, keep, few):
     """With few hashes, or one, what is removed is the same: bytes decide."""
     import numpy as np
     mix = suffix._mix
+    monkeypatch.setattr(suffix, "FEW", few)
     monkeypatch.setattr(suffix, "_mix", lambda x: mix(x) & np.uint64(keep))
     ts = texts(6)[:30]
     batch_of = [(t or "").encode() for t in ts]
