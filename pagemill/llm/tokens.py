@@ -126,10 +126,12 @@ class Encoder:
     distinct word of a group is looked up once, a word of Latin letters apart
     from its closing punctuation, and the ids of words met before are
     remembered (``MEMO_WORDS`` of up to ``MEMO_CHARS`` characters, so memory is
-    bounded).  Texts that hold the start of a special token's string go to the
+    bounded).  New words of Latin letters are encoded in rows and told apart by
+    the tokens that end a word.  Texts that hold the start of a special token's string go to the
     tokenizer whole.
     """
 
+    BODY = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
     LATIN = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([.,;:!?|*&#%]+)")
 
     def __init__(self, tokenizer_json: str, by_words: bool) -> None:
@@ -139,6 +141,11 @@ class Encoder:
         self.special = [t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_words = by_words
         self.memo: dict[str, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.word_ends = None
+        if by_words and suffix:
+            self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.word_ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's end (null: no ids), without special tokens."""
@@ -160,33 +167,49 @@ class Encoder:
 
     def _ids(self, words: list[str]) -> list[bytes]:
         memo = self.memo
-        out = [memo.get(w) for w in words]
+        out = list(map(memo.get, words))
         missing = [k for k, ids in enumerate(out) if ids is None]
         if missing:
             parted = {k: m.groups() for k in missing if (m := self.LATIN.fullmatch(words[k]))}
-            new = {p for pair in parted.values() for p in pair}
+            new = {p for pair in parted.values() for p in pair if p not in memo}
             new.update(words[k] for k in missing if k not in parted)
-            found = self._learn([w for w in new if w not in memo])
+            found = self._learn(list(new))
+            for k, (head, tail) in parted.items():
+                # both are in one of the two, and the whole word is new
+                out[k] = found[words[k]] = (memo.get(head) or found[head]) + (memo.get(tail) or found[tail])
             for k in missing:
-                pair = parted.get(k, (words[k],))
-                out[k] = b"".join([memo.get(p) or found.get(p, b"") for p in pair])
-                if len(pair) > 1:
-                    self._keep(words[k], out[k])
+                if k not in parted:
+                    out[k] = found[words[k]]
+            if len(memo) < MEMO_WORDS:
+                memo.update((w, ids) for w, ids in found.items() if len(w) <= MEMO_CHARS)
         return out
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
+        plain = list(filter(self.BODY.fullmatch, words))
+        rest = [w for w in words if not self.BODY.fullmatch(w)]
+        found = self._learn_bodies(plain) if self.word_ends is not None else None
+        if found is None:
+            found, rest = {}, words
+        for i in range(0, len(rest), 4096):
+            some = rest[i:i + 4096]
+            found.update((w, _u32(e.ids)) for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)))
+        return found
+
+    def _learn_bodies(self, words: list[str]) -> dict[str, bytes] | None:
+        """Ids of words of Latin letters, encoded in rows: each ends with the only word-end token in it.  None if they do not."""
         found = {}
         for i in range(0, len(words), 4096):
             some = words[i:i + 4096]
-            for word, enc in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                found[word] = _u32(enc.ids)
-                self._keep(word, found[word])
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.word_ends[ids]) + 1
+            if len(stops) != len(some) or stops[-1] != len(ids):
+                return None
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(some, (4 * stops).tolist()):
+                found[w] = raw[at:stop]
+                at = stop
         return found
 
-    def _keep(self, word: str, ids: bytes) -> None:
-        if len(self.memo) < MEMO_WORDS and len(word) <= MEMO_CHARS:
-            self.memo[word] = ids
-
 
 def _lower_latin(text: str) -> str:
     """Lower case where that is sure to be what the tokenizer does itself, character by character."""
