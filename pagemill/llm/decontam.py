@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, rewrite, scan
 
-#: UTF-8 bytes of item text whose words, hashes and verification lists go to the executors at once.
+#: UTF-8 bytes of item text whose word numbering and windows go to the executors at once: in a task some 15 bytes for
+#: each byte of text at most (every word another one), about 5 in prose.
 PART_BYTES = 8 << 20
 
 # A-Z to a-z; 0-9, a-z and every byte of a non-ASCII character stay; the rest separates
@@ -33,44 +34,54 @@ def words(text: str | None) -> list[bytes]:
 
 
 class NgramSet:
-    """Windows of one part of the test set, in the form that tasks search."""
+    """Windows of one part of the test set, in the form that tasks search: packed arrays beside the word numbering.
+
+    The words of all items stand in one array of numbers; a window is its
+    place there, and the places of one size are sorted by hash.
+    """
 
     def __init__(self, items: list[tuple[object, str]], n: int = 10) -> None:
         self.vocab: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)]
-            for i in range(max(1, len(ids) - n + 1) if ids else 0):
-                found.setdefault(tuple(ids[i:i + n]), set()).add(item)
-        self.by_size: dict[int, tuple[np.ndarray, dict]] = {}
-        for size in sorted({len(w) for w in found}):
-            of_size: dict[int, list] = {}
-            for w, its in found.items():
-                if len(w) == size:
-                    h = int(_rolling(np.array(w, np.uint64), size)[0])
-                    of_size.setdefault(h, []).append((np.array(w, np.int64), frozenset(its)))
-            self.by_size[size] = (np.array(sorted(of_size), np.uint64), of_size)
+        vocab, flat, starts = self.vocab, [], [0]
+        for _, text in items:
+            flat += [vocab.setdefault(w, len(vocab) + 1) for w in words(text)]
+            starts.append(len(flat))
+        self.items = [item for item, _ in items]
+        self.flat, self.starts = np.array(flat, np.int32), np.array(starts, np.int64)
+        size = np.diff(self.starts)
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k in sorted({*np.unique(size[(size > 0) & (size < n)]).tolist(), *([n] if (size >= n).any() else [])}):
+            own = np.flatnonzero(size >= n if k == n else size == k)
+            count = size[own] - k + 1
+            at = np.repeat(self.starts[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            h = _rolling(self.flat.astype(np.uint64), k)[at]
+            order = np.argsort(h, kind="stable")
+            self.by_size[k] = h[order], at[order].astype(np.int32)
 
     def hits(self, doc: list[bytes]) -> Iterator[tuple[int, int, frozenset]]:
         """(first word, words, items) of every verified window in ``doc``."""
         if not self.by_size or not doc:
             return
         get = self.vocab.get
-        ids = np.fromiter((get(w, 0) for w in doc), np.int64, len(doc))
-        for size, (hashes, windows) in self.by_size.items():
+        ids = np.fromiter((get(w, 0) for w in doc), np.int32, len(doc))
+        gaps = np.concatenate(([0], np.cumsum(ids == 0)))
+        for size, (hashes, places) in self.by_size.items():
             if len(ids) < size:
                 continue
-            gaps = np.concatenate(([0], np.cumsum(ids == 0)))
             at = np.flatnonzero(gaps[size:] == gaps[:-size])
             if not len(at):
                 continue
             h = _rolling(ids.astype(np.uint64), size)[at]
-            near = np.searchsorted(hashes, h)
+            first = np.searchsorted(hashes, h)
+            near = first.copy()
             near[near == len(hashes)] = 0
-            for k in np.flatnonzero(hashes[near] == h):
-                for w, items in windows[int(h[k])]:
-                    if np.array_equal(w, ids[at[k]:at[k] + size]):
-                        yield int(at[k]), size, items
+            hit = np.flatnonzero(hashes[near] == h)
+            stop = np.searchsorted(hashes, h[hit], side="right")
+            for k, a, b in zip(at[hit].tolist(), first[hit].tolist(), stop.tolist()):
+                same = self.flat[places[a:b, None] + np.arange(size)] == ids[k:k + size]
+                found = places[a:b][same.all(axis=1)]
+                if len(found):
+                    yield k, size, frozenset(self.items[i] for i in np.searchsorted(self.starts, found, side="right") - 1)
 
 
 def _rolling(ids: np.ndarray, size: int) -> np.ndarray:
@@ -114,6 +125,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10, part_bytes: int =
         if last:
             return scan(out, f"doc_id long, n_words long, {shape}", _reporter(held, False))
         out = cut(scan(out, f"doc_id long, text string, {shape}", _reporter(held, True)))
+        held.destroy()
 
 
 def list_ahead(it):
@@ -148,11 +160,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: st
 
     ``remove="documents"`` drops every row with a hit word; ``"spans"`` cuts
     the hit words out of the text (from the first one's start to the last
-    one's end).  Null and empty texts stay as they are.
+    one's end).  Null and empty texts stay as they are.  A test set of several
+    parts takes one scan for each; what the scan before left is cut, and its
+    part is let go.
     """
-    for part in test_parts(benchmark, n, part_bytes):
+    for part, last in list_ahead(test_parts(benchmark, n, part_bytes)):
         held = docs.sparkSession.sparkContext.broadcast(part)
         docs = rewrite(docs, "text", _dropper(held) if remove == "documents" else _cutter(held))
+        if not last:
+            docs = cut(docs)
+            held.destroy()
     return docs
 
 

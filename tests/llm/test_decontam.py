@@ -71,3 +71,34 @@ def test_remove_documents_and_spans(spark):
         assert words(t) == [w for k, w in enumerate(doc) if k not in hit]
     assert decontaminate(df.limit(0), bench).collect() == []
     assert decontaminate(df, bench.limit(0)).count() == len(docs)
+
+
+@pytest.mark.parametrize("remove", ["documents", "spans"])
+def test_several_parts_one_at_a_time(spark, remove):
+    docs, items = data(7)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    one, many = (decontaminate(df, bench, remove=remove, part_bytes=b) for b in (8 << 20, 250))
+    if remove == "documents":
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    else:                                            # what one part cuts may end a window of the next
+        hits = {r["doc_id"] for r in report(df, bench).collect() if r["spans"]}
+        clean = lambda f: sorted(str(r) for r in f.collect() if r["doc_id"] not in hits)
+        assert clean(one) == clean(many) and one.count() == many.count()
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_a_part_is_small():
+    import pickle
+    import tracemalloc
+
+    from pagemill.llm.decontam import NgramSet
+    rng = random.Random(3)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(60000)]
+    items = [(i, " ".join(rng.choices(vocab, k=130))) for i in range(1500)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    part = NgramSet(items)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 18 * size and peak < 60 * size and len(pickle.dumps(part)) < 6 * size
