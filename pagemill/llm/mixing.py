@@ -1,8 +1,8 @@
 """Mixing sources to target weights: Sainte-Lague seats of equal-token blocks.
 
 Word counts of sources give their targets.  Each source's words, in a seeded
-order of its documents, are cut into shards and blocks of ``block`` words.
-Sources get blocks by highest quotients (votes: targets), a source's shards
+order of its documents, are cut into shards and blocks, of ``block`` words or a thirty-second of its target.
+Sources get blocks by highest quotients (votes: targets in their blocks), a source's shards
 get its blocks the same way (votes: their words), and in a shard every block
 is taken as often as its quota fills whole rounds; a seeded choice of blocks
 takes the rest.
@@ -23,33 +23,29 @@ from pyspark.sql import functions as F
 from .common import cut, worker_cache
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_WORDS = 128
+BLOCK_WORDS = 128        # of a source whose target is 32 such blocks at least; shorter for others
 SHARD_WORDS = 1 << 20
 SHARD_DOCS = 1 << 16
-MAX_SHARDS = 4096        # of one source; beyond, its shards grow
-MAX_SOURCES = 100_000    # sources are a configuration-sized list held on the driver
 
 
 def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def targets(sizes: list[int], weights: list[float], share: float = 1.5, most: float = 2.0) -> list[float]:
+def targets(sizes, weights, share: float = 1.5, most: float = 2.0) -> list[float]:
     """``share`` of all sizes by weight; a target stops at ``most`` times its size, the excess is reshared."""
-    total = share * sum(sizes)
-    free, out = set(range(len(sizes))), [0.0] * len(sizes)
-    while free:
-        unit = total / sum(weights[i] for i in free)
-        over = [i for i in free if weights[i] * unit > most * sizes[i]]
-        if not over:
-            for i in free:
-                out[i] = weights[i] * unit
+    size, weight = np.asarray(sizes, float), np.asarray(weights, float)
+    total, free, out = share * size.sum(), np.ones(len(size), bool), np.zeros(len(size))
+    while free.any():
+        unit = total / weight[free].sum()
+        over = free & (weight * unit > most * size)
+        if not over.any():
+            out[free] = weight[free] * unit
             break
-        for i in over:
-            out[i] = most * sizes[i]
-            total -= out[i]
-            free.discard(i)
-    return out
+        out[over] = most * size[over]
+        total -= out[over].sum()
+        free &= ~over
+    return out.tolist()
 
 
 def sainte_lague(votes: list[float], seats: int, limits: list[int]) -> list[int]:
@@ -101,7 +97,9 @@ def mix(docs: DataFrame, conf: MixConf = MixConf()) -> DataFrame:
     (``start``, ``stop``, ``times``) that it takes.  No block, so no document,
     is taken more than ``most`` (a whole number) times.  Null and empty texts
     have size 0 and nothing taken.  A shard's last block may be shorter; a
-    source's words come within about a block of its target.  ``h`` is a hash of the text; rows that repeat doc_id, source and text
+    source's words come within about a block of its target, which is a
+    thirty-second of it or a word.  The driver holds some 50 bytes for each
+    source and shard, whatever their number.  ``h`` is a hash of the text; rows that repeat doc_id, source and text
     follow each other in the order and each get a row.  Other columns are not
     read; an empty table gives no rows.
     """
@@ -110,72 +108,84 @@ def mix(docs: DataFrame, conf: MixConf = MixConf()) -> DataFrame:
                            F.xxhash64(F.col("text").cast("string")).alias("h"),
                            F.col("source").cast("string").alias("source"),
                            size_of(F.col("text").cast("string")).alias("size")))
-    per_source = slim.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
-    found = per_source.limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them before mixing")
-    found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))
-    weights = [conf.weights[i % len(conf.weights)] for i in range(len(found))]
-    goals = targets([r["size"] for r in found], weights, conf.share, conf.most)
-    shards = [min(MAX_SHARDS, max(1, -(-r["size"] // SHARD_WORDS), -(-r["docs"] // SHARD_DOCS))) for r in found]
-    sources = spark.createDataFrame(
-        [(r["source"], i, r["size"], float(goals[i]), shards[i]) for i, r in enumerate(found)],
-        "s_name string, s long, source_size long, target double, shards long")
-    placed = (slim.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("s_name")))
+    # sources in the order of their names, numbered; the driver holds a few numbers for each, not the names
+    named = cut(slim.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
+                .repartitionByRange(F.col("source").isNull(), "source").sortWithinPartitions(F.col("source").isNull(), "source")
+                .withColumn("at", F.monotonically_increasing_id()))
+    found = named.select("at", "size", "docs").orderBy("at").toArrow()
+    at, size, n_docs = (found[c].to_numpy() for c in ("at", "size", "docs"))
+    weights = np.resize(np.asarray(conf.weights, float), len(at))
+    goals = np.asarray(targets(size, weights, conf.share, conf.most))
+    block = np.clip((np.minimum(goals, size) // 32).astype(np.int64), 1, conf.block)
+    shards = np.maximum(1, np.maximum(-(-size // SHARD_WORDS), -(-n_docs // SHARD_DOCS)))
+    numbers = spark.createDataFrame(pa.table({"at": at, "s": np.arange(len(at)), "target": goals, "block": block, "shards": shards}))
+    sources = named.join(numbers, "at").select(F.col("source").alias("s_name"), "s", F.col("size").alias("source_size"), "target", "block", "shards")
+    placed = (slim.join(sources, F.col("source").eqNullSafe(F.col("s_name")))
               .withColumn("shard", F.pmod(F.xxhash64(F.lit(conf.seed), "doc_id", "h"), F.col("shards"))))
 
     # seats: sources first, then each source's shards; a shard's limit is ``most`` rounds of its blocks
-    counts = sorted((r["s"], r["shard"], r["words"]) for r in
-                    placed.groupBy("s", "shard").agg(F.sum("size").alias("words")).collect())
-    by_source: dict[int, list] = {}
-    for s, shard, n in counts:
-        by_source.setdefault(s, []).append((shard, n, -(-n // conf.block)))
+    counts = placed.groupBy("s", "shard").agg(F.sum("size").alias("words")).toArrow().sort_by([("s", "ascending"), ("shard", "ascending")])
+    s, shard, words = (counts[c].to_numpy() for c in ("s", "shard", "words"))
     most = int(conf.most)
-    order = sorted(by_source)
-    blocks = [sum(b for *_, b in by_source[s]) for s in order]
+    blocks = -(-words // block[s])
+    of_source = np.bincount(s, blocks, len(at)).astype(np.int64)
     # votes: the target in mean blocks of the source, so that short last blocks do not lower its words
-    votes = [goals[s] * b / found[s]["size"] if found[s]["size"] else 0.0 for s, b in zip(order, blocks)]
-    quotas = sainte_lague(votes, round(sum(votes)), [most * b for b in blocks])
-    rows = []
-    for s, quota in zip(order, quotas):
-        of = by_source[s]
-        got = sainte_lague([n for _, n, _ in of], quota, [most * b for *_, b in of])
-        rows += [(s, shard, int(q)) for (shard, *_), q in zip(of, got)]
-    quota = spark.createDataFrame(rows, "s long, shard long, quota long")
-    seed, block = conf.seed, conf.block
+    votes = np.where(size > 0, goals * of_source / np.maximum(size, 1), 0.0)
+    seats = np.asarray(sainte_lague(votes, round(votes.sum()), most * of_source), np.int64)
+    quotas = seats[s]
+    edge = np.searchsorted(s, np.arange(len(at) + 1))
+    for k in np.flatnonzero(np.diff(edge) > 1):
+        a, b = edge[k], edge[k + 1]
+        quotas[a:b] = sainte_lague(words[a:b], int(seats[k]), most * blocks[a:b])
+    quota = spark.createDataFrame(pa.table({"s": s, "shard": shard, "quota": quotas}))
+    seed = conf.seed
+
+    # small shards go together in a group, about the words of one large shard in each
+    bins = max(1, -(-int(words.sum()) // SHARD_WORDS), min(len(s), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(o=_mix64(pdf["doc_id"].fillna(-1).to_numpy(np.int64), pdf["h"].to_numpy(np.int64), seed))
-        pdf = pdf.sort_values(["o", "doc_id", "h", "size"], kind="stable", ignore_index=True)
-        ends = pdf["size"].to_numpy(np.int64).cumsum()
-        total = int(ends[-1])
-        n = -(-total // block)
-        q = int(pdf["quota"].iloc[0])
-        times = np.full(n, q // n if n else 0, np.int64)
-        if n:
-            first = np.argsort(_mix64(np.arange(n), np.full(n, int(pdf["shard"].iloc[0])), seed + 1), kind="stable")
-            times[first[:q % n]] += 1
-        spans, taken = [], []
-        for end, size in zip(ends.tolist(), pdf["size"].tolist()):
-            a, runs = end - size, []
-            while a < end:
-                b = min(end, (a // block + 1) * block)
-                t = int(times[a // block])
-                if t:
-                    at = a - (end - size)
-                    if runs and runs[-1]["stop"] == at and runs[-1]["times"] == t:
-                        runs[-1]["stop"] = at + b - a
-                    else:
-                        runs.append({"start": at, "stop": at + b - a, "times": t})
-                a = b
-            spans.append(runs)
-            taken.append(sum((r["stop"] - r["start"]) * r["times"] for r in runs))
+        pdf = pdf.sort_values(["s", "shard", "o", "doc_id", "h", "size"], kind="stable", ignore_index=True)
+        of = pdf[["s", "shard"]].to_numpy()
+        edge = [0, *(np.flatnonzero((of[1:] != of[:-1]).any(axis=1)) + 1).tolist(), len(pdf)]
+        size, block, quota = (pdf[c].to_numpy(np.int64) for c in ("size", "block", "quota"))
+        spans: list[list[dict]] = []
+        for a, b in zip(edge, edge[1:]):
+            spans += _choose(size[a:b], int(block[a]), int(quota[a]), int(of[a, 1]), seed)
+        taken = [sum((r["stop"] - r["start"]) * r["times"] for r in runs) for runs in spans]
         return pdf.assign(taken=taken, spans=spans)[
             ["doc_id", "h", "source", "size", "source_size", "target", "taken", "spans"]]
 
-    return (placed.join(F.broadcast(quota), ["s", "shard"]).groupBy("s", "shard").applyInPandas(
+    binned = placed.join(quota, ["s", "shard"]).withColumn("bin", F.pmod(F.xxhash64("s", "shard"), F.lit(bins)))
+    return binned.groupBy("bin").applyInPandas(
         choose, "doc_id long, h long, source string, size long, source_size long, target double, taken long, "
-                "spans array<struct<start:long,stop:long,times:long>>"))
+                "spans array<struct<start:long,stop:long,times:long>>")
+
+
+def _choose(sizes: np.ndarray, block: int, quota: int, shard: int, seed: int) -> list[list[dict]]:
+    """Runs of words taken from each document of a shard: whole rounds of its blocks, and seeded ones for the rest."""
+    ends = sizes.cumsum()
+    n = -(-int(ends[-1]) // block)
+    times = np.full(n, quota // n if n else 0, np.int64)
+    if n:
+        first = np.argsort(_mix64(np.arange(n), np.full(n, shard), seed + 1), kind="stable")
+        times[first[:quota % n]] += 1
+    times = times.tolist()
+    out = []
+    for end, size in zip(ends.tolist(), sizes.tolist()):
+        a, runs = end - size, []
+        while a < end:
+            b = min(end, (a // block + 1) * block)
+            t = times[a // block]
+            if t:
+                at = a - (end - size)
+                if runs and runs[-1]["stop"] == at and runs[-1]["times"] == t:
+                    runs[-1]["stop"] = at + b - a
+                else:
+                    runs.append({"start": at, "stop": at + b - a, "times": t})
+            a = b
+        out.append(runs)
+    return out
 
 
 def _mix64(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
