@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ILLEGAL_LINE_RE, PY_WS, pstrip
+from ..session import written
 from .gates import blocked
-from .select import Selector, element_match
+from .select import Selector, match_all
 from .shred import VOID_TAGS
 
 # What the style-keeping reformatter takes out with everything inside.
@@ -91,11 +92,22 @@ def serialize(nodes: DataFrame, by: list[str]) -> DataFrame:
 
 
 def under_root(nodes: DataFrame, root: Selector) -> DataFrame:
-    """The nodes of each page's first root, itself included, with ``root_id`` and ``inner``, the chain below the root."""
-    first = (nodes.where((F.col("kind") == "element") & element_match(root))
-             .groupBy("page_id").agg(F.min("node_id").alias("root_id"), F.min_by("end_id", "node_id").alias("_root_end")))
-    return (nodes.drop("html").join(first, "page_id").where(F.col("node_id").between(F.col("root_id"), F.col("_root_end")))
-            .withColumn("inner", F.filter("chain", lambda e: e["nid"] > F.col("root_id"))).drop("_root_end"))
+    """The nodes under roots, roots included, with ``root_id`` (the outermost) and ``inner``, the chain below the root.
+
+    Told on the node row; of a page with several roots all give rows
+    (`first_roots` says which comes first).
+    """
+    outermost = Selector(root.steps, anchor=len(root.steps), outermost=True)
+    anchor = F.filter(F.array(match_all({"root": outermost}, {})["root_anchor"]),
+                      lambda a: a.isNotNull() & ((F.col("kind") == "element") | (a != F.col("node_id"))))
+    return nodes.select("page_id", "node_id", "end_id", "depth", "kind", "tag", "attrs", "text", "chain",
+                        F.explode(anchor).alias("root_id")).withColumn(
+        "inner", F.filter("chain", lambda e: e["nid"] > F.col("root_id"))).drop("chain")
+
+
+def first_roots(rows: DataFrame, *more: Column) -> DataFrame:
+    """(page_id, first_root, more): the first root of each page, and further aggregates."""
+    return rows.groupBy("page_id").agg(F.min("root_id").alias("first_root"), *more)
 
 
 # -- images ------------------------------------------------------------------
@@ -123,6 +135,18 @@ def _without_alt(attrs: Column) -> Column:
     return F.map_filter(attrs, lambda k, v: k != "alt")
 
 
+def _of_page(changed: DataFrame) -> DataFrame:
+    """(page_id, changes): the changed attributes of a page's images by node; a NULL value takes the image out."""
+    return changed.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("node_id", "_attrs"))).alias("changes"))
+
+
+def _change() -> tuple[Column, Column]:
+    """(attributes as changed, whether the node stays) of a node beside its page's ``changes``."""
+    known = F.coalesce(F.map_contains_key("changes", F.col("node_id")), F.lit(False))
+    new = F.col("changes")[F.col("node_id")]
+    return F.when(known, new).otherwise(F.col("attrs")), ~known | new.isNotNull()
+
+
 # -- F25 -----------------------------------------------------------------------
 
 def _span_or_ad(e: Column) -> Column:
@@ -154,44 +178,48 @@ def reformat_keeping_styles(nodes: DataFrame, root: Selector, paths: DataFrame,
     is_root = F.col("node_id") == F.col("root_id")
     out = F.exists("_outer", _dropped) | (F.coalesce((F.col("kind") == "element") & _dropped(own), F.lit(False)) & ~is_root)
     n = n.where(F.when(F.col("_in_a"), (F.col("kind") == "text") & ~F.exists("_outer", _dropped)).otherwise(~out))
-    n = n.withColumn("_link", (F.col("tag") == "a") & ~is_root).select(
-        "page_id", "root_id", "node_id", "end_id", "depth", "kind", "tag", "attrs", "text", "_in_a", "_link",
-        F.transform(F.filter("_outer", lambda e: e["tag"] == "p"), lambda e: e["nid"]).alias("_ps"))
-
-    is_img = F.coalesce(F.col("tag") == "img", F.lit(False)) & ~F.coalesce("_link", F.lit(False))
-    imgs = _addresses(n.where(is_img), paths)
-    gone = blocked(imgs.where("_path IS NOT NULL"), "_address", patterns).select("page_id", "node_id").withColumn("_gone", F.lit(True))
+    text = F.when(F.col("kind") == "text", F.col("text"))
+    cleaned = _rewritten(pstrip(text), _LEAD_BR, (" <", "<"), ("> ", ">"), _ILLEGAL)
+    # read several times, each time by other columns: written once
+    n = written(n.select(
+        "page_id", "root_id", "node_id", "end_id", "depth", "kind", "tag", "attrs", "text", "_in_a",
+        F.coalesce((F.col("tag") == "a") & ~is_root, F.lit(False)).alias("_link"),
+        F.coalesce(F.col("tag") == "img", F.lit(False)).alias("_img"),
+        F.coalesce((F.col("tag") == "p") & ~is_root, F.lit(False)).alias("_is_p"),
+        F.coalesce(pstrip(text) == "", F.lit(True)).alias("_blank"), F.coalesce(cleaned == "", F.lit(True)).alias("_void"),
+        F.transform(F.filter("_outer", lambda e: e["tag"] == "p"), lambda e: e["nid"]).alias("_ps")), "styled")
+
+    imgs = _addresses(n.where("_img").select("page_id", "node_id", "attrs"), paths)
+    gone = blocked(imgs.where("_path IS NOT NULL"), "_address", patterns).select("page_id", "node_id", F.lit(True).alias("_gone"))
     style = F.transform_values(_without_alt(F.col("attrs")), lambda k, v: F.when(
         k == "style", F.regexp_replace(v, rf"height:{PY_WS}*[0-9]+px", "height:auto")).otherwise(v))
     changed = imgs.join(gone, ["page_id", "node_id"], "left").select(
-        "page_id", "node_id", F.coalesce("_gone", F.lit(False)).alias("_gone"),
-        F.when(F.col("_address").isNull(), _without_alt(F.col("attrs")))
+        "page_id", "node_id", F.when(F.col("_gone"), F.lit(None)).when(F.col("_address").isNull(), _without_alt(F.col("attrs")))
         .otherwise(_with_src(style, F.coalesce("_path", F.lit("")))).alias("_attrs"))
-    n = n.where(~is_img).unionByName(
-        n.where(is_img).join(changed, ["page_id", "node_id"], "left").where("_gone IS NULL OR NOT _gone")
-        .withColumn("attrs", F.coalesce("_attrs", "attrs")).drop("_attrs", "_gone"))
 
     # paragraphs: what is in each, by the nodes under it (one in another counts for both)
-    text = F.when(F.col("kind") == "text", F.col("text"))
-    cleaned = _rewritten(pstrip(text), _LEAD_BR, (" <", "<"), ("> ", ">"), _ILLEGAL)
-    counts = ~F.col("_in_a")                        # a link is one text, whatever was in it
-    inside = n.select("page_id", F.explode("_ps").alias("p"), F.col("depth"), counts.alias("_counts"), is_img.alias("_img"),
-                      F.coalesce(pstrip(text) == "", F.lit(True)).alias("_blank"), F.coalesce(cleaned == "", F.lit(True)).alias("_void"),
-                      ((F.col("kind") == "text") | F.coalesce("_link", F.lit(False))).alias("_text"))
+    said = ["page_id", "node_id", "depth", "kind", "_in_a", "_link", "_img", "_is_p", "_blank", "_void", "_ps"]
+    inside = (n.where("NOT _img").select(*said)
+              .unionByName(n.where("_img").select(*said).join(gone, ["page_id", "node_id"], "left_anti"))
+              .withColumn("p", F.explode(F.when(F.col("_is_p"), F.concat("_ps", F.array("node_id"))).otherwise(F.col("_ps"))))
+              .withColumn("_other", F.col("p") != F.col("node_id")))
+    counts = F.col("_other") & ~F.col("_in_a")            # a link is one text, whatever was in it
     per_p = inside.groupBy("page_id", "p").agg(
-        F.bool_or("_img").alias("img"), F.bool_and("_blank").alias("blank"), F.bool_and("_void").alias("void"),
-        F.sum(F.col("_counts").cast("int")).alias("n"), F.max(F.when(F.col("_counts"), F.col("depth"))).alias("deepest"),
-        F.bool_or("_text").alias("text"))
-    ps = n.where((F.col("tag") == "p") & (F.col("node_id") > F.col("root_id"))).select("page_id", F.col("node_id").alias("p"), F.col("depth").alias("own"))
+        F.bool_or(F.col("_other") & F.col("_img")).alias("img"), F.bool_and(~F.col("_other") | F.col("_blank")).alias("blank"),
+        F.bool_and(~F.col("_other") | F.col("_void")).alias("void"), F.sum(counts.cast("int")).alias("n"),
+        F.max(F.when(counts, F.col("depth"))).alias("deepest"), F.max(F.when(~F.col("_other"), F.col("depth"))).alias("own"),
+        F.bool_or(F.col("_other") & ((F.col("kind") == "text") | F.col("_link"))).alias("text"))
     one_string = F.col("text") & (F.col("n") == F.col("deepest") - F.col("own"))        # each node inside is an only child
-    dead = ps.join(per_p, ["page_id", "p"], "left").where(
-        "img IS NULL OR (blank AND NOT img)").select("page_id", "p").unionByName(
-        ps.join(per_p, ["page_id", "p"]).where(one_string & F.col("void")).select("page_id", "p"))
-    dead = dead.groupBy("page_id").agg(F.collect_set("p").alias("_dead"))
-    n = n.join(dead, "page_id", "left").where(
-        F.col("_dead").isNull() | ~(F.arrays_overlap("_dead", "_ps") | F.array_contains("_dead", F.col("node_id"))))
-
-    whole = n.groupBy("page_id").agg(folded(events(hidden=F.coalesce("_link", F.lit(False)))).alias("_m"))
+    dead = (per_p.where(F.col("own").isNotNull() & ((F.col("blank") & ~F.col("img")) | (one_string & F.col("void"))))
+            .groupBy("page_id").agg(F.collect_set("p").alias("_dead")))
+
+    # all that is known of a page beside its nodes: the nodes move once
+    page = first_roots(n).join(dead, "page_id", "left").join(_of_page(changed), "page_id", "left")
+    attrs, stays = _change()
+    n = (n.select("page_id", "root_id", "node_id", "end_id", "kind", "tag", "attrs", "text", "_link", "_ps").join(page, "page_id")
+         .where((F.col("root_id") == F.col("first_root")) & stays & (
+             F.col("_dead").isNull() | ~(F.arrays_overlap("_dead", "_ps") | F.array_contains("_dead", F.col("node_id"))))))
+    whole = n.groupBy("page_id").agg(folded(events(attrs=attrs, hidden=F.col("_link"))).alias("_m"))
     m = pstrip(F.replace(pstrip(F.col("_m")), F.lit("\n"), F.lit("")))
     return whole.select("page_id", _rewritten(m, _LEAD_BR, (f"{PY_WS}+<", "<"), (f">{PY_WS}+", ">"), _ILLEGAL).alias("formatted_content"))
 
@@ -208,29 +236,34 @@ def reformat_by_paragraphs(nodes: DataFrame, root: Selector, paths: DataFrame) -
     with a stored path get it as ``src``.  One of line breaks only is empty.
     """
     n = under_root(nodes, root)
-    tables = n.groupBy("page_id").agg(F.bool_or(F.coalesce((F.col("tag") == "table") & (F.col("node_id") > F.col("root_id")), F.lit(False))).alias("_table"))
     at = F.array_position(F.transform("inner", lambda e: e["tag"]), "p").cast("int")
-    n = n.where(F.col("node_id") > F.col("root_id")).withColumn("_at", at)
-    n = n.withColumn("unit", F.when(F.col("_at") > 0, F.try_element_at("inner", F.greatest("_at", F.lit(1)))["nid"])
-                     .when(F.col("tag").isin("p", "img"), F.col("node_id"))).where("unit IS NOT NULL")
+    is_root = F.col("node_id") == F.col("root_id")
+    n = n.withColumn("_at", at).withColumn("unit", F.when(is_root, F.col("node_id")).when(
+        F.col("_at") > 0, F.try_element_at("inner", F.greatest("_at", F.lit(1)))["nid"]).when(F.col("tag").isin("p", "img"), F.col("node_id")))
     below = F.when(F.col("_at") > 0, F.slice("inner", F.col("_at") + 1, F.size("inner"))).otherwise(F.slice("inner", 1, 0))
     is_unit = F.col("node_id") == F.col("unit")
+    is_table = F.coalesce((F.col("tag") == "table") & ~is_root, F.lit(False))
     framed = F.exists(below, lambda e: e["tag"] == "iframe") | (F.coalesce(F.col("tag") == "iframe", F.lit(False)) & ~is_unit)
-    n = n.where(~framed).withColumn("_is_unit", is_unit)
-    is_img = F.coalesce(F.col("tag") == "img", F.lit(False))
-    changed = _addresses(n.where(is_img), paths).select(
+    # read several times, each time by other columns: written once
+    n = written(n.where((F.col("unit").isNotNull() & ~framed) | is_table).select(
+        "page_id", "root_id", "node_id", "end_id", "kind", "tag", "attrs", "text", F.when(~framed, F.col("unit")).alias("unit"),
+        F.coalesce(is_unit, F.lit(False)).alias("_is_unit"), is_root.alias("_is_root"), is_table.alias("_table"),
+        F.coalesce((F.col("tag") == "img") & ~is_root & ~framed, F.lit(False)).alias("_img")), "units")
+    changed = _addresses(n.where("_img").select("page_id", "node_id", "attrs"), paths).select(
         "page_id", "node_id", F.when(F.col("_path").isNull(), _without_alt(F.col("attrs")))
         .otherwise(_with_src(_without_alt(F.col("attrs")), F.col("_path"))).alias("_attrs"))
-    n = n.where(~is_img).unionByName(n.where(is_img).join(changed, ["page_id", "node_id"], "left")
-                                     .withColumn("attrs", F.coalesce("_attrs", "attrs")).drop("_attrs"))
+    page = first_roots(n, F.collect_set(F.when(F.col("_table"), F.col("root_id"))).alias("_tables")).join(_of_page(changed), "page_id", "left")
+    # the nodes move once; a root's own row says nothing, but every page keeps it
+    n = n.join(page, "page_id").where((F.col("root_id") == F.col("first_root")) & F.col("unit").isNotNull() & (
+        F.col("_is_root") | ~F.array_contains("_tables", F.col("root_id"))))
+    attrs, _ = _change()
     tag = F.when((F.col("tag") == "strong"), F.lit("b")).otherwise(F.col("tag"))
-    hidden = F.col("tag").isin("p", "a") & ~F.col("_is_unit")
-    units = n.groupBy("page_id", "unit").agg(folded(events(tag=tag, hidden=hidden)).alias("_m"),
-                                             F.bool_or(is_img & F.col("_is_unit")).alias("_bare"))
+    hidden = F.col("_is_root") | (F.col("tag").isin("p", "a") & ~F.col("_is_unit"))
+    units = n.groupBy("page_id", "unit").agg(folded(events(tag=tag, attrs=attrs, hidden=hidden)).alias("_m"),
+                                             F.bool_or(F.col("_img") & F.col("_is_unit")).alias("_bare"))
     u = F.when(F.col("_bare"), F.concat(F.lit("<p>"), F.col("_m"), F.lit("</p>"))).otherwise(F.col("_m"))
     u = _rewritten(pstrip(u), (" <", "<"), ("> ", ">"), (r"<p[^\n]*?>", ""), ("</p>", "<br/>"), _ILLEGAL)
     units = units.select("page_id", "unit", u.alias("u")).withColumn(
         "u", F.when(F.regexp_replace("u", "(<br */>)+", "") == "", "").otherwise(F.col("u")))
-    joined = units.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("unit", "u"))), lambda x: x["u"]), "").alias("u"))
-    return tables.join(joined, "page_id", "left").select(
-        "page_id", F.when(F.col("_table"), "").otherwise(F.coalesce("u", F.lit(""))).alias("formatted_content"))
+    return units.groupBy("page_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("unit", "u"))), lambda x: x["u"]), "").alias("formatted_content"))

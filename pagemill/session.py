@@ -8,9 +8,10 @@ checkpoint dir, memory, ...) always win.  No operator depends on these.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins at runtime (broadcast when a side turns out small, split
 # skewed partitions); all of this is on in a default session as well.
@@ -59,3 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read again: readers prune columns, a lost executor reads anew."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:16]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
