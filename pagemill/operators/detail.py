@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import SiteSpec
 from ..functions.dates import news_date, parse_loose
 from ..functions.text import pstrip, regex_int
-from .select import Selector, element_match, matching, parent_match
+from .select import Selector, element_match, matching, matching_by, near_any, parent_match
 
 AUDIO_RATE_RE = r"(?i)(\d+) kbps"
 AUDIO_RATE_CAP = 1024
@@ -39,20 +39,30 @@ def _text_of(selector: Selector | None) -> Column:
     return (F.col("kind") == "text") & parent_match(selector)
 
 
-def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
-    """One row per page with header fields and layout flags."""
-    attrs = F.col("attrs")
+def _selectors(spec: SiteSpec) -> tuple[dict[str, Selector], dict[str, Selector]]:
     elements = {n: x for n, x in (("content", spec.content_scope), ("header", spec.header_scope),
                                   ("body", spec.body_scope), ("pub", spec.pub_time), ("cover", spec.cover_img))
                 if x is not None}
     texts = {n: x for n, x in (("title_text", spec.title), ("pub_text", spec.pub_time), ("category_text", spec.category))
              if x is not None}
+    return elements, texts
+
+
+def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
+    """One row per page with header fields and layout flags."""
+    elements, texts = _selectors(spec)
     rows = matching(nodes, elements, texts, "page_id", "node_id", "attrs", "text", root=True)
+    return _fields(rows, elements | texts, ["page_id"], lambda of: of(spec), run_ts)
+
+
+def _fields(rows: DataFrame, names, keys: list[str], pick, run_ts) -> DataFrame:
+    """The fields of each page from the nodes that its selectors match; ``pick`` takes what hangs on the page's spec."""
+    attrs = F.col("attrs")
 
     def flag(name: str) -> Column:
-        return F.col(f"m.{name}") if name in elements or name in texts else F.lit(False)
+        return F.col(f"m.{name}") if name in names else F.lit(False)
 
-    g = rows.groupBy("page_id").agg(
+    g = rows.groupBy(*keys).agg(
         F.bool_or(flag("content")).alias("has_content"),
         F.bool_or(flag("header")).alias("has_header"),
         F.bool_or(flag("body")).alias("has_body"),
@@ -63,7 +73,7 @@ def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
         _first(attrs["alt"], flag("cover")).alias("_cover_alt"),
         _first(F.col("text"), flag("category_text")).alias("_category"))
     # Header searches are document-wide but run only when the scope exists
-    scoped = F.col("has_header") if spec.header_scope is not None else F.lit(True)
+    scoped = pick(lambda spec: F.col("has_header") if spec.header_scope is not None else F.lit(True))
 
     def field(name):
         return F.when(scoped, pstrip(F.coalesce(F.col(name), F.lit("")))).otherwise(F.lit(""))
@@ -72,16 +82,14 @@ def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
     pub_raw = F.when(pub_attr != "", pub_attr).when(pub_text != "", pub_text)   # Q3
     pub_str = news_date(pub_raw, run_ts)
     category = field("_category")
-    tags = F.concat(F.array(*[F.lit(t) for t in spec.base_tags]) if spec.base_tags else F.array().cast("array<string>"),
+    base_tags = pick(lambda spec: F.array(*[F.lit(t) for t in spec.base_tags]).cast("array<string>"))
+    tags = F.concat(base_tags,
                     F.when(category != "", F.array(category)).otherwise(F.array().cast("array<string>")))
     cover_src, cover_alt = field("_cover_src"), field("_cover_alt")
-    layout_ok = F.lit(True)
-    if spec.content_scope is not None:
-        layout_ok = layout_ok & F.col("has_content")
-    if spec.body_scope is not None:
-        layout_ok = layout_ok & F.col("has_body")
+    layout_ok = pick(lambda spec: (F.col("has_content") if spec.content_scope is not None else F.lit(True))
+                     & (F.col("has_body") if spec.body_scope is not None else F.lit(True)))
     return g.select(
-        "page_id",
+        *keys,
         field("_title").alias("title"),
         pub_str.alias("public_datetime_str"),
         parse_loose(pub_str).alias("public_datetime"),
@@ -96,12 +104,24 @@ def page_fields(nodes: DataFrame, spec: SiteSpec, run_ts) -> DataFrame:
 
 
 def route_layouts(routed: DataFrame, nodes: DataFrame, layouts: dict[str, SiteSpec], run_ts) -> DataFrame:
-    """``routed(page_id, layout)`` pages through their layout's extractor; other layouts give no row."""
-    out = None
-    for name, spec in layouts.items():
-        part = routed.where(F.col("layout") == name).join(page_fields(nodes, spec, run_ts), "page_id")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """``routed(page_id, layout)`` pages through their layout's extractor; other layouts give no row.
+
+    One pass over the nodes however many layouts: each node meets its page's
+    layout once and runs that layout's selectors only.
+    """
+    sites = {name: _selectors(spec) for name, spec in layouts.items()}
+    known = routed.where(F.col("layout").isin(*layouts)).select("page_id", "layout").distinct()
+    near = nodes.where(near_any(sites)).select("page_id", "node_id", "kind", "tag", "attrs", "text", "chain")
+    rows = matching_by(near.join(known, "page_id"), "layout", sites, "page_id", "layout", "node_id", "attrs", "text")
+
+    def pick(of) -> Column:
+        out = F.when(F.lit(False), None)
+        for name, spec in layouts.items():
+            out = out.when(F.col("layout") == name, of(spec))
+        return out
+
+    names = {n for elements, texts in sites.values() for n in elements | texts}
+    return routed.join(_fields(rows, names, ["page_id", "layout"], pick, run_ts), ["page_id", "layout"])
 
 
 def audio_links(nodes: DataFrame, spec: SiteSpec) -> DataFrame:

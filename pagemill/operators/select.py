@@ -184,6 +184,54 @@ def matching(nodes: DataFrame, elements: dict[str, Selector], texts: dict[str, S
         *cols, F.explode(F.filter(F.array(match_all(elements, texts)), any_match)).alias("m"))
 
 
+Site = tuple[dict[str, Selector], dict[str, Selector]]          # the selectors of elements and of texts
+
+
+def _near(elements: dict[str, Selector], texts: dict[str, Selector]) -> Column:
+    """The cheap test: a tag that some selector ends in, or a text."""
+    tags = sorted({s.steps[-1].tag for s in elements.values()})
+    out = (F.col("kind") == "text") if texts else F.lit(False)
+    if "*" in tags:
+        return out | (F.col("kind") == "element")
+    return out | F.coalesce((F.col("kind") == "element") & F.col("tag").isin(*tags), F.lit(False)) if tags else out
+
+
+def near_any(sites: dict[str, Site]) -> Column:
+    """Nodes that the selectors of some site may match, or a page's first: a test without the site."""
+    out = F.col("node_id") == 0
+    for elements, texts in sites.values():
+        out = out | _near(elements, texts)
+    return out
+
+
+def matching_by(nodes: DataFrame, site: str, sites: dict[str, Site], *cols: str) -> DataFrame:
+    """`matching` for many sites in one pass: a row's column ``site`` picks its selectors, only those are run.
+
+    ``m`` has a boolean for each name of any site, false where the row's site
+    has no such selector.  Each page's first node stays; rows of other sites go.
+    """
+    names = sorted({n for elements, texts in sites.values() for n in elements | texts})
+
+    def flags(own):
+        return lambda x: F.struct(*[(F.coalesce(x[n], F.lit(False)) if n in own else F.lit(False)).alias(n) for n in names])
+
+    m = near = None
+    for name, (elements, texts) in sites.items():
+        mine = F.col(site) == name
+        found = let(match_all(elements, texts), flags(elements | texts))
+        m = F.when(mine, found) if m is None else m.when(mine, found)
+        near = F.when(mine, _near(elements, texts)) if near is None else near.when(mine, _near(elements, texts))
+    first = F.col("node_id") == 0
+
+    def any_match(x: Column) -> Column:
+        out = first
+        for n in names:
+            out = out | x[n]
+        return out
+
+    return nodes.where(F.col(site).isin(*sites) & (near | first)).select(*cols, F.explode(F.filter(F.array(m), any_match)).alias("m"))
+
+
 def select_elements(nodes: DataFrame, selector: Selector, prefilter_tag: bool = True) -> DataFrame:
     """Element nodes matching ``selector``; the cheap tag test runs first."""
     last = selector.steps[-1]

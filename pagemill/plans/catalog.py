@@ -1070,6 +1070,23 @@ def c9_layout_routing(spark, sf):
     return route_layouts(routed, page_nodes(spark, sf), _LAYOUTS, RUN_TS).select("page_id", "layout", "title")
 
 
+# Ten layouts: odd ones take their title from the head, each has a tag of its own.
+_TEN_LAYOUTS = {f"l{k}": _dc.replace(DRIVER_PAGES, title=sel(desc("title")) if k % 2 else DRIVER_PAGES.title, layout=f"l{k}",
+                                     base_tags=(f"t{k}",) if k else ()) for k in range(10)}
+
+
+@query("c9_ten_layouts", sql=f"""
+SELECT page_id, 'l' || CAST(page_id % 11 AS VARCHAR) AS layout, CASE WHEN page_id % 11 > 0 THEN 't' || CAST(page_id % 11 AS VARCHAR) END AS tag,
+       CASE WHEN page_id % 11 % 2 = 1 THEN {Q.pstrip(Q.unescape("regexp_extract(html, '<title>([^<]*)</title>', 1)"))}
+            ELSE {Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} END AS title
+FROM pages WHERE page_id % 11 <> 10""")
+def c9_ten_layouts(spark, sf):
+    """Ten extractors in one pass over the nodes; an eleventh layout is unknown."""
+    routed = raw_pages(spark, sf).select("page_id", F.concat(F.lit("l"), (F.col("page_id") % 11).cast("string")).alias("layout"))
+    return route_layouts(routed, page_nodes(spark, sf), _TEN_LAYOUTS, RUN_TS).select(
+        "page_id", "layout", F.get("tags", F.lit(0)).alias("tag"), "title")
+
+
 @query("f8_content_id", sql=f"""
 SELECT page_id, '0_pages_' || md5({Q.pstrip(Q.unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))}) AS content_id FROM pages""")
 def f8_content_id(spark, sf):
