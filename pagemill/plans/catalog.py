@@ -229,6 +229,7 @@ from ..operators.detail import audio_type, lowest_rate_link  # noqa: E402
 from ..operators.listing import resolve_entries, take_while  # noqa: E402
 from ..operators.select import desc, child, sel, select_text  # noqa: E402
 from ..operators.simhash import simhash  # noqa: E402
+from ..session import written  # noqa: E402
 from ..sinks import stores as S  # noqa: E402
 
 EV_DEDUP = DedupConf(title_days=20, url_days=15, title_spiders=("news_en",))
@@ -625,6 +626,23 @@ def a6_run_report(spark, sf):
     return M.run_report(a)
 
 
+@query("a6_counts_in_write", sql=f"""
+WITH {EV_SQL}
+SELECT CAST(20240131000000 AS BIGINT) AS batch_id, spider,
+       CASE event_type WHEN 'error' THEN 'downloaded_error' WHEN 'purchase' THEN 'done' ELSE 'packed_failed' END AS status,
+       count(*) AS n_items
+FROM ev GROUP BY 1, 2, 3""")
+def a6_counts_in_write(spark, sf):
+    """One batch is stored and counted in the same pass."""
+    a = ev_articles(spark, sf).select(
+        "event_id", D.batch_id(RUN_TS).alias("batch_id"), "spider",
+        F.when(F.col("event_type") == "error", "downloaded_error").when(F.col("event_type") == "purchase", "done")
+        .otherwise("packed_failed").alias("status"))
+    spiders = ["news_en", "other"]
+    a, seen = M.counted(a, spiders)
+    return M.counted_report(written(a, "articles"), seen, spiders)
+
+
 @query("w7_running_counter", sql=f"""
 WITH {EV_SQL}
 SELECT event_id, spider, CAST(strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') AS BIGINT) AS batch_id,

@@ -21,6 +21,7 @@ from ..operators.select import child, desc, sel
 from ..operators.shred import HtmlScope, nodes_by_page
 from ..session import ensure_checkpoint_dir
 from ..sinks import stores as S
+from ..sinks.files import publish_files, published_files
 from ..sources.tables import media_files, raw_pages
 from . import sqlkit as Q
 from .flagship import HISTORY, RUN_TS, Hooks, Outcome, detail_articles, ingest
@@ -207,6 +208,24 @@ def s9_partial_export(spark, sf):
                     F.col("formatted_text_txt").isNotNull().alias("has_text"))
 
 
+@query("s8_article_files", f"""WITH {_SQL},
+exported AS ({_EXPORT_SQL}, media_failed FROM a),
+files AS (SELECT uuid, yyyymm, title, media_failed, unnest(CASE WHEN media_failed THEN ['meta.json', 'status.downloaded_error']
+             ELSE ['meta.json', 'formatted_content.html', 'ori_content.html', 'formatted_text.txt', 'status.downloaded'] END) AS name FROM exported)
+SELECT yyyymm, uuid, name, CASE WHEN name = 'meta.json' THEN title END AS title,
+       CASE WHEN name LIKE 'status.%' THEN 'related files ' || CASE WHEN media_failed THEN 'download error' ELSE 'downloaded' END || chr(10) END AS status,
+       CASE WHEN name LIKE '%.html' THEN true END AS is_markup FROM files""")
+def s8_article_files(spark, sf):
+    """The files of every article, published and read back."""
+    root = _folder(spark, "files")
+    publish_files(run(spark, sf).export, root, 20240131000000)
+    text = F.col("content").cast("string")
+    return published_files(spark, root, 20240131000000).select(
+        "yyyymm", "uuid", "name", F.when(F.col("name") == "meta.json", F.get_json_object(text, "$.title")).alias("title"),
+        F.when(F.col("name").startswith("status."), text).alias("status"),
+        F.when(F.col("name").endswith(".html"), text.startswith("<article")).alias("is_markup"))
+
+
 @query("p4_entry_fields", """
 SELECT page_id // 20 AS list_id, row_number() OVER (PARTITION BY page_id // 20 ORDER BY page_id) AS pos,
        CASE WHEN page_id % 17 <> 3 THEN '/a/' || CAST(page_id AS VARCHAR) || '.html' END AS entry_uri,

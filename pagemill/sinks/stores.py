@@ -118,11 +118,16 @@ def publish(df: DataFrame, out_dir: str, batch_id: int, fmt: str = "parquet", by
     spark, root = df.sparkSession, out_dir.rstrip("/")
     path = f"{root}/data/batch_id={batch_id}/{uuid.uuid4().hex}"
     df.write.partitionBy(by).format(fmt).save(path)
+    point(spark, root, batch_id, path, fmt)
+    return path
+
+
+def point(spark: SparkSession, root: str, batch_id: int, path: str, fmt: str) -> None:
+    """Make ``path`` what readers of the batch see."""
     last = _pointers(spark, root, batch_id).agg(F.max("version")).first()[0]
     version = 0 if last is None else last + 1
     spark.createDataFrame([(path, fmt)], "path string, format string").coalesce(1).write.mode("errorifexists").parquet(
         f"{root}/pointers/batch_id={batch_id}/version={version}")
-    return path
 
 
 def _pointers(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
@@ -136,11 +141,17 @@ def _pointers(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def published(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame:
-    """The batch that was published last under ``batch_id``; an error if none was."""
+def pointer(spark: SparkSession, out_dir: str, batch_id: int):
+    """(path, format) of the batch that was published last; an error if none was."""
     at = _pointers(spark, out_dir.rstrip("/"), batch_id).orderBy(F.desc("version")).first()
     if at is None:
         raise LookupError(f"batch {batch_id} is not published under {out_dir}")
+    return at
+
+
+def published(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame:
+    """The batch that was published last under ``batch_id``; an error if none was."""
+    at = pointer(spark, out_dir, batch_id)
     return spark.read.format(at["format"]).load(at["path"])
 
 
