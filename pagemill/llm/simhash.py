@@ -124,9 +124,10 @@ def survivors(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame
     """
     row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
     slim = cut(fingerprints(docs.select("doc_id", row.alias("h"), "text"), shingle, "doc_id long, h long"))
-    best = (slim.join(linked(slim.select("fp").distinct(), max_bits), "fp")
-            .groupBy("root", "doc_id", "h").agg(F.count("*").alias("n"))
-            .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "n")).alias("b"))
+    # one row for each fingerprint before the join: copies are combined where they are read
+    low = (slim.groupBy("fp", "doc_id", "h").agg(F.count("*").alias("n"))
+           .groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "n")).alias("b")))
+    best = (low.join(linked(low.select("fp"), max_bits), "fp").groupBy("root").agg(F.min("b").alias("b"))
             .select(F.col("b.doc_id").alias("k_id"), F.col("b.h").alias("k_h"), F.col("b.n").alias("k_n")))
     kept = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("d_id"), row.alias("d_h")).join(
         best, F.col("d_id").eqNullSafe(F.col("k_id")) & (F.col("d_h") == F.col("k_h")))
