@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pagemill.session import ensure_checkpoint_dir
 
 
+OUT_BYTES = 4 << 20      # text and bytes of an Arrow batch that a scan gives out
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,7 +30,7 @@ def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[
          cache: str | None = None) -> DataFrame:
     """Run ``rows`` over each partition: tuples of ``df``'s columns in, tuples of ``schema`` out.
 
-    Rows go out in Arrow batches of at most 2,000 rows or about 16 MB of text
+    Rows go out in Arrow batches of at most 2,000 rows or about 4 MB of text
     and bytes, so memory does not depend on the size of a partition.
     """
     names = [f.split()[0] for f in _split(schema)]
@@ -44,7 +47,7 @@ def scan(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[
         for row in rows(rows_in()):
             out.append(row)
             size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
-            if len(out) >= 2000 or size >= 16 << 20:
+            if len(out) >= 2000 or size >= OUT_BYTES:
                 yield _batch(out, names, arrow)
                 out, size = [], 0
         if out:

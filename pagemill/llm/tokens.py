@@ -20,6 +20,7 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ MAGIC = b"PMDAC1\0\0"
 SEGMENT_CHARS = 3 << 20
 RANK_BITS = 512
 END_ID = 2
+SLICE_CHARS = 1 << 20    # text encoded at once: the words of a whole segment are not held together
 MEMO_WORDS = 500_000     # words whose ids a worker remembers
 MEMO_CHARS = 40
 
@@ -128,7 +130,7 @@ class Encoder:
     remembered (``MEMO_WORDS`` of up to ``MEMO_CHARS`` characters, so memory is
     bounded).  New words of Latin letters are encoded in rows and told apart by
     the tokens that end a word.  Texts that hold the start of a special token's string go to the
-    tokenizer whole.
+    tokenizer whole.  A call works on about ``SLICE_CHARS`` characters at once.
     """
 
     BODY = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
@@ -149,7 +151,13 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's end (null: no ids), without special tokens."""
-        texts = [t or "" for t in texts]
+        parts = [self._encode([t or "" for t, in some]) for some in groups(((t,) for t in texts), SLICE_CHARS)]
+        if len(parts) < 2:
+            return parts[0] if parts else self._encode([])
+        before = np.cumsum([0, *(len(ids) for ids, _ in parts[:-1])])
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([ends + n for (_, ends), n in zip(parts, before.tolist())])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = [not self.by_words or any(s in t for s in self.special) for t in texts]
         index, ends, words = word_codes(["" if w else _lower_latin(t) for t, w in zip(texts, whole)])
         ids = self._ids(words)
@@ -275,11 +283,9 @@ def read_segments(spark, path: str) -> DataFrame:
     segments = spark.read.schema(SEGMENTS).parquet(path)
     # one row for each partition of the writer
     totals = segments.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
-    offsets, total = [], 0
-    for r in totals:
-        offsets.append((r["part"], total))
-        total += r["n"]
-    starts = spark.createDataFrame(offsets, "part int, before long")
+    n = np.array([r["n"] for r in totals], np.int64)
+    # as Arrow data: rows of Python tuples would go through Python workers of their own
+    starts = spark.createDataFrame(pa.table({"part": pa.array([r["part"] for r in totals], pa.int32()), "before": np.cumsum(n) - n}))
     return (segments.join(F.broadcast(starts), "part")
             .select((F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "doc_ids", "payload"))
 
