@@ -71,14 +71,14 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return filter_pages(read(spark, sf, "pages"), rules_frame(spark, URL_RULES))
 
 
-def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def token_digests(spark: SparkSession, docs: DataFrame, slice_chars: int | None = None) -> DataFrame:
     import uuid
 
     import public_tokenizers
 
     from .tokens import read_documents, write_tokens
     out = f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    write_tokens(docs, public_tokenizers.path(WORD_TOKENIZER), out, by_words=True)
+    write_tokens(docs, public_tokenizers.path(WORD_TOKENIZER), out, by_words=True, slice_chars=slice_chars)
     return read_documents(spark, out, digest=True)
 
 

@@ -31,7 +31,6 @@ MAGIC = b"PMDAC1\0\0"
 SEGMENT_CHARS = 3 << 20
 RANK_BITS = 512
 END_ID = 2
-SLICE_CHARS = 1 << 20    # text encoded at once: the words of a whole segment are not held together
 MEMO_WORDS = 500_000     # words whose ids a worker remembers
 MEMO_CHARS = 40
 
@@ -130,7 +129,7 @@ class Encoder:
     remembered (``MEMO_WORDS`` of up to ``MEMO_CHARS`` characters, so memory is
     bounded).  New words of Latin letters are encoded in rows and told apart by
     the tokens that end a word.  Texts that hold the start of a special token's string go to the
-    tokenizer whole.  A call works on about ``SLICE_CHARS`` characters at once.
+    tokenizer whole.
     """
 
     BODY = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
@@ -149,9 +148,15 @@ class Encoder:
             self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.word_ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's end (null: no ids), without special tokens."""
-        parts = [self._encode([t or "" for t, in some]) for some in groups(((t,) for t in texts), SLICE_CHARS)]
+    def encode(self, texts: list[str | None], slice_chars: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's end (null: no ids), without special tokens.
+
+        Texts go through in slices of about ``slice_chars`` characters, so that the words of
+        all of them are not held together; some words are looked up again.
+        """
+        if not slice_chars:
+            return self._encode([t or "" for t in texts])
+        parts = [self._encode([t or "" for t, in some]) for some in groups(((t,) for t in texts), slice_chars)]
         if len(parts) < 2:
             return parts[0] if parts else self._encode([])
         before = np.cumsum([0, *(len(ids) for ids, _ in parts[:-1])])
@@ -249,14 +254,16 @@ SEGMENTS = "part int, seg int, start_in_part long, n_tokens long, doc_ids array<
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, by_words: bool = False,
-                 end_id: int = END_ID, segment_chars: int = SEGMENT_CHARS) -> None:
+                 end_id: int = END_ID, segment_chars: int = SEGMENT_CHARS,
+                 slice_chars: int | None = None) -> None:
     """Encode every row of ``docs(doc_id, text)`` into DAC segments under ``out`` (Parquet, payload column).
 
     Rows go in ascending doc_id order (null first; rows of one id by text
     hash, then text).  Each document is its ids and ``end_id``; null and empty
     texts are ``end_id`` alone.  A segment is closed after ``segment_chars``
     characters of text, at the end of a document.  An empty table writes no
-    segments; other columns are not read.
+    segments; other columns are not read.  ``slice_chars`` bounds the text
+    encoded at once below a segment: less memory, some more time.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -266,7 +273,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, by_words: bool
         part = TaskContext.get().partitionId()
         enc, before = _encoder(held.value, by_words), 0
         for seg, some in enumerate(groups(it, segment_chars)):
-            ids, ends = enc.encode([t for *_, t in some])
+            ids, ends = enc.encode([t for *_, t in some], slice_chars)
             ids = np.insert(ids, ends, end_id)
             starts = np.concatenate(([0], ends[:-1])) + np.arange(len(ends))
             yield part, seg, before, len(ids), [r[0] for r in some], dac_encode(ids, starts)

@@ -81,18 +81,17 @@ def test_files_order_and_digests(spark, tmp_path):
     assert read_documents(spark, f"{tmp_path}/e").collect() == []
 
 
-def test_encodes_in_slices_and_reads_without_python_rows(spark, tmp_path, monkeypatch):
+def test_encodes_in_slices_and_reads_without_python_rows(spark, tmp_path):
     """A segment's texts go through in slices, whatever the segment's size; the offsets are no Python rows."""
-    monkeypatch.setattr(tokens, "SLICE_CHARS", 200)
     enc = Encoder(open(PATH, encoding="utf-8").read(), True)
     sizes, whole = [], enc._encode
     enc._encode = lambda some: sizes.append(sum(map(len, some))) or whole(some)
     texts = [f"word{i}, {t}" for i in range(8) for t in TEXTS if t != "z" * 5000]
-    ids, ends = enc.encode(texts)
+    ids, ends = enc.encode(texts, 200)
     for t, a, b in zip(texts, [0, *ends[:-1]], ends, strict=True):
         assert ids[a:b].tolist() == T.encode(t, add_special_tokens=False).ids, t
     assert len(sizes) > 1 and max(sizes) <= 200 + max(map(len, texts))
-    assert [x.tolist() for x in enc.encode([])] == [[], []]
+    assert [x.tolist() for x in enc.encode([], 200)] == [[], []]
     df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     write_tokens(df.repartition(2), PATH, f"{tmp_path}/t", by_words=True)
     assert "ExistingRDD" not in tokens.read_segments(spark, f"{tmp_path}/t")._jdf.queryExecution().toString()
