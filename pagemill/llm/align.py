@@ -3,7 +3,7 @@
 The alignment is divide and conquer: near the middle of an interval a common
 end is looked for by bisection, both halves are treated alike, and an interval
 without a common end is a leaf group.  Texts are first cut into *chunks* where
-both tokenizers must cut; chunks met before are remembered with their groups.
+both tokenizers must cut; chunks met often are remembered with their groups.
 
 Corpus statistics (how many documents hold an id pair linked) come back to
 the documents through a join of each slice's own distinct pairs, so neither a
@@ -12,10 +12,13 @@ task nor a broadcast ever holds the pairs of the corpus.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import os
 import re
 import zlib
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -26,10 +29,12 @@ from pyspark.sql import functions as F
 
 from .common import cut, groups, scan, worker_cache
 
-SLICE_CHARS = 12 << 20       # text of a slice
+SLICE_CHARS = 4 << 20        # text of a slice
 BATCH_CHARS = 1 << 20        # text tokenized at once
-MEMO_CHUNKS = 300_000        # chunks that a worker remembers
-MEMO_CHARS = 64
+MEMO_CHUNKS = 300_000        # chunks that a worker remembers from slice to slice
+MEMO_CHARS = 64              # longer ones are let go,
+LONG_CHARS = 4 << 20         # once they have so many characters
+GROUP_SLICES = 4             # slices of a Parquet row group: writers and readers hold one
 _B_BITS = 32                 # a pair is one long: id of A above, id of B below
 
 
@@ -75,6 +80,69 @@ def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 # -- two tokenizers -----------------------------------------------------------
 
+class Known:
+    """Chunks by number, with sizes, links and group text in columns: less memory than an object for each."""
+
+    def __init__(self) -> None:
+        self.code: dict[str, int] = {}               # in the order of the numbers
+        self.bad: set[str] = set()                   # bytes differ: no tokens
+        self.said: list[str] = []
+        self.sizes = array("i")                      # n_a, n_b, n_groups of each
+        self.links, self.stop = array("q"), array("q", [0])
+        self.uses = np.zeros(0, np.int64)
+        self.long_chars = 0
+
+    def add(self, chunk: str, record: tuple | None) -> None:
+        if record is None:
+            self.bad.add(chunk)
+            record = (0, 0, 0, b"", "")
+        self.code[chunk] = len(self.said)
+        self.sizes.extend(record[:3])
+        self.links.frombytes(record[3])
+        self.stop.append(len(self.links))
+        self.said.append(record[4])
+        if len(chunk) > MEMO_CHARS:
+            self.long_chars += len(chunk)
+
+    def record(self, chunk: str) -> tuple | None:
+        """(n_a, n_b, n_groups, links as packed longs, group text); None where bytes differ."""
+        if chunk in self.bad:
+            return None
+        k = self.code[chunk]
+        return (*self.sizes[3 * k:3 * k + 3], self.links[self.stop[k]:self.stop[k + 1]].tobytes(), self.said[k])
+
+    def columns(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes (n_a, n_b, n_groups, n_links) of some chunks, and the links of all of them in a row."""
+        stop = np.array(self.stop)
+        n = stop[codes + 1] - stop[codes]
+        at = np.repeat(stop[codes + 1] - np.cumsum(n), n) + np.arange(n.sum())
+        return (np.column_stack([np.frombuffer(self.sizes, np.intc).reshape(-1, 3)[codes], n]),
+                np.frombuffer(self.links, np.int64)[at] if len(at) else np.zeros(0, np.int64))
+
+    def used(self, counts: np.ndarray) -> None:
+        self.uses = counts + np.pad(self.uses, (0, len(counts) - len(self.uses)))
+
+    def trimmed(self) -> Known:
+        """This, or if it is full what was used most, half as much, without the long chunks."""
+        if len(self.code) <= MEMO_CHUNKS and self.long_chars <= LONG_CHARS:
+            return self
+        chunks, most = list(self.code), MEMO_CHUNKS // 2
+        uses = np.zeros(len(chunks), np.int64)
+        uses[:len(self.uses)] = self.uses
+        keep = np.flatnonzero(np.fromiter((len(c) <= MEMO_CHARS for c in chunks), bool, len(chunks)))
+        keep = np.sort(keep[np.argsort(-uses[keep], kind="stable")[:most]])
+        out, numbers = Known(), keep.tolist()
+        out.code = {chunks[k]: new for new, k in enumerate(numbers)}
+        out.bad = {c for c in self.bad if c in out.code}
+        out.said = [self.said[k] for k in numbers]
+        sizes, links = self.columns(keep)
+        out.sizes.frombytes(sizes[:, :3].astype(np.intc).tobytes())
+        out.links.frombytes(links.tobytes())
+        out.stop.frombytes(np.cumsum(sizes[:, 3], dtype=np.int64).tobytes())
+        out.uses = uses[keep] >> 1
+        return out
+
+
 class Pair:
     """Tokenizer A (byte-level BPE, `tokenizers`) on space + text and B (`sentencepiece`) on the text."""
 
@@ -105,7 +173,7 @@ class Pair:
         self.any_chunks = re.compile(rf"\s*\S+(?:[^\S{cuts}]\s*\S+)*(?:[^\S{cuts}]\s*\Z)?|\s+" if cuts else r"(?s:.+)").findall
         self.odd = re.compile(r"[^\S \n]|\0" if cuts == " \n" else r"(?s:.)").search
         self.parts = re.compile(f"([ \n][A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([{re.escape(self.TAIL)}]+)").fullmatch
-        self.memo: dict[str, tuple | None] = {}
+        self.known = Known()
 
     def chunks(self, text: str) -> list[str]:
         """Pieces of space + text that both tokenizers encode apart; together they are the whole."""
@@ -124,37 +192,38 @@ class Pair:
 
     def records(self, chunks: list[str]) -> list[tuple | None]:
         """(n_a, n_b, n_groups, links as packed longs, group text) of each chunk; None where bytes differ."""
-        memo = self.memo
-        new = [c for c in chunks if c not in memo]
+        self.learn(chunks)
+        return list(map(self.known.record, chunks))
+
+    def learn(self, chunks: list[str]) -> None:
+        """Chunks not yet known get their records."""
+        code, add, record = self.known.code, self.known.add, self.known.record
+        new = [c for c in dict.fromkeys(chunks) if c not in code]
         split = {c: m.groups() for c in new if (m := self.parts(c))} if self.tails else {}
-        todo = dict.fromkeys(p for pair in split.values() for p in pair if p not in memo)
+        todo = dict.fromkeys(p for pair in split.values() for p in pair if p not in code)
         todo.update(dict.fromkeys(c for c in new if c not in split))
-        found = self._learn(list(todo))
+        for some in groups(((c,) for c in todo), 1 << 16):
+            for c, r in self._learn([c for c, in some]).items():
+                if c not in code:
+                    add(c, r)
         for c, pair in split.items():
-            head, tail = (found[p] if p in found else memo[p] for p in pair)
-            found[c] = None if head is None or tail is None else (
-                head[0] + tail[0], head[1] + tail[1], head[2] + tail[2], head[3] + tail[3], f"{head[4]};{tail[4]}")
-        out = [found[c] if c in found else memo[c] for c in chunks]
-        if len(memo) < MEMO_CHUNKS:
-            memo.update((c, r) for c, r in found.items() if len(c) <= MEMO_CHARS)
-        return out
+            if c not in code:
+                head, tail = map(record, pair)
+                add(c, None if head is None or tail is None else (
+                    head[0] + tail[0], head[1] + tail[1], head[2] + tail[2], head[3] + tail[3], f"{head[4]};{tail[4]}"))
 
     def _learn(self, chunks: list[str]) -> dict[str, tuple | None]:
         """Records of new chunks, tokenized in a row: each starts where both tokenizers cut."""
-        found = {}
-        for some in groups(((c,) for c in chunks), 1 << 16):
-            row = [self.LEAD]
-            for c, in some:
-                if c[-1].isspace():                  # white space merges with what would follow
-                    found[c] = self._alone(c)
-                else:
-                    row += [c] if c[0] in " \n" else [self.LEAD, c]
-            lead = self._row(row)
-            if lead is None:                         # some chunk's bytes differ: each by itself
-                found.update((c, self._alone(c)) for c in dict.fromkeys(row))
+        found, row = {}, [self.LEAD]
+        for c in chunks:
+            if c[-1].isspace():                      # white space merges with what would follow
+                found[c] = self._alone(c)
             else:
-                found.update(lead)
-        return found
+                row += [c] if c[0] in " \n" else [self.LEAD, c]
+        lead = self._row(row)
+        if lead is None:                             # some chunk's bytes differ: each by itself
+            lead = {c: self._alone(c) for c in dict.fromkeys(row)}
+        return found | lead
 
     def _alone(self, chunk: str) -> tuple | None:
         own = self._row([self.LEAD, chunk])
@@ -220,7 +289,7 @@ def _pair(a_file: bytes, b_file: bytes) -> Pair:
 # -- Spark ------------------------------------------------------------------
 
 #: A slice: its documents, the chunk codes of each, the links of every chunk (numbers into ``pairs``), and how many
-#: of its documents hold each pair.  Binary columns are little-endian int32.
+#: of its documents hold each pair.  Binary columns are ``_packed``.
 SLICES = ("slice long, doc_ids array<long>, n_codes array<int>, n_a array<long>, n_b array<long>, n_groups array<long>, "
           "n_links array<long>, said array<string>, codes binary, n_chunk_links binary, links binary, "
           "pairs array<long>, pair_docs array<long>")
@@ -245,52 +314,66 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, out: str, digest:
         part, pair = TaskContext.get().partitionId(), _pair(*held.value)
         for seq, some in enumerate(groups(it, slice_chars)):
             yield (part << 32 | seq, *_slice(pair, some, digest))
+            _give_back()
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    scan(texts, SLICES, rows, cache="align").write.option("compression", "zstd").mode("overwrite").parquet(out)
+    scan(texts, SLICES, rows, cache="align").write.options(**{
+        "compression": "zstd", "parquet.block.row.count.limit": GROUP_SLICES}).mode("overwrite").parquet(out)
+
+
+def _give_back() -> None:
+    """Memory that this process has freed goes back to the system: the allocators would keep it while other stages run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):        # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def _slice(pair: Pair, rows: list[tuple], digest: bool) -> tuple:
-    index: dict[str, int] = {}                       # chunk -> code
-    bad: set[str] = set()
-    stats, links, said = [], [], []                  # by code
+    known = pair.known
     codes, doc_said = [], []                         # by document
     for some in groups(rows, BATCH_CHARS):
         pieces = [pair.chunks(t) if t else [] for _, t in some]
-        new = [c for c in dict.fromkeys(chain.from_iterable(pieces)) if c not in index]
-        for c, r in zip(new, pair.records(new)):
-            if r is None:
-                bad.add(c)
-                r = (0, 0, 0, b"", "")
-            index[c] = len(stats)
-            stats.append((*r[:3], len(r[3]) >> 3))
-            links.append(r[3])
-            said.append(r[4])
+        pair.learn(chain.from_iterable(pieces))
         for chunks in pieces:
-            if bad and not bad.isdisjoint(chunks):
+            if known.bad and not known.bad.isdisjoint(chunks):
                 chunks = []
-            codes.append(np.fromiter(map(index.__getitem__, chunks), np.int32, len(chunks)))
-            text = ";".join(map(said.__getitem__, codes[-1].tolist()))
+            own = list(map(known.code.__getitem__, chunks))
+            codes.append(np.array(own, np.int32))
+            text = ";".join(map(known.said.__getitem__, own))
             doc_said.append(hashlib.sha256(text.encode()).hexdigest() if digest and chunks else text)
-    stats = np.array(stats, np.int64).reshape(-1, 4)
-    pairs, number = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
+    flat, n_codes = np.concatenate(codes) if codes else np.zeros(0, np.int32), [len(c) for c in codes]
+    known.used(uses := np.bincount(flat, minlength=len(known.said)))
+    codes, number = np.flatnonzero(uses), np.cumsum(uses > 0, dtype=np.int32) - 1
+    flat = number[flat]                              # chunks of the slice, in a row from 0
+    stats, links = known.columns(codes)
+    pairs, number = np.unique(links, return_inverse=True)
     stop = np.cumsum(stats[:, 3])
     held, stamp = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-    for c in codes:                                  # distinct pairs of each document
-        if len(c):
+    sums, ends = [], np.cumsum(n_codes)
+    for first, end in zip((ends - n_codes).tolist(), ends.tolist()):
+        c = flat[first:end]
+        sums.append(stats[c].sum(axis=0))
+        if len(c):                                   # distinct pairs of the document
             c = np.unique(c)
             n = stats[c, 3]
             own = number[np.repeat(stop[c] - np.cumsum(n), n) + np.arange(n.sum())]
             order = np.arange(len(own))
             stamp[own] = order
             held[own[stamp[own] == order]] += 1
-    sums = np.array([stats[c].sum(axis=0) for c in codes], np.int64).reshape(-1, 4).T.tolist()
-    return ([r[0] for r in rows], [len(c) for c in codes], *sums, doc_said, _i32(np.concatenate(codes) if codes else []),
-            _i32(stats[:, 3]), _i32(number), pairs.tolist(), held.tolist())
+    sums = np.array(sums, np.int64).reshape(-1, 4).T.tolist()
+    pair.known = known.trimmed()
+    return ([r[0] for r in rows], n_codes, *sums, doc_said, _packed(flat), _packed(stats[:, 3]), _packed(number), pairs.tolist(),
+            held.tolist())
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 as little-endian integers, after a byte that says how long each is."""
+    size = next(n for n in (1, 2, 4) if values.max(initial=0) < 1 << 8 * n)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
 
 
-def _i32(values) -> bytes:
-    return np.asarray(values, "<i4").tobytes()
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
 
 
 def pair_counts(slices: DataFrame) -> DataFrame:
@@ -320,12 +403,14 @@ def documents(slices: DataFrame, counts: DataFrame) -> DataFrame:
     schema = _schema(ALIGNED)
 
     def look_up(own: pa.Table, found: pa.Table) -> pa.Table:
+        worker_cache(None)                           # chunks and tokenizers are not used any more
+        _give_back()
         at, out = found["at"].to_numpy(), []
         for r in own.to_pylist():
-            codes, n, links = (np.frombuffer(r[c], "<i4") for c in ("codes", "n_chunk_links", "links"))
+            codes, n, links = (_unpacked(r[c]) for c in ("codes", "n_chunk_links", "links"))
             stop, of_chunk = np.cumsum(n), []
             for c in ("best", "n_docs"):
-                value = np.zeros(links.max(initial=-1) + 1, np.int64)      # 0: pairs of rows without tokens
+                value = np.zeros(int(links.max(initial=0)) + 1, np.int64)      # 0: pairs of rows without tokens
                 value[at] = found[c].to_numpy()
                 of_chunk.append(_sums(value[links], stop))
             ends = np.cumsum(r["n_codes"])

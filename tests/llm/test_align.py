@@ -7,10 +7,12 @@ from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pagemill.llm import align as aligned
 from pagemill.llm.align import Pair, align, align_documents, documents, pair_counts
 
 A, B = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -123,3 +125,53 @@ def test_digest_and_empty_table(spark, tmp_path):
     align_documents(df.limit(0), A, B, out)
     slices = spark.read.parquet(out)
     assert documents(slices, pair_counts(slices)).collect() == [] == pair_counts(slices).collect()
+
+
+def random_words(n, seed):
+    rng = random.Random(seed)
+    return sorted({" " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(5, 12))) + rng.choice(["", "", ","])
+                   for _ in range(n)})
+
+
+def test_rows_of_slices_stay_small(spark, tmp_path):
+    df = spark.createDataFrame([(i, "a b c d e f g h " * 6000) for i in range(100)], "doc_id long, text string").coalesce(1)
+    align_documents(df, A, B, str(tmp_path / "s"), digest=True)
+    sizes = [sum(len(r[c]) for c in ("codes", "n_chunk_links", "links")) for r in spark.read.parquet(str(tmp_path / "s")).collect()]
+    assert sum(sizes) > 4 << 20 and max(sizes) < 6 << 20
+
+
+def test_slices_are_alike_whatever_is_remembered(monkeypatch):
+    words, rng = random_words(600, 5) + [" " + "x" * 80, "\xa0\x00"], random.Random(6)
+    slices = [[(i, "".join(rng.choices(words, k=50)) if i % 7 else None) for i in range(20)] for _ in range(6)]
+    slices[2].append((20, "▁ bytes differ"))
+    found = []
+    for most, long in ((1 << 20, 1 << 20), (100, 1 << 20), (1 << 20, 70), (0, 0)):
+        monkeypatch.setattr(aligned, "MEMO_CHUNKS", most)
+        monkeypatch.setattr(aligned, "LONG_CHARS", long)
+        pair, out = Pair(open(A, "rb").read(), open(B, "rb").read()), []
+        for rows in slices:
+            *plain, codes, n, links, pairs, held = aligned._slice(pair, rows, False)
+            codes, n, links = map(aligned._unpacked, (codes, n, links))
+            each = np.split(np.array(pairs, np.int64)[links], np.cumsum(n)[:-1])
+            out.append((plain, [each[c].tolist() for c in codes], dict(zip(pairs, held))))
+        found.append(out)
+        left, whole = pair.known, found[1:] and whole or pair.known
+        assert len(left.code) <= most // 2 if most < 1 << 20 else len(left.code) > 100
+        assert max(map(len, left.code), default=0) <= 64 or long > 1000
+        for c in left.code:
+            assert left.record(c) == whole.record(c)
+    assert found[0] == found[1] == found[2] == found[3]
+    known, often = aligned.Known(), [f" {k}" for k in range(9)]
+    for c in often:
+        known.add(c, (1, 1, 1, b"", c))
+    known.used(np.array([1, 9, 1, 8, 1, 1, 7, 1, 1]))
+    monkeypatch.setattr(aligned, "MEMO_CHUNKS", 6)
+    assert list(known.trimmed().code) == [" 1", " 3", " 6"]
+
+
+def test_row_groups_hold_few_slices(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"text number {i} " * 20) for i in range(40)], "doc_id long, text string").coalesce(1)
+    align_documents(df, A, B, str(tmp_path / "s"), slice_chars=700)
+    sizes = [m.row_group(i).num_rows for f in (tmp_path / "s").glob("*.parquet")
+             for m in [pq.ParquetFile(f).metadata] for i in range(m.num_row_groups)]
+    assert sum(sizes) > 10 and max(sizes) <= 4
